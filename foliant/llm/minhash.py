@@ -8,10 +8,11 @@
    similarity is estimated from the equal signature fields, counted in bits and
    corrected for chance collisions; what isn't clearly below the threshold is
    confirmed on the full sets. Confirmed links give components.
-4. Buckets that still hold several components are compared across components, again
-   by estimate first and full sets after. So every candidate pair is either
-   confirmed, refuted, or inside one component already; copies are never expanded
-   into all pairs.
+4. In buckets that still hold several components, those with a likely partner in
+   another component are compared across components: by a common shingle among their
+   rarest ones (prefix filter), by a finer b-bit estimate, and on full sets. So every candidate pair
+   is either confirmed, refuted, or inside one component already; groups of copies
+   are never expanded into all pairs.
 
 With 16 bands of 4 minima a pair of similarity 0.85 has no common bucket with
 probability 7e-6, and one of 0.8 with 2e-4.
@@ -37,6 +38,8 @@ from foliant.llm._arrow import U64, Block, Words, blocks, grams, mix, powers, ra
 from foliant.llm.shared import components, cut
 
 MINIMA, ROWS, BITS = 64, 4, 4
+#: Minima of the finer signature that only documents in doubt get.
+FINE = 1024
 WORDS_PER_SHINGLE = 5
 #: Standard errors below the threshold at which an estimate refutes a pair.
 SLACK = 4.5
@@ -169,6 +172,54 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def fine_estimate(a: str, b: str) -> Column:
+    """``estimate`` for the finer signature, word by word."""
+    low = sum(1 << i for i in range(0, 64, BITS))
+
+    def equal(x: Column, y: Column) -> Column:
+        x = folded = x.bitwiseXOR(y)
+        for i in range(1, BITS):
+            folded = folded.bitwiseOR(F.shiftrightunsigned(x, i))
+        return F.lit(64 // BITS) - F.bit_count(folded.bitwiseAND(F.lit(low)))
+
+    total = F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda t, n: t + n)
+    return (total / F.lit(float(FINE)) - 2.0**-BITS) / (1 - 2.0**-BITS)
+
+
+def _prefix_pairs(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among ``rows (id, c, n)`` that share a shingle of their prefixes and may be similar enough.
+
+    A set's prefix is its ``n - ceil(percent * n / 100) + 1`` rarest shingles; two sets that are
+    similar enough share one of them. Shingles that only one row has take their places in
+    the prefix but can't be shared, and they bound the intersection: it is at most the rest
+    of either set. So near copies that differ by edits of their own drop out here instead of
+    being paired with all others of their group.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(1)):
+                sets = [x if len(x) else np.zeros(1, U64) for x in distinct_shingles(block, k)]
+                at = np.append(0, np.cumsum([len(x) for x in sets]))
+                fine = pack_bits(minima(np.concatenate(sets), at[:-1], FINE), BITS)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(block)), ragged(pa.array(signed(np.concatenate(sets))), at), ragged(pa.array(signed(fine.ravel())), np.arange(len(sets) + 1) * fine.shape[1])], ["id", "h", "fine"])
+
+    of = cut(rows.select("id").join(texts, "id").dropDuplicates(["id"]).where("text <> ''").select("id", "text").mapInArrow(shingles, "id long, h array<long>, fine array<long>"))
+    each = of.select("id", F.explode("h").alias("h"))
+    shared = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = each.join(shared, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("r"))
+    own = ranked.join(rows.drop("sig"), "id").join(of.select("id", "fine"), "id")
+    room = F.size("r") - F.ceil(F.col("n") * percent / 100) + 1
+    prefix = cut(own.where(room > 0).select("id", "c", "n", "fine", F.size("r").alias("many"), F.explode(F.slice("r", 1, room.cast("int"))).alias("r")).select("id", "c", "n", "fine", "many", F.col("r.h").alias("h")))
+    mixed = prefix.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
+    prefix = prefix.join(mixed, "h")
+    s, t = prefix.alias("s"), prefix.alias("t")
+    both = F.least("s.many", "t.many")
+    possible = 100 * both >= percent * (F.col("s.n") + F.col("t.n") - both)
+    pairs = s.join(t, (F.col("s.h") == F.col("t.h")) & (F.col("s.id") > F.col("t.id")) & (F.col("s.c") != F.col("t.c")) & possible & (fine_estimate("s.fine", "t.fine") >= _least_estimate(percent, FINE, BITS)))
+    return pairs.select(F.col("s.id").alias("a"), F.col("t.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, words_per_shingle: int = WORDS_PER_SHINGLE) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept, and n_links (confirmed links of its class).
 
@@ -197,13 +248,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     checked = cut(pairs.where(likely("x", "y")).select("a", "b"))
     links = cut(_confirmed(checked, texts, k, percent))
     group = cut(components(links))
-    # buckets with several components: compare across them
+    # buckets with several components: who has a likely partner in another component?
     placed = crowded.select("key", "id").join(group, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     open_ = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
     rest = cut(placed.join(open_, "key").join(sig, "id"))
     s, t = rest.alias("s"), rest.alias("t")
-    more = s.join(t, (F.col("s.key") == F.col("t.key")) & (F.col("s.id") > F.col("t.id")) & (F.col("s.c") != F.col("t.c")) & likely("s", "t"))
-    more = more.select(F.col("s.id").alias("a"), F.col("t.id").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
+    other = (F.col("s.key") == F.col("t.key")) & (F.col("s.c") != F.col("t.c")) & likely("s", "t")
+    doubtful = cut(s.join(t, other, "left_semi").select("id", "c", "n").dropDuplicates(["id"]))
+    more = _prefix_pairs(doubtful, texts, k, percent).join(checked, ["a", "b"], "left_anti")
     found = cut(_confirmed(cut(more), texts, k, percent))
     links = links.unionAll(found)
     group = components(links.unionAll(same))
