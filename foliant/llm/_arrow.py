@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 U64 = np.uint64
 MAX64 = U64(0xFFFFFFFFFFFFFFFF)
 

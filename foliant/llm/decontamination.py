@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import NON_WORD, HashIndex, blocks, grams, words
+from foliant.llm.shared import small_batches
 
 SEED = 5
 THRESHOLD = 0.5
@@ -119,6 +120,7 @@ def grams_of(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and item whose coverage reaches ``threshold``: id, item_id, covered, item_words, coverage, tiles."""
+    small_batches(docs)
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import NON_WORD, HashIndex, Words, blocks, grams, winnow, words
+from foliant.llm.shared import small_batches
 
 MAX_TEMPLATE_BYTES = 4 << 20
 K, WINDOW, BAND, COVERAGE = 3, 2, 8, 0.8
@@ -89,6 +90,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, id_col: st
 
     Of notices that overlap in a document, the one with the most matched words stays, then the greater coverage.
     """
+    small_batches(docs)
     templates = dict(TEMPLATES if templates is None else templates)
     if sum(len(t.encode()) for t in templates.values()) > MAX_TEMPLATE_BYTES:
         raise ValueError("the templates are too large to be sent to every task")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import blocks
-from foliant.llm.shared import cut, shared_dir
+from foliant.llm.shared import cut, shared_dir, small_batches
 
 WIDTH = 64
 SHARD_BYTES = 64 << 20
@@ -116,6 +116,7 @@ class ShardWriter:
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write every payload to shards; the index: id, n_bytes, payload_bytes, digest, shard, offset, length, media_sha256."""
+    small_batches(docs)
     folder = folder or f"{shared_dir(docs.sparkSession)}/media-{uuid.uuid4().hex}"
     fs, base = pafs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)

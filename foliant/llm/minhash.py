@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import U64, Block, Words, blocks, grams, mix, powers, ragged, signed, words
-from foliant.llm.shared import components, cut
+from foliant.llm.shared import components, cut, small_batches
 
 MINIMA, ROWS, BITS = 64, 4, 4
 #: Minima of the finer signature that only documents in doubt get.
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the least id reachable by links, ``kept`` whether that is the document
     itself. ``n_links`` counts the confirmed links between its class of equal sets and other classes.
     """
+    small_batches(docs)
     k = words_per_shingle
     sketch = cut(sketches(docs, id_col, text_col, k))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")

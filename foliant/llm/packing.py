@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from foliant.llm._arrow import blocks, ragged
 from foliant.llm.encode import END_ID, default_tokenizer, ids_array, pieces_of
+from foliant.llm.shared import small_batches
 
 
 def decompose(length: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,6 +55,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_to
     """
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
+    small_batches(docs)
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import LOWER, SPACE, Block, blocks, grams, hash_runs, runs, words
-from foliant.llm.shared import held_out
+from foliant.llm.shared import held_out, small_batches
 
 MAX_LABELLED = 10_000
 PAIRS_PER_DOCUMENT = 12
@@ -146,6 +146,7 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS_PER_DOCUMENT, l2: float
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, max_labelled: int, id_col: str, text_col: str) -> DataFrame:
     """(id, text, y) of at most ``max_labelled`` learnable documents, chosen by a hash of the id."""
+    small_batches(docs)
     of = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     of = of.where(~held_out("id", folds, held)).groupBy("id").agg(F.max("y").alias("y"))
     chosen = of.orderBy(F.xxhash64("id"), "id").limit(max_labelled)  # at most max_labelled rows of 12 bytes

@@ -20,6 +20,18 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Rows of an Arrow batch at most; texts can be long, and a batch is held whole on both sides.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> SparkSession:
+    """Bound the session's Arrow batches by ``BATCH_ROWS`` (a lower setting stays) and return the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.sparkSession
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write to a new table in the shared folder and read it back: losing an executor then loses no work."""
     path = f"{shared_dir(df.sparkSession)}/foliant-{uuid.uuid4().hex}"

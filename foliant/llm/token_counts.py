@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 
 from foliant.llm._arrow import blocks
 from foliant.llm.encode import default_tokenizer, encoder
+from foliant.llm.shared import small_batches
 
 GROUP = 1024
 
 
 def lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """Partial histogram (n_tokens, n_docs): a row per length and block of texts."""
+    small_batches(docs)
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
