@@ -7,6 +7,7 @@ size, not by the partition. Null texts count as empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,6 +58,19 @@ def powers(n: int) -> np.ndarray:
     return _POW
 
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim
+except (OSError, AttributeError):  # another C library: it keeps what it likes
+    _libc = None
+
+
+def _trim() -> None:
+    """Give freed memory back to the system; workers live long and share a machine's memory."""
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 @dataclass
 class Block:
     """Some consecutive texts: bytes, ``offsets`` (one more than texts), first row in the batch."""
@@ -88,6 +102,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
         yield Block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], a)
         a = b
+    _trim()
 
 
 @dataclass

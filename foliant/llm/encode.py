@@ -19,9 +19,9 @@ import pyarrow as pa
 from foliant.llm._arrow import SPACE, Block, hash_runs
 
 #: Segments that a worker remembers at most; beyond that it starts anew.
-CACHE_SEGMENTS = 1_500_000
+CACHE_SEGMENTS = 800_000
 #: The commonest segments are found in a direct-mapped table of so many bits; clashes go to a binary search.
-SLOT_BITS = 21
+SLOT_BITS = 20
 #: End-of-document id that the packing contract appends.
 END_ID = 1
 

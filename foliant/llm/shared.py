@@ -36,7 +36,16 @@ def cut(df: DataFrame) -> DataFrame:
     """Write to a new table in the shared folder and read it back: losing an executor then loses no work."""
     path = f"{shared_dir(df.sparkSession)}/foliant-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``cut`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def learns(column: str, folds: int, held: int) -> Column:
