@@ -1,4 +1,420 @@
-"""The queries over the driver's tables and their SQL oracles."""
+"""The queries over the driver's tables and their SQL oracles, side by side.
+
+The tables are an order register, not court rulings; each query binds an operator's
+columns to them. Doubles are rounded to four places, as the rates are.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliant.functions import casenum, dates, rules, ruling, stats, textquality
+from foliant.functions.text import first_present, html_clean, quotable
+from foliant.operators import evidence, tables
+from foliant.sources import readers
+from foliant.streaming import incremental
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+AS_OF = 2026
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# order years are 1992-1998; four study periods over them
+PERIODS = [("1992-1993", 1992, 1993), ("1994-1995", 1994, 1995), ("1996-1997", 1996, 1997), ("1998-2001", 1998, 2001)]
+PERIOD_SQL = "CASE " + " ".join(f"WHEN year(o_orderdate) BETWEEN {a} AND {b} THEN '{p}'" for p, a, b in PERIODS) + " END"
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select("o_orderkey", tables.period_of(F.year("o_orderdate"), PERIODS).alias("period"))
+    effect = F.when(F.col("l_returnflag") == "R", "altera").when(F.col("l_returnflag") == "A", "mantiene")
+    rule = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1), ruling.DISPUTED)
+    return t(spark, sf_dir, "lineitem").select("l_orderkey", effect.alias("effect"), rule.alias("rule")).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _with_intervals(r: DataFrame) -> DataFrame:
+    b, s = stats.wilson(F.col("broad"), F.col("n")), stats.wilson(F.col("strict"), F.col("n"))
+    r4 = lambda c, name: F.round(c, 4).alias(name)
+    return r.select("period", "n", "broad", "strict", r4(b["rate"], "broad_rate"), r4(b["low"], "broad_low"), r4(b["high"], "broad_high"), r4(s["rate"], "strict_rate"), r4(s["low"], "strict_low"), r4(s["high"], "strict_high"))
+
+
+def _wilson_sql(k: str, n: str, side: str) -> str:
+    z = "1.96"
+    half = f"{z}*sqrt(({k}/{n}::DOUBLE)*(1-{k}/{n}::DOUBLE)/{n}+{z}*{z}/(4.0*{n}*{n}))"
+    centre, scale = f"({k}/{n}::DOUBLE+{z}*{z}/(2.0*{n}))", f"(1+{z}*{z}/{n}::DOUBLE)"
+    return f"greatest(0.0,({centre}-{half})/{scale})" if side == "low" else f"least(1.0,({centre}+{half})/{scale})"
+
+
+_DECISIONS_SQL = f"SELECT {PERIOD_SQL} AS period, CASE l_returnflag WHEN 'R' THEN 'altera' WHEN 'A' THEN 'mantiene' END AS effect, CASE WHEN l_returnflag='R' AND l_linestatus='F' AND l_linenumber=1 THEN '{ruling.DISPUTED}' END AS rule FROM lineitem JOIN orders ON l_orderkey=o_orderkey"
+_RATES_SQL = f"""WITH d AS ({_DECISIONS_SQL}), r AS (SELECT period, count(*) AS n, count(*) FILTER (effect='altera') AS broad, count(*) FILTER (effect='altera' AND coalesce(rule,'')<>'{ruling.DISPUTED}') AS strict
+FROM d WHERE effect IN ('altera','mantiene') AND period IS NOT NULL GROUP BY %s)
+SELECT period, n, broad, strict, round(broad/n::DOUBLE,4) AS broad_rate, round({_wilson_sql("broad", "n", "low")},4) AS broad_low, round({_wilson_sql("broad", "n", "high")},4) AS broad_high,
+round(strict/n::DOUBLE,4) AS strict_rate, round({_wilson_sql("strict", "n", "low")},4) AS strict_low, round({_wilson_sql("strict", "n", "high")},4) AS strict_high FROM r"""
+
+
+@query(_RATES_SQL % "period")
+def q01_rates_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_intervals(tables.rates(_decisions(spark, sf_dir), "period", "effect", "rule", ruling.DISPUTED))
+
+
+@query(_RATES_SQL % "ROLLUP (period)")
+def q29_rollup_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_intervals(tables.rates(_decisions(spark, sf_dir), "period", "effect", "rule", ruling.DISPUTED, total=True))
+
+
+# case numbers of several shapes from order keys
+_CASE_SQL = "CASE o_orderkey % 7 WHEN 0 THEN o_orderkey || '-' || right(year(o_orderdate)::VARCHAR,2) WHEN 1 THEN ' ' || o_orderkey || '-' || year(o_orderdate) || ' ' WHEN 2 THEN 'sin guion' || o_orderkey WHEN 3 THEN o_orderkey || '-20x' WHEN 4 THEN o_orderkey || '-198' ELSE o_orderkey || '-' || year(o_orderdate) END"
+
+
+def _case() -> Column:
+    k, y = F.col("o_orderkey").cast("string"), F.year("o_orderdate").cast("string")
+    m = F.col("o_orderkey") % 7
+    return F.when(m == 0, F.concat(k, F.lit("-"), F.right(y, F.lit(2)))).when(m == 1, F.concat(F.lit(" "), k, F.lit("-"), y, F.lit(" "))).when(m == 2, F.concat(F.lit("sin guion"), k)).when(m == 3, F.concat(k, F.lit("-20x"))).when(m == 4, F.concat(k, F.lit("-198"))).otherwise(F.concat(k, F.lit("-"), y))
+
+
+def _year_sql(c: str) -> str:
+    tail = f"CASE WHEN contains({c},'-') THEN trim(split_part(trim({c}),'-',-1)) ELSE trim({c}) END"
+    n = f"CASE length({tail}) WHEN 4 THEN try_cast({tail} AS INT) WHEN 2 THEN try_cast({tail} AS INT) + CASE WHEN try_cast({tail} AS INT)>=80 THEN 1900 ELSE 2000 END END"
+    return f"CASE WHEN contains({c},'-') AND regexp_full_match({tail},'[0-9]+') AND length({tail}) IN (2,4) AND {n} BETWEEN 1986 AND {AS_OF + 1} THEN {n} END"
+
+
+def _census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders")
+    two = F.array(_case(), F.concat(F.col("o_custkey").cast("string"), F.lit("-"), F.right((F.year("o_orderdate") + F.col("o_orderkey") % 3).cast("string"), F.lit(2))))
+    return o.select(F.col("o_orderkey").alias("id"), two.alias("cases"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("kind"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("decided"), F.col("o_orderkey").alias("ord"))
+
+
+_CENSUS_SQL = f"c AS (SELECT o_orderkey AS id, {_CASE_SQL} AS a, o_custkey || '-' || right((year(o_orderdate) + o_orderkey % 3)::VARCHAR,2) AS b, nullif(o_orderpriority,'5-LOW') AS kind, CASE WHEN o_orderstatus<>'P' THEN o_orderdate END AS decided FROM orders), e AS (SELECT id, unnest([a,b]) AS c1, unnest([1,2]) AS i FROM c), y AS (SELECT id, c1, i, {_year_sql('c1')} AS year FROM e)"
+
+
+@query(f"WITH {_CENSUS_SQL} SELECT (SELECT count(*) FROM c) AS documents, (SELECT count(DISTINCT c1) FROM e) AS cases, (SELECT count(*) FROM c WHERE decided IS NULL) AS missing_date, (SELECT count(*) FROM (SELECT DISTINCT c1 FROM y WHERE year IS NULL)) AS underivable, (SELECT count(DISTINCT year) FROM y) AS years, (SELECT count(DISTINCT coalesce(kind,'(sin tipo)')) FROM c) AS kinds, (SELECT count(*) FROM (SELECT DISTINCT id, year FROM y WHERE year IS NOT NULL)) AS document_years")
+def q02_census_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = tables.census_summary(_census(spark, sf_dir), AS_OF)
+    return s.select("documents", "cases", "missing_date", F.size("reasons").cast("long").alias("underivable"), F.size("by_year").cast("long").alias("years"), F.size("by_kind").cast("long").alias("kinds"), F.aggregate(F.map_values("by_year"), F.lit(0).cast("long"), lambda a, x: a + x).alias("document_years"))
+
+
+@query(f"""WITH {_CENSUS_SQL} SELECT 'each' AS policy, year, count(DISTINCT id) AS documents FROM y WHERE year IS NOT NULL GROUP BY year
+UNION ALL SELECT 'first', year, count(*) FROM (SELECT id, arg_min(year, i) AS year FROM y WHERE year IS NOT NULL GROUP BY id) GROUP BY year
+UNION ALL SELECT 'oldest', year, count(*) FROM (SELECT id, min(year) AS year FROM y WHERE year IS NOT NULL GROUP BY id) GROUP BY year
+UNION ALL SELECT 'first_case', year, count(*) FROM y WHERE i=1 AND year IS NOT NULL GROUP BY year""")
+def q03_year_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for policy in ("each", "first", "oldest", "first_case"):
+        part = tables.by_year(_census(spark, sf_dir), AS_OF, policy).select(F.lit(policy).alias("policy"), "year", "documents")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+_N0 = "384.1599999999999"
+_SAMPLE_SQL = f"o AS (SELECT o_orderkey AS id, year(o_orderdate) AS stratum, o_totalprice FROM orders), n AS (SELECT stratum, count(*) AS stratum_n, least(count(*), ceil({_N0}/(1+({_N0}-1)/count(*)))::BIGINT) AS sample_n FROM o GROUP BY stratum), s AS (SELECT o.*, stratum_n, sample_n FROM o JOIN n USING (stratum) QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY md5('{tables.SEED_SAMPLE}:' || stratum || ':' || id), id::VARCHAR) <= sample_n)"
+
+
+def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("stratum"), "o_totalprice")
+    return tables.stratified_sample(o, "id", "stratum", tables.SEED_SAMPLE)
+
+
+@query(f"WITH {_SAMPLE_SQL} SELECT id, stratum, stratum_n, sample_n FROM s")
+def q04_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).select("id", "stratum", "stratum_n", "sample_n")
+
+
+@query(f"SELECT o_orderkey AS id, {PERIOD_SQL} AS period FROM orders WHERE {PERIOD_SQL} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {PERIOD_SQL} ORDER BY md5('{tables.SEED_STUDY}:' || {PERIOD_SQL} || ':' || o_orderkey), o_orderkey::VARCHAR) <= 500")
+def q05_quota_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), tables.period_of(F.year("o_orderdate"), PERIODS).alias("period")).where("period is not null")
+    return tables.quota_sample(o, "id", "period", tables.SEED_STUDY, 500).select("id", "period")
+
+
+_STRIP = "translate({}, '" + "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ" + "', '" + "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY" + "')"
+_in = lambda words: ", ".join(f"'{w}'" for w in words)
+_LOST_SQL = " || ".join(f"CASE WHEN letters>=500 AND letters-length(replace(flat,'{x}','')) < 0.15*{p}/100*letters THEN '{x}' ELSE '' END" for x, p in textquality.LETTERS.items())
+_QUALITY_SQL = f"""a AS (SELECT doc_id, trim(replace(text, chr(12), ' '), ' ') AS t FROM documents), b AS (SELECT doc_id, t, regexp_extract_all(lower(t), '[a-záéíóúüñ]+') AS tokens FROM a),
+c AS (SELECT doc_id, length(t) AS chars, len(tokens) AS n, list_transform(tokens, lambda w: {_STRIP.format('w')}) AS words FROM b),
+d AS (SELECT *, array_to_string(words,'') AS flat, length(array_to_string(words,'')) AS letters, len(list_filter(words, lambda w: w IN ({_in(textquality.FUNCTION_WORDS)})))/n::DOUBLE AS fr, len(list_filter(words, lambda w: (length(w)=1 AND w NOT IN ({_in(textquality.ONE_LETTER)})) OR (length(w)=2 AND w NOT IN ({_in(textquality.TWO_LETTERS)}))))/n::DOUBLE AS gr FROM c),
+q AS (SELECT doc_id, chars, n AS tokens, chars<200 OR n<30 AS bare, fr, gr, {_LOST_SQL} AS lost FROM d),
+r AS (SELECT doc_id, CASE WHEN bare THEN 'sin_capa' WHEN lost<>'' OR fr<0.18 OR gr>0.12 THEN 'sospechoso' ELSE 'usable' END AS verdict, chars, tokens, CASE WHEN bare THEN 0 ELSE round(fr,4) END AS function_ratio, CASE WHEN bare THEN 0 ELSE round(gr,4) END AS fragment_ratio, CASE WHEN bare THEN '' ELSE lost END AS lost FROM q)"""
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = textquality.assess(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "q")
+    return q.select("doc_id", "q.verdict", "q.chars", "q.tokens", F.round("q.function_ratio", 4).alias("function_ratio"), F.round("q.fragment_ratio", 4).alias("fragment_ratio"), F.concat_ws("", "q.lost_letters").alias("lost"))
+
+
+@query(f"WITH {_QUALITY_SQL} SELECT doc_id, verdict, chars, tokens, function_ratio::DOUBLE AS function_ratio, fragment_ratio::DOUBLE AS fragment_ratio, lost FROM r")
+def q06_text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality(spark, sf_dir)
+
+
+@query(f"""WITH {_QUALITY_SQL}, v AS (SELECT verdict AS stratum, count(*) AS size FROM r GROUP BY verdict), w AS (SELECT verdict AS stratum, count(*) AS n, count(*) FILTER ((verdict='usable')=(quality=1)) AS k FROM r JOIN labels USING (doc_id) GROUP BY verdict),
+x AS (SELECT coalesce(sum(n),0)::BIGINT AS n, coalesce(sum(k),0)::BIGINT AS k, sum(coalesce(k/n::DOUBLE*size,0))/sum(size) AS weighted FROM v LEFT JOIN w USING (stratum))
+SELECT n, k, round(weighted,4) AS weighted, round({_wilson_sql('k', 'n', 'low')},4) AS low, round({_wilson_sql('k', 'n', 'high')},4) AS high, CASE WHEN {_wilson_sql('k', 'n', 'low')}>0.95 THEN 'CUMPLE' WHEN {_wilson_sql('k', 'n', 'high')}<0.95 THEN 'NO CUMPLE' ELSE 'insuficiente' END AS verdict FROM x""")
+def q07_quality_vs_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = _quality(spark, sf_dir).select("doc_id", F.col("verdict").alias("stratum"))
+    reviewed = q.join(t(spark, sf_dir, "labels"), "doc_id").select("stratum", ((F.col("stratum") == "usable") == (F.col("quality") == 1)).alias("right"))
+    a = tables.weighted_accuracy(reviewed, q.groupBy("stratum").agg(F.count("*").alias("size")))
+    w = stats.wilson(F.col("k"), F.col("n"))
+    return a.select("n", "k", F.round("weighted", 4).alias("weighted"), F.round(w["low"], 4).alias("low"), F.round(w["high"], 4).alias("high"), stats.verdict(w["low"], w["high"]).alias("verdict"))
+
+
+def _quotable_sql(c: str) -> str:
+    return f"regexp_replace(trim(regexp_replace(lower({_STRIP.format(c)}), '\\s+', ' ', 'g')), '\\s*-\\s*', '-', 'g')"
+
+
+@query(f"SELECT doc_id, item_id, 'verificada' AS status FROM (SELECT doc_id, {_quotable_sql('text')} AS d FROM documents) JOIN (SELECT item_id, {_quotable_sql('text')} AS q FROM benchmark) ON contains(d, q)")
+def q08_quote_in_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # candidates share the quote's rarest-looking word: an equi-join, then the exact test
+    quotes = t(spark, sf_dir, "benchmark").select("item_id", quotable(F.col("text")).alias("q"))
+    inner = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    key = F.array_max(F.transform(F.slice(inner(F.col("q")), 2, F.greatest(F.size(inner(F.col("q"))) - 2, F.lit(1))), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    quotes = quotes.withColumn("word", key)
+    d = t(spark, sf_dir, "documents").select("doc_id", quotable(F.col("text")).alias("d"))
+    seen = d.select("doc_id", F.explode(F.array_distinct(inner(F.col("d")))).alias("word"))
+    hits = seen.join(quotes, "word").select("doc_id", "item_id", "q").distinct().join(d, "doc_id")
+    return hits.where(F.contains("d", "q")).select("doc_id", "item_id", F.lit("verificada").alias("status"))
+
+
+_PART_RULES = rules.RuleSet((("Metal", r"brass|steel"), ("Precious", r"copper|nickel"), ("Tin", r"tin"), ("Promo", r"\bpromo")), "Other", "Blank")
+_L, _FR = _PART_RULES.sql("lower(p_type)")
+
+
+@query(f"SELECT label, fragment, count(*) AS n FROM (SELECT {_L} AS label, {_FR} AS fragment FROM part) GROUP BY ALL")
+def q09_rule_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "part").select(_PART_RULES.classify(F.col("p_type")).alias("c")).groupBy("c.label", "c.fragment").agg(F.count("*").alias("n"))
+
+
+#: Rulings made from templates by order key, with what the reader has to find.
+RULINGS = [
+    ("CONSIDERANDO. POR TANTO: resuelve: I) Confirma la sentencia apelada. II) Notifíquese.", "mantiene", "confirma"),
+    ("POR TANTO, al resolver: I) Revoca la sentencia venida en grado. II) Condena en costas.", "altera", "revoca"),
+    ("POR TANTO resuelve: I) Confirma con la modificación de que la multa es de mil quetzales.", "mantiene", "confirma; la modificacion es accesoria"),
+    ("POR TANTO resuelve: I) Confirma la sentencia con la modificación de que otorga el amparo.", "altera", ruling.DISPUTED),
+    ("POR TANTO: I) Por ausencia temporal del magistrado se integra el tribunal. II) Sin lugar el recurso de apelación.", "mantiene", "sin lugar la apelacion"),
+    ("Esta Corte declara: I) Con lugar la apelación; en consecuencia, deja sin efecto lo actuado.", "altera", "con lugar la apelacion"),
+    ("resuelve: I) Deniega el amparo solicitado por la postulante.", "sin_decision_inferior", "resuelve el amparo"),
+    ("resuelve: I) Sin lugar la solicitud de aclaración.", "aclaracion_ampliacion", "aclaracion o ampliacion"),
+    ("POR TANTO: I) Confirma con modificación la sentencia.", "altera", "modifica"),
+    ("POR TANTO: certifíquese lo conducente.", "ambiguo", None),
+    ("Sin parte dispositiva alguna.", "no_hallado", None),
+]
+_sql = lambda s: "NULL" if s is None else "'" + s.replace("'", "''") + "'"
+_RULING_SQL = " ".join(f"WHEN {i} THEN {{}}" for i in range(len(RULINGS)))
+
+
+@query(f"SELECT o_orderkey, CASE o_orderkey % {len(RULINGS)} {_RULING_SQL.format(*[_sql(r[1]) for r in RULINGS])} END AS effect, CASE o_orderkey % {len(RULINGS)} {_RULING_SQL.format(*[_sql(r[2]) for r in RULINGS])} END AS rule FROM orders")
+def q10_ruling_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.element_at(F.array(*[F.lit(r[0]) for r in RULINGS]), (F.col("o_orderkey") % len(RULINGS)).cast("int") + 1)
+    o = t(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return o.select("o_orderkey", ruling.read_ruling(F.col("text")).alias("r")).select("o_orderkey", "r.effect", "r.rule")
+
+
+def _words(n: int) -> str:
+    if n == 31:
+        return "treinta y uno"
+    return next(w for w, v in dates.UNITS.items() if v == n)
+
+
+def _date_text() -> Column:
+    day = F.element_at(F.array(*[F.lit(_words(d)) for d in range(1, 32)]), F.dayofmonth("o_orderdate"))
+    month = F.element_at(F.array(*[F.lit(m) for m in ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")]), F.month("o_orderdate"))
+    ones = ["", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"]
+    y = F.year("o_orderdate")
+    year = F.when(y >= 2000, F.concat(F.lit("dos mil "), F.element_at(F.array(*[F.lit(x) for x in ones]), y % 10 + 1))).otherwise(F.concat(F.lit("mil novecientos noventa y "), F.element_at(F.array(*[F.lit(x) for x in ones]), y % 10 + 1)))
+    return F.concat(F.lit("Visto el veintisiete de abril de dos mil uno. CORTE DE CONSTITUCIONALIDAD: Guatemala, "), day, F.lit(" de "), month, F.lit(" de "), year, F.lit(". Se tiene a la vista."))
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE AS decided, TRUE AS anchored, DATE '2001-04-27' AS first_date FROM orders")
+def q11_word_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select("o_orderkey", _date_text().alias("text"))
+    o = o.select("o_orderkey", dates.resolution_date(F.col("text")).alias("r"), dates.word_date(F.col("text")).alias("first_date"))
+    return o.select("o_orderkey", F.col("r.date").alias("decided"), "r.anchored", "first_date")
+
+
+@query("""WITH f AS (SELECT o_orderkey, o_orderdate::DATE AS filed, (o_orderdate + INTERVAL (o_orderkey % 400 - 100) DAY)::DATE AS resolved, year(o_orderdate) + (o_orderkey % 9)::INT - 2 AS case_year, o_orderkey % 5 AS m FROM orders)
+SELECT o_orderkey, CASE m WHEN 0 THEN 'sin_apartado' WHEN 1 THEN 'varias_acciones' WHEN 2 THEN 'apartado_sin_fecha' ELSE 'ok' END AS state, CASE WHEN m>2 THEN filed END AS filed,
+CASE WHEN m>2 THEN concat_ws('; ', CASE WHEN filed>resolved THEN 'posterior a la resolucion' END, CASE WHEN year(filed)>case_year THEN 'posterior al expediente' END, CASE WHEN year(filed)<case_year-5 THEN 'mas de cinco anios antes' END) ELSE '' END AS alerts FROM f""")
+def q12_filing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_format("o_orderdate", "d/M/yyyy")
+    m = F.col("o_orderkey") % 5
+    text = F.when(m == 0, F.lit("ANTECEDENTES. Sin otro dato.")).when(m == 1, F.concat(F.lit("A) Interposición y autoridad: fueron presentados el "), day, F.lit(". B) Acto reclamado: otro."))).when(m == 2, F.lit("A) Solicitud: presentada en su oportunidad. B) Acto: del 1/1/2001.")).otherwise(F.concat(F.lit("A) Interposición y autoridad: presentado el "), day, F.lit(" en este Tribunal. B) Acto reclamado: del 3/4/2001.")))
+    o = t(spark, sf_dir, "orders").select("o_orderkey", dates.filing(text).alias("f"), F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 400 - 100).cast("int")).alias("resolved"), (F.year("o_orderdate") + F.col("o_orderkey") % 9 - 2).alias("case_year"))
+    alerts = F.concat_ws("; ", dates.filing_alerts(F.col("f.date"), F.col("resolved"), F.col("case_year")))
+    return o.select("o_orderkey", dates.filing_state(F.col("f"), F.lit(False)).alias("state"), F.col("f.date").alias("filed"), alerts.alias("alerts"))
+
+
+def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = t(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("id"), F.create_map(F.lit("Tema"), F.col("c_mktsegment"), F.lit("Autoridad impugnada"), F.col("c_name"), F.lit("Fallo"), F.when(F.col("c_acctbal") < 0, "").otherwise(F.format_string("%d", F.floor("c_acctbal")))).alias("attributes"))
+
+
+@query("SELECT field, count(*) AS n, count(*) FILTER (value<>'') AS filled, count(*) FILTER (topic) AS on_topic FROM (SELECT c_custkey, unnest(['Tema','Autoridad impugnada','Fallo']) AS field, unnest([c_mktsegment, c_name, CASE WHEN c_acctbal<0 THEN '' ELSE floor(c_acctbal)::BIGINT::VARCHAR END]) AS value, contains(lower(c_mktsegment),'build') AS topic FROM customer) GROUP BY field")
+def q13_attributes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _cards(spark, sf_dir).withColumn("topic", evidence.topic_occurs(F.col("attributes"), "BUILD"))
+    long = c.select("id", "topic", F.explode("attributes").alias("field", "value"))
+    return long.groupBy("field").agg(F.count("*").alias("n"), F.count_if(F.col("value") != "").alias("filled"), F.count_if("topic").alias("on_topic"))
+
+
+@query("SELECT o_orderpriority AS label, count(*) FILTER (l_returnflag='R') AS altera, count(*) FILTER (l_returnflag='A') AS mantiene FROM orders JOIN lineitem ON l_orderkey=o_orderkey GROUP BY 1")
+def q14_label_effect_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    effect = F.when(F.col("l_returnflag") == "R", "altera").when(F.col("l_returnflag") == "A", "mantiene")
+    l = t(spark, sf_dir, "lineitem").select("l_orderkey", effect.alias("effect"))  # noqa: E741
+    j = l.join(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("label")), "l_orderkey")
+    return tables.crosstab(j, "label", "effect", ["altera", "mantiene"])
+
+
+@query("""WITH d AS (SELECT l_shipmode2 AS g, count(*) FILTER (f='R') AS a, count(*) FILTER (f='A') AS b FROM (SELECT CASE WHEN l_linenumber<=3 THEN 'head' ELSE 'tail' END AS l_shipmode2, l_returnflag AS f FROM lineitem) GROUP BY 1),
+x AS (SELECT h.a, h.b, t.a AS c, t.b AS d FROM d h, d t WHERE h.g='head' AND t.g='tail')
+SELECT a, b, c, d, round((a+b+c+d)*power((a*d-b*c)::DOUBLE,2)/((a+b)::DOUBLE*(c+d)*(a+c)*(b+d)),4) AS x2, (a+b+c+d)*power((a*d-b*c)::DOUBLE,2)/((a+b)::DOUBLE*(c+d)*(a+c)*(b+d)) > 3.841459 AS differs FROM x""")
+def q15_chi2_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.col("l_linenumber") <= 3
+    n = lambda g, f, name: F.count_if(g & (F.col("l_returnflag") == f)).alias(name)
+    x = t(spark, sf_dir, "lineitem").agg(n(head, "R", "a"), n(head, "A", "b"), n(~head, "R", "c"), n(~head, "A", "d"))
+    x2 = stats.chi_square(*[F.col(c) for c in "abcd"])
+    return x.select("a", "b", "c", "d", F.round(x2, 4).alias("x2"), (x2 > 3.841459).alias("differs"))
+
+
+OFFICERS = [("Ana de la Paz Soto", 1991, 1995, 1), ("Luis Rey Mora", 1996, 1996, 2), ("Eva Sol Luna", 1992, 1998, 3)]
+
+
+@query("""WITH o(name, f, l, ord) AS (VALUES ('Ana de la Paz Soto', DATE '1991-04-14', DATE '1996-04-13', 1), ('Luis Rey Mora', DATE '1996-04-14', DATE '1997-12-31', 2), ('Eva Sol Luna', DATE '1992-01-01', DATE '1999-12-31', 3)),
+d AS (SELECT o_orderkey AS id, o_orderdate::DATE AS decided, o_orderkey % 3 AS m FROM orders)
+SELECT id, string_agg(name, '; ' ORDER BY ord) AS signers FROM d JOIN o ON decided BETWEEN f AND l AND (ord=1 OR (ord=2 AND m<>1) OR (ord=3 AND m=2)) GROUP BY id""")
+def q16_in_office(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("o_orderkey") % 3
+    text = F.concat(F.lit("Eva Sol Luna firma antes. Notifíquese. ANA  DE LA PAZ SOTO "), F.when(m == 1, "").otherwise("LUIS R EY MORA "), F.when(m == 2, "LUNA EVA MARTA SOL").otherwise("SOL"))
+    docs = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), text.alias("text"), F.to_date("o_orderdate").alias("decided"))
+    officers = spark.createDataFrame(OFFICERS, "name string, since int, until int, ord int")
+    return evidence.signers(docs, officers).select("id", F.concat_ws("; ", "signers").alias("signers"))
+
+
+_STATE_SQL = "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id"
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "events").select("user_id", "event_type", F.struct("ts", "event_id").alias("at"))
+
+
+@query(f"SELECT event_type, count(*) AS users FROM ({_STATE_SQL}) GROUP BY event_type")
+def q17_latest_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.latest(_log(spark, sf_dir), "user_id", "event_type", "at").groupBy("event_type").agg(F.count("*").alias("users"))
+
+
+@query(f"SELECT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM ({_STATE_SQL}) WHERE event_type IN ('purchase','click'))")
+def q18_resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = tables.done_keys(_log(spark, sf_dir), "user_id", "event_type", "at", ["purchase", "click"])
+    return tables.pending(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")), done, "user_id")
+
+
+_HOSTS = ["10.0.0.7", "192.0.2.10", "198.51.100.3"]
+
+
+@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://docs.example.org/a%20b/' || page_id || '.pdf' WHEN 1 THEN 'https://docs.example.org/x/' || page_id || '.pdf' ELSE url END AS url, page_id % 3 <> 2 AS rewritten FROM pages""")
+def q19_url_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, k = F.col("page_id") % 3, F.col("page_id").cast("string")
+    raw = F.when(m == 0, F.concat(F.lit("http://192.0.2.10:8080/a b/"), k, F.lit(".pdf"))).when(m == 1, F.concat(F.lit("http://docs.example.org/x/"), k, F.lit(".pdf"))).otherwise(F.col("url"))
+    once = evidence.canonical_url(raw, _HOSTS, "docs.example.org")
+    return t(spark, sf_dir, "pages").select("page_id", once.alias("u")).select("page_id", evidence.canonical_url(F.col("u.url"), _HOSTS, "docs.example.org")["url"].alias("url"), "u.rewritten")
+
+
+@query()
+def q20_html_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = t(spark, sf_dir, "pages")
+    title = html_clean(readers.html_field(F.col("html"), "title"))
+    card = F.concat(F.lit("<table><tr><th>T&iacute;tulo</th><td>"), F.coalesce(title, F.lit("")), F.lit("</td></tr><tr><td>Vac&iacute;o</td></tr></table>"))
+    return p.select("page_id", title.alias("title"), readers.html_card(card).alias("card")).select("page_id", "title", first_present(F.col("card"), "Fallo", "Título").alias("label"), F.col("card")["Vacío"].alias("blank"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'http_error' WHEN page_id % 10 = 1 THEN 'empty' WHEN page_id % 10 = 2 THEN 'wrong_type' WHEN strlen(html) < 600 THEN 'too_small' WHEN NOT contains(html, '<body') THEN 'missing_marker' ELSE 'ok' END AS outcome FROM pages""")
+def q21_fetch_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("page_id") % 10
+    outcome = evidence.fetch_outcome(F.when(m == 0, 503).otherwise(200), F.when(m == 1, "").otherwise(F.col("html")), F.when(m == 2, "application/pdf").otherwise("text/html; charset=utf-8"), wants="html", min_bytes=600, markers=("<body",))
+    return t(spark, sf_dir, "pages").select("page_id", outcome.alias("outcome"))
+
+
+@query("SELECT doc_id, sha256(coalesce(text,'')) AS sha256, substr(sha256('src:' || doc_id),1,16) AS record_id, source || '/' || coalesce(lang,'unknown') || '/' || sha256(coalesce(text,'')) || '.txt' AS path FROM documents")
+def q22_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return t(spark, sf_dir, "documents").select("doc_id", digest.alias("sha256"), evidence.record_id("src", F.col("doc_id")).alias("record_id"), evidence.raw_path(F.col("source"), F.col("lang"), digest, F.lit("txt")).alias("path"))
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents").join(t(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    portal = evidence.extracted(F.col("quality").cast("string"), 1.0, "portal")
+    ruled = evidence.extracted(F.when(F.contains("text", F.lit("|")), "0"), 0.8, "deterministic", F.substring("text", 1, 700))
+    said = evidence.model_value(F.lit("1"), F.when(F.col("doc_id") % 4 != 0, F.substring(F.col("text"), 1, 20)), F.when(F.col("doc_id") % 4 == 1, 0.2).otherwise(0.9))
+    return d.select("doc_id", "text", evidence.layered(portal, ruled, said).alias("quality"), evidence.extracted(F.col("lang"), 0.95, "deterministic").alias("language"))
+
+
+_FACT_SQL = """f AS (SELECT doc_id, text, CASE WHEN quality IS NOT NULL THEN quality::VARCHAR WHEN contains(text,'|') THEN '0' WHEN doc_id%4 IN (2,3) AND trim(substr(text,1,20))<>'' THEN '1' END AS value,
+CASE WHEN quality IS NOT NULL THEN 'portal' WHEN contains(text,'|') THEN 'deterministic' WHEN doc_id%4 IN (2,3) AND trim(substr(text,1,20))<>'' THEN 'llm' END AS provenance, CASE WHEN quality IS NOT NULL THEN 1.0 WHEN contains(text,'|') THEN 0.8 ELSE 0.9 END AS confidence FROM documents LEFT JOIN labels USING (doc_id))"""
+
+
+@query(f"WITH {_FACT_SQL} SELECT doc_id, value, provenance, confidence::DOUBLE AS confidence, 'verificada' AS status FROM f WHERE value IS NOT NULL")
+def q23_layered_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _facts(spark, sf_dir).where("quality is not null")
+    return f.select("doc_id", "quality.value", "quality.provenance", "quality.confidence", evidence.verify_quote(F.col("quality"), F.col("text")).alias("status"))
+
+
+@query(f"WITH {_FACT_SQL} SELECT 'quality' AS field, provenance, count(*) AS n, (SELECT count(*) FROM documents) AS documents FROM f WHERE value IS NOT NULL GROUP BY provenance UNION ALL SELECT 'language', 'deterministic', count(*), (SELECT count(*) FROM documents) FROM documents WHERE lang IS NOT NULL")
+def q24_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = evidence.facts_long(_facts(spark, sf_dir), "doc_id", ["quality", "language"]).groupBy("field", "provenance").agg(F.count("*").alias("n"))
+    return long.crossJoin(t(spark, sf_dir, "documents").agg(F.count("*").alias("documents")))  # one row
+
+
+@query(f"WITH {_SAMPLE_SQL} SELECT round(sum(CASE WHEN o_totalprice>200000 THEN stratum_n/sample_n::DOUBLE ELSE 0 END),2) AS estimate, count(*) FILTER (o_totalprice>200000) AS hits, count(*) AS sampled FROM s")
+def q25_weighted_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.weighted_total(_sample(spark, sf_dir), F.col("o_totalprice") > 200000).select(F.round("estimate", 2).alias("estimate"), "hits", "sampled")
+
+
+@query(f"""WITH {_FACT_SQL} SELECT 'census' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'attributes', 3*count(*) FROM customer UNION ALL SELECT 'decisions', count(*) FROM lineitem WHERE l_returnflag IN ('R','A')
+UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'extractions', (SELECT count(*) FROM f WHERE value IS NOT NULL) + (SELECT count(*) FROM documents WHERE lang IS NOT NULL) UNION ALL SELECT 'judicial_officers', 0 UNION ALL SELECT 'appeal_links', 0 UNION ALL SELECT 'citations', 0""")
+def q26_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decisions = _decisions(spark, sf_dir).select(F.col("l_orderkey").alias("id"), "effect", "rule", "period")
+    facts = evidence.facts_long(_facts(spark, sf_dir), "doc_id", ["quality", "language"])
+    return evidence.load_report(evidence.load_model(_census(spark, sf_dir), _cards(spark, sf_dir), decisions, t(spark, sf_dir, "documents"), facts))
+
+
+@query("SELECT o_orderpriority AS kind, count(*) AS n, quantile_cont(d,0.25) AS p25, quantile_cont(d,0.5) AS p50, quantile_cont(d,0.75) AS p75, quantile_cont(d,0.9) AS p90 FROM (SELECT o_orderpriority, date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS d FROM orders JOIN lineitem ON l_orderkey=o_orderkey) GROUP BY 1")
+def q27_latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    d = F.datediff("l_shipdate", "o_orderdate")
+    j = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    r = j.groupBy(F.col("o_orderpriority").alias("kind")).agg(F.count("*").alias("n"), F.percentile(d, F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, 0.9)])).alias("p"))
+    return r.select("kind", "n", *[F.col("p")[i].alias(f"p{q}") for i, q in enumerate((25, 50, 75, 90))])
+
+
+@query("SELECT c_mktsegment AS universe, count(DISTINCT c_custkey) FILTER (c_name LIKE '%7') AS parties, count(o_orderkey) FILTER (c_name LIKE '%7') AS hits, count(o_orderkey) AS documents FROM customer LEFT JOIN orders ON o_custkey=c_custkey GROUP BY 1")
+def q28_party_search_denominator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("k"))
+    j = t(spark, sf_dir, "customer").join(orders, "c_custkey", "left").withColumn("k", F.coalesce("k", F.lit(0)))
+    hit = F.col("c_name").endswith("7")
+    return j.groupBy(F.col("c_mktsegment").alias("universe")).agg(F.count_if(hit).alias("parties"), F.sum(F.when(hit, F.col("k")).otherwise(0)).alias("hits"), F.sum("k").alias("documents"))
+
+
+@query()
+def q30_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a file stream, in one run to the end and one more that finds nothing new."""
+    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='foliant-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = t(spark, sf_dir, "events").schema
+    for _ in range(2):
+        incremental.run_available(spark, sf_dir, schema, f"{base}/checkpoint", incremental.append_new(f"{base}/events", "event_id"), only="events.parquet")
+    return spark.read.parquet(f"{base}/events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"))
 
-QUERIES: dict = {}
-ORACLES: dict = {}
