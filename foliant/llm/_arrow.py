@@ -165,7 +165,7 @@ def grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros(n, U64)
     for j in range(k):
         part = w.hashes[j:] * powers(2 * k + 2)[2 * j + 1]
-        out[: n - j] += part
+        out[: max(0, n - j)] += part
     room = np.repeat(w.bounds[1:], np.diff(w.bounds)) - np.arange(n) if n else np.zeros(0, np.int64)
     return mix(out), room >= k
 
