@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from foliant.llm._arrow import blocks
 from foliant.llm.encode import default_tokenizer, encoder
-from foliant.llm.shared import small_batches
+from foliant.llm.shared import cut, small_batches
 
 GROUP = 1024
 
@@ -48,7 +48,8 @@ def histogram(docs: DataFrame, text_col: str = "text", tokenizer: str | None = N
     if every document is cut at this length, and ``lost_at_limit`` are cut off;
     ``quantile_from < q <= quantile_to`` holds for the quantiles q that are this length.
     """
-    counts = lengths(docs, text_col, tokenizer).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    # a row per distinct length, used twice below: encode once
+    counts = cut(lengths(docs, text_col, tokenizer).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")))
     counts = counts.withColumn("part", F.floor(F.col("n_tokens") / GROUP)).withColumn("ids", F.col("n_tokens") * F.col("n_docs"))
     parts = counts.groupBy("part").agg(F.sum("n_docs").alias("pd"), F.sum("ids").alias("pt"))
     after = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
