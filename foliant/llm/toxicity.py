@@ -55,7 +55,7 @@ _CLAUSE = np.zeros(256, bool)
 for _c in b".,;:!?\n\r()\"":
     _CLAUSE[_c] = True
 _WORD = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
-PREFIX = range(3, 10)
+PREFIX = range(5, 10)
 
 
 def clause_weight(symbols: list[tuple[int, int, float]]) -> float:
@@ -154,7 +154,7 @@ def fixed_grammar() -> Grammar:
 
 
 def _terms(text: str) -> set[str]:
-    """A text's words, and its word beginnings (marked by a final asterisk) of 3 to 9 letters."""
+    """A text's words, and its word beginnings (marked by a final asterisk) of 5 to 9 letters."""
     found = set(_WORD.findall(text.lower()))
     return found | {w[:n] + "*" for w in found for n in PREFIX if len(w) > n}
 
@@ -199,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         taken: set[str] = set()
         for r in learned:  # the commonest first: a longer term inside a taken beginning adds nothing
             term = r["term"].rstrip("*")
-            if any(term[:n] in taken for n in range(3, len(term) + 1)):
+            if any(term[:n] in taken for n in range(5, len(term) + 1)):
                 continue
             if r["term"].endswith("*"):
                 taken.add(term)
