@@ -327,6 +327,12 @@ def test_op10_lattice():
     assert (short * size).sum() == pytest.approx(2 * 7)
 
 
+def test_op10_discount():
+    lost, log_free = lm.discount(100, 20, 6, 3)
+    assert lost == 0.5 and math.exp(log_free) == pytest.approx(0.1)  # 20 words lose half a count each
+    assert lm.discount(0, 0, 0, 0) == (0.5, 0.0)
+
+
 def test_op10_scores(docs, odd, texts):
     for df, rows in ((docs, list(texts.items())), (odd, ROWS)):
         held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
@@ -344,6 +350,8 @@ def test_op10_scores(docs, odd, texts):
             assert r["base_score"] == pytest.approx(sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens))
             assert r["score"] == pytest.approx(b[i, len(tokens)]["score"])  # hot words and joined ones score alike
             assert r["score"] < 0
+            if i is not None and all(count[w] > 5 for w in tokens):
+                assert abs(r["score"] - r["base_score"]) < 0.1 * len(tokens)  # common words are mostly pieces of their own
     assert lm.score_documents(odd.limit(0)).count() == 0
 
 
