@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.casenum import document_years, year_of
-from foliant.functions.stats import cochran
+from foliant.functions.stats import Z95, cochran
 
 
 def keep(df: DataFrame, key: str, order: str, which: str = "last") -> DataFrame:
@@ -55,22 +57,35 @@ def shuffle_key(seed: int, stratum: Column | str, key: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), part, key.cast("string")))
 
 
-def stratified_sample(df: DataFrame, key: str, stratum: str, seed: int, size: Column | None = None, error: float = 0.05) -> DataFrame:
+def stratified_sample(df: DataFrame, key: str, stratum: str, seed: int, size: Column | None = None, error: float = 0.05, bound: int | None = None) -> DataFrame:
     """Exact-size sample without replacement per stratum, with ``stratum_n`` and ``sample_n``.
 
-    ``size`` is a Column over ``stratum_n``; by default Cochran's with correction. Rows are ranked
-    in two steps: a stratum's sample is in its first rows by hash, and the count before the
-    rank is a plain aggregate.
+    ``size`` is a Column over ``stratum_n``; by default Cochran's with correction. ``bound`` is a
+    number that no sample exceeds, if there is one (Cochran's has). With it each task keeps its first
+    ``bound`` rows of a stratum before the shuffle, so a stratum with most of the rows isn't
+    sorted in one task.
     """
+    if size is None:
+        bound = math.ceil(Z95**2 * 0.25 / error**2)
     n = df.groupBy(stratum).agg(F.count("*").alias("stratum_n"))
     n = n.withColumn("sample_n", (cochran(F.col("stratum_n"), error) if size is None else size).cast("long"))
     ranked = df.withColumn("__o", shuffle_key(seed, F.col(stratum), F.col(key)))
     w = Window.partitionBy(stratum).orderBy("__o", F.col(key).cast("string"))
-    return ranked.withColumn("__r", F.row_number().over(w)).join(F.broadcast(n), stratum).where("__r <= sample_n").drop("__o", "__r")
+    first = ranked.withColumn("__r", F.row_number().over(w))
+    if bound is not None:
+        first = first.where(F.col("__r") <= bound)
+    return first.join(n, stratum).where("__r <= sample_n").drop("__o", "__r")
 
 
 def quota_sample(df: DataFrame, key: str, stratum: str, seed: int, quota: int) -> DataFrame:
-    return stratified_sample(df, key, stratum, seed, F.least(F.lit(quota).cast("long"), F.col("stratum_n")))
+    return stratified_sample(df, key, stratum, seed, F.least(F.lit(quota).cast("long"), F.col("stratum_n")), bound=quota)
+
+
+def plan_sample(df: DataFrame, key: str, stratum: str, seed: int, plan: dict[str, int]) -> DataFrame:
+    """A quota of its own for each stratum; strata outside the plan give nothing."""
+    quota = F.create_map(*[F.lit(x) for kv in plan.items() for x in kv])
+    size = F.least(F.try_element_at(quota, F.col(stratum)).cast("long"), F.col("stratum_n"))
+    return stratified_sample(df.where(F.col(stratum).isin(*plan)), key, stratum, seed, size, bound=max(plan.values()))
 
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -145,3 +160,51 @@ def zero_filled_counts(df: DataFrame, column: str, domain: list[str]) -> DataFra
 
 def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
     return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(v) for v in values])
+
+
+def counts(df: DataFrame, column: str, missing: str | None = None) -> DataFrame:
+    """Rows per value, most common first; ties by value. ``missing`` names the nulls, which are left as null otherwise."""
+    value = F.coalesce(F.col(column), F.lit(missing)) if missing is not None else F.col(column)
+    return df.groupBy(value.alias(column)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+
+
+def coverage(df: DataFrame, by: str, *fields: str) -> DataFrame:
+    """n by group, and for each field how many have it and their percentage."""
+    has = lambda f: F.count_if(F.coalesce(F.trim(F.col(f).cast("string")), F.lit("")) != "")
+    return df.groupBy(by).agg(F.count("*").alias("n"), *[has(f).alias(f) for f in fields], *[F.round(100 * has(f) / F.count("*"), 1).alias(f"{f}_pct") for f in fields])
+
+
+def term_fields(cards: DataFrame, attributes: str, term: str) -> DataFrame:
+    """In which fields of a map a term occurs, and how often."""
+    return cards.select(F.explode(attributes).alias("field", "value")).where(F.contains(F.lower("value"), F.lit(term.lower()))).groupBy("field").agg(F.count("*").alias("n"))
+
+
+def progress(df: DataFrame, **conditions: Column) -> DataFrame:
+    """One row: how many rows were processed and how many meet each condition."""
+    return df.agg(F.count("*").alias("processed"), *[F.count_if(c).alias(name) for name, c in conditions.items()])
+
+
+def reusable(wanted: DataFrame, previous: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Earlier downloads that may stand in for new ones: same key, and the file is there with the recorded size.
+
+    ``previous (key, path, size)``, ``files (path, length)``; a key with several keeps the least path.
+    """
+    found = previous.join(files, "path").where("size = length and size > 0")
+    return wanted.join(found.groupBy(key).agg(F.min(F.struct("path", "size")).alias("f")).select(key, "f.path", "f.size"), key)
+
+
+def capped(df: DataFrame, n: int, hard_cap: int, *order: str) -> DataFrame:
+    """The first ``n`` rows by ``order``; more than the hard cap is refused, not shortened."""
+    if not 0 < n <= hard_cap:
+        raise ValueError(f"limit {n} is not within 1..{hard_cap}")
+    return df.orderBy(*order).limit(n)
+
+
+def numbered(df: DataFrame, key: str, seed: int, name: str = "n") -> DataFrame:
+    """Rows of a bounded report (a review sheet) numbered from 1 in seeded order."""
+    return df.withColumn(name, F.row_number().over(Window.orderBy(shuffle_key(seed, "orden", F.col(key)), F.col(key).cast("string"))))
+
+
+def stamped(df: DataFrame, run_id: str, versions: dict[str, str]) -> DataFrame:
+    """Columns that name the run and the versions behind each row."""
+    return df.withColumns({"run_id": F.lit(run_id), **{f"{k}_version": F.lit(v) for k, v in versions.items()}})

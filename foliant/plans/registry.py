@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import casenum, dates, rules, ruling, stats, textquality
 from foliant.functions.text import first_present, html_clean, quotable
-from foliant.operators import evidence, tables
+from foliant.operators import evidence, extraction, indicators, tables
 from foliant.sources import readers
 from foliant.streaming import incremental
 
@@ -418,3 +418,112 @@ def q30_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         incremental.run_available(spark, sf_dir, schema, f"{base}/checkpoint", incremental.append_new(f"{base}/events", "event_id"), only="events.parquet")
     return spark.read.parquet(f"{base}/events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"))
 
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag").join(o, "l_orderkey")
+
+
+@query("""WITH e AS (SELECT date_trunc('month', o_orderdate::DATE)::DATE AS period, 1 AS f, 0 AS d FROM lineitem JOIN orders ON l_orderkey=o_orderkey UNION ALL SELECT date_trunc('month', l_shipdate::DATE)::DATE, 0, 1 FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
+p AS (SELECT period, sum(f)::BIGINT AS filed, sum(d)::BIGINT AS decided FROM e GROUP BY 1) SELECT period, filed, decided, sum(filed-decided) OVER (ORDER BY period)::BIGINT AS backlog FROM p""")
+def q31_load_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indicators.load(_lines(spark, sf_dir), "o_orderdate", "l_shipdate")
+
+
+def _wilson_sql(k: str, n: str, sign: str) -> str:
+    edge = f"({k}/{n}::DOUBLE + 3.8416/(2.0*{n}) {sign} 1.96*sqrt({k}/{n}::DOUBLE*(1-{k}/{n}::DOUBLE)/{n} + 3.8416/(4.0*{n}*{n})))/(1+3.8416/{n})"
+    return f"greatest(0.0, {edge})" if sign == "-" else f"least(1.0, {edge})"
+
+
+@query(f"""WITH r AS (SELECT o_orderpriority AS kind, count(*) AS reviewed, count(*) FILTER (l_returnflag='A') AS kept FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_returnflag IN ('R','A') GROUP BY 1)
+SELECT kind, reviewed, kept, round(kept/reviewed::DOUBLE,4) AS rate, round({_wilson_sql('kept', 'reviewed', '-')},4) AS low, round({_wilson_sql('kept', 'reviewed', '+')},4) AS high FROM r""")
+def q32_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    effect = F.when(F.col("l_returnflag") == "R", "altera").when(F.col("l_returnflag") == "A", "mantiene")
+    j = t(spark, sf_dir, "lineitem").select("l_orderkey", effect.alias("effect")).where("effect is not null").join(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("kind")), "l_orderkey")
+    return indicators.stability(j, ["kind"], "effect").select("kind", "reviewed", "kept", *[F.round(c, 4).alias(c) for c in ("rate", "low", "high")])
+
+
+@query(f"""WITH p AS (SELECT o_orderpriority AS peer_group, l_suppkey AS unit, count(*) AS n, count(*) FILTER (l_returnflag='R') AS k FROM lineitem JOIN orders ON l_orderkey=o_orderkey GROUP BY 1,2), b AS (SELECT *, sum(k) OVER (PARTITION BY peer_group)/(sum(n) OVER (PARTITION BY peer_group))::DOUBLE AS baseline FROM p),
+s AS (SELECT *, CASE WHEN n>=30 THEN baseline < {_wilson_sql('k', 'n', '-')} OR baseline > {_wilson_sql('k', 'n', '+')} END AS signal FROM b),
+c AS (SELECT o_orderpriority AS peer_group, l_suppkey AS unit, list_sort(list(DISTINCT l_orderkey))[1:20] AS ids FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_returnflag='R' GROUP BY 1,2)
+SELECT peer_group, unit, n, k, round(k/n::DOUBLE,4) AS rate, round(baseline,4) AS baseline, round(k/n::DOUBLE-baseline,4) AS difference, signal, CASE WHEN signal THEN array_to_string(ids, ',') END AS cases FROM s LEFT JOIN c USING (peer_group, unit)""")
+def q33_peer_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = indicators.peers(_lines(spark, sf_dir), "l_suppkey", "o_orderpriority", F.col("l_returnflag") == "R", "l_orderkey")
+    return r.select("peer_group", "unit", "n", "k", *[F.round(c, 4).alias(c) for c in ("rate", "baseline", "difference")], "signal", F.when(F.col("cases").isNotNull(), F.concat_ws(",", "cases")).alias("cases"))
+
+
+def _ranked_sql(stratum: str, size: str) -> str:
+    return f"QUALIFY row_number() OVER (PARTITION BY {stratum} ORDER BY md5('{tables.SEED_STUDY}:' || {stratum} || ':' || id), id::VARCHAR) <= {size}"
+
+
+@query(f"""WITH r AS (SELECT o_orderkey AS id, 'random' AS reason FROM orders UNION ALL SELECT o_orderkey, 'low_value' FROM orders WHERE o_totalprice<20000 UNION ALL SELECT o_orderkey, 'pending' FROM orders WHERE o_orderstatus='P') SELECT id, reason FROM r {_ranked_sql('reason', '50')}""")
+def q34_review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice", "o_orderstatus")
+    return indicators.review_sample(o, "id", tables.SEED_STUDY, 50, {"low_value": F.col("o_totalprice") < 20000, "pending": F.col("o_orderstatus") == "P"}).select("id", "reason")
+
+
+@query(f"SELECT id, stratum FROM (SELECT o_orderkey AS id, o_orderstatus AS stratum FROM orders) {_ranked_sql('stratum', '''CASE stratum WHEN 'F' THEN 40 ELSE 30 END''')}")
+def q35_plan_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("stratum"))
+    return tables.plan_sample(o, "id", "stratum", tables.SEED_STUDY, {"F": 40, "O": 30, "P": 30}).select("id", "stratum")
+
+
+@query("SELECT year(o_orderdate) AS year, count(*) AS n, count(nullif(o_orderpriority,'5-LOW')) AS kind, count(*) FILTER (o_orderstatus<>'P') AS decided, round(100*count(nullif(o_orderpriority,'5-LOW'))/count(*)::DOUBLE,1) AS kind_pct, round(100*(count(*) FILTER (o_orderstatus<>'P'))/count(*)::DOUBLE,1) AS decided_pct FROM orders GROUP BY 1")
+def q36_coverage_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("kind"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("decided"))
+    return tables.coverage(o, "year", "kind", "decided")
+
+
+@query("SELECT field, count(*) AS n FROM (SELECT 'segment' AS field, c_mktsegment AS value FROM customer UNION ALL SELECT 'name', c_name FROM customer) WHERE contains(lower(value),'er') GROUP BY 1")
+def q37_term_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    card = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("name"), F.col("c_name"))
+    return tables.term_fields(t(spark, sf_dir, "customer").select(card.alias("card")), "card", "ER")
+
+
+@query("SELECT doc_id, 'f/' || doc_id AS path, n_chars::BIGINT AS size FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 0 AND n_chars > 0")
+def q38_reusable_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("f/"), F.col("doc_id")).alias("path"), F.col("n_chars").cast("long").alias("size"))
+    files = d.select("path", (F.col("size") + F.col("doc_id") % 2).alias("length"))
+    return tables.reusable(d.select("doc_id"), d.where("doc_id % 3 = 0"), files, "doc_id")
+
+
+@query("""WITH s AS (SELECT o_orderpriority AS a, year(o_orderdate) AS b, count(*) FILTER (o_orderstatus='F') AS n1, count(*) FILTER (o_orderstatus='F' AND o_totalprice>150000) AS k1, count(*) FILTER (o_orderstatus<>'F') AS n0, count(*) FILTER (o_orderstatus<>'F' AND o_totalprice>150000) AS k0 FROM orders GROUP BY 1,2 HAVING n1>0 AND n0>0)
+SELECT count(*) AS strata, sum(n1)::BIGINT AS treated, sum(n0)::BIGINT AS others, round(sum(k1)/sum(n1)::DOUBLE,4) AS treated_rate, round(sum(n1*k0/n0::DOUBLE)/sum(n1)::DOUBLE,4) AS matched_rate FROM s""")
+def q39_matched_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
+    r = indicators.matched_difference(o, ["o_orderpriority", "y"], F.col("o_orderstatus") == "F", F.col("o_totalprice") > 150000)
+    return r.select("strata", "treated", "others", *[F.round(c, 4).alias(c) for c in ("treated_rate", "matched_rate")])
+
+
+@query("SELECT c_custkey AS id, o_orderkey + 1000000000 AS linked, CASE WHEN o_orderkey % 3 = 0 THEN 'case' ELSE 'party' END AS signal FROM orders JOIN customer ON o_custkey=c_custkey")
+def q40_linked_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = lambda c: F.concat(F.lit("k"), F.col(c))
+    left = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), key("c_custkey").alias("case"), key("c_custkey").alias("party"))
+    right = t(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1000000000).alias("linked"), F.when(F.col("o_orderkey") % 3 == 0, key("o_custkey")).alias("case"), key("o_custkey").alias("party"))
+    return indicators.linked(left, right, "id", "linked", [("case", "case", "case"), ("party", "party", "party")])
+
+
+@query("""WITH b AS (SELECT o_orderkey AS id, o_orderkey % 3 AS m, (o_custkey % 9999)::VARCHAR || '-' || year(o_orderdate)::VARCHAR AS c FROM orders)
+SELECT id, 'case' AS field, c AS value, 'deterministic' AS provenance, 0.95::DOUBLE AS confidence, 2 AS page FROM b UNION ALL SELECT id, 'kind', CASE m WHEN 0 THEN 'Amparo' ELSE 'Apelación De Sentencia De Amparo' END, CASE m WHEN 0 THEN 'portal' ELSE 'deterministic' END, CASE m WHEN 0 THEN 1.0 ELSE 0.8 END, CASE m WHEN 0 THEN NULL ELSE 1 END FROM b
+UNION ALL SELECT id, 'court', 'Sala Tercera de lo Civil', 'deterministic', 0.85, 2 FROM b UNION ALL SELECT id, 'outcome', CASE m WHEN 1 THEN 'revocado' ELSE 'confirmado' END, CASE m WHEN 1 THEN 'portal' ELSE 'llm' END, CASE m WHEN 1 THEN 0.97 ELSE 0.9 END, CASE m WHEN 1 THEN NULL ELSE 3 END FROM b
+UNION ALL SELECT id, 'effect', CASE m WHEN 1 THEN 'altera' ELSE 'mantiene' END, 'deterministic', CASE m WHEN 1 THEN 0.97 ELSE 0.9 END, CASE m WHEN 1 THEN NULL ELSE 3 END FROM b WHERE m <> 0""")
+def q41_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("o_orderkey") % 3
+    case = F.concat((F.col("o_custkey") % 9999).cast("string"), F.lit("-"), F.year("o_orderdate").cast("string"))
+    text = F.concat(F.lit("===PAGINA 1===\nAPELACIÓN DE SENTENCIA DE AMPARO\n===PAGINA 2===\nExpediente No. "), case, F.lit(": se examina la sentencia dictada por la Sala  Tercera de lo Civil, constituida en tribunal."))
+    card = F.create_map(F.lit("Materia"), F.when(m == 0, "Amparo").otherwise(" "), F.lit("Fallo"), F.when(m == 1, "Revoca - otorga").otherwise(""))
+    none = "named_struct('value', cast(null as string), 'quote', cast(null as string), 'page', 0, 'confidence', cast(0.9 as double))"
+    answers = F.expr(f"named_struct('filed', {none}, 'court', {none}, 'outcome', named_struct('value', 'se confirma la sentencia', 'quote', 'la sentencia', 'page', 3, 'confidence', cast(0.9 as double)))")
+    d = extraction.with_model(extraction.by_rule(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), text.alias("text"), card.alias("card"), answers.alias("answers"))), "answers")
+    return evidence.facts_long(d, "id", ["case", "kind", "court", "outcome", "effect"]).select("id", "field", "value", "provenance", "confidence", "page")
+
+
+@query("""WITH b AS (SELECT l_orderkey AS id, l_linenumber AS line, l_returnflag, o_orderdate::DATE + (20*l_linenumber)::INT AS filed, l_shipdate::DATE AS decided FROM lineitem JOIN orders ON l_orderkey=o_orderkey)
+SELECT id, line, concat_ws(',', CASE WHEN decided < filed THEN 'resuelto antes de presentado' END, CASE WHEN line = 3 THEN 'numero con otra forma' END) AS failed, round(((decided >= filed)::INT + (line <> 3)::INT + (l_returnflag='R')::INT)/3.0::DOUBLE,4) AS confidence FROM b""")
+def q42_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, filed, decided = F.col("l_linenumber"), F.date_add(F.to_date("o_orderdate"), 20 * F.col("l_linenumber").cast("int")), F.to_date("l_shipdate")
+    case = F.concat(F.col("l_orderkey").cast("string"), F.when(line == 3, "/98").otherwise("-98"))
+    failed = indicators.consistency(filed, decided, case)
+    sure = indicators.data_confidence(decided >= filed, ~F.array_contains(failed, "numero con otra forma"), F.col("l_returnflag") == "R")
+    return _lines(spark, sf_dir).select(F.col("l_orderkey").alias("id"), line.alias("line"), F.concat_ws(",", failed).alias("failed"), F.round(sure, 4).alias("confidence"))
