@@ -232,6 +232,17 @@ def test_op6_removal(spark, odd):
     assert substring.passages(odd.limit(0)).count() == 0
 
 
+def test_op6_parts_in_different_documents(spark):
+    """A long passage whose parts are in different earlier documents is found in the first that has all of it."""
+    rows, want = [], set()
+    for n in range(0, 400, 4):
+        one, two = (" ".join(f"{x}{n}w{i}" for i in range(30)) for x in "ab")
+        rows += [(n, one), (n + 1, two), (n + 2, f"{n} q {one} {two} r"), (n + 3, f"{one} {two} {n} s t")]
+        want.add((n + 3, n + 2, 0, 60, 2, 62))
+    got = substring.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["source_id"], r["start_word"], r["end_word"], r["source_start"], r["source_end"]) for r in got} == want
+
+
 def test_op6_chain_and_alignment():
     pos, src = np.array([0, 10, 20, 30, 12]), np.array([100, 110, 121, 131, 5])
     best = substring.chain(pos, src, 5)[0]
