@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,8 +43,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def discard(df: DataFrame) -> None:
-    """Delete a table that ``cut`` wrote, once nothing reads it any more."""
+    """Delete a table that ``cut`` wrote, once nothing reads it any more, and the shuffle files that only past jobs needed."""
     spark = df.sparkSession
+    gc.collect()
+    spark._jvm.System.gc()
     path = spark._jvm.org.apache.hadoop.fs.Path(df.cut_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -243,6 +243,22 @@ def test_op6_parts_in_different_documents(spark):
     assert {(r["doc_id"], r["source_id"], r["start_word"], r["end_word"], r["source_start"], r["source_end"]) for r in got} == want
 
 
+def test_op6_all_copies(spark):
+    """Every copy of an earlier passage is found, and a run of one phrase or word longer than the first document's."""
+    passage = " ".join(f"p{i}q" for i in range(55))
+    far = " ".join(f"f{i}" for i in range(300))
+    edited = " ".join("x" if i % 45 == 20 else f"e{i}" for i in range(90))
+    rows = [(1, f"a {passage} b"), (2, " ".join(["c"] + [passage] * 13)), (3, f"{passage} {far} {passage}"), (4, "la " * 70), (5, "la " * 500), (6, " ".join(f"e{i}" for i in range(90))), (7, f"{edited} {far[700:]} g {edited}")]
+    covered: dict = {}
+    for r in substring.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        covered.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    assert covered[2] == set(range(1, 716))
+    assert covered[3] == {*range(55), *range(355, 410)}
+    assert covered[5] == set(range(500))
+    n = len(rows[-1][1].split())
+    assert covered[7] >= {*range(90), *range(n - 90, n)}
+
+
 def test_op6_chain_and_alignment():
     pos, src = np.array([0, 10, 20, 30, 12]), np.array([100, 110, 121, 131, 5])
     best = substring.chain(pos, src, 5)[0]
