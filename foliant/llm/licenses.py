@@ -3,8 +3,9 @@
 Each template's winnowed word k-grams are an inverted index (fingerprint to template
 and position). A document's winnowed k-grams look up candidates map-side; both sides
 keep the least of each window, so a run of ``k + window - 1`` equal words can't be
-missed. Around the candidate's commonest diagonal a banded alignment of words
-reports how many of the template's words are matched, and where.
+missed. Around each diagonal of a candidate a banded alignment of words reports how many
+of the template's words are matched, and where; what is matched is taken out and the
+alignment repeated, so copies close to each other are all found.
 
 The templates are a parameter of bounded size (checked); the default ones are the
 usual short notices. Documents aren't shuffled.
@@ -108,20 +109,25 @@ def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, id_col: st
             at[size, wide][int(values[p])].append((n, p))
     # notices shorter than a window's reach are looked up from every k-gram, the others from winnowed ones
     indexes = [(size, wide, index := HashIndex(np.fromiter(of, np.uint64, len(of))), [of[h] for h in index.keys.tolist()]) for (size, wide), of in at.items()]
+    # a hash that no word of the template has
+    taken_word = [next(x for x in np.arange(len(t) + 1, dtype=np.uint64) if x not in t) for t in items]
     least_end = [max(1, int(np.ceil(coverage * len(x) - 1e-9))) for x in items]
 
     def matches(w: Words, i: int, found: dict[int, list[int]]) -> list[tuple]:
         doc = w.of(i)
         got = []
         for n, shifts in found.items():
-            shifts.sort()
-            groups = np.split(shifts, np.flatnonzero(np.diff(shifts) > band) + 1)
-            for g in groups:
-                shift = int(np.median(g))
+            free = None  # the document without what this template has matched, so that the next copy is the best one
+            for shift in sorted(set(shifts)):
                 low = max(0, shift - band)
-                score, a, b, _, m = align(doc[low : low + len(items[n]) + 2 * band + 1], items[n], shift - low, band)
-                if m >= least_end[n]:
+                while True:
+                    part = (doc if free is None else free)[low : low + len(items[n]) + 2 * band + 1]
+                    _, a, b, _, m = align(part, items[n], shift - low, band)
+                    if m < least_end[n] or free is not None and (part[a:b] == taken_word[n]).any():
+                        break
                     got.append((-m, -m / len(items[n]), a + low, b + low, n))
+                    free = doc.copy() if free is None else free
+                    free[a + low : b + low] = taken_word[n]
         got.sort()
         taken: list[tuple] = []
         for x in got:

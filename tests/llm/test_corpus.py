@@ -307,6 +307,16 @@ def test_op8_scan(docs, odd, texts, spark):
     assert licenses.scan(odd.limit(0)).count() == 0
 
 
+def test_op8_copies_close_together(spark):
+    line, bits = "name: Released under the MIT License", "the MIT License "
+    rows = [(1, "\n".join([line] * 100)), (2, bits * 60 + "Released under the MIT License"), (3, "Released under the MIT License " * 40), (4, bits * 60)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["start_word"] for r in got if r["doc_id"] == 1) == list(range(1, 600, 6))
+    assert [(r["start_word"], r["end_word"]) for r in got if r["doc_id"] == 2] == [(180, 185)]
+    assert sorted(r["start_word"] for r in got if r["doc_id"] == 3) == list(range(0, 200, 5))
+    assert {r["doc_id"] for r in got} == {1, 2, 3}
+
+
 def test_op9_media(docs, odd, texts):
     for df, rows in ((docs, list(texts.items())), (odd, ROWS)):
         got = media.media_table(df)
