@@ -1,13 +1,18 @@
-"""Numbers and dates in Spanish words, and the dates that a ruling states, as Column expressions."""
+"""Numbers and dates in Spanish words, and the dates that a ruling states, as Column expressions.
+
+A date in words is found by one scan for whole dates; day, month and year are then read from
+the short matches. Nothing is guessed: a phrase that isn't wholly understood gives null.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from foliant.functions.text import fold
+from foliant.functions.casenum import filing_year
+from foliant.functions.text import after, fold, let, squash, strip_accents
 
-#: Spanish number words.
+# Spanish number words and months.
 UNITS = {
     "uno": 1, "primero": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
     "diez": 10, "once": 11, "doce": 12, "trece": 13, "catorce": 14, "quince": 15, "dieciseis": 16, "diecisiete": 17,
@@ -20,16 +25,26 @@ MONTHS = {"enero": 1, "febrero": 2, "marzo": 3, "abril": 4, "mayo": 5, "junio":
 VALUES = {**UNITS, **TENS, **HUNDREDS}
 
 
-def _alternatives(words: dict[str, int]) -> str:
-    return "|".join(sorted(words, key=lambda w: (-len(w), w)))
+def _any(words) -> str:
+    return "(?:" + "|".join(words) + ")"
 
 
-_UNIT, _TEN, _HUNDRED = _alternatives(UNITS), _alternatives(TENS), _alternatives(HUNDREDS)
-_BELOW_100 = rf"(?:{_TEN})\s*y\s*(?:{_UNIT})|(?:{_UNIT})|(?:{_TEN})"
-_YEAR = rf"(?:dos\s*)?mil(?:\s*(?:{_HUNDRED}))?(?:\s*(?:{_BELOW_100}))?"
-WORD_DATE = rf"(treinta\s*y\s*uno|{_UNIT})\s*(?:de\s*)?({_alternatives(MONTHS)})\s*,?\s*(?:del?\s*)?(?:ano\s*)?({_YEAR})"
-NUMERIC_DATE = r"\b(\d{1,2})[/-](\d{1,2})[/-](\d{4})\b"
-DATELINE = r"(?is)corte\s+de\s+constitucionalidad[^:]{0,200}:\s*guatemala,"
+_NOT_IN_YEARS = {"primero", "veintiuna"}
+_BELOW_100 = _any([rf"{_any(TENS)}\s+y\s+{_any([w for w, n in UNITS.items() if n < 10 and w not in _NOT_IN_YEARS])}", *TENS, *[w for w in UNITS if w not in _NOT_IN_YEARS]])
+# a word ends where the next one begins, so the order of the alternatives doesn't matter
+_YEAR = rf"(?:dos\s+)?mil(?:\s+{_any(HUNDREDS)}\b)?(?:\s+{_BELOW_100}\b)?"
+#: "el" may be glued to the day, and "de" to the month's either side.
+WORD_DATE = rf"(?iU)(?:\b|(?<=\bel))(treinta\s+y\s+uno|{_any(UNITS)})\s+de\s+({_any(MONTHS)})\s*,?\s*(?:del?(?:\s+ano)?\s*)?({_YEAR})\b"
+NUMERIC_DATE = r"(?U)\b(\d{1,2})[/-](\d{1,2})[/-](\d{4})\b"
+# The court's dateline, the filing section and its end, the words of several filings and of filing here.
+DATELINE = r"(?iU)CORTE\s+DE\s+CONSTITUCIONALIDAD[^:]{0,200}?:\s*Guatemala\s*,?\s*"
+SECTION = r"(?iU)\bA\)\s*(?:Interposicion|Solicitud|Presentacion)[^:]{0,60}:"
+SECTION_END = r"(?U)\bB\)"
+SEVERAL = r"(?iU)\b(?:presentad[oa]s|presentaron|interpusieron|planteadas|respectivamente)\b"
+IN_COURT = r"(?iU)\ben\s+esta\s+Corte\b|Corte\s+de\s+Constitucionalidad"
+SECTION_REACH, SECTION_LENGTH = 800, 400
+FIRST_PLAUSIBLE_YEAR, MOST_YEARS_BEFORE = 1986, 5
+STATES = ("revision_humana", "sin_apartado", "varias_acciones", "apartado_sin_fecha", "ok")
 
 
 def _map(words: dict[str, int]) -> Column:
@@ -39,7 +54,7 @@ def _map(words: dict[str, int]) -> Column:
 def number_words(c: Column) -> Column:
     """``mil novecientos noventa y ocho`` to 1998; null for blank text or any unknown word."""
     known = _map(VALUES)
-    words = F.filter(F.split(F.trim(F.regexp_replace(F.lower(fold(c)), r"[-\s]+", " ")), " "), lambda w: ~w.isin("y", ""))
+    words = F.filter(F.split(squash(F.replace(F.lower(strip_accents(c)), F.lit("-"), F.lit(" "))), " "), lambda w: ~w.isin("y", ""))
     zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("now"), F.lit(True).alias("ok"))
 
     def step(acc: Column, w: Column) -> Column:
@@ -51,75 +66,116 @@ def number_words(c: Column) -> Column:
             (acc["ok"] & (thousand | value.isNotNull())).alias("ok"),
         )
 
-    n = F.aggregate(words, zero, step, lambda a: F.when(a["ok"], a["total"] + a["now"]))
-    return F.when(F.size(words) > 0, n)
+    return let(words, lambda w: F.when(F.size(w) > 0, F.aggregate(w, zero, step, lambda a: F.when(a["ok"], a["total"] + a["now"]))))
 
 
-def _spaced(c: Column) -> Column:
-    """Glued number words apart: a space after mil and after each hundred."""
-    return F.regexp_replace(F.regexp_replace(c, r"(mil)(?=[a-z])", "$1 "), rf"(?<![a-z])(?>({_HUNDRED}))(?=[a-z])", "$1 ")
+def _calendar(day: Column, month: Column, year: Column) -> Column:
+    """A date, or null if there is no such day."""
+    return F.when(year.between(1000, 2999), F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd"))
 
 
-def _first_valid(days: Column, months: Column, years: Column) -> Column:
-    texts = F.transform(F.arrays_zip(days.alias("d"), months.alias("m"), years.alias("y")), lambda x: F.try_to_date(F.format_string("%04d-%02d-%02d", x["y"], x["m"], x["d"]), "yyyy-MM-dd"))
-    return F.try_element_at(F.filter(texts, lambda d: d.isNotNull()), F.lit(1))
+def _first(found: Column, to_date) -> Column:
+    """struct(date, at) of the first match that is a date; null without one."""
+    none = F.lit(None).cast("struct<date:date,match:string>")
+    return F.aggregate(found, none, lambda acc, x: F.when(acc.isNotNull(), acc).otherwise(let(to_date(x), lambda d: F.when(d.isNotNull(), F.struct(d.alias("date"), x.alias("match"))))))
 
 
 def word_date(c: Column) -> Column:
-    """The first date in words that exists (day 1-31, year 1000-2999)."""
-    t = F.lower(fold(c))
-    part = lambda i: F.regexp_extract_all(t, F.lit(WORD_DATE), i)
-    month = _map(MONTHS)
-    days = F.transform(part(1), lambda x: number_words(F.regexp_replace(x, r"treinta\s*y\s*uno", "treinta y uno")))
-    return _first_valid(days, F.transform(part(2), lambda x: F.try_element_at(month, x)), F.transform(part(3), lambda x: number_words(_spaced(x))))
+    """struct(date, quote): the first date in words that exists, quoted as it is spelled; null without one.
+
+    Matches that aren't dates (31 February, a year outside 1000-2999) are passed over.
+    """
+    part = lambda x, i: F.regexp_extract(x, WORD_DATE, i)
+    read = lambda x: _calendar(number_words(part(x, 1)), F.try_element_at(_map(MONTHS), F.lower(part(x, 2))), number_words(part(x, 3)))
+
+    def quoted(flat: Column) -> Column:
+        first = _first(F.regexp_extract_all(flat, F.lit(WORD_DATE), 0), read)
+        return let(first, lambda f: F.when(f.isNotNull(), F.struct(f["date"].alias("date"), squash(F.substring(c, F.instr(flat, f["match"]), F.length(f["match"]))).alias("quote"))))
+
+    return let(fold(c), quoted)
 
 
 def numeric_date(c: Column) -> Column:
-    """The first d/m/Y or d-m-Y that exists."""
-    part = lambda i: F.transform(F.regexp_extract_all(c, F.lit(NUMERIC_DATE), i), lambda x: x.cast("int"))
-    return _first_valid(part(1), part(2), part(3))
+    """struct(date, quote): the first d/m/Y or d-m-Y that exists; null without one."""
+    part = lambda x, i: F.regexp_extract(x, NUMERIC_DATE, i).cast("int")
+    found = _first(F.regexp_extract_all(c, F.lit(NUMERIC_DATE), 0), lambda x: F.try_to_date(F.format_string("%04d-%02d-%02d", part(x, 3), part(x, 2), part(x, 1)), "yyyy-MM-dd"))
+    return let(found, lambda f: F.when(f.isNotNull(), F.struct(f["date"].alias("date"), f["match"].alias("quote"))))
 
 
 def any_date(c: Column) -> Column:
+    """In words if there is one, else in digits."""
     return F.coalesce(word_date(c), numeric_date(c))
 
 
 def resolution_date(c: Column) -> Column:
-    """struct(date, anchored): the first word date after the court's dateline, else the first one, not anchored."""
-    at = F.regexp_instr(fold(c), F.lit(DATELINE))
-    after = F.when(at > 0, word_date(F.substring(c, at, F.length(c))))
-    return F.struct(F.coalesce(after, word_date(c)).alias("date"), after.isNotNull().alias("anchored"))
+    """struct(date, quote, anchored): the first word date after the court's dateline; else the text's first date, not anchored; null without any."""
+    shaped = lambda d, anchored: let(d, lambda x: F.when(x.isNotNull(), F.struct(x["date"].alias("date"), x["quote"].alias("quote"), F.lit(anchored).alias("anchored"))))
+    # one character of the dateline stays, so that a glued word doesn't look like the beginning of a word
+    behind = let(after(c, fold(c), DATELINE), lambda rest: F.when(rest.isNotNull(), F.right(c, F.length(rest) + 1)))
+    return F.coalesce(shaped(word_date(behind), True), shaped(any_date(c), False))
 
 
-SECTION = r"(?is)\ba\)\s*(?:interposicion|solicitud|presentacion)[^:]{0,80}:"
-SEVERAL = r"(?:fueron|se)\s+presentad[oa]s|acciones\s+acumuladas|amparos\s+acumulados|respectivamente"
+def filing(c: Column) -> Column:
+    """struct(section, date, quote, several, in_court) of the filing section "A) Interposición ...:"; null if there is none.
 
+    It ends at "B)", or after 400 characters. Of several filings none is chosen. Only dates in
+    words count: the first date elsewhere in a ruling is another fact.
+    """
 
-def filing(c: Column) -> Column:
-    """struct(section, date, several, in_court): the filing section "A) Interposición ...:" up to "B)"; null section if there is none."""
-    flat = fold(c)
-    at = F.regexp_instr(flat, F.lit(SECTION))
-    window = F.substring(c, at, F.lit(800))
-    end = F.regexp_instr(window, F.lit(r"\b[Bb]\)"))
-    section = F.when(at > 0, F.when(end > 1, F.substring(window, F.lit(1), end - 1)).otherwise(F.substring(window, F.lit(1), F.lit(400))))
-    several = F.lower(fold(section)).rlike(SEVERAL)
-    return F.struct(section.alias("section"), F.when(~several, any_date(section)).alias("date"), several.alias("several"), F.lower(fold(section)).rlike(r"corte\s+de\s+constitucionalidad|este\s+tribunal").alias("in_court"))
+    def read(section: Column) -> Column:
+        several = section.rlike(SEVERAL)
+        d = F.when(~several, word_date(section))
+        return let(d, lambda x: F.when(section.isNotNull(), F.struct(section.alias("section"), x["date"].alias("date"), x["quote"].alias("quote"), several.alias("several"), section.rlike(IN_COURT).alias("in_court"))))
+
+    def section_of(text: Column) -> Column:
+        def cut(rest: Column) -> Column:
+            window = F.substring(rest, 1, SECTION_REACH)
+            ended = F.when(window.rlike(SECTION_END), F.regexp_extract(window, rf"(?s)\A(.*?){SECTION_END}", 1))
+            return F.trim(F.coalesce(ended, F.substring(rest, 1, SECTION_LENGTH)))
+
+        return let(after(text, fold(text), SECTION), cut)
 
+    return let(let(squash(c), section_of), read)
 
-def filing_alerts(filed: Column, resolved: Column, case_year: Column) -> Column:
+
+def filing_alerts(filed: Column, resolved: Column, case: Column) -> Column:
     """Ordered list of what is implausible about a filing date; it is flagged, never corrected."""
-    y = F.year(filed)
+    y, of = F.year(filed), filing_year(case)
     rules = [
-        F.when((y < 1986) | (y > 2100), F.lit("anio imposible")),
-        F.when(filed > resolved, F.lit("posterior a la resolucion")),
-        F.when(y > case_year, F.lit("posterior al expediente")),
-        F.when(y < case_year - 5, F.lit("mas de cinco anios antes")),
+        F.when(y < FIRST_PLAUSIBLE_YEAR, F.lit("anio_de_presentacion_imposible")),
+        F.when(filed > resolved, F.lit("presentacion_posterior_a_la_resolucion")),
+        F.when(y > of, F.lit("presentacion_posterior_al_anio_del_expediente")),
+        F.when(of - y > MOST_YEARS_BEFORE, F.lit(f"presentacion_mas_de_{MOST_YEARS_BEFORE}_anios_antes_del_expediente")),
     ]
     return F.array_compact(F.array(*rules))
 
 
-def filing_state(filing_: Column, scanned: Column) -> Column:
-    """revision_humana, sin_apartado, varias_acciones, apartado_sin_fecha or ok."""
+def filing_state(filing_: Column, usable: Column) -> Column:
+    """One of ``STATES``; an unusable text isn't read at all."""
     return (
-        F.when(scanned, "revision_humana").when(filing_["section"].isNull(), "sin_apartado").when(filing_["several"], "varias_acciones").when(filing_["date"].isNull(), "apartado_sin_fecha").otherwise("ok")
+        F.when(~F.coalesce(usable, F.lit(False)), "revision_humana").when(filing_.isNull(), "sin_apartado").when(filing_["several"], "varias_acciones").when(filing_["date"].isNull(), "apartado_sin_fecha").otherwise("ok")
     )
+
+
+def filing_record(text: Column, usable: Column, portal_date: Column, case: Column) -> Column:
+    """All that a text says about its filing: struct(state, filed, quote, alerts, section, in_court, resolved, anchored, note).
+
+    Alerts compare with the date of the ruling: the text's if it is anchored to the dateline, else
+    the portal's. A text's date that differs from the portal's is noted; neither is corrected.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+
+    def read(x: Column) -> Column:
+        f, r = x["f"], x["r"]
+        state = filing_state(f, usable)
+        dated = (state == "ok") | (state == "varias_acciones") | (state == "apartado_sin_fecha")
+        reference = F.coalesce(F.when(r["anchored"], r["date"]), portal_date)
+        known = F.coalesce(usable, F.lit(False))
+        return F.struct(
+            state.alias("state"), F.when(state == "ok", f["date"]).alias("filed"), F.when(state == "ok", f["quote"]).alias("quote"),
+            F.when(state == "ok", filing_alerts(f["date"], reference, case)).alias("alerts"), F.when(dated, F.substring(f["section"], 1, 400)).alias("section"),
+            F.when(dated, f["in_court"]).alias("in_court"), F.when(known, r["date"]).alias("resolved"), F.when(known, r["anchored"]).alias("anchored"),
+            F.when(known & (r["date"] != portal_date), F.lit("la fecha del encabezado difiere de la del portal")).otherwise(none("string")).alias("note"),
+        )
+
+    return let(F.struct(F.when(usable, filing(text)).alias("f"), F.when(usable, resolution_date(text)).alias("r")), read)

@@ -53,3 +53,9 @@ def verdict(low: Column, high: Column, target: float = 0.95) -> Column:
 
 def clamp_confidence(c: Column) -> Column:
     return F.when(c.isNull() | F.isnan(c), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)))
+
+
+def confidence_note(c: Column) -> Column:
+    """What was wrong with a confidence that had to be clamped; null if nothing was."""
+    out_of_range = F.concat(F.lit("confianza fuera de rango ("), c.cast("string"), F.lit("), acotada"))
+    return F.when(F.isnan(c), F.lit("el modelo devolvio una confianza no numerica")).when((c < 0) | (c > 1), out_of_range)

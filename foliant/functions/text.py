@@ -6,15 +6,39 @@ All later patterns are plain ASCII on folded, lower-cased text.
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The letters that are folded one by one.
 FOLD_FROM, FOLD_TO = "áéíóúüñÁÉÍÓÚÜÑ", "aeiouunAEIOUUN"
-#: Precomposed Latin letters of Western Europe and their base letters.
-WIDE_FROM = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-WIDE_TO = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 PAGE_MARK = "===PAGINA n==="
-_SPACES = r"(?U)\s+"
+#: White space as Python's ``str.split`` knows it.
+BLANK = r"[\s\x1C-\x1F]"
+
+
+def _bases() -> tuple[str, str]:
+    """Every precomposed character of one letter and marks, and its letter: canonical decomposition without marks."""
+    pairs = []
+    for code in range(0xC0, 0x2000):
+        c = chr(code)
+        if unicodedata.decomposition(c)[:1] not in ("", "<"):
+            base = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+            if len(base) == 1 and base != c:
+                pairs.append((c, base))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+_COMPOSED, _BASE = _bases()
+#: The common part of that table, which nearly all text can do with.
+_LATIN = sum(c < "\u0180" for c in _COMPOSED)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def fold(c: Column) -> Column:
@@ -22,12 +46,27 @@ def fold(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Base letters; combining marks of decomposed text go."""
-    return F.regexp_replace(F.translate(c, WIDE_FROM, WIDE_TO), r"\p{Mn}", "")
+    """Base letters: canonical decomposition without its marks, for all scripts below U+2000; syllables and ideographs beyond stay whole."""
+    rare = F.translate(c, _COMPOSED, _BASE)
+    latin = F.translate(c, _COMPOSED[:_LATIN], _BASE[:_LATIN])
+    plain_text = F.when(c.rlike(r"[^\x00-\u017F]"), F.regexp_replace(rare, r"\p{Mn}", "")).otherwise(latin)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), plain_text).otherwise(c)
 
 
 def squash(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, _SPACES, " "))
+    """White space of any kind collapsed to single blanks, none at the ends."""
+    return F.trim(F.regexp_replace(c, f"(?U){BLANK}+", " "))
+
+
+def trimmed(c: Column) -> Column:
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(c, rf"(?U)\A{BLANK}+|{BLANK}+\z", "")
+
+
+def after(text: Column, flat: Column, pattern: str) -> Column:
+    """What follows the first match of ``pattern`` in ``flat``, in the spelling of ``text`` (of equal length); null without a match."""
+    rest = F.regexp_extract(flat, rf"(?s)\A.*?(?:{pattern})(.*)\z", 1)
+    return F.when(flat.rlike(pattern), F.right(text, F.length(rest)))
 
 
 def plain(c: Column) -> Column:
@@ -57,7 +96,7 @@ def join_pages(pages: Column) -> Column:
 def split_pages(text: Column) -> Column:
     """Form-feed separated pages; a blank last page goes."""
     pages = F.split(text, "\f")
-    return F.when(F.trim(F.element_at(pages, -1)) == "", F.slice(pages, 1, F.greatest(F.size(pages) - 1, F.lit(0)))).otherwise(pages)
+    return F.when(F.element_at(pages, -1).rlike(rf"(?U)\A{BLANK}*\z"), F.slice(pages, 1, F.greatest(F.size(pages) - 1, F.lit(0)))).otherwise(pages)
 
 
 def page_of(text: Column, position: Column) -> Column:
@@ -79,6 +118,11 @@ def match_offsets(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
 
 
+def tail(text: Column, size: int = 3000) -> Column:
+    """The last ``size`` characters of the collapsed text."""
+    return F.right(squash(text), F.lit(size))
+
+
 def signature_block(text: Column, tail: int = 1500) -> Column:
     """What follows the last "Notifíquese", else the last ``tail`` characters."""
     parts = F.split(text, r"(?iu)notif[ií]quese", -1)

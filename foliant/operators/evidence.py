@@ -1,4 +1,4 @@
-"""Values with provenance: layers, verification of quotes, long form, load model; matching of people and cases."""
+"""Values with provenance: layers, verification of quotes, long form, load model; matching of cases."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.casenum import canonical, variants
-from foliant.functions.text import letters, name_tokens, quotable, signature_block
+from foliant.functions.text import let, letters, quotable, signature_block
 
 LAYERS = ("portal", "deterministic", "llm")
 
@@ -19,15 +19,16 @@ def extracted(value: Column, confidence: Column | float, provenance: str, quote:
     return F.when(value.isNotNull(), F.struct(value.alias("value"), confidence.cast("double").alias("confidence"), F.lit(provenance).alias("provenance"), evidence.alias("evidence"), (note if note is not None else none).alias("note")))
 
 
-def layered(*layers: Column) -> Column:
-    """The first layer that has a value: portal before deterministic before model."""
-    return F.coalesce(*layers)
+def refused(note: Column, provenance: str = "llm") -> Column:
+    """No value, and why there is none: struct like ``extracted``; null without a note."""
+    none = F.lit(None).cast("string")
+    evidence = F.lit(None).cast("struct<page:int,quote:string>")
+    return F.when(note.isNotNull(), F.struct(none.alias("value"), F.lit(0.0).alias("confidence"), F.lit(provenance).alias("provenance"), evidence.alias("evidence"), note.alias("note")))
 
 
-def model_value(value: Column, quote: Column, confidence: Column, least: float = 0.5) -> Column:
-    """A model's value, or null: without a quote or with low confidence it is discarded."""
-    sure = F.coalesce(F.trim(quote), F.lit("")) != ""
-    return F.when(sure & (confidence >= least), extracted(value, confidence, "llm", quote))
+def layered(*layers: Column) -> Column:
+    """The first layer that has a value: portal before deterministic before model; without any, the last that says why."""
+    return F.coalesce(*[F.when(x["value"].isNotNull(), x) for x in layers], *reversed(layers))
 
 
 def verify_quote(fact: Column, document: Column) -> Column:
@@ -39,9 +40,42 @@ def verify_quote(fact: Column, document: Column) -> Column:
     )
 
 
-def annotate(note: Column, status: Column) -> Column:
+#: Quotes of one or two words are tested against every document, so many at a time.
+SHORT_BLOCK = 500
+
+
+def quotes_in(documents: DataFrame, quotes: DataFrame, doc_id: str, quote_id: str, text: str = "text") -> DataFrame:
+    """(doc_id, quote_id) of every quote that occurs in a document, both in the form of ``quotable``.
+
+    All but the first and last word of a quote are whole words of a document that holds it, so the
+    two meet by the longest of these, and the candidates are tested on whole texts. Documents
+    send ids and words that are some quote's key only. Quotes of one or two words have no such
+    word; they are dealt into blocks, and each document is tested against each block. Null
+    and blank quotes occur nowhere.
+    """
+    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    q = quotes.select(F.col(quote_id).alias("__q"), quotable(F.col(text)).alias("__quote")).where("__quote <> ''").withColumn("__w", words(F.col("__quote")))
+    d = documents.select(F.col(doc_id).alias("__d"), quotable(F.col(text)).alias("__text"))
+    inner = F.slice("__w", 2, F.greatest(F.size("__w") - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    keyed = q.withColumn("__word", longest)
+    long = keyed.where("__word is not null").select("__q", "__quote", "__word")
+    at = d.select("__d", F.explode(F.array_distinct(words(F.col("__text")))).alias("__word")).join(long.select("__q", "__word"), "__word")
+    found = at.select("__d", "__q").join(long.select("__q", "__quote"), "__q").join(d, "__d").where(F.contains("__text", "__quote")).select("__d", "__q")
+    short = keyed.where("__word is null").select("__q", "__quote")
+    if n := short.count():
+        blocks = -(-n // SHORT_BLOCK)
+        dealt = short.groupBy(F.pmod(F.xxhash64("__q"), F.lit(blocks)).cast("int").alias("__block")).agg(F.collect_list(F.struct("__q", "__quote")).alias("__quotes"))
+        tried = d.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(dealt, "__block")
+        hits = F.filter("__quotes", lambda x: F.contains(F.col("__text"), x["__quote"]))
+        found = found.unionAll(tried.select("__d", F.explode(hits).alias("h")).select("__d", "h.__q"))
+    return found.distinct().select(F.col("__d").alias(doc_id), F.col("__q").alias(quote_id))
+
+
+def annotate(note: Column, status: Column, detail: Column | None = None) -> Column:
     """The note with a warning where a value isn't verified; the value stays."""
-    return F.nullif(F.concat_ws("; ", note, F.when(status.isin("no_encontrada", "sin_evidencia"), F.concat(F.lit("cita "), status))), F.lit(""))
+    why = F.coalesce(detail, F.lit("sin detalle")) if detail is not None else F.lit("sin detalle")
+    return F.nullif(F.concat_ws("; ", note, F.when(status.isin("no_encontrada", "sin_evidencia"), F.concat(F.lit("EVIDENCIA "), status, F.lit(": "), why))), F.lit(""))
 
 
 def facts_long(df: DataFrame, key: str, facts: list[str]) -> DataFrame:
@@ -64,39 +98,6 @@ def topic_occurs(attributes: Column, term: str, fields: tuple[str, ...] = TOPIC_
     return F.coalesce(F.exists(F.array(*[F.lit(f) for f in fields]), lambda f: F.contains(F.lower(F.coalesce(F.try_element_at(attributes, f), F.lit(""))), F.lit(term.lower()))), F.lit(False))
 
 
-def term_start(year: Column) -> Column:
-    return F.make_date(year, F.when((year - 1986) % 5 == 0, 4).otherwise(1), F.when((year - 1986) % 5 == 0, 14).otherwise(1))
-
-
-def term_end(year: Column) -> Column:
-    return F.make_date(year, F.when((year - 1986) % 5 == 0, 4).otherwise(12), F.when((year - 1986) % 5 == 0, 13).otherwise(31))
-
-
-def in_office(officers: DataFrame, grace_years: int = 1) -> DataFrame:
-    """Officer terms (name, since, until) with their first and last day; a term ends a year late, until the successor takes over."""
-    return officers.withColumn("first_day", term_start(F.col("since"))).withColumn("last_day", term_end(F.col("until") + grace_years))
-
-
-def signers(documents: DataFrame, officers: DataFrame) -> DataFrame:
-    """(id, signers): officers in office on the date whose compact name, or all three loose tokens, occur in the signature block.
-
-    ``documents (id, text, decided)``, ``officers (name, since, until, ord)``. The officers are a
-    register of some hundred rows; beyond ``spark.sql.autoBroadcastJoinThreshold`` Spark
-    joins by year instead of broadcasting.
-    """
-    o = in_office(officers).withColumn("key", letters(F.col("name"))).withColumn("loose", name_tokens(F.col("name")))
-    o = o.withColumn("year", F.explode(F.sequence(F.year("first_day"), F.year("last_day"))))
-    d = documents.withColumn("block", letters(signature_block(F.col("text")))).withColumn("year", F.year("decided"))
-    present = F.contains(F.col("block"), F.col("key")) | ((F.size("loose") >= 3) & F.forall("loose", lambda t: F.contains(F.col("block"), t)))
-    found = d.join(o, (d["year"] == o["year"]) & F.col("decided").between(F.col("first_day"), F.col("last_day")) & present)
-    return found.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("ord", "name"))).alias("s")).select("id", F.transform("s", lambda x: x["name"]).alias("signers"))
-
-
-def merge_people(people: DataFrame) -> DataFrame:
-    """One row per person: compact name, spellings and terms. ``people (name, since, until)``."""
-    return people.withColumn("key", letters(F.col("name"))).groupBy("key").agg(F.array_sort(F.collect_set("name")).alias("names"), F.array_sort(F.collect_set(F.struct("since", "until"))).alias("terms"))
-
-
 def same_case_join(a: DataFrame, b: DataFrame, case_a: str, case_b: str, as_of_year: int) -> DataFrame:
     """Equi-join on the canonical case number: 61-98 and 61-1998 are the same."""
     left = a.withColumn("__case", canonical(F.col(case_a), as_of_year))
@@ -139,46 +140,5 @@ def record_id(source: Column | str, ident: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", source, ident.cast("string")), 256), 1, 16)
 
 
-def fetch_outcome(status: Column, body: Column, content_type: Column, *, wants: str, min_bytes: int = 1, min_words: int = 0, markers: tuple[str, ...] = (), magic: str | None = None, challenges: tuple[str, ...] = ("Just a moment...", "cf-challenge", "Attention Required!", "captcha")) -> Column:
-    """struct(outcome, note) of one response, by ordered rules. No outcome means "does not exist"."""
-    opening = F.substring(body, 1, 4096)
-    size = F.octet_length(F.coalesce(body, F.lit("")))
-    words = F.size(F.filter(F.split(F.regexp_replace(opening, "<[^>]*>", " "), r"\s+"), lambda w: w != ""))
-    rules = [
-        (F.exists(F.array(*[F.lit(x) for x in challenges]), lambda x: F.contains(F.coalesce(opening, F.lit("")), x)), "challenge"),
-        (status.isNull() | ~status.between(200, 299), "http_error"),
-        (size == 0, "empty"),
-        (~F.contains(F.lower(F.coalesce(content_type, F.lit(""))), F.lit(wants)), "wrong_type"),
-        (size < min_bytes, "too_small"),
-        (F.lit(magic is not None) & ~F.startswith(body, F.lit(magic or "")), "wrong_magic"),
-        (words < min_words, "too_few_words"),
-        (F.exists(F.array(*[F.lit(x) for x in markers]).cast("array<string>"), lambda x: ~F.contains(body, x)), "missing_marker"),
-    ]
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for test, name in rules:
-        out = out.when(test, name)
-    return out.otherwise("ok")
-
-
-def parse_route(producer: Column, pages: Column, verdict: Column, ocr_available: bool = False) -> Column:
-    """Route of a document: native text if usable, else OCR or human review; scanner producers go to OCR."""
-    scanner = F.lower(F.coalesce(producer, F.lit(""))).rlike(r"\b(?:sharp|xerox|ricoh|canon|kyocera|scanner|scansnap|hp scan|epson)\b")
-    ocr = "ocr" if ocr_available else "ocr_pendiente"
-    return F.when(F.coalesce(pages, F.lit(0)) == 0, "ilegible").when(scanner, ocr).when(verdict == "usable", "texto_nativo").when(verdict == "sin_capa", ocr).otherwise("revision_humana")
-
-
-_HOST = r"^https?://([^/:?#]+)(?::\d+)?"
-
-
-def canonical_url(c: Column, hosts: list[str], host: str) -> Column:
-    """struct(url, rewritten): known address hosts become the canonical one with https, blanks and other unsafe characters are escaped; idempotent."""
-    known = F.regexp_extract(c, _HOST, 1).isin(*hosts, host)
-    moved = F.when(known, F.regexp_replace(c, _HOST, f"https://{host}")).otherwise(c)
-    safe = moved
-    for x, code in ((" ", "%20"), ('"', "%22"), ("<", "%3C"), (">", "%3E"), ("{", "%7B"), ("}", "%7D"), ("|", "%7C"), ("^", "%5E"), ("`", "%60"), ("\\", "%5C")):
-        safe = F.replace(safe, F.lit(x), F.lit(code))
-    return F.struct(safe.alias("url"), (safe != c).alias("rewritten"))
-
-
 def raw_path(source: Column, year: Column, digest: Column, extension: Column) -> Column:
     return F.concat(F.concat_ws("/", source, F.coalesce(year.cast("string"), F.lit("unknown")), digest), F.lit("."), extension)

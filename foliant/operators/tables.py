@@ -15,11 +15,12 @@ def keep(df: DataFrame, key: str, order: str, which: str = "last") -> DataFrame:
     """One row per key: the first or last by ``order``; ties by a hash of the row, so the choice is deterministic.
 
     An aggregate of whole rows rather than a window: it combines before the shuffle, so a
-    key with very many rows isn't sorted in one task.
+    key with very many rows isn't sorted in one task. Columns may be maps, which have no
+    order: the row is carried along and only its hash is compared.
     """
-    row = F.struct(F.col(order), F.xxhash64(*df.columns).alias("__tie"), F.struct(*df.columns).alias("__row"))
-    best = F.max(row) if which == "last" else F.min(row)
-    return df.groupBy(key).agg(best.alias("__best")).select("__best.__row.*")
+    place = F.struct(F.col(order), F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).alias("__tie"))
+    best = (F.max_by if which == "last" else F.min_by)(F.struct(*df.columns), place)
+    return df.groupBy(F.col(key).alias("__key")).agg(best.alias("__best")).select("__best.*")
 
 
 def latest(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -93,11 +94,24 @@ def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.orderBy(shuffle_key(seed, "orden", F.col(key)), F.col(key).cast("string"))
 
 
-def design(sample: DataFrame, stratum: str, seed: int, error: float) -> DataFrame:
-    """One row: seed, error, confidence, p, strata {stratum: {N, n}} and totals."""
-    per = sample.groupBy(stratum).agg(F.first("stratum_n").alias("N"), F.count("*").alias("n"))
-    entry = F.struct(F.col(stratum).cast("string").alias("k"), F.struct("N", "n").alias("v"))
-    return per.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("strata"), F.sum("N").alias("total_N"), F.sum("n").alias("total_n")).select(F.lit(seed).alias("seed"), F.lit(error).alias("error"), F.lit(0.95).alias("confidence"), F.lit(0.5).alias("p"), "strata", "total_N", "total_n")
+def design(sample: DataFrame, stratum: str, seed: int, error: float, census: DataFrame, key: str, note: str = "") -> DataFrame:
+    """One row that a sample can be repeated from: seed, error, confidence, p, window, sizes of each stratum, and what the census was.
+
+    ``strata`` is {stratum: {universe, sampled}}; ``since`` and ``until`` are the outer strata. ``census_hash``
+    is a sum of row hashes of (key, stratum): the same for the same rows in any order.
+    """
+    per = sample.groupBy(stratum).agg(F.first("stratum_n").alias("universe"), F.count("*").alias("sampled"))
+    entry = F.struct(F.col(stratum).cast("string").alias("k"), F.struct("universe", "sampled").alias("v"))
+    drawn = per.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("strata"), F.min(stratum).alias("since"), F.max(stratum).alias("until"), F.sum("universe").alias("total_n"), F.sum("sampled").alias("sampled"))
+    whole = census.agg(F.count("*").alias("census_rows"), F.sha2(F.sum(F.xxhash64(key, stratum).cast("decimal(38,0)")).cast("string"), 256).alias("census_hash"))
+    fixed = [F.lit(seed).alias("seed"), F.lit(error).alias("error"), F.lit(0.95).alias("confidence"), F.lit(0.5).alias("p"), F.lit(note).alias("note")]
+    return drawn.join(whole, F.lit(True)).select(*fixed, "strata", "since", "until", "total_n", "sampled", "census_rows", "census_hash")  # one row each
+
+
+def state_counts(df: DataFrame, state: str, alerts: str) -> DataFrame:
+    """(field, state, n): rows by state, and how many have alerts."""
+    each = F.array(F.struct(F.lit("state").alias("field"), F.col(state).alias("state"), F.lit(1).alias("n")), F.struct(F.lit("alerts").alias("field"), F.lit("with").alias("state"), (F.size(F.coalesce(F.col(alerts), F.array())) > 0).cast("int").alias("n")))
+    return df.select(F.explode(each).alias("e")).groupBy("e.field", "e.state").agg(F.sum("e.n").alias("n"))
 
 
 def weighted_total(sample: DataFrame, condition: Column) -> DataFrame:
@@ -107,27 +121,47 @@ def weighted_total(sample: DataFrame, condition: Column) -> DataFrame:
 
 
 def census_summary(census: DataFrame, as_of_year: int) -> DataFrame:
-    """One row: distinct documents, distinct cases, documents by year and by type, missing dates, reasons of underivable cases.
+    """One row: distinct documents, distinct cases, documents by year and by type, missing dates, and underivable cases by reason.
 
     ``census (id, cases, kind, decided, ord)``; a repeated id counts once, by its first row. A
-    document counts once per distinct year.
+    document counts once per distinct year. The census is read once: each document gives a few
+    (what, value) rows, which are counted together. The underivable cases themselves are a table
+    of their own, ``underivable_cases``, as they may be many.
     """
-    docs = keep(census, "id", "ord", "first")
-    cases = docs.select("id", F.explode("cases").alias("case")).withColumn("y", year_of(F.col("case"), as_of_year))
-    totals = docs.agg(F.count("*").alias("documents"), F.count_if(F.col("decided").isNull()).alias("missing_date"))
-    by_case = cases.agg(F.countDistinct("case").alias("cases"))
-    as_map = lambda df, k, v: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(k).cast("string"), v)))).alias(v))
-    years = as_map(cases.where("y.year is not null").select("id", F.col("y.year").alias("year")).distinct().groupBy("year").agg(F.count("*").alias("by_year")), "year", "by_year")
-    kinds = as_map(docs.groupBy(F.coalesce("kind", F.lit("(sin tipo)")).alias("kind")).agg(F.count("*").alias("by_kind")), "kind", "by_kind")
-    reasons = as_map(cases.where("y.reason is not null").select("case", F.col("y.reason").alias("reasons")).distinct(), "case", "reasons")
-    return totals.crossJoin(by_case).crossJoin(years).crossJoin(kinds).crossJoin(reasons)  # one row each
-
-
-def by_year(census: DataFrame, as_of_year: int, policy: str) -> DataFrame:
-    """Documents per year under one of the four policies of assigning years."""
-    y = document_years(F.col("cases"), as_of_year, policy)
-    years = census.select("id", F.explode(y).alias("year")) if policy == "each" else census.select("id", y.alias("year"))
-    return years.where("year is not null").groupBy("year").agg(F.countDistinct("id").alias("documents"))
+    entry = lambda what, value, detail=None: F.struct(F.lit(what).alias("what"), value.cast("string").alias("value"), (F.lit(None).cast("string") if detail is None else detail).alias("detail"))
+    docs = keep(census, "id", "ord", "first").withColumn("__y", F.transform("cases", lambda c: F.struct(c.alias("case"), year_of(c, as_of_year).alias("y"))))
+    years = F.array_distinct(F.array_compact(F.transform("__y", lambda x: x["y"]["year"])))
+    each = F.concat(
+        F.array(entry("document", F.when(F.col("decided").isNull(), "undated").otherwise("dated")), entry("kind", F.coalesce("kind", F.lit("(sin tipo)")))),
+        F.transform(years, lambda y: entry("year", y)), F.transform(F.array_distinct(F.coalesce("__y", F.array())), lambda x: entry("case", x["case"], x["y"]["reason"])),
+    )
+    counted = docs.select(F.explode(each).alias("e")).groupBy("e.what", "e.value").agg(F.count("*").alias("n"), F.max("e.detail").alias("detail"))
+    # cases are many: they are counted by reason before anything is gathered
+    small = counted.groupBy("what", F.when(F.col("what") == "case", F.col("detail")).otherwise(F.col("value")).alias("value")).agg(F.sum(F.when(F.col("what") == "case", 1).otherwise(F.col("n"))).alias("n"))
+    as_map = lambda what: F.map_from_entries(F.array_sort(F.collect_list(F.when((F.col("what") == what) & F.col("value").isNotNull(), F.struct("value", "n")))))
+    total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    is_case = F.col("what") == "case"
+    return small.agg(
+        total(F.col("what") == "document").alias("documents"), total((F.col("what") == "document") & (F.col("value") == "undated")).alias("missing_date"), total(is_case).alias("cases"),
+        total(is_case & F.col("value").isNotNull()).alias("underivable"), as_map("year").alias("by_year"), as_map("kind").alias("by_kind"), as_map("case").alias("by_reason"),
+    )
+
+
+def underivable_cases(census: DataFrame, as_of_year: int) -> DataFrame:
+    """(case, reason) of every distinct case number without a year."""
+    cases = keep(census, "id", "ord", "first").select(F.explode("cases").alias("case")).distinct()
+    return cases.select("case", year_of(F.col("case"), as_of_year)["reason"].alias("reason")).where("reason is not null")
+
+
+def by_year(census: DataFrame, as_of_year: int, *policies: str) -> DataFrame:
+    """(policy, year, documents): documents per year under each of the policies of assigning years, from one scan."""
+    entry = lambda policy, year: F.struct(F.lit(policy).alias("policy"), year.alias("year"))
+    each = []
+    for policy in policies:
+        y = document_years(F.col("cases"), as_of_year, policy)
+        each.append(F.transform(y, lambda x: entry("each", x)) if policy == "each" else F.array(entry(policy, y)))
+    years = census.select("id", F.explode(F.concat(*each)).alias("e")).where("e.year is not null").select("id", "e.*")
+    return years.groupBy("policy", "year").agg(F.countDistinct("id").alias("documents"))
 
 
 def rates(df: DataFrame, group: str, effect: str, rule: str, disputed: str, total: bool = False) -> DataFrame:

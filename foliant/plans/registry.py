@@ -8,35 +8,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.functions import casenum, dates, rules, ruling, stats, textquality
-from foliant.functions.text import first_present, html_clean, quotable
+from foliant.functions import ruling, rules, stats, textquality
+from foliant.functions.text import first_present
 from foliant.operators import evidence, extraction, indicators, tables
+from foliant.plans import chain, parsers  # noqa: F401  (they register their queries)
+from foliant.plans.base import AS_OF, ORACLES, QUERIES, query, spread, t
 from foliant.sources import readers
 from foliant.streaming import incremental
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-AS_OF = 2026
-
-
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLES[f.__name__] = oracle
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["ORACLES", "QUERIES"]
 
 
 # order years are 1992-1998; four study periods over them
@@ -109,7 +93,7 @@ _CENSUS_SQL = f"c AS (SELECT o_orderkey AS id, {_CASE_SQL} AS a, o_custkey || '-
 @query(f"WITH {_CENSUS_SQL} SELECT (SELECT count(*) FROM c) AS documents, (SELECT count(DISTINCT c1) FROM e) AS cases, (SELECT count(*) FROM c WHERE decided IS NULL) AS missing_date, (SELECT count(*) FROM (SELECT DISTINCT c1 FROM y WHERE year IS NULL)) AS underivable, (SELECT count(DISTINCT year) FROM y) AS years, (SELECT count(DISTINCT coalesce(kind,'(sin tipo)')) FROM c) AS kinds, (SELECT count(*) FROM (SELECT DISTINCT id, year FROM y WHERE year IS NOT NULL)) AS document_years")
 def q02_census_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = tables.census_summary(_census(spark, sf_dir), AS_OF)
-    return s.select("documents", "cases", "missing_date", F.size("reasons").cast("long").alias("underivable"), F.size("by_year").cast("long").alias("years"), F.size("by_kind").cast("long").alias("kinds"), F.aggregate(F.map_values("by_year"), F.lit(0).cast("long"), lambda a, x: a + x).alias("document_years"))
+    return s.select("documents", "cases", "missing_date", "underivable", F.size("by_year").cast("long").alias("years"), F.size("by_kind").cast("long").alias("kinds"), F.aggregate(F.map_values("by_year"), F.lit(0).cast("long"), lambda a, x: a + x).alias("document_years"))
 
 
 @query(f"""WITH {_CENSUS_SQL} SELECT 'each' AS policy, year, count(DISTINCT id) AS documents FROM y WHERE year IS NOT NULL GROUP BY year
@@ -117,11 +101,7 @@ UNION ALL SELECT 'first', year, count(*) FROM (SELECT id, arg_min(year, i) AS ye
 UNION ALL SELECT 'oldest', year, count(*) FROM (SELECT id, min(year) AS year FROM y WHERE year IS NOT NULL GROUP BY id) GROUP BY year
 UNION ALL SELECT 'first_case', year, count(*) FROM y WHERE i=1 AND year IS NOT NULL GROUP BY year""")
 def q03_year_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = None
-    for policy in ("each", "first", "oldest", "first_case"):
-        part = tables.by_year(_census(spark, sf_dir), AS_OF, policy).select(F.lit(policy).alias("policy"), "year", "documents")
-        out = part if out is None else out.unionAll(part)
-    return out
+    return tables.by_year(_census(spark, sf_dir), AS_OF, "each", "first", "oldest", "first_case")
 
 
 _N0 = "384.1599999999999"
@@ -146,16 +126,15 @@ def q05_quota_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STRIP = "translate({}, '" + "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ" + "', '" + "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY" + "')"
 _in = lambda words: ", ".join(f"'{w}'" for w in words)
-_LOST_SQL = " || ".join(f"CASE WHEN letters>=500 AND letters-length(replace(flat,'{x}','')) < 0.15*{p}/100*letters THEN '{x}' ELSE '' END" for x, p in textquality.LETTERS.items())
-_QUALITY_SQL = f"""a AS (SELECT doc_id, trim(replace(text, chr(12), ' '), ' ') AS t FROM documents), b AS (SELECT doc_id, t, regexp_extract_all(lower(t), '[a-záéíóúüñ]+') AS tokens FROM a),
-c AS (SELECT doc_id, length(t) AS chars, len(tokens) AS n, list_transform(tokens, lambda w: {_STRIP.format('w')}) AS words FROM b),
-d AS (SELECT *, array_to_string(words,'') AS flat, length(array_to_string(words,'')) AS letters, len(list_filter(words, lambda w: w IN ({_in(textquality.FUNCTION_WORDS)})))/n::DOUBLE AS fr, len(list_filter(words, lambda w: (length(w)=1 AND w NOT IN ({_in(textquality.ONE_LETTER)})) OR (length(w)=2 AND w NOT IN ({_in(textquality.TWO_LETTERS)}))))/n::DOUBLE AS gr FROM c),
+_LOST_SQL = " || ".join(f"CASE WHEN letters>=500 AND letters-length(replace(flat,'{x}','')) < 0.15*{p}/100*letters THEN '{x}' ELSE '' END" for x, p in sorted(textquality.LETTERS.items()))
+_QUALITY_SQL = f"""a AS (SELECT doc_id, lower(replace(text, chr(12), ' ')) AS t FROM documents), b AS (SELECT doc_id, length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) AS chars, regexp_extract_all(t, '[a-záéíóúüñ]+') AS words, regexp_replace(strip_accents(t), '[^a-z]+', '', 'g') AS flat FROM a),
+d AS (SELECT *, len(words) AS n, length(flat) AS letters, len(list_filter(words, lambda w: w IN ({_in(textquality.FUNCTION_WORDS)})))/nullif(len(words),0)::DOUBLE AS fr, len(list_filter(words, lambda w: (length(w)=1 AND w NOT IN ({_in(textquality.ONE_LETTER)})) OR (length(w)=2 AND w NOT IN ({_in(textquality.TWO_LETTERS)}))))/nullif(len(words),0)::DOUBLE AS gr FROM b),
 q AS (SELECT doc_id, chars, n AS tokens, chars<200 OR n<30 AS bare, fr, gr, {_LOST_SQL} AS lost FROM d),
-r AS (SELECT doc_id, CASE WHEN bare THEN 'sin_capa' WHEN lost<>'' OR fr<0.18 OR gr>0.12 THEN 'sospechoso' ELSE 'usable' END AS verdict, chars, tokens, CASE WHEN bare THEN 0 ELSE round(fr,4) END AS function_ratio, CASE WHEN bare THEN 0 ELSE round(gr,4) END AS fragment_ratio, CASE WHEN bare THEN '' ELSE lost END AS lost FROM q)"""
+r AS (SELECT doc_id, CASE WHEN bare THEN 'sin_capa_de_texto' WHEN lost<>'' OR fr<0.18 OR gr>0.12 THEN 'sospechoso' ELSE 'usable' END AS verdict, chars, tokens, CASE WHEN bare THEN 0 ELSE round(fr,4) END AS function_ratio, CASE WHEN bare THEN 0 ELSE round(gr,4) END AS fragment_ratio, CASE WHEN bare THEN '' ELSE lost END AS lost FROM q)"""
 
 
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = textquality.assess(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", "q")
+    q = textquality.assess(spread(t(spark, sf_dir, "documents").select("doc_id", "text")), "text", "q")
     return q.select("doc_id", "q.verdict", "q.chars", "q.tokens", F.round("q.function_ratio", 4).alias("function_ratio"), F.round("q.fragment_ratio", 4).alias("fragment_ratio"), F.concat_ws("", "q.lost_letters").alias("lost"))
 
 
@@ -181,15 +160,7 @@ def _quotable_sql(c: str) -> str:
 
 @query(f"SELECT doc_id, item_id, 'verificada' AS status FROM (SELECT doc_id, {_quotable_sql('text')} AS d FROM documents) JOIN (SELECT item_id, {_quotable_sql('text')} AS q FROM benchmark) ON contains(d, q)")
 def q08_quote_in_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # candidates share the quote's rarest-looking word: an equi-join, then the exact test
-    quotes = t(spark, sf_dir, "benchmark").select("item_id", quotable(F.col("text")).alias("q"))
-    inner = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
-    key = F.array_max(F.transform(F.slice(inner(F.col("q")), 2, F.greatest(F.size(inner(F.col("q"))) - 2, F.lit(1))), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    quotes = quotes.withColumn("word", key)
-    d = t(spark, sf_dir, "documents").select("doc_id", quotable(F.col("text")).alias("d"))
-    seen = d.select("doc_id", F.explode(F.array_distinct(inner(F.col("d")))).alias("word"))
-    hits = seen.join(quotes, "word").select("doc_id", "item_id", "q").distinct().join(d, "doc_id")
-    return hits.where(F.contains("d", "q")).select("doc_id", "item_id", F.lit("verificada").alias("status"))
+    return evidence.quotes_in(spread(t(spark, sf_dir, "documents").select("doc_id", "text")), t(spark, sf_dir, "benchmark"), "doc_id", "item_id").withColumn("status", F.lit("verificada"))
 
 
 _PART_RULES = rules.RuleSet((("Metal", r"brass|steel"), ("Precious", r"copper|nickel"), ("Tin", r"tin"), ("Promo", r"\bpromo")), "Other", "Blank")
@@ -201,65 +172,6 @@ def q09_rule_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "part").select(_PART_RULES.classify(F.col("p_type")).alias("c")).groupBy("c.label", "c.fragment").agg(F.count("*").alias("n"))
 
 
-#: Rulings made from templates by order key, with what the reader has to find.
-RULINGS = [
-    ("CONSIDERANDO. POR TANTO: resuelve: I) Confirma la sentencia apelada. II) Notifíquese.", "mantiene", "confirma"),
-    ("POR TANTO, al resolver: I) Revoca la sentencia venida en grado. II) Condena en costas.", "altera", "revoca"),
-    ("POR TANTO resuelve: I) Confirma con la modificación de que la multa es de mil quetzales.", "mantiene", "confirma; la modificacion es accesoria"),
-    ("POR TANTO resuelve: I) Confirma la sentencia con la modificación de que otorga el amparo.", "altera", ruling.DISPUTED),
-    ("POR TANTO: I) Por ausencia temporal del magistrado se integra el tribunal. II) Sin lugar el recurso de apelación.", "mantiene", "sin lugar la apelacion"),
-    ("Esta Corte declara: I) Con lugar la apelación; en consecuencia, deja sin efecto lo actuado.", "altera", "con lugar la apelacion"),
-    ("resuelve: I) Deniega el amparo solicitado por la postulante.", "sin_decision_inferior", "resuelve el amparo"),
-    ("resuelve: I) Sin lugar la solicitud de aclaración.", "aclaracion_ampliacion", "aclaracion o ampliacion"),
-    ("POR TANTO: I) Confirma con modificación la sentencia.", "altera", "modifica"),
-    ("POR TANTO: certifíquese lo conducente.", "ambiguo", None),
-    ("Sin parte dispositiva alguna.", "no_hallado", None),
-]
-_sql = lambda s: "NULL" if s is None else "'" + s.replace("'", "''") + "'"
-_RULING_SQL = " ".join(f"WHEN {i} THEN {{}}" for i in range(len(RULINGS)))
-
-
-@query(f"SELECT o_orderkey, CASE o_orderkey % {len(RULINGS)} {_RULING_SQL.format(*[_sql(r[1]) for r in RULINGS])} END AS effect, CASE o_orderkey % {len(RULINGS)} {_RULING_SQL.format(*[_sql(r[2]) for r in RULINGS])} END AS rule FROM orders")
-def q10_ruling_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.element_at(F.array(*[F.lit(r[0]) for r in RULINGS]), (F.col("o_orderkey") % len(RULINGS)).cast("int") + 1)
-    o = t(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
-    return o.select("o_orderkey", ruling.read_ruling(F.col("text")).alias("r")).select("o_orderkey", "r.effect", "r.rule")
-
-
-def _words(n: int) -> str:
-    if n == 31:
-        return "treinta y uno"
-    return next(w for w, v in dates.UNITS.items() if v == n)
-
-
-def _date_text() -> Column:
-    day = F.element_at(F.array(*[F.lit(_words(d)) for d in range(1, 32)]), F.dayofmonth("o_orderdate"))
-    month = F.element_at(F.array(*[F.lit(m) for m in ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")]), F.month("o_orderdate"))
-    ones = ["", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"]
-    y = F.year("o_orderdate")
-    year = F.when(y >= 2000, F.concat(F.lit("dos mil "), F.element_at(F.array(*[F.lit(x) for x in ones]), y % 10 + 1))).otherwise(F.concat(F.lit("mil novecientos noventa y "), F.element_at(F.array(*[F.lit(x) for x in ones]), y % 10 + 1)))
-    return F.concat(F.lit("Visto el veintisiete de abril de dos mil uno. CORTE DE CONSTITUCIONALIDAD: Guatemala, "), day, F.lit(" de "), month, F.lit(" de "), year, F.lit(". Se tiene a la vista."))
-
-
-@query("SELECT o_orderkey, o_orderdate::DATE AS decided, TRUE AS anchored, DATE '2001-04-27' AS first_date FROM orders")
-def q11_word_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = t(spark, sf_dir, "orders").select("o_orderkey", _date_text().alias("text"))
-    o = o.select("o_orderkey", dates.resolution_date(F.col("text")).alias("r"), dates.word_date(F.col("text")).alias("first_date"))
-    return o.select("o_orderkey", F.col("r.date").alias("decided"), "r.anchored", "first_date")
-
-
-@query("""WITH f AS (SELECT o_orderkey, o_orderdate::DATE AS filed, (o_orderdate + INTERVAL (o_orderkey % 400 - 100) DAY)::DATE AS resolved, year(o_orderdate) + (o_orderkey % 9)::INT - 2 AS case_year, o_orderkey % 5 AS m FROM orders)
-SELECT o_orderkey, CASE m WHEN 0 THEN 'sin_apartado' WHEN 1 THEN 'varias_acciones' WHEN 2 THEN 'apartado_sin_fecha' ELSE 'ok' END AS state, CASE WHEN m>2 THEN filed END AS filed,
-CASE WHEN m>2 THEN concat_ws('; ', CASE WHEN filed>resolved THEN 'posterior a la resolucion' END, CASE WHEN year(filed)>case_year THEN 'posterior al expediente' END, CASE WHEN year(filed)<case_year-5 THEN 'mas de cinco anios antes' END) ELSE '' END AS alerts FROM f""")
-def q12_filing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_format("o_orderdate", "d/M/yyyy")
-    m = F.col("o_orderkey") % 5
-    text = F.when(m == 0, F.lit("ANTECEDENTES. Sin otro dato.")).when(m == 1, F.concat(F.lit("A) Interposición y autoridad: fueron presentados el "), day, F.lit(". B) Acto reclamado: otro."))).when(m == 2, F.lit("A) Solicitud: presentada en su oportunidad. B) Acto: del 1/1/2001.")).otherwise(F.concat(F.lit("A) Interposición y autoridad: presentado el "), day, F.lit(" en este Tribunal. B) Acto reclamado: del 3/4/2001.")))
-    o = t(spark, sf_dir, "orders").select("o_orderkey", dates.filing(text).alias("f"), F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 400 - 100).cast("int")).alias("resolved"), (F.year("o_orderdate") + F.col("o_orderkey") % 9 - 2).alias("case_year"))
-    alerts = F.concat_ws("; ", dates.filing_alerts(F.col("f.date"), F.col("resolved"), F.col("case_year")))
-    return o.select("o_orderkey", dates.filing_state(F.col("f"), F.lit(False)).alias("state"), F.col("f.date").alias("filed"), alerts.alias("alerts"))
-
-
 def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("id"), F.create_map(F.lit("Tema"), F.col("c_mktsegment"), F.lit("Autoridad impugnada"), F.col("c_name"), F.lit("Fallo"), F.when(F.col("c_acctbal") < 0, "").otherwise(F.format_string("%d", F.floor("c_acctbal")))).alias("attributes"))
@@ -291,20 +203,6 @@ def q15_chi2_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("a", "b", "c", "d", F.round(x2, 4).alias("x2"), (x2 > 3.841459).alias("differs"))
 
 
-OFFICERS = [("Ana de la Paz Soto", 1991, 1995, 1), ("Luis Rey Mora", 1996, 1996, 2), ("Eva Sol Luna", 1992, 1998, 3)]
-
-
-@query("""WITH o(name, f, l, ord) AS (VALUES ('Ana de la Paz Soto', DATE '1991-04-14', DATE '1996-04-13', 1), ('Luis Rey Mora', DATE '1996-04-14', DATE '1997-12-31', 2), ('Eva Sol Luna', DATE '1992-01-01', DATE '1999-12-31', 3)),
-d AS (SELECT o_orderkey AS id, o_orderdate::DATE AS decided, o_orderkey % 3 AS m FROM orders)
-SELECT id, string_agg(name, '; ' ORDER BY ord) AS signers FROM d JOIN o ON decided BETWEEN f AND l AND (ord=1 OR (ord=2 AND m<>1) OR (ord=3 AND m=2)) GROUP BY id""")
-def q16_in_office(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = F.col("o_orderkey") % 3
-    text = F.concat(F.lit("Eva Sol Luna firma antes. Notifíquese. ANA  DE LA PAZ SOTO "), F.when(m == 1, "").otherwise("LUIS R EY MORA "), F.when(m == 2, "LUNA EVA MARTA SOL").otherwise("SOL"))
-    docs = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), text.alias("text"), F.to_date("o_orderdate").alias("decided"))
-    officers = spark.createDataFrame(OFFICERS, "name string, since int, until int, ord int")
-    return evidence.signers(docs, officers).select("id", F.concat_ws("; ", "signers").alias("signers"))
-
-
 _STATE_SQL = "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id"
 
 
@@ -323,32 +221,19 @@ def q18_resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.pending(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")), done, "user_id")
 
 
-_HOSTS = ["10.0.0.7", "192.0.2.10", "198.51.100.3"]
-
-
-@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://docs.example.org/a%20b/' || page_id || '.pdf' WHEN 1 THEN 'https://docs.example.org/x/' || page_id || '.pdf' ELSE url END AS url, page_id % 3 <> 2 AS rewritten FROM pages""")
-def q19_url_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, k = F.col("page_id") % 3, F.col("page_id").cast("string")
-    raw = F.when(m == 0, F.concat(F.lit("http://192.0.2.10:8080/a b/"), k, F.lit(".pdf"))).when(m == 1, F.concat(F.lit("http://docs.example.org/x/"), k, F.lit(".pdf"))).otherwise(F.col("url"))
-    once = evidence.canonical_url(raw, _HOSTS, "docs.example.org")
-    return t(spark, sf_dir, "pages").select("page_id", once.alias("u")).select("page_id", evidence.canonical_url(F.col("u.url"), _HOSTS, "docs.example.org")["url"].alias("url"), "u.rewritten")
+_TITLE_SQL = r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1)"
+for _entity, _character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&amp;", "&")):
+    _TITLE_SQL = f"replace({_TITLE_SQL}, '{_entity}', '{_character}')"
 
 
-@query()
+@query(rf"WITH x AS (SELECT page_id, trim(regexp_replace({_TITLE_SQL}, '\s+', ' ', 'g')) AS x FROM pages) SELECT page_id, nullif(x, '') AS title, nullif(x, '') AS label, '' AS blank FROM x")
 def q20_html_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = t(spark, sf_dir, "pages")
-    title = html_clean(readers.html_field(F.col("html"), "title"))
-    card = F.concat(F.lit("<table><tr><th>T&iacute;tulo</th><td>"), F.coalesce(title, F.lit("")), F.lit("</td></tr><tr><td>Vac&iacute;o</td></tr></table>"))
+    title = readers.html_text(readers.html_field(F.col("html"), "title"))
+    card = F.concat(F.lit("<table><tr><th>T&iacute;tulo</th><td>"), F.coalesce(readers.html_field(F.col("html"), "title"), F.lit("")), F.lit("</td></tr><tr><td>Vac&iacute;o</td></tr></table>"))
     return p.select("page_id", title.alias("title"), readers.html_card(card).alias("card")).select("page_id", "title", first_present(F.col("card"), "Fallo", "Título").alias("label"), F.col("card")["Vacío"].alias("blank"))
 
 
-@query("""SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'http_error' WHEN page_id % 10 = 1 THEN 'empty' WHEN page_id % 10 = 2 THEN 'wrong_type' WHEN strlen(html) < 600 THEN 'too_small' WHEN NOT contains(html, '<body') THEN 'missing_marker' ELSE 'ok' END AS outcome FROM pages""")
-def q21_fetch_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = F.col("page_id") % 10
-    outcome = evidence.fetch_outcome(F.when(m == 0, 503).otherwise(200), F.when(m == 1, "").otherwise(F.col("html")), F.when(m == 2, "application/pdf").otherwise("text/html; charset=utf-8"), wants="html", min_bytes=600, markers=("<body",))
-    return t(spark, sf_dir, "pages").select("page_id", outcome.alias("outcome"))
-
-
 @query("SELECT doc_id, sha256(coalesce(text,'')) AS sha256, substr(sha256('src:' || doc_id),1,16) AS record_id, source || '/' || coalesce(lang,'unknown') || '/' || sha256(coalesce(text,'')) || '.txt' AS path FROM documents")
 def q22_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -359,7 +244,8 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents").join(t(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     portal = evidence.extracted(F.col("quality").cast("string"), 1.0, "portal")
     ruled = evidence.extracted(F.when(F.contains("text", F.lit("|")), "0"), 0.8, "deterministic", F.substring("text", 1, 700))
-    said = evidence.model_value(F.lit("1"), F.when(F.col("doc_id") % 4 != 0, F.substring(F.col("text"), 1, 20)), F.when(F.col("doc_id") % 4 == 1, 0.2).otherwise(0.9))
+    answer = F.struct(F.lit("1").alias("value"), F.when(F.col("doc_id") % 4 != 0, F.substring(F.col("text"), 1, 20)).alias("quote"), F.lit(1).alias("page"), F.when(F.col("doc_id") % 4 == 1, 0.2).otherwise(0.9).alias("confidence"))
+    said = extraction.said(answer, least=0.5)
     return d.select("doc_id", "text", evidence.layered(portal, ruled, said).alias("quality"), evidence.extracted(F.col("lang"), 0.95, "deterministic").alias("language"))
 
 
@@ -369,7 +255,7 @@ CASE WHEN quality IS NOT NULL THEN 'portal' WHEN contains(text,'|') THEN 'determ
 
 @query(f"WITH {_FACT_SQL} SELECT doc_id, value, provenance, confidence::DOUBLE AS confidence, 'verificada' AS status FROM f WHERE value IS NOT NULL")
 def q23_layered_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _facts(spark, sf_dir).where("quality is not null")
+    f = _facts(spark, sf_dir).where("quality.value is not null")
     return f.select("doc_id", "quality.value", "quality.provenance", "quality.confidence", evidence.verify_quote(F.col("quality"), F.col("text")).alias("status"))
 
 
@@ -409,7 +295,7 @@ def q28_party_search_denominator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy(F.col("c_mktsegment").alias("universe")).agg(F.count_if(hit).alias("parties"), F.sum(F.when(hit, F.col("k")).otherwise(0)).alias("hits"), F.sum("k").alias("documents"))
 
 
-@query()
+@query("SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS events FROM events GROUP BY event_type")
 def q30_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file stream, in one run to the end and one more that finds nothing new."""
     base = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='foliant-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
@@ -431,13 +317,8 @@ def q31_load_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.load(_lines(spark, sf_dir), "o_orderdate", "l_shipdate")
 
 
-def _wilson_sql(k: str, n: str, sign: str) -> str:
-    edge = f"({k}/{n}::DOUBLE + 3.8416/(2.0*{n}) {sign} 1.96*sqrt({k}/{n}::DOUBLE*(1-{k}/{n}::DOUBLE)/{n} + 3.8416/(4.0*{n}*{n})))/(1+3.8416/{n})"
-    return f"greatest(0.0, {edge})" if sign == "-" else f"least(1.0, {edge})"
-
-
 @query(f"""WITH r AS (SELECT o_orderpriority AS kind, count(*) AS reviewed, count(*) FILTER (l_returnflag='A') AS kept FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_returnflag IN ('R','A') GROUP BY 1)
-SELECT kind, reviewed, kept, round(kept/reviewed::DOUBLE,4) AS rate, round({_wilson_sql('kept', 'reviewed', '-')},4) AS low, round({_wilson_sql('kept', 'reviewed', '+')},4) AS high FROM r""")
+SELECT kind, reviewed, kept, round(kept/reviewed::DOUBLE,4) AS rate, round({_wilson_sql('kept', 'reviewed', 'low')},4) AS low, round({_wilson_sql('kept', 'reviewed', 'high')},4) AS high FROM r""")
 def q32_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     effect = F.when(F.col("l_returnflag") == "R", "altera").when(F.col("l_returnflag") == "A", "mantiene")
     j = t(spark, sf_dir, "lineitem").select("l_orderkey", effect.alias("effect")).where("effect is not null").join(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("kind")), "l_orderkey")
@@ -445,7 +326,7 @@ def q32_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH p AS (SELECT o_orderpriority AS peer_group, l_suppkey AS unit, count(*) AS n, count(*) FILTER (l_returnflag='R') AS k FROM lineitem JOIN orders ON l_orderkey=o_orderkey GROUP BY 1,2), b AS (SELECT *, sum(k) OVER (PARTITION BY peer_group)/(sum(n) OVER (PARTITION BY peer_group))::DOUBLE AS baseline FROM p),
-s AS (SELECT *, CASE WHEN n>=30 THEN baseline < {_wilson_sql('k', 'n', '-')} OR baseline > {_wilson_sql('k', 'n', '+')} END AS signal FROM b),
+s AS (SELECT *, CASE WHEN n>=30 THEN baseline < {_wilson_sql('k', 'n', 'low')} OR baseline > {_wilson_sql('k', 'n', 'high')} END AS signal FROM b),
 c AS (SELECT o_orderpriority AS peer_group, l_suppkey AS unit, list_sort(list(DISTINCT l_orderkey))[1:20] AS ids FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_returnflag='R' GROUP BY 1,2)
 SELECT peer_group, unit, n, k, round(k/n::DOUBLE,4) AS rate, round(baseline,4) AS baseline, round(k/n::DOUBLE-baseline,4) AS difference, signal, CASE WHEN signal THEN array_to_string(ids, ',') END AS cases FROM s LEFT JOIN c USING (peer_group, unit)""")
 def q33_peer_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,11 +362,12 @@ def q37_term_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.term_fields(t(spark, sf_dir, "customer").select(card.alias("card")), "card", "ER")
 
 
-@query("SELECT doc_id, 'f/' || doc_id AS path, n_chars::BIGINT AS size FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 0 AND n_chars > 0")
+@query("SELECT doc_id, 'f/' || doc_id AS path, n_chars::BIGINT AS size FROM documents WHERE n_chars > 0 AND n_chars = strlen(text)")
 def q38_reusable_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("f/"), F.col("doc_id")).alias("path"), F.col("n_chars").cast("long").alias("size"))
-    files = d.select("path", (F.col("size") + F.col("doc_id") % 2).alias("length"))
-    return tables.reusable(d.select("doc_id"), d.where("doc_id % 3 = 0"), files, "doc_id")
+    # every document was downloaded before, with as many bytes as it has characters: those with other letters than ASCII have another size by now
+    files = t(spark, sf_dir, "documents").select(F.concat(F.lit("f/"), F.col("doc_id")).alias("path"), F.octet_length("text").cast("long").alias("length"))
+    return tables.reusable(d.select("doc_id"), d, files, "doc_id")
 
 
 @query("""WITH s AS (SELECT o_orderpriority AS a, year(o_orderdate) AS b, count(*) FILTER (o_orderstatus='F') AS n1, count(*) FILTER (o_orderstatus='F' AND o_totalprice>150000) AS k1, count(*) FILTER (o_orderstatus<>'F') AS n0, count(*) FILTER (o_orderstatus<>'F' AND o_totalprice>150000) AS k0 FROM orders GROUP BY 1,2 HAVING n1>0 AND n0>0)
@@ -507,7 +389,7 @@ def q40_linked_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH b AS (SELECT o_orderkey AS id, o_orderkey % 3 AS m, (o_custkey % 9999)::VARCHAR || '-' || year(o_orderdate)::VARCHAR AS c FROM orders)
 SELECT id, 'case' AS field, c AS value, 'deterministic' AS provenance, 0.95::DOUBLE AS confidence, 2 AS page FROM b UNION ALL SELECT id, 'kind', CASE m WHEN 0 THEN 'Amparo' ELSE 'Apelación De Sentencia De Amparo' END, CASE m WHEN 0 THEN 'portal' ELSE 'deterministic' END, CASE m WHEN 0 THEN 1.0 ELSE 0.8 END, CASE m WHEN 0 THEN NULL ELSE 1 END FROM b
 UNION ALL SELECT id, 'court', 'Sala Tercera de lo Civil', 'deterministic', 0.85, 2 FROM b UNION ALL SELECT id, 'outcome', CASE m WHEN 1 THEN 'revocado' ELSE 'confirmado' END, CASE m WHEN 1 THEN 'portal' ELSE 'llm' END, CASE m WHEN 1 THEN 0.97 ELSE 0.9 END, CASE m WHEN 1 THEN NULL ELSE 3 END FROM b
-UNION ALL SELECT id, 'effect', CASE m WHEN 1 THEN 'altera' ELSE 'mantiene' END, 'deterministic', CASE m WHEN 1 THEN 0.97 ELSE 0.9 END, CASE m WHEN 1 THEN NULL ELSE 3 END FROM b WHERE m <> 0""")
+UNION ALL SELECT id, 'effect', CASE m WHEN 1 THEN 'altera_decision_inferior' ELSE 'mantiene_decision_inferior' END, 'deterministic', CASE m WHEN 1 THEN 0.97 ELSE 0.9 END, CASE m WHEN 1 THEN NULL ELSE 3 END FROM b WHERE m <> 0""")
 def q41_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("o_orderkey") % 3
     case = F.concat((F.col("o_custkey") % 9999).cast("string"), F.lit("-"), F.year("o_orderdate").cast("string"))
@@ -515,7 +397,7 @@ def q41_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     card = F.create_map(F.lit("Materia"), F.when(m == 0, "Amparo").otherwise(" "), F.lit("Fallo"), F.when(m == 1, "Revoca - otorga").otherwise(""))
     none = "named_struct('value', cast(null as string), 'quote', cast(null as string), 'page', 0, 'confidence', cast(0.9 as double))"
     answers = F.expr(f"named_struct('filed', {none}, 'court', {none}, 'outcome', named_struct('value', 'se confirma la sentencia', 'quote', 'la sentencia', 'page', 3, 'confidence', cast(0.9 as double)))")
-    d = extraction.with_model(extraction.by_rule(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), text.alias("text"), card.alias("card"), answers.alias("answers"))), "answers")
+    d = extraction.with_model(extraction.by_rule(spread(t(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("id"), text.alias("text"), card.alias("card"), answers.alias("answers"))), "answers")
     return evidence.facts_long(d, "id", ["case", "kind", "court", "outcome", "effect"]).select("id", "field", "value", "provenance", "confidence", "page")
 
 

@@ -35,7 +35,9 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("emptyValue", "").csv(path)
+    """CSV with a header under a fixed schema; an empty field is an empty string, not a missing one."""
+    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    return df.select(*[F.coalesce(c, F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in df.dtypes])
 
 
 def review_sheet(df: DataFrame, path: str, columns: list[str], blank: list[str]) -> None:
@@ -101,6 +103,12 @@ def html_card(page):
     return page.map(parse_card)
 
 
+@F.pandas_udf(T.StringType())
+def html_text(content):
+    """Entities back to characters, white space collapsed. Spark has no table of entities, hence an Arrow UDF."""
+    return content.map(lambda x: " ".join(html.unescape(x).split()), na_action="ignore")
+
+
 def html_field(page, tag: str):
     """Text of the first element of a kind, native."""
     return F.nullif(F.regexp_extract(page, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1), F.lit(""))

@@ -24,6 +24,8 @@ from urllib.robotparser import RobotFileParser
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from foliant.operators.responses import API, NOT_CHECKED, OK, Expectation, evaluate
+
 RETRIED = frozenset({429, 500, 502, 503, 504})
 THROTTLED = frozenset({429, 503})
 PREFIXES = tuple("123456789")
@@ -169,9 +171,12 @@ class Client:
                 self._robots[host] = Robots(self.agent, None)
         return self._robots[host]
 
-    def ask(self, method: str, url: str, body: dict | None = None) -> Response:
+    def ask(self, method: str, url: str, body: dict | None = None, expect: Expectation | None = None) -> Response:
+        """One response. What the cache holds counts only if it is (still) what is expected; it has made no attempts."""
         if self.cache and (kept := self.cache.get(method, url, body)):
-            return kept
+            kind = kept.headers.get("Content-Type", kept.headers.get("content-type", ""))
+            if expect is None or evaluate(kept.status, kept.body, kind, expect)[0] == OK:
+                return kept
         delay = None
         if self.check_robots:
             rules = self.robots_of(url)
@@ -199,11 +204,43 @@ class Client:
         return r
 
 
-def pages(client: Client, url: str, prefix: str, size: int, rows: str = "documentos", total: str = "recordsFiltered") -> Iterator[dict]:
+# The columns that the two interfaces of such a source declare, in their order, and those that can't be sorted.
+COLUMNS = {
+    "expediente": ("concordancia", "expedientes", "tipoExpediente", "fechaSentencia", "intro", "id", "pdf"),
+    "texto_libre": ("concordancia", "expedientes", "fechaSentencia", "intro", "id", "pdf"),
+}
+UNSORTED = ("expedientes", "id", "pdf")
+
+
+def request_body(search: str, start: int = 0, length: int = 25, draw: int = 1, columns: tuple[str, ...] = COLUMNS["expediente"]) -> dict:
+    """The body that a server-side table sends: its columns, the order, the window and the search."""
+    nothing = {"value": "", "regex": False}
+    described = [{"data": c, "name": "", "searchable": True, "orderable": c not in UNSORTED, "search": nothing} for c in columns]
+    return {"draw": draw, "columns": described, "order": [{"column": 0, "dir": "desc"}], "start": start, "length": length, "search": nothing, "mainSearch": search}
+
+
+def page(client: Client, url: str, search: str, start: int, length: int, columns: tuple[str, ...] = COLUMNS["texto_libre"], rows: str = "documentos", total: str = "recordsFiltered") -> tuple[list[dict], int, tuple[str, str | None], Response | None]:
+    """(rows, how many there are in all, (outcome, note), response) of one page; -1 in all where that wasn't checked.
+
+    ``recordsTotal`` only echoes the length that was asked for.
+    """
+    try:
+        r = client.ask("POST", url, request_body(search, start, length, columns=columns))
+    except OSError as e:
+        return [], -1, (NOT_CHECKED, f"consulta fallida: {type(e).__name__}: {e}"), None
+    verdict = evaluate(r.status, r.body, r.headers.get("Content-Type", r.headers.get("content-type", "")), API)
+    if verdict[0] != OK:
+        return [], -1, verdict, r
+    answer = json.loads(r.body)
+    known = answer.get(total)
+    return list(answer.get(rows) or []), -1 if known is None else int(known), verdict, r
+
+
+def pages(client: Client, url: str, prefix: str, size: int, rows: str = "documentos", total: str = "recordsFiltered", interface: str = "expediente") -> Iterator[dict]:
     """All rows of a prefix. A failed page is an error, never taken for the end."""
     start = 0
     while True:
-        r = client.ask("POST", url, {"search": prefix, "start": start, "length": size})
+        r = client.ask("POST", url, request_body(prefix, start, size, columns=COLUMNS[interface]))
         if not 200 <= r.status < 300:
             raise RunStopped(f"status {r.status} at {prefix}:{start}")
         answer = json.loads(r.body)
@@ -233,12 +270,12 @@ class PagedReader(DataSourceReader):
         # the pace and budget are of the whole run, so each of the readers has its share
         n = len(self.partitions())
         client = Client(getattr(importlib.import_module(module), name), per_second=float(o.get("persecond", 0.5)) / n, budget=max(1, int(o.get("budget", 1000)) // n), robots=o.get("robots", "true") == "true", cache=DiskCache(o["cache"]) if "cache" in o else None)
-        for row in pages(client, o["url"], partition.value, int(o.get("pagesize", 1000))):
+        for row in pages(client, o["url"], partition.value, int(o.get("pagesize", 1000)), interface=o.get("interface", "expediente")):
             yield (partition.value, *[None if (v := row.get(f)) is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for f in self.fields])
 
 
 class PagedSource(DataSource):
-    """Options: url, transport, fields (comma-separated), prefixes, pageSize, perSecond, budget, robots, cache. All fields are strings."""
+    """Options: url, transport, fields (comma-separated), prefixes, pageSize, interface (a key of ``COLUMNS``), perSecond, budget, robots, cache. All fields are strings."""
 
     @classmethod
     def name(cls) -> str:

@@ -26,7 +26,9 @@ def test_by_rule_and_with_model(spark):
     assert (r["decided"]["value"], r["decided"]["confidence"], r["decided"]["note"]) == ("2004-05-05", 0.97, None)
     assert (r["court"]["value"], r["court"]["provenance"], r["court"]["evidence"]["page"]) == ("Sala Primera de Familia", "deterministic", 2)
     assert (r["kind"]["value"], r["outcome"]["value"], r["outcome"]["provenance"]) == ("Apelación De Sentencia De Amparo", "revocado", "llm")
-    assert (r["effect"]["value"], r["filed"]["value"]) == ("altera", "2003-01-01")
+    assert (r["effect"]["value"], r["filed"]["value"]) == ("altera_decision_inferior", "2003-01-01")
+    only_rules = extraction.by_rule(spark.range(1).select(F.lit(DOC).alias("text"), card.alias("card"))).first()
+    assert (only_rules["outcome"]["value"], only_rules["outcome"]["note"]) == (None, "el portal dice 'rara' y no encaja en la taxonomia literal")
 
 
 def test_nulls_give_no_facts(spark):
@@ -37,8 +39,8 @@ def test_nulls_give_no_facts(spark):
 def test_refusals_and_lists(spark):
     a = lambda value, quote, confidence: F.struct(F.lit(value).cast("string").alias("value"), F.lit(quote).cast("string").alias("quote"), F.lit(1).alias("page"), F.lit(confidence).alias("confidence"))
     cases = [a("x", None, 0.9), a("x", "q", 0.1), a("x", "q", 0.9), a(None, None, 0.9)]
-    r = spark.range(1).select(*[extraction.refusal(c, c["value"]) for c in cases], extraction.refusal(cases[2], extraction.as_date(cases[2]["value"]))).first()
-    assert tuple(r) == ("sin cita", "confianza baja", None, None, "no convertible")
+    r = spark.range(1).select(*[extraction.refusal(c, c["value"], 0.5) for c in cases], extraction.refusal(cases[2], extraction.as_date(cases[2]["value"]))).first()
+    assert tuple(r) == ("descartado sin cita", "descartado por baja confianza", None, None, "valor no convertible")
     doc = F.lit("Firman José Pérez y Ana Gil")
     each = lambda *names: extraction.verify_each(F.array(*[F.lit(n) for n in names]).cast("array<string>"), doc)
     r = spark.range(1).select(each("JOSE PEREZ", "Ana Gil").alias("a"), each("Ana Gil", "Luis").alias("b"), each().alias("c")).first()
@@ -72,7 +74,7 @@ ROWS = {"1": [{"id": f"1{i}", "tags": [i]} for i in range(5)], "2": [{"id": "20"
 def answers(method, url, body, headers):
     if url.endswith("robots.txt"):
         return remote.Response(404, b"")
-    rows = ROWS[body["search"]]
+    rows = ROWS[body["mainSearch"]]
     return remote.Response(200, json.dumps({"recordsFiltered": len(rows), "documentos": rows[body["start"] : body["start"] + body["length"]]}).encode())
 
 

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.operators import evidence, tables
+from foliant.operators import evidence, people, responses, tables
 from foliant.plans import registry
 from foliant.sources import readers
 from foliant.streaming import incremental
@@ -24,7 +24,8 @@ def test_query_equals_its_oracle(spark, name):
     assert got
     if name in registry.ORACLES:
         con = duckdb.connect()
-        for table in ("customer", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels"):
+        con.execute("set timezone='UTC'")
+        for table in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels"):
             con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
         cursor = con.execute(registry.ORACLES[name])
         at = [[d[0] for d in cursor.description].index(c) for c in columns]
@@ -56,6 +57,9 @@ def test_census_counts_a_document_once_per_year(spark):
     assert (s["documents"], s["cases"], s["missing_date"]) == (3, 4, 1)
     assert s["by_year"] == {"2015": 2, "2016": 1, "2017": 1}
     assert s["by_kind"] == {"A": 2, "(sin tipo)": 1}
+    assert (s["underivable"], s["by_reason"]) == (0, {})
+    odd = tables.census_summary(c.selectExpr("id", "array('x', 'x', '1-200') as cases", "kind", "decided", "ord"), 2026).first()
+    assert (odd["cases"], odd["underivable"], odd["by_reason"]) == (2, 2, {"sin guion": 1, "longitud del anio": 1})
     empty = tables.census_summary(c.limit(0), 2026).first()
     assert empty["documents"] == 0
 
@@ -68,10 +72,14 @@ def test_weighted_accuracy_and_zero_fill(spark):
     assert {(r["stratum"], r["n"]) for r in tables.zero_filled_counts(right, "stratum", ["a", "z"]).collect()} == {("a", 2), ("z", 0)}
 
 
-def test_terms_of_office(spark):
-    o = evidence.in_office(spark.createDataFrame([("x", 1996, 2000), ("y", 2003, 2010)], "name string, since int, until int")).orderBy("name").collect()
-    assert (o[0]["first_day"], o[0]["last_day"]) == (date(1996, 4, 14), date(2001, 4, 13))
-    assert (o[1]["first_day"], o[1]["last_day"]) == (date(2003, 1, 1), date(2011, 4, 13))
+def test_people_are_merged_in_order(spark):
+    rows = [("Ana de la Paz Soto Mora", 1996, 2000, 1), ("Ana Soto Mora", 2003, 2010, 2), ("Eva Sol Luna", 2001, 2001, 3), ("Eva Sol Lunas", 2002, 2002, 4)]
+    p = people.people(spark.createDataFrame(rows, "name string, since int, until int, ord int"), {"Eva Sol Lunas": ("SOLLUNA",)}).orderBy("ord").collect()
+    assert [(x["name"], x["keys"], x["loose"]) for x in p] == [("Ana de la Paz Soto Mora", ["SOTOMORA"], ["ANA", "SOTO", "MORA"]), ("Eva Sol Luna", ["SOLLUNA", "SOLLUNAS"], ["EVA", "SOL", "LUNA"])]
+    assert [tuple(t) for t in p[0]["terms"]] == [(date(1996, 4, 14), date(2001, 4, 13)), (date(2003, 1, 1), date(2011, 4, 13))]
+    assert people.people(spark.createDataFrame([], "name string, since int, until int, ord int")).count() == 0
+    found = people.in_office(people.people(spark.createDataFrame(rows, "name string, since int, until int, ord int")), F.lit("2003-06-01").cast("date"))
+    assert [r["name"] for r in found.collect()] == ["Ana de la Paz Soto Mora", "Eva Sol Lunas"]
 
 
 def test_quotes_and_annotation(spark):
@@ -79,18 +87,23 @@ def test_quotes_and_annotation(spark):
     doc = F.lit("Uno ===PAGINA 2=== dos - tres Árbol")
     r = spark.range(1).select(*[evidence.verify_quote(x, doc) for x in (q("uno dos-tres arbol"), q("uno tres"), q(None), q(None, "portal"))]).first()
     assert tuple(r) == ("verificada", "no_encontrada", "sin_evidencia", "verificada")
-    assert spark.range(1).select(evidence.annotate(F.lit("n"), F.lit("no_encontrada"))).first()[0] == "n; cita no_encontrada"
-    assert spark.range(1).select(evidence.model_value(F.lit("v"), F.lit(""), F.lit(0.9)).isNull()).first()[0]
-
-
-def test_fetch_and_routes_and_urls(spark):
-    f = lambda status, body, kind="text/html": evidence.fetch_outcome(F.lit(status), F.lit(body), F.lit(kind), wants="html", min_bytes=5)
-    r = spark.range(1).select(f(200, "<p>hello"), f(503, "x"), f(200, ""), f(200, "abcdef", "pdf"), f(200, "ab"), f(200, "Just a moment...")).first()
-    assert tuple(r) == ("ok", "http_error", "empty", "wrong_type", "too_small", "challenge")
-    r = spark.range(1).select(evidence.parse_route(F.lit("iTextSharp"), F.lit(3), F.lit("usable")), evidence.parse_route(F.lit("SHARP MX"), F.lit(3), F.lit("usable")), evidence.id_verdict(F.lit("61-98"), F.lit("61-1998"), F.lit("1"), F.lit("1")), evidence.id_verdict(F.lit(None).cast("string"), F.lit("a"), F.lit("1"), F.lit("1"))).first()
-    assert tuple(r) == ("texto_nativo", "ocr_pendiente", "consistente", "no_comprobado")
-    once = evidence.canonical_url(F.lit("http://10.0.0.7/a b.pdf"), ["10.0.0.7"], "h.org")
-    assert tuple(spark.range(1).select(once.alias("u")).first()["u"]) == ("https://h.org/a%20b.pdf", True)
+    assert spark.range(1).select(evidence.annotate(F.lit("n"), F.lit("no_encontrada"), F.lit("x"))).first()[0] == "n; EVIDENCIA no_encontrada: x"
+
+
+def test_short_quotes_are_found(spark):
+    d = spark.createDataFrame([(1, "alpha beta gamma"), (2, "Alpha betas"), (3, None), (4, "")], "d long, text string")
+    q = spark.createDataFrame([(1, "beta"), (2, "alpha beta"), (3, "alpha beta gamma"), (4, "pha bet"), (5, ""), (6, None), (7, "zz")], "q long, text string")
+    assert sorted((r["d"], r["q"]) for r in evidence.quotes_in(d, q, "d", "q").collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 4)]
+    assert evidence.quotes_in(d, q.limit(0), "d", "q").count() == 0
+
+
+@pytest.mark.parametrize("body", [b"", b"x" * 10, b"Just a moment...", b'{"documentos": [], "recordsTotal": 0}', b"[1]", b'{"documentos": 1}', b"{bad", b"%PDF-" + b"y" * 3000, b"w " * 3000])
+@pytest.mark.parametrize("expect", [responses.API, responses.CARD, responses.PDF, responses.ROBOTS_FILE])
+def test_both_forms_of_a_verdict_agree(spark, body, expect):
+    cases = [(status, kind) for status in (200, 403, 503, None) for kind in (expect.content_type, "x/y")]
+    df = spark.createDataFrame([(s, bytearray(body), k) for s, k in cases], "status int, body binary, kind string")
+    got = [tuple(r["x"]) for r in df.coalesce(1).select(responses.fetch_outcome(F.col("status"), F.col("body"), F.col("kind"), expect).alias("x")).collect()]
+    assert got == [responses.evaluate(s, body, k, expect) for s, k in cases]
 
 
 def test_sources(spark, tmp_path):
