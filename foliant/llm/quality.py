@@ -12,7 +12,7 @@ and is the only thing collected: one row of features per document. All documents
 are scored, map-side, from their whole texts.
 
 Defined cases: null and empty texts have all-zero features and get a score like
-any other; repeated rows are scored each; labels other than 0 and 1 and null ids
+any other; repeated rows are scored each, and learned once; labels other than 0 and 1 and null ids
 are not learned; several labels of an id count as their greatest; without labels of
 both kinds every score is 0.5; an empty table gives an empty result; further
 columns of the input don't matter.
@@ -145,13 +145,14 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS_PER_DOCUMENT, l2: float
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, max_labelled: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, y) of at most ``max_labelled`` learnable documents, chosen by a hash of the id."""
+    """(id, y, text) of at most ``max_labelled`` learnable documents, chosen by a hash of the id; of rows that share an id, the least text."""
     small_batches(docs)
     of = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     of = of.where(~held_out("id", folds, held)).groupBy("id").agg(F.max("y").alias("y"))
     chosen = of.orderBy(F.xxhash64("id"), "id").limit(max_labelled)  # at most max_labelled rows of 12 bytes
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "id")
+    found = texts.join(F.broadcast(chosen), "id")
+    return found.groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text"))  # one row per id, however often it is repeated
 
 
 def scored(docs: DataFrame, score: Callable[[Block], np.ndarray], id_col: str, text_col: str, folds: int, held: int) -> DataFrame:

@@ -74,15 +74,52 @@ def test_op1_histogram(docs, odd, texts):
     assert token_counts.limits(none, [8]).first()["tokens_kept"] == 0
 
 
-def test_op2_grammar():
-    w = toxicity.clause_weight
-    insult, target, no, said = (0, toxicity.INSULT, 2.0), (1, toxicity.TARGET, 0.0), (0, toxicity.NEGATION, 0.0), (2, toxicity.REPORT, 0.0)
-    assert w([insult]) == 2.0
-    assert w([insult, target]) == 3.0
-    assert w([insult, target, said]) == 1.5
-    assert w([no, (1, toxicity.INSULT, 2.0)]) == pytest.approx(0.2)
-    assert w([(0, toxicity.THREAT, 2.0)]) == 0.0
-    assert w([(0, toxicity.THREAT, 2.0), target]) == 3.0
+def naive_path(symbols, i):
+    """Kind of path of the hostile symbol at ``i``, by looking at every word around it."""
+    t = toxicity
+    near = lambda places: any(symbols[j] == t.TARGET for j in places if 0 <= j < len(symbols))
+    ahead = near(range(i + 1, i + 1 + (t.AFTER_INSULT if symbols[i] == t.INSULT else t.AFTER_THREAT)))
+    directed = ahead or (symbols[i] == t.INSULT and near(range(i - t.BEFORE, i)))
+    negated = any(symbols[j] == t.NEGATION for j in range(max(0, i - t.SCOPE), i))
+    return 4 * directed + 2 * negated + (t.REPORT in symbols[:i])
+
+
+def test_op2_bimachine_equals_enumeration():
+    rng = np.random.default_rng(5)
+    clauses = [rng.choice(6, size=n, p=[0.55, 0.1, 0.1, 0.1, 0.1, 0.05]).tolist() for n in rng.integers(1, 40, 300)]
+    flat, bounds = np.array(sum(clauses, [])), np.append(0, np.cumsum([len(c) for c in clauses]))
+    got = toxicity.bimachine(flat, bounds)
+    want = [naive_path(c, i) if c[i] in (toxicity.INSULT, toxicity.THREAT) else -1 for c in clauses for i in range(len(c))]
+    assert got.tolist() == want
+
+
+def test_op2_clauses():
+    g = toxicity.fixed_grammar()
+    texts = ["idiot", "The idiot light came on in the car.", "They shoot photos. Take out the trash.", "You came. Idiot light!", "I will kill you", "You idiot", "Idiots like you", "you are not an idiot", "he said you are an idiot", "you idiot, he said", "you " + "x " * 5 + "idiot", "you " + "x " * 4 + "idiot", "", None]
+    scores = np.concatenate([g.score(b) for b in _arrow.blocks(pa.array(texts))])
+    nothing = scores[-1]
+    assert [bool(x > nothing) for x in scores] == [False, False, False, False, True, True, True, True, True, True, False, True, False, False]
+    at = dict(zip(texts, scores, strict=True))
+    assert at["you are not an idiot"] < at["he said you are an idiot"] < at["You idiot"] == at["you idiot, he said"]
+    assert at["I will kill you"] >= 0.5
+    x = np.concatenate([g.matches(b) for b in _arrow.blocks(pa.array(texts))])
+    assert [x[texts.index(t), :8].nonzero()[0].tolist() for t in ("idiot", "You idiot", "you are not an idiot", "he said you are an idiot")] == [[0], [4], [6], [5]]
+
+
+def test_op2_learns_classes_contexts_and_paths(spark):
+    """Threats by the target behind them, negations by the clean documents, and whether bare insults count."""
+    rows = []
+    for i in range(120):
+        a, b = f"w{i}a", f"w{i}b"
+        rows += [(6 * i, f"{a} zorg you {b}. {b} moron here.", 1), (6 * i + 1, f"{a} calm words {b}", 0), (6 * i + 2, f"{b} hardly moron {a}", 0), (6 * i + 3, f"{b} plain {a}", 0)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    g = toxicity.learn(d, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert g.words[b"zorg"][0] == toxicity.THREAT and g.words[b"zorg"][1] > 3
+    assert g.words[b"hardly"] == (toxicity.NEGATION, 0.0)
+    assert g.words[b"moron"] == (toxicity.INSULT, toxicity.FIXED_WEIGHT)
+    (block,) = _arrow.blocks(pa.array(["a zorg you b", "b zorg b", "hardly zorg you"]))
+    scores = g.score(block)
+    assert scores[0] > 0.5 > scores[2] and scores[1] < scores[0]
 
 
 def test_op2_scores(spark, odd, labels):
