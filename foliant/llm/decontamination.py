@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import NON_WORD, HashIndex, blocks, grams, words
-from foliant.llm.shared import small_batches
+from foliant.llm.shared import cut, small_batches
 
 SEED = 5
 THRESHOLD = 0.5
@@ -118,30 +118,51 @@ def grams_of(hashes: np.ndarray, k: int) -> np.ndarray:
     return got[valid]
 
 
+def _dealt(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[tuple[list[int], list[str]]]:
+    """The benchmark's blocks: ids and texts. A hash deals the items evenly; a block is what a task holds."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = -(-size // block_bytes) or 1
+    for b in range(n_blocks):
+        got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").collect()
+        yield [r["item_id"] for r in got], [r["text"] for r in got]
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and item whose coverage reaches ``threshold``: id, item_id, covered, item_words, coverage, tiles."""
     small_batches(docs)
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = -(-size // block_bytes) or 1
     out = None
-    for b in range(n_blocks):  # a hash deals the items evenly; a block is what a task holds
-        got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").collect()
-        part = _overlaps(source, [r["item_id"] for r in got], [r["text"] for r in got], threshold, seed)
+    for ids, texts in _dealt(docs, benchmark, item_col, item_text_col, block_bytes):
+        found = Tiling(ids, texts, threshold, seed)
+
+        def run(batches: Iterator[pa.RecordBatch], found: Tiling = found) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = [{"id": batch.column(0)[i].as_py(), **row} for i, row in found.rows(batch.column(1))]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, OUT)
+
+        part = source.mapInArrow(run, SCHEMA)
         out = part if out is None else out.unionAll(part)
     return out.select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "covered", "item_words", "coverage", "tiles")
 
 
-def _overlaps(source: DataFrame, ids: list[int], texts: list[str], threshold: float, seed: int) -> DataFrame:
-    index = ItemIndex(texts, seed)
-    need = [max(1, -(-int(round(threshold * len(x) * 1000)) // 1000)) for x in index.items]
+OUT = pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("covered", pa.int64()), ("item_words", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())])))])
+
+
+class Tiling:
+    """Tiles of texts with a bounded set of items."""
 
-    def tiled(doc: np.ndarray, hits: dict[int, dict[int, int]], n: int) -> list[dict] | None:
-        """Tiles of item ``n`` if they cover enough; hits: of each item, seed's start in the document to its length."""
-        item = index.items[n]
+    def __init__(self, ids: list[int], texts: list[str], threshold: float, seed: int):
+        self.ids, self.seed = ids, seed
+        self.index = ItemIndex(texts, seed)
+        self.need = [max(1, -(-int(round(threshold * len(x) * 1000)) // 1000)) for x in self.index.items]
+
+    def tiled(self, doc: np.ndarray, hits: dict[int, int], n: int) -> list[dict] | None:
+        """Tiles of item ``n`` if they cover enough; ``hits``: each seed's start in the document to its length."""
+        item = self.index.items[n]
         near = np.zeros(len(doc), bool)
-        for p, k in hits[n].items():
+        for p, k in hits.items():
             near[p : p + k] = True
         place = np.flatnonzero(near)
         gap = np.append(True, np.diff(place) > 1)  # a gap becomes a word that matches nothing
@@ -152,39 +173,51 @@ def _overlaps(source: DataFrame, ids: list[int], texts: list[str], threshold: fl
                 at.append(-1)
             row.append(h)
             at.append(p)
-        tiles = tile(row, (item >> np.uint64(4)).tolist(), min(seed, len(item)))
-        if sum(t[2] for t in tiles) < need[n]:
+        tiles = tile(row, (item >> np.uint64(4)).tolist(), min(self.seed, len(item)))
+        if sum(t[2] for t in tiles) < self.need[n]:
             return None
         return [{"doc_start": at[i], "item_start": j, "length": m} for i, j, m in sorted(tiles)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for block in blocks(batch.column(1)):
-                w = words(block, NON_WORD)
-                hits: dict[int, dict[int, dict[int, int]]] = defaultdict(lambda: defaultdict(dict))
-                covers: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-                for k, keys, where in index.by_length:
-                    values, valid = grams(w, k)
-                    pos, place = keys.find(values)
-                    pos, place = pos[valid[pos]], place[valid[pos]]
-                    owner = np.searchsorted(w.bounds, pos, "right") - 1
-                    for i, p, m in zip(owner.tolist(), (pos - w.bounds[owner]).tolist(), place.tolist(), strict=True):
-                        for n, q in where[m]:
-                            hits[i][n][p] = k
-                            covers[i][n].update(range(q, q + k))
-                for i, of in hits.items():
-                    for n in of:
-                        if len(covers[i][n]) >= need[n] and (tiles := tiled(w.of(i), of, n)):
-                            covered, size = sum(t["length"] for t in tiles), len(index.items[n])
-                            rows.append({"id": batch.column(0)[block.first + i].as_py(), "item_id": ids[n], "covered": covered, "item_words": size, "coverage": covered / size, "tiles": tiles})
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("covered", pa.int64()), ("item_words", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())])))]))
-
-    return source.mapInArrow(run, SCHEMA)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Drop the documents that cover an item; all columns stay, and so do rows with a null id."""
-    hit = overlaps(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("__hit")).distinct()
-    return docs.join(hit, docs[id_col].cast("long") == hit["__hit"], "left_anti")
+    def rows(self, texts: pa.Array) -> Iterator[tuple[int, dict]]:
+        """(place of the text, what it covers) of every text and item that meet the threshold."""
+        for block in blocks(texts):
+            w = words(block, NON_WORD)
+            hits: dict[int, dict[int, dict[int, int]]] = defaultdict(lambda: defaultdict(dict))
+            covers: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+            for k, keys, where in self.index.by_length:
+                values, valid = grams(w, k)
+                pos, place = keys.find(values)
+                pos, place = pos[valid[pos]], place[valid[pos]]
+                owner = np.searchsorted(w.bounds, pos, "right") - 1
+                for i, p, m in zip(owner.tolist(), (pos - w.bounds[owner]).tolist(), place.tolist(), strict=True):
+                    for n, q in where[m]:
+                        hits[i][n][p] = k
+                        covers[i][n].update(range(q, q + k))
+            for i, of in hits.items():
+                for n in of:
+                    if len(covers[i][n]) >= self.need[n] and (tiles := self.tiled(w.of(i), of[n], n)):
+                        covered, size = sum(t["length"] for t in tiles), len(self.index.items[n])
+                        yield block.first + i, {"item_id": self.ids[n], "covered": covered, "item_words": size, "coverage": covered / size, "tiles": tiles}
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Drop the rows whose text covers an item; all columns stay, and so do rows with a null id.
+
+    The filter runs where the texts are read, so nothing is shuffled. Of several blocks of the
+    benchmark each is a pass over what the one before it kept.
+    """
+    small_batches(docs)
+    kind, place, ident = docs.schema, docs.columns.index(text_col), docs.columns.index(id_col)
+    out, passes = docs, 0
+    for ids, texts in _dealt(docs, benchmark, item_col, item_text_col, block_bytes):
+        found = Tiling(ids, texts, threshold, seed)
+
+        def run(batches: Iterator[pa.RecordBatch], found: Tiling = found) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                gone = np.zeros(batch.num_rows, bool)
+                gone[[i for i, _ in found.rows(batch.column(place).cast(pa.string()))]] = True
+                yield batch.filter(pa.array(~gone | batch.column(ident).is_null().to_numpy(zero_copy_only=False)))
+
+        out = (cut(out) if passes else out).mapInArrow(run, kind)
+        passes += 1
+    return out

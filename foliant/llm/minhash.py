@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import U64, Block, Words, blocks, grams, mix, powers, ragged, signed, words
-from foliant.llm.shared import components, cut, small_batches
+from foliant.llm.shared import components, cut, salted, small_batches
 
 MINIMA, ROWS, BITS = 64, 4, 4
 #: Minima of the finer signature that only documents in doubt get.
@@ -151,7 +151,7 @@ def _least_estimate(percent: int, n_minima: int, bits: int) -> float:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those with 100 * intersection >= percent * union on full sets."""
+    """Of the stored pairs (a, b), those with 100 * intersection >= percent * union on full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +168,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = pairs.join(docs.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    both = left.join(docs.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    # all copies of a group are paired with its least document: its rows are dealt over several parts
+    both = salted(left, "b", "a", docs.select(F.col("id").alias("rep"), F.col("text").alias("tb")), "rep", pairs)
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
@@ -187,12 +188,12 @@ def fine_estimate(a: str, b: str) -> Column:
 
 
 def _prefix_pairs(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components among ``rows (id, c, n)`` that share a shingle of their prefixes and may be similar enough.
+    """Pairs (a, b) of different components among ``rows (id, c)`` that share a shingle of their prefixes and may be similar enough.
 
     A set's prefix is its ``n - ceil(percent * n / 100) + 1`` rarest shingles; two sets that are
     similar enough share one of them. Shingles that only one row has take their places in
     the prefix but can't be shared, and they bound the intersection: it is at most the rest
-    of either set. So near copies that differ by edits of their own drop out here instead of
+    of either set. Every different text of an id is a set of its own. So near copies that differ by edits of their own drop out here instead of
     being paired with all others of their group.
     """
 
@@ -204,11 +205,12 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> Da
                 fine = pack_bits(minima(np.concatenate(sets), at[:-1], FINE), BITS)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(block)), ragged(pa.array(signed(np.concatenate(sets))), at), ragged(pa.array(signed(fine.ravel())), np.arange(len(sets) + 1) * fine.shape[1])], ["id", "h", "fine"])
 
-    of = cut(rows.select("id").join(texts, "id").dropDuplicates(["id"]).where("text <> ''").select("id", "text").mapInArrow(shingles, "id long, h array<long>, fine array<long>"))
-    each = of.select("id", F.explode("h").alias("h"))
+    of = rows.join(texts, "id").where("text <> ''").dropDuplicates(["id", "text"]).select("id", "text").mapInArrow(shingles, "id long, h array<long>, fine array<long>")
+    of = cut(of.withColumn("set", F.monotonically_increasing_id()))
+    each = of.select("set", F.explode("h").alias("h"))
     shared = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = each.join(shared, "h").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("r"))
-    own = ranked.join(rows.drop("sig"), "id").join(of.select("id", "fine"), "id")
+    ranked = each.join(shared, "h").groupBy("set").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("r"))
+    own = ranked.join(of.select("set", "id", "fine", F.size("h").alias("n")), "set").join(rows, "id")
     room = F.size("r") - F.ceil(F.col("n") * percent / 100) + 1
     prefix = cut(own.where(room > 0).select("id", "c", "n", "fine", F.size("r").alias("many"), F.explode(F.slice("r", 1, room.cast("int"))).alias("r")).select("id", "c", "n", "fine", "many", F.col("r.h").alias("h")))
     mixed = prefix.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
@@ -255,7 +257,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = cut(placed.join(open_, "key").join(sig, "id"))
     s, t = rest.alias("s"), rest.alias("t")
     other = (F.col("s.key") == F.col("t.key")) & (F.col("s.c") != F.col("t.c")) & likely("s", "t")
-    doubtful = cut(s.join(t, other, "left_semi").select("id", "c", "n").dropDuplicates(["id"]))
+    doubtful = cut(s.join(t, other, "left_semi").select("id", "c").distinct())
     more = _prefix_pairs(doubtful, texts, k, percent).join(checked, ["a", "b"], "left_anti")
     found = cut(_confirmed(cut(more), texts, k, percent))
     links = links.unionAll(found)
@@ -272,5 +274,5 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows whose id is null are kept as they are; of rows that repeat an id, all stay.
     """
-    away = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("__away"))
-    return docs.join(away, docs[id_col].cast("long") == away["__away"], "left_anti")
+    away = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("__gone"))
+    return docs.join(away, docs[id_col].cast("long") == away["__gone"], "left_anti")

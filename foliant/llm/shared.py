@@ -5,18 +5,24 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: str | None = None
+#: Paths of tables that ``cut`` wrote and nothing has deleted.
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a new local one where unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a new local one where unset and all is one machine (tests)."""
     global _own
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         base = _own = _own or "file://" + tempfile.mkdtemp(prefix="foliant-")
     return base.rstrip("/")
 
@@ -39,16 +45,54 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_path = path
+    _made.append(path)
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, in the end, all tables that ``cut`` wrote meanwhile: for a step whose result has been written elsewhere by then."""
+    known = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > known:
+            delete(spark, _made.pop())
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that ``cut`` wrote, once nothing reads it any more, and the shuffle files that only past jobs needed."""
     spark = df.sparkSession
     gc.collect()
     spark._jvm.System.gc()
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.cut_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, df.cut_path)
+    if df.cut_path in _made:
+        _made.remove(df.cut_path)
+
+
+#: A key that more rows than this share is dealt over several parts before a join.
+HOT_ROWS = 2000
+
+
+def salted(rows: DataFrame, key: str, by: str, other: DataFrame, other_key: str, keys: DataFrame) -> DataFrame:
+    """``rows`` joined with ``other (other_key, ...)``, where a few keys may have most of the rows.
+
+    Keys with more than ``HOT_ROWS`` rows are dealt over as many parts as keep each about that
+    size, by a hash of column ``by`` (so that a task that is repeated deals alike), and the other
+    side's rows of these keys are repeated once per part. ``keys`` is a stored table with
+    ``key``, a row for each of ``rows`` or more: the hot ones are counted there, and are one in
+    ``HOT_ROWS`` of its rows at most.
+    """
+    hot = keys.groupBy(F.col(key).alias("__hot")).agg(F.ceil(F.count("*") / HOT_ROWS).cast("int").alias("__parts")).where("__parts > 1")
+    parts = F.coalesce("__parts", F.lit(1))
+    dealt = rows.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("__hot", "__parts")
+    again = other.join(hot, F.col(other_key) == F.col("__hot"), "left").withColumn("__p", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__hot", "__parts")
+    return dealt.join(again, (F.col(key) == F.col(other_key)) & (F.col("__part") == F.col("__p"))).drop("__part", "__p")
 
 
 def learns(column: str, folds: int, held: int) -> Column:
@@ -80,7 +124,9 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         large = large.unionAll(now.where("a = b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
-        now = cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        before, now = now, cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        delete(now.sparkSession, before.cut_path)
+        _made.remove(before.cut_path)
         if (mark_now := mark(now)) == was:
             break
         was = mark_now
