@@ -39,10 +39,22 @@ def small_batches(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+#: Spark's own setting to delete the shuffle files of a query as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write to a new table in the shared folder and read it back: losing an executor then loses no work."""
-    path = f"{shared_dir(df.sparkSession)}/foliant-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    """Write to a new table in the shared folder and read it back: losing an executor then loses no work.
+
+    The shuffle files behind the table go with the end of its job: nothing reads them again.
+    """
+    conf = df.sparkSession.conf
+    path, before = f"{shared_dir(df.sparkSession)}/foliant-{uuid.uuid4().hex}", conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_path = path
     _made.append(path)
