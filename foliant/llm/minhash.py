@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import U64, Block, Words, blocks, grams, mix, powers, ragged, signed, words
-from foliant.llm.shared import components, cut, salted, small_batches
+from foliant.llm.shared import components, cut, hot_keys, salted, small_batches
 
 MINIMA, ROWS, BITS = 64, 4, 4
 #: Minima of the finer signature that only documents in doubt get.
@@ -169,7 +169,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
 
     left = pairs.join(docs.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     # all copies of a group are paired with its least document: its rows are dealt over several parts
-    both = salted(left, "b", "a", docs.select(F.col("id").alias("rep"), F.col("text").alias("tb")), "rep", pairs)
+    both = salted(left, "b", "a", docs.select(F.col("id").alias("rep"), F.col("text").alias("tb")), "rep", hot_keys(pairs.groupBy("b").agg(F.count("*").alias("n")), "b", "n"))
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 

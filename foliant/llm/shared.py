@@ -91,16 +91,18 @@ def discard(df: DataFrame) -> None:
 HOT_ROWS = 2000
 
 
-def salted(rows: DataFrame, key: str, by: str, other: DataFrame, other_key: str, keys: DataFrame) -> DataFrame:
+def hot_keys(counted: DataFrame, key: str, n: str) -> DataFrame:
+    """(__hot, __parts) of the keys with more than ``HOT_ROWS`` rows, from a table of counts: one in ``HOT_ROWS`` rows at most."""
+    return counted.where(F.col(n) > HOT_ROWS).select(F.col(key).alias("__hot"), F.ceil(F.col(n) / HOT_ROWS).cast("int").alias("__parts"))
+
+
+def salted(rows: DataFrame, key: str, by: str, other: DataFrame, other_key: str, hot: DataFrame) -> DataFrame:
     """``rows`` joined with ``other (other_key, ...)``, where a few keys may have most of the rows.
 
-    Keys with more than ``HOT_ROWS`` rows are dealt over as many parts as keep each about that
-    size, by a hash of column ``by`` (so that a task that is repeated deals alike), and the other
-    side's rows of these keys are repeated once per part. ``keys`` is a stored table with
-    ``key``, a row for each of ``rows`` or more: the hot ones are counted there, and are one in
-    ``HOT_ROWS`` of its rows at most.
+    The ``hot_keys`` are dealt over as many parts as keep each about ``HOT_ROWS`` rows, by a hash
+    of column ``by`` (so that a task that is repeated deals alike), and the other side's rows of
+    these keys are repeated once per part.
     """
-    hot = keys.groupBy(F.col(key).alias("__hot")).agg(F.ceil(F.count("*") / HOT_ROWS).cast("int").alias("__parts")).where("__parts > 1")
     parts = F.coalesce("__parts", F.lit(1))
     dealt = rows.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("__hot", "__parts")
     again = other.join(hot, F.col(other_key) == F.col("__hot"), "left").withColumn("__p", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__hot", "__parts")
