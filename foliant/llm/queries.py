@@ -12,7 +12,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table; one of fewer splits than cores is dealt over all of them, as the work on a text costs far more than a shuffle."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if table == "documents" and df.rdd.getNumPartitions() < cores else df
 
 
 def op1_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

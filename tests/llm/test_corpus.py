@@ -222,6 +222,64 @@ def test_op5_equals_brute_force(spark, docs, texts, percent):
     assert got == want
 
 
+def naive_tiles(doc, item, least):
+    """Greedy string tiling by comparing every pair of places again for every tile."""
+    free_d, free_i, out = [True] * len(doc), [True] * len(item), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(doc)):
+            for j in range(len(item)):
+                n = 0
+                while i + n < len(doc) and j + n < len(item) and free_d[i + n] and free_i[j + n] and doc[i + n] == item[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < least:
+            return out
+        out.append((i, j, n))
+        free_d[i : i + n] = [False] * n
+        free_i[j : j + n] = [False] * n
+
+
+def test_op4_tiles_equal_a_naive_search():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        item = rng.integers(0, 6, 60).tolist() if rng.random() < 0.5 else rng.permutation(60).tolist()
+        cuts = sorted(rng.integers(0, 60, 4).tolist())
+        parts = [item[a:b] for a, b in zip([0, *cuts], [*cuts, 60], strict=True)]
+        doc = sum((parts[k] + rng.integers(100, 200, 2).tolist() for k in rng.permutation(5)), [])
+        got, want = decontamination.tile(doc, item, 5), naive_tiles(doc, item, 5)
+        assert sum(t[2] for t in got) == sum(t[2] for t in want)
+        assert max([t[2] for t in got], default=0) == max([t[2] for t in want], default=0)
+        assert all(doc[i : i + n] == item[j : j + n] for i, j, n in got)
+        for side in (0, 1):
+            spans = sorted((t[side], t[side] + t[2]) for t in got)
+            assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_op4_queries_equal_a_naive_search(spark):
+    """Which documents cover which items, for every pair of a small fixture with reordered, edited and partial passages."""
+    rng = np.random.default_rng(4)
+    items = [[f"i{n}w{k}" for k in range(24)] for n in range(6)]
+    docs = []
+    for i in range(80):
+        body = [f"d{i}x{k}" for k in range(30)]
+        for n in rng.choice(6, 2, replace=False):
+            part = items[n][int(rng.integers(0, 12)) :][: int(rng.integers(4, 24))]
+            half = len(part) // 2
+            part = part[half:] + ["z"] + part[:half] if rng.random() < 0.5 else part
+            at = int(rng.integers(0, len(body)))
+            body = body[:at] + part + body[at:]
+        docs.append((i, body))
+    want = {(i, n) for i, d in docs for n, it in enumerate(items) if sum(t[2] for t in naive_tiles(d, it, 5)) >= 12}
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in docs], "doc_id long, text string")
+    b = spark.createDataFrame([(n, " ".join(it)) for n, it in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.overlaps(df, b).collect()}
+    assert got == want and 0 < len(want) < 160
+    for size in (1 << 20, 200):  # one block of the benchmark, and many
+        assert {r["doc_id"] for r in decontamination.decontaminate(df, b, block_bytes=size).collect()} == {i for i, _ in docs} - {i for i, _ in want}
+
+
 def test_op5_odd(odd):
     r = {x["doc_id"]: x for x in minhash.near_duplicates(odd, percent=85).collect()}
     assert sorted(r) == list(range(1, 11))
@@ -354,6 +412,45 @@ def test_op8_copies_close_together(spark):
     assert {r["doc_id"] for r in got} == {1, 2, 3}
 
 
+def best_match(doc, item):
+    """Most words in common of the item and any part of the document, by a full table (longest common subsequence of a part)."""
+    best = 0
+    for a in range(len(doc)):
+        part = doc[a : a + len(item) + 4]
+        row = [0] * (len(part) + 1)
+        for x in item:
+            new = [0]
+            for j, y in enumerate(part):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        best = max(best, row[-1])
+    return best
+
+
+def test_op8_equals_unbanded_alignment(spark):
+    """Edited copies of a notice: found exactly where an alignment without bands and seeds matches enough of it."""
+    rng = np.random.default_rng(6)
+    notice = licenses.TEMPLATES["CC-BY-4.0-text"]
+    item = re.findall(r"[0-9a-z]+", notice.lower())
+    rows = []
+    for i in range(60):
+        w = list(item)
+        for _ in range(int(rng.integers(0, 6))):
+            p = int(rng.integers(0, len(w)))
+            w[p : p + 1] = [] if rng.random() < 0.3 else [f"e{i}"] if rng.random() < 0.6 else [w[p], "more"]
+        rows.append((i, " ".join([f"a{k}" for k in range(5)] + w + [f"b{k}" for k in range(5)])))
+    got = {r["doc_id"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"n": notice}).collect()}
+    need = math.ceil(licenses.COVERAGE * len(item))
+    want = {i for i, t in rows if best_match(t.split(), item) >= need}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) < 60
+
+
+def test_op8_whole_licenses(spark):
+    rows = [(1, "Copyright (c) 2020 x\n\n" + licenses.TEMPLATES["MIT-whole"]), (2, licenses.TEMPLATES["BSD-3-Clause-whole"]), (3, licenses.TEMPLATES["BSD-2-Clause-whole"]), (4, licenses.TEMPLATES["ISC-whole"])]
+    got = {(r["doc_id"], r["template"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, "MIT-whole"), (2, "BSD-3-Clause-whole"), (3, "BSD-2-Clause-whole"), (4, "ISC-whole")}
+
+
 def test_op9_media(docs, odd, texts):
     for df, rows in ((docs, list(texts.items())), (odd, ROWS)):
         got = media.media_table(df)
