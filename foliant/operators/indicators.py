@@ -92,16 +92,31 @@ def matched_difference(df: DataFrame, strata: list[str], treated: Column, hit: C
     return per.agg(F.count("*").alias("strata"), F.sum("n1").alias("treated"), F.sum("n0").alias("others"), (F.sum("k1") / F.sum(w)).alias("treated_rate"), (F.sum(w * F.col("k0") / F.col("n0")) / F.sum(w)).alias("matched_rate"))
 
 
-def linked(left: DataFrame, right: DataFrame, id_left: str, id_right: str, signals: list[tuple[str, str, str]]) -> DataFrame:
-    """(id_left, id_right, signal): equi-joins by signals (name, left column, right column) in order of priority; a pair keeps its first.
+#: Pairs that one key may give; the rows of a key with more are named once each, as members of its group.
+MOST_PAIRS = 10_000
 
-    Blank and null values link nothing.
+
+def linked(left: DataFrame, right: DataFrame, id_left: str, id_right: str, signals: list[tuple[str, str, str]], most_pairs: int = MOST_PAIRS) -> DataFrame:
+    """(id_left, id_right, signal, group_key): equi-joins by signals (name, left column, right column) in order of priority; a pair keeps its first.
+
+    Blank and null values link nothing. A key that would give more than ``most_pairs`` pairs (a
+    party with a million cases) isn't expanded: each of its rows is named once, with the key as
+    ``group_key`` and the other side null; every left member is linked with every right one. Plain
+    pairs have no ``group_key``.
     """
-    out = None
+    pairs, groups = None, None
     for rank, (name, a, b) in enumerate(signals):
         # equal rows on either side are one before the join
-        l = left.select(F.col(id_left).alias("a"), F.col(a).alias("__k")).where("__k is not null and __k <> ''").distinct()
-        r = right.select(F.col(id_right).alias("b"), F.col(b).alias("__k")).where("__k is not null and __k <> ''").distinct()
-        hits = l.join(r, "__k").where("a <> b").select("a", "b", F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("name")).alias("s"))
-        out = hits if out is None else out.unionAll(hits)
-    return out.groupBy("a", "b").agg(F.min("s").alias("s")).select(F.col("a").alias(id_left), F.col("b").alias(id_right if id_right != id_left else f"linked_{id_right}"), F.col("s.name").alias("signal"))
+        some = lambda df, c: df.where(F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
+        l = some(left, a).select(F.col(id_left).alias("a"), F.col(a).alias("__k")).distinct()  # noqa: E741
+        r = some(right, b).select(F.col(id_right).alias("b"), F.col(b).alias("__k")).distinct()
+        sizes = l.groupBy("__k").agg(F.count("*").alias("__l")).join(r.groupBy("__k").agg(F.count("*").alias("__r")), "__k")
+        large = sizes.where(F.col("__l") * F.col("__r") > most_pairs).select("__k")  # few: each has some hundred rows at least
+        signal = F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("name")).alias("s")
+        hits = l.join(large, "__k", "left_anti").join(r, "__k").where("a <> b").select("a", "b", signal)
+        of = lambda side, other: side.join(large, "__k", "left_semi").select(*[(F.col(x) if x in side.columns else F.lit(None).cast(dict(other.dtypes)[x])).alias(x) for x in ("a", "b")], F.lit(name).alias("name"), F.col("__k").cast("string").alias("group_key"))
+        members = of(l, r).unionAll(of(r, l))
+        pairs = hits if pairs is None else pairs.unionAll(hits)
+        groups = members if groups is None else groups.unionAll(members)
+    first = pairs.groupBy("a", "b").agg(F.min("s").alias("s")).select("a", "b", "s.name", F.lit(None).cast("string").alias("group_key"))
+    return first.unionAll(groups).select(F.col("a").alias(id_left), F.col("b").alias(id_right if id_right != id_left else f"linked_{id_right}"), F.col("name").alias("signal"), "group_key")

@@ -298,7 +298,10 @@ def q28_party_search_denominator(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS events FROM events GROUP BY event_type")
 def q30_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file stream, in one run to the end and one more that finds nothing new."""
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='foliant-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    base = f"{(folder or 'file://' + tempfile.mkdtemp(prefix='foliant-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
     schema = t(spark, sf_dir, "events").schema
     for _ in range(2):
         incremental.run_available(spark, sf_dir, schema, f"{base}/checkpoint", incremental.append_new(f"{base}/events", "event_id"), only="events.parquet")
@@ -383,7 +386,7 @@ def q40_linked_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = lambda c: F.concat(F.lit("k"), F.col(c))
     left = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), key("c_custkey").alias("case"), key("c_custkey").alias("party"))
     right = t(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1000000000).alias("linked"), F.when(F.col("o_orderkey") % 3 == 0, key("o_custkey")).alias("case"), key("o_custkey").alias("party"))
-    return indicators.linked(left, right, "id", "linked", [("case", "case", "case"), ("party", "party", "party")])
+    return indicators.linked(left, right, "id", "linked", [("case", "case", "case"), ("party", "party", "party")]).select("id", "linked", "signal")
 
 
 @query("""WITH b AS (SELECT o_orderkey AS id, o_orderkey % 3 AS m, (o_custkey % 9999)::VARCHAR || '-' || year(o_orderdate)::VARCHAR AS c FROM orders)

@@ -61,6 +61,16 @@ def test_small_tables(spark):
     assert indicators.outcome_rates(d, [], "kind", ["a", "b"]).first().asDict() == {"n": 2, "a_rate": 1.0, "b_rate": 0.0}
 
 
+def test_links_of_a_large_party_are_a_group(spark):
+    left = spark.createDataFrame([(i, "big") for i in range(30)] + [(100, "small"), (101, ""), (102, None)], "id long, party string")
+    right = spark.createDataFrame([(1000 + i, "big") for i in range(20)] + [(2000, "small"), (2001, "")], "linked long, party string")
+    r = indicators.linked(left, right, "id", "linked", [("party", "party", "party")], most_pairs=100).collect()
+    assert [(x["id"], x["linked"], x["signal"]) for x in r if x["group_key"] is None] == [(100, 2000, "party")]
+    members = [(x["id"], x["linked"]) for x in r if x["group_key"] == "big"]
+    assert sorted(a for a, b in members if b is None) == list(range(30)) and sorted(b for a, b in members if a is None) == list(range(1000, 1020))
+    assert indicators.linked(left, right, "id", "linked", [("party", "party", "party")]).count() == 601
+
+
 def test_a_sample_keeps_few_rows_before_the_shuffle(spark):
     d = spark.range(1000).withColumn("s", (F.col("id") % 10 < 9).cast("string"))
     s = tables.quota_sample(d, "id", "s", 7, 20)
