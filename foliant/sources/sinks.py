@@ -95,6 +95,7 @@ def event_log(stream, level: str = "INFO", name: str = "foliant.events") -> logg
     return log
 
 
+# Names and defaults of the settings, as the files have them.
 @dataclass(frozen=True)
 class SourceConfig:
     """Settings of a source; what has no default has to be given."""
