@@ -9,10 +9,11 @@
    corrected for chance collisions; what isn't clearly below the threshold is
    confirmed on the full sets. Confirmed links give components.
 4. In buckets that still hold several components, those with a likely partner in
-   another component are compared across components: by a common shingle among their
-   rarest ones (prefix filter), by a finer b-bit estimate, and on full sets. So every candidate pair
-   is either confirmed, refuted, or inside one component already; groups of copies
-   are never expanded into all pairs.
+   another component (all, in a bucket of more than ``PAIRED`` members) are compared
+   across components: by a common shingle among their rarest ones (prefix filter), by
+   a finer b-bit estimate, and on full sets. So every candidate pair is either
+   confirmed, refuted, or inside one component already; groups of copies are never
+   expanded into all pairs, and the comparisons by signature grow with the members.
 
 With 16 bands of 4 minima a pair of similarity 0.85 has no common bucket with
 probability 7e-6, and one of 0.8 with 2e-4.
@@ -43,6 +44,8 @@ FINE = 1024
 WORDS_PER_SHINGLE = 5
 #: Standard errors below the threshold at which an estimate refutes a pair.
 SLACK = 4.5
+#: Members of a mixed bucket up to which each is compared with the others by signature; those of larger ones go on to the prefix filter at once.
+PAIRED = 64
 
 
 def shingle_hashes(block: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +225,7 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> Da
     return pairs.select(F.col("s.id").alias("a"), F.col("t.id").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, words_per_shingle: int = WORDS_PER_SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, words_per_shingle: int = WORDS_PER_SHINGLE, paired: int = PAIRED) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept, and n_links (confirmed links of its class).
 
     Documents are linked if 100 * intersection >= percent * union of their shingle sets.
@@ -253,11 +256,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = cut(components(links))
     # buckets with several components: who has a likely partner in another component?
     placed = crowded.select("key", "id").join(group, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    open_ = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+    open_ = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("members")).where("low <> high").select("key", "members")
     rest = cut(placed.join(open_, "key").join(sig, "id"))
-    s, t = rest.alias("s"), rest.alias("t")
+    few = rest.where(F.col("members") <= paired)
+    s, t = few.alias("s"), few.alias("t")
     other = (F.col("s.key") == F.col("t.key")) & (F.col("s.c") != F.col("t.c")) & likely("s", "t")
-    doubtful = cut(s.join(t, other, "left_semi").select("id", "c").distinct())
+    doubtful = cut(s.join(t, other, "left_semi").select("id", "c").unionAll(rest.where(F.col("members") > paired).select("id", "c")).distinct())
     more = _prefix_pairs(doubtful, texts, k, percent).join(checked, ["a", "b"], "left_anti")
     found = cut(_confirmed(cut(more), texts, k, percent))
     links = links.unionAll(found)

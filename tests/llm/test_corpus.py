@@ -212,13 +212,14 @@ def brute_components(texts, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_op5_equals_brute_force(spark, docs, texts, percent):
+@pytest.mark.parametrize(("percent", "paired"), [(80, minhash.PAIRED), (85, minhash.PAIRED), (85, 2)])
+def test_op5_equals_brute_force(spark, docs, texts, percent, paired):
+    """With ``paired`` 2 every mixed bucket of more than two members skips the comparison by signature."""
     base = texts[1].split()
     near = {10_000 + i: " ".join(w if (j * 7 + i) % (25 + i) else f"edit{i}" for j, w in enumerate(base)) for i in range(40)}
     df = docs.select("doc_id", "text").unionAll(spark.createDataFrame(list(near.items()), "doc_id long, text string"))
     want = brute_components(texts | near, percent)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, percent=percent).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, percent=percent, paired=paired).collect()}
     assert got == want
 
 
