@@ -235,8 +235,16 @@ def capped(df: DataFrame, n: int, hard_cap: int, *order: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, key: str, seed: int, name: str = "n") -> DataFrame:
-    """Rows of a bounded report (a review sheet) numbered from 1 in seeded order."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(shuffle_key(seed, "orden", F.col(key)), F.col(key).cast("string"))))
+    """Rows numbered from 1 in seeded order (``key`` names a row); rows that repeat a key follow each other.
+
+    The order's first four digits cut it into 65,536 slices. Each is numbered by itself, on top of the rows before
+    it, so that no task sorts all rows; a table of the slices' sizes is what is broadcast.
+    """
+    rows = df.withColumn("__order", shuffle_key(seed, "orden", F.col(key))).withColumn("__slice", F.substring("__order", 1, 4))
+    sizes = rows.groupBy("__slice").agg(F.count("*").alias("__size"))
+    before = sizes.select("__slice", (F.sum("__size").over(Window.orderBy("__slice")) - F.col("__size")).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__slice").orderBy("__order", F.col(key).cast("string")))
+    return rows.join(F.broadcast(before), "__slice").withColumn(name, within + F.col("__before")).select(*[c for c in df.columns if c != name], name)
 
 
 def stamped(df: DataFrame, run_id: str, versions: dict[str, str]) -> DataFrame:

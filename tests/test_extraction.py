@@ -1,5 +1,6 @@
 """Facts by rule and model, indicators, and the paged source with a transport of its own."""
 
+import hashlib
 import json
 
 import pytest
@@ -55,6 +56,11 @@ def test_small_tables(spark):
         tables.capped(d, 11, 10, "id")
     assert [r["id"] for r in tables.capped(d, 2, 10, "id").collect()] == [1, 2]
     assert sorted(r["n"] for r in tables.numbered(d, "id", 7).collect()) == [1, 2, 3]
+    many = spark.createDataFrame([(i,) for i in [*range(400), 5, 5, None]], "id long")
+    places = sorted((r["n"], r["id"]) for r in tables.numbered(many, "id", 7).collect())
+    want = sorted([*range(400), 5, 5, None], key=lambda i: hashlib.md5(("7:orden" if i is None else f"7:orden:{i}").encode()).hexdigest())
+    assert places == list(enumerate(want, 1))
+    assert tables.numbered(many.limit(0), "id", 7).count() == 0
     assert tables.coverage(d, "size", "kind").where("size = 1").first()["kind_pct"] == 0
     lat = spark.createDataFrame([("2020-01-01", "2020-01-11"), ("2020-01-01", None)], "a string, b string").withColumn("g", F.lit(1))
     assert tuple(indicators.latency(lat, ["g"], "a", "b").first()) == (1, 1, 1, 10.0, 10.0, 10.0, 10.0)
