@@ -15,8 +15,10 @@ words are interpolated with those of all classes in the same way. A document's s
 marginal over classes and segmentations. In every class the probabilities of all words and
 the end sum to at most one.
 
-1. The classes are found by a mixture model of hashed words on a bounded sample of training
-   documents (``SAMPLE``). Each training document then belongs to its likeliest class.
+1. The classes are found by a mixture model of hashed words, fitted to all training documents:
+   their words' buckets are counted once, and each round is one pass over these counts; what comes
+   back to the driver is one number per try, class and bucket. Each training document then belongs
+   to its likeliest class.
 2. Words are counted by class per block, then by hash over all documents: one row per
    distinct word with its training counts (0 if only held-out documents have it).
 3. Each round of expectation-maximisation is one pass over that table; what comes
@@ -37,24 +39,27 @@ gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm._arrow import LOWER, U64, HashIndex, blocks, powers, ragged, signed, words
-from foliant.llm.shared import cut, learns, small_batches
+from foliant.llm.shared import cut, discard, learns, small_batches
 
 HOT = 1 << 18
 #: Classes of word counts for each doubling.
 CLASSES = 16
 ROUNDS = 2
-#: Latent classes that are tried, the share that one needs to stay, training documents they are found on, and buckets of their words.
-LATENT, LEAST_SHARE, SAMPLE, BUCKETS = 8, 0.01, 3000, 1024
+#: Latent classes that are tried, the share that one needs to stay, and buckets of their words.
+LATENT, LEAST_SHARE, BUCKETS = 8, 0.01, 1024
+#: Fits of the classes that are tried side by side, rounds of each, and the words of a document that one may start from.
+TRIES, PASSES, START_WORDS = 4, 15, 50
 #: The row that counts the ends: no word is empty.
 END_HASH = 0
 COUNT_BLOCK = 6 << 20
@@ -271,53 +276,115 @@ class Classes:
         return np.argmax(fit, axis=0)
 
 
-def fit_classes(x: np.ndarray, most: int = LATENT, tries: int = 4, rounds: int = 15) -> Classes:
-    """A mixture of multinomials over documents x buckets by expectation-maximisation from random documents; the best of some tries.
+def _shortened(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Long documents count as 200 words."""
+    return counts * np.minimum(1, 200 / np.maximum(total, 1))
 
-    Long documents count as 200 words. Classes with a share below ``LEAST_SHARE`` go.
+
+def _sums(x: np.ndarray, log_p: np.ndarray, log_share: np.ndarray) -> np.ndarray:
+    """What a round needs of documents x buckets, for mixtures (tries x classes x buckets, tries x classes) side by side.
+
+    Flat: expected words (tries x classes x buckets), expected documents (tries x classes), log likelihood (tries).
     """
-    total = x.sum(1, keepdims=True)
-    able = np.flatnonzero(total[:, 0] >= 50)
-    k = min(most, len(able))
+    z = (x @ log_p.reshape(-1, x.shape[1]).T).reshape(len(x), *log_share.shape) + log_share
+    top = z.max(2, keepdims=True)
+    r = np.exp(z - top)
+    every = r.sum(2, keepdims=True)
+    r /= every
+    return np.concatenate([(r.reshape(len(x), -1).T @ x).ravel(), r.sum(0).ravel(), (top + np.log(every)).sum((0, 2))])
+
+
+def _far_apart(first: np.ndarray, begin: int, k: int, common: np.ndarray) -> list[int]:
+    """Places of ``k`` documents: ``begin``, then always the one that the chosen ones fit worst, by log likelihood per word over that of all words."""
+    p = first + 50 * common
+    fit = (first / first.sum(1, keepdims=True)) @ (np.log(p / p.sum(1, keepdims=True)) - np.log(common)).T
+    chosen = [begin]
+    while len(chosen) < k:
+        near = fit[:, chosen].max(1)
+        near[chosen] = np.inf
+        chosen.append(int(near.argmin()))
+    return chosen
+
+
+def mixture(first: np.ndarray, n_docs: int, sums: Callable[[np.ndarray, np.ndarray], np.ndarray], most: int, tries: int = TRIES, rounds: int = PASSES) -> Classes:
+    """A mixture of multinomials by expectation-maximisation, the likeliest of some tries; each starts from documents of ``first`` that are far apart.
+
+    ``sums`` gives ``_sums`` over all documents; every round of all tries is one call of it. Classes with a share below ``LEAST_SHARE`` go.
+    """
+    k = min(most, len(first))
     if k < 2:
         return Classes(np.zeros((1, BUCKETS)), np.zeros(1))
-    x = x * np.minimum(1, 200 / np.maximum(total, 1))
-    common = (x.sum(0) + 1) / (x.sum() + x.shape[1])
-    best: tuple[float, np.ndarray, np.ndarray] | None = None
-    for seed in range(tries):
-        start = np.random.default_rng(seed).choice(able, k, replace=False)
-        p, share, likelihood = x[start] + 50 * common, np.full(k, 1 / k), 0.0
-        for _ in range(rounds):
-            p = p / p.sum(1, keepdims=True)
-            z = x @ np.log(p).T + np.log(share)
-            top = z.max(1, keepdims=True)
-            r = np.exp(z - top)
-            likelihood = float((top[:, 0] + np.log(r.sum(1))).sum())
-            r /= r.sum(1, keepdims=True)
-            share, p = (r.sum(0) + 1) / (len(x) + k), r.T @ x + 20 * common
-        if best is None or likelihood > best[0]:
-            best = likelihood, p / p.sum(1, keepdims=True), share
-    _, p, share = best
+    total = sums(np.zeros((1, 1, BUCKETS)), np.zeros((1, 1)))[:BUCKETS]
+    common = (total + 1) / (total.sum() + BUCKETS)
+    p, share = np.array([first[_far_apart(first, t % len(first), k, common)] for t in range(tries)]) + 50 * common, np.full((tries, k), 1 / k)
+    for _ in range(rounds):
+        p /= p.sum(2, keepdims=True)
+        words_, docs_, likelihood = np.split(sums(np.log(p), np.log(share)), [p.size, p.size + share.size])
+        p, share = words_.reshape(p.shape) + 20 * common, (docs_.reshape(share.shape) + 1) / (n_docs + k)
+    best = np.argmax(likelihood)
+    p, share = p[best] / p[best].sum(1, keepdims=True), share[best]
     kept = share >= LEAST_SHARE
     return Classes(np.log(p[kept]), np.log(share[kept] / share[kept].sum()))
 
 
-def latent_classes(docs: DataFrame, n_docs: int, sample: int = SAMPLE) -> Classes:
-    """The classes of ``sample`` training documents at most, chosen by a hash of their id and length. Only these are read."""
+def fit_classes(x: np.ndarray, most: int = LATENT) -> Classes:
+    """The classes of documents x buckets in memory."""
+    total = x.sum(1, keepdims=True)
+    first = np.random.default_rng(0).permutation(np.flatnonzero(total[:, 0] >= START_WORDS))[: TRIES * most]
+    x = _shortened(x, total)
+    return mixture(x[first], len(x), lambda log_p, log_share: _sums(x, log_p, log_share), most)
+
+
+def bucket_counts(docs: DataFrame) -> DataFrame:
+    """(place, n, bucket, count) of every training document: a hash of id and length, its words, its buckets (16 bits each) and their counts (32 bits each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             for block in blocks(batch.column(1)):
-                w = words(block)
-                bucket = (w.hashes & U64(BUCKETS - 1)).astype(np.int64)
-                rows += [np.bincount(bucket[a:b], minlength=BUCKETS).astype(np.float32).tobytes() for a, b in zip(w.bounds[:-1], w.bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["place", "x"])
-
-    place = F.xxhash64("id", F.length("text"))
-    share = F.pmod(place, F.lit(1 << 20)) < int(min(1.0, 1.3 * sample / max(n_docs, 1)) * (1 << 20)) + 1
-    rows = docs.where("learn").where(share).select(place.alias("place"), "text").mapInArrow(run, "place long, x binary").orderBy("place", "x").limit(sample).toPandas()
-    return fit_classes(np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, BUCKETS))
+                w, n = words(block), len(block)
+                text = np.repeat(np.arange(n), np.diff(w.bounds))
+                grid = np.bincount(text * BUCKETS + (w.hashes & U64(BUCKETS - 1)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS)
+                row, bucket = np.nonzero(grid)
+                ends = np.append(0, np.cumsum(np.bincount(row, minlength=n)))
+                packed = lambda x: pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x.tobytes())])  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, n), pa.array(np.diff(w.bounds)), packed(bucket.astype("<u2")), packed(grid[row, bucket].astype("<u4"))], ["place", "n", "bucket", "count"])
+
+    return docs.where("learn").select(F.xxhash64("id", F.length("text")).alias("place"), "text").mapInArrow(run, "place long, n long, bucket binary, count binary")
+
+
+def _dense(total: pa.Array, bucket: pa.Array, count: pa.Array) -> np.ndarray:
+    """Documents x buckets, long documents shortened."""
+    flat = lambda column, kind: np.frombuffer(b"".join(column.to_pylist()), kind)
+    row = np.repeat(np.arange(len(bucket)), pc.binary_length(bucket).to_numpy() // 2)
+    x = np.zeros((len(bucket), BUCKETS))
+    x[row, flat(bucket, "<u2")] = _shortened(flat(count, "<u4"), total.to_numpy()[row])
+    return x
+
+
+def class_sums(table: DataFrame, log_p: np.ndarray, log_share: np.ndarray) -> np.ndarray:
+    """``_sums`` over a table of ``bucket_counts``: one pass; a number per try, class and bucket from each task, added up by the engine."""
+    size = log_p.size + log_share.size + len(log_share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                out += _sums(_dense(*batch.columns), log_p, log_share)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(out)], ["i", "v"])
+
+    rows = table.select("n", "bucket", "count").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros(size)
+    out[rows["i"].to_numpy(np.int64)] = rows["v"].to_numpy(float)
+    return out
+
+
+def latent_classes(docs: DataFrame, n_docs: int) -> Classes:
+    """The classes of all ``n_docs`` training documents: every round is a pass over all of them. The tries start from documents with the least hashes of id and length."""
+    table = cut(bucket_counts(docs))
+    first = table.where(F.col("n") >= START_WORDS).orderBy("place", "bucket", "count").limit(TRIES * LATENT).select("n", "bucket", "count").toArrow()
+    classes = mixture(_dense(*first.columns), n_docs, lambda log_p, log_share: class_sums(table, log_p, log_share), LATENT)
+    discard(table)
+    return classes
 
 
 def word_counts(docs: DataFrame, classes: Classes) -> DataFrame:

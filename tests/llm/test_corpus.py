@@ -520,6 +520,35 @@ def test_op10_classes():
     assert len(lm.fit_classes(np.zeros((0, lm.BUCKETS))).log_share) == len(lm.fit_classes(np.zeros((5, lm.BUCKETS))).log_share) == 1
 
 
+def test_op10_classes_learn_from_every_training_document(spark):
+    """Their shares are counts of all documents, and a round's sums are those of the definition over all documents."""
+    rng = np.random.default_rng(4)
+    most = {"a": 6000, "b": 3900, "c": 1600}  # three languages with words of their own
+    texts = [" ".join(f"{tongue}{i}" for i in rng.integers(0, 30, 60)) for tongue, n in most.items() for _ in range(n)] + [None, "", "a1 b1", "a2 " * 900]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").withColumn("learn", F.lit(True))
+    docs = docs.unionAll(docs.where("id < 500").withColumn("learn", F.lit(False)))
+    classes = lm.latent_classes(docs, len(texts))
+    (block,) = _arrow.blocks(pa.array([" ".join(f"{tongue}{i}" for i in range(30)) for tongue in most]))
+    w = _arrow.words(block)
+    fit = np.array([classes.log_p[:, (w.of(i) % np.uint64(lm.BUCKETS)).astype(int)].sum(1) for i in range(3)])
+    shares = np.bincount(fit.argmax(0), np.exp(classes.log_share), 3)
+    assert np.abs(shares * len(texts) - list(most.values())).max() < 10
+    table = lm.bucket_counts(docs)
+    log_p, log_share = np.log(rng.dirichlet(np.ones(lm.BUCKETS), (2, 3))), np.log(rng.dirichlet(np.ones(3), 2))
+    words_, docs_, likelihood = np.zeros((2, 3, lm.BUCKETS)), np.zeros((2, 3)), np.zeros(2)
+    for t in texts:
+        (block,) = _arrow.blocks(pa.array([t]))
+        x = np.bincount((_arrow.words(block).hashes % np.uint64(lm.BUCKETS)).astype(int), minlength=lm.BUCKETS)
+        x = x * min(1, 200 / max(x.sum(), 1))
+        z = log_p @ x + log_share
+        every = np.logaddexp.reduce(z, 1)
+        p = np.exp(z - every[:, None])
+        likelihood += every
+        docs_ += p
+        words_ += p[..., None] * x
+    assert np.allclose(lm.class_sums(table, log_p, log_share), [*words_.ravel(), *docs_.ravel(), *likelihood])
+
+
 def brute_spelled(lattice, log_p, word):
     s = b" " + word.encode()
     total = [1.0] + [0.0] * len(s)
