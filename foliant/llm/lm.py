@@ -45,11 +45,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm._arrow import LOWER, U64, HashIndex, blocks, powers, ragged, signed, words
+from foliant.llm._arrow import LOWER, MAX64, U64, HashIndex, blocks, powers, ragged, signed, words
 from foliant.llm.shared import cut, discard, learns, small_batches
 
 HOT = 1 << 18
@@ -63,8 +62,12 @@ TRIES, PASSES, START_WORDS = 4, 15, 50
 #: The row that counts the ends: no word is empty.
 END_HASH = 0
 COUNT_BLOCK = 6 << 20
+#: Words of blocks are merged before they leave a task as soon as so many are held.
+MERGED = 200_000
 #: Words up to this many bytes go through the lattice many at a time.
 TOGETHER = 64
+#: What a byte is worth (log) in the recursion without logarithms, and the range of sums that it is trusted in.
+BYTE_WORTH, TRUSTED = 3.0, 1e200
 _MARK = 0x20  # opens a word: no word contains a space
 _SPIECE = "▁"
 
@@ -91,6 +94,62 @@ class Lattice:
         keys = self._key(prefix[np.arange(len(pieces)), size], size)
         self.index = HashIndex(keys, 22)
         self.of_key = np.argsort(keys)
+        self.size = size
+        self._grow()
+
+    def _grow(self) -> None:
+        """The pieces as a trie: nodes of single bytes, an open hash table of (node, byte) with the child, and each node's piece or -1."""
+        nodes: dict[bytes, int] = {}
+        for p in self.pieces:
+            for j in range(1, len(p) + 1):
+                nodes.setdefault(p[:j], len(nodes))
+        self.root, self.piece_at = np.full(256, -1, np.int32), np.full(len(nodes), -1, np.int32)
+        self.piece_at[[nodes[p] for p in self.pieces]] = np.arange(len(self.pieces))
+        self.slot_bits = max(8, (4 * len(nodes)).bit_length())
+        self.slot_key, self.slot_child = np.full(1 << self.slot_bits, -1), np.zeros(1 << self.slot_bits, np.int32)
+        deep = [p for p in nodes if len(p) > 1]
+        for p in nodes.keys() - deep:
+            self.root[p[0]] = nodes[p]
+        key, child = np.array([nodes[p[:-1]] << 8 | p[-1] for p in deep], np.int64), np.array([nodes[p] for p in deep], np.int32)
+        at = self._slot(key)
+        while len(key):
+            free = np.flatnonzero(self.slot_key[at] < 0)
+            self.slot_key[at[free]], self.slot_child[at[free]] = key[free], child[free]  # of several at one slot the last stays
+            left = self.slot_key[at] != key
+            key, child, at = key[left], child[left], (at[left] + 1) & ((1 << self.slot_bits) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(U64) * U64(0x9E3779B97F4A7C15) >> U64(64 - self.slot_bits)).astype(np.int64)
+
+    def _children(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The child of each node by a byte, or -1."""
+        key = node.astype(np.int64) << 8 | byte
+        at = self._slot(key)
+        there = self.slot_key[at]
+        out = np.where(there == key, self.slot_child[at], -1)
+        open_ = np.flatnonzero((there != key) & (there >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.slot_bits) - 1)
+            there = self.slot_key[at[open_]]
+            same = there == key[open_]
+            out[open_[same]] = self.slot_child[at[open_[same]]]
+            open_ = open_[~same & (there >= 0)]
+        return out
+
+    def _arcs(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(from, bytes, piece) of all pieces that occur in words one after the other, each opened by the mark, and a last mark: no piece goes on past a mark."""
+        out = []
+        at, node = np.arange(len(flat) - 1), self.root[flat[:-1]]
+        for n in range(1, self.longest + 1):
+            alive = node >= 0
+            at, node = at[alive], node[alive]
+            piece = self.piece_at[node]
+            hit = np.flatnonzero(piece >= 0)
+            out.append((at[hit], np.full(len(hit), n), piece[hit]))
+            if not len(at) or n == self.longest:
+                break
+            node = self._children(node, flat[at + n])
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     @staticmethod
     def _prefixes(rows: np.ndarray) -> np.ndarray:
@@ -189,6 +248,23 @@ class Lattice:
                     rows[:, 1:] = block.data[block.offsets[where][:, None] + np.arange(n)]
                 yield block.first + where, rows
 
+    def _together(self, values: pa.Array) -> Iterator[tuple[np.ndarray, Paths | None, pa.Array]]:
+        """(places, their paths, words): those up to ``TOGETHER`` bytes, the longest first; then the longer ones without paths."""
+        for block in blocks(values, 1 << 18):
+            size, all_ = np.diff(block.offsets), values.slice(block.first, len(block))
+            where = np.argsort(-size, kind="stable")
+            where = where[np.searchsorted(-size[where], -TOGETHER) :]
+            if len(where):
+                n = size[where] + 1
+                begin = np.cumsum(n) - n
+                flat = np.full(int(n.sum()) + 1, _MARK, np.uint8)
+                inside = np.arange(int((n - 1).sum())) - np.repeat(begin - np.arange(len(n)), n - 1)
+                flat[np.repeat(begin + 1, n - 1) + inside] = block.data[np.repeat(block.offsets[where], n - 1) + inside]
+                yield block.first + where, Paths(self, flat, n), all_.take(pa.array(where))
+            if len(where) < len(block):
+                far = np.flatnonzero(size > TOGETHER)
+                yield block.first + far, None, all_.take(pa.array(far))
+
     def scores(self, values: pa.Array) -> np.ndarray:
         """log10 marginal probability of each word."""
         out = np.zeros(len(values))
@@ -199,6 +275,20 @@ class Lattice:
     def scores_by(self, values: pa.Array, log_p: np.ndarray) -> np.ndarray:
         """log10 marginal probability of each word under each row of weights (words x weights)."""
         out = np.zeros((len(values), len(log_p)))
+        for where, paths, some in self._together(values):
+            if paths is None:
+                out[where] = self.scores_apart(some, log_p)
+                continue
+            each = np.column_stack([paths.log_total(p) for p in log_p])
+            odd = np.flatnonzero(~np.isfinite(each).all(1))
+            if len(odd):
+                each[odd] = self.scores_apart(some.take(pa.array(odd)), log_p) * np.log(10)
+            out[where] = each / np.log(10)
+        return out
+
+    def scores_apart(self, values: pa.Array, log_p: np.ndarray) -> np.ndarray:
+        """The same, all in logarithms: for words whose sums leave the range of numbers, and long ones."""
+        out = np.zeros((len(values), len(log_p)))
         for where, rows in self._by_length(values):
             if isinstance(rows, list):
                 for k, p in enumerate(log_p):
@@ -210,6 +300,21 @@ class Lattice:
         return out / np.log(10)
 
     def expectations(self, values: pa.Array, count: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece in ``count`` (words, or words x classes) times the words: pieces, or classes x pieces."""
+        out = np.zeros((*count.shape[1:], len(self.pieces)))
+        for where, paths, some in self._together(values):
+            odd = np.arange(len(where))
+            if paths is not None:
+                used, sure = paths.used(self.log_p)
+                for row, times in zip(np.atleast_2d(out), np.atleast_2d(count[where].T), strict=True):
+                    row += np.bincount(paths.piece, used * (times * sure)[paths.word], len(row))
+                odd = np.flatnonzero(~sure)
+            if len(odd):
+                out += self.expectations_apart(some.take(pa.array(odd)), count[where[odd]])
+        return out
+
+    def expectations_apart(self, values: pa.Array, count: np.ndarray) -> np.ndarray:
+        """The same, all in logarithms."""
         out = np.zeros((*count.shape[1:], len(self.pieces)))
         for where, rows in self._by_length(values):
             if isinstance(rows, list):
@@ -224,6 +329,64 @@ class Lattice:
         self.log_p, self.log_end = np.log((uses + smoothing) / total), float(np.log((ends + smoothing) / total))
 
 
+class Paths:
+    """The lattices of many words, the longest first: arcs (word, piece) between places, walked step by step over all words at once.
+
+    The recursion multiplies probabilities, each byte worth ``BYTE_WORTH`` more; what leaves ``TRUSTED`` is told apart.
+    """
+
+    def __init__(self, lattice: Lattice, flat: np.ndarray, n: np.ndarray):
+        at, size, self.piece = lattice._arcs(flat)
+        self.worth, self.n = BYTE_WORTH * lattice.size, n
+        begin = np.cumsum(n) - n
+        word = np.repeat(np.arange(len(n)), n)[at]
+        step = (at - begin[word]).astype(np.uint8)
+        order = np.argsort(step + size.astype(np.uint8), kind="stable")  # by the step that an arc ends in
+        self.word, self.piece, step, size = word[order], self.piece[order], step[order], size[order]
+        self.begin = begin + np.arange(len(n))  # a word has a place more than bytes
+        self.start = self.begin[self.word] + step
+        self.end = self.start + size
+        self.most = int(n[0])
+        self.ending = np.append(0, np.cumsum(np.bincount(step + size, minlength=self.most + 1)))
+        self.by_start = np.argsort(step, kind="stable")
+        self.starting = np.append(0, np.cumsum(np.bincount(step, minlength=self.most)))
+        self.words = np.searchsorted(-n, -np.arange(self.most + 1), "right")  # as many have so many bytes
+
+    def _forward(self, weight: np.ndarray) -> np.ndarray:
+        alpha = np.zeros(int(self.begin[-1] + self.n[-1]) + 1)
+        alpha[self.begin] = 1
+        for t in range(1, self.most + 1):
+            arcs, k = slice(self.ending[t], self.ending[t + 1]), self.words[t]
+            alpha[self.begin[:k] + t] = np.bincount(self.word[arcs], alpha[self.start[arcs]] * weight[arcs], k)
+        return alpha
+
+    def _weight(self, log_p: np.ndarray) -> np.ndarray:
+        return np.exp(log_p + self.worth)[self.piece]
+
+    def log_total(self, log_p: np.ndarray) -> np.ndarray:
+        """Log of each word's sum over all segmentations; nan where it can't be trusted."""
+        with np.errstate(all="ignore"):
+            total = self._forward(self._weight(log_p))[self.begin + self.n]
+            return np.where((total > 1 / TRUSTED) & (total < TRUSTED), np.log(total) - BYTE_WORTH * self.n, np.nan)
+
+    def used(self, log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Expected uses of each arc, and whether each word's can be trusted (they cover its bytes; the others' are 0)."""
+        with np.errstate(all="ignore"):
+            weight = self._weight(log_p)
+            alpha = self._forward(weight)
+            total = alpha[self.begin + self.n]
+            beta = np.zeros_like(alpha)
+            beta[self.begin + self.n] = 1
+            for t in range(self.most - 1, -1, -1):
+                arcs, k = self.by_start[self.starting[t] : self.starting[t + 1]], self.words[t + 1]
+                beta[self.begin[:k] + t] = np.bincount(self.word[arcs], beta[self.end[arcs]] * weight[arcs], k)
+            out = alpha[self.start] * weight * beta[self.end] / total[self.word]
+            covered = np.bincount(self.word, out * (self.end - self.start), len(self.n))
+            sure = (total > 1 / TRUSTED) & (total < TRUSTED) & (np.abs(covered - self.n) < 1e-9 * self.n)
+        out[~sure[self.word]] = 0
+        return out, sure
+
+
 @lru_cache(2)
 def _vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
     """Pieces and start log probabilities: by rank as 1 / (rank + 30), every single byte among them."""
@@ -354,13 +517,25 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
 
 def _dense(total: pa.Array, bucket: pa.Array, count: pa.Array) -> np.ndarray:
     """Documents x buckets, long documents shortened."""
-    flat = lambda column, kind: np.frombuffer(b"".join(column.to_pylist()), kind)
-    row = np.repeat(np.arange(len(bucket)), pc.binary_length(bucket).to_numpy() // 2)
-    x = np.zeros((len(bucket), BUCKETS))
-    x[row, flat(bucket, "<u2")] = _shortened(flat(count, "<u4"), total.to_numpy()[row])
+    x = np.zeros(len(bucket) * BUCKETS)
+    if not len(bucket):
+        return x.reshape(0, BUCKETS)
+    (buckets, ends), (counts, _) = _flat(bucket, "<u2"), _flat(count, "<u4")
+    x[np.repeat(np.arange(len(bucket)) * BUCKETS, np.diff(ends) // 2) + buckets] = counts
+    x = x.reshape(-1, BUCKETS)
+    x *= _shortened(np.ones(len(x)), total.to_numpy())[:, None]
     return x
 
 
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a binary column in a row, and the byte offsets."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    raw = column.cast(pa.large_binary()).buffers()
+    ends = np.frombuffer(raw[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(raw[2] or b"", np.uint8)[ends[0] : ends[-1]].view(kind), ends
+
+
 def class_sums(table: DataFrame, log_p: np.ndarray, log_share: np.ndarray) -> np.ndarray:
     """``_sums`` over a table of ``bucket_counts``: one pass; a number per try, class and bucket from each task, added up by the engine."""
     size = log_p.size + log_share.size + len(log_share)
@@ -387,12 +562,18 @@ def latent_classes(docs: DataFrame, n_docs: int) -> Classes:
     return classes
 
 
+def _gather(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of runs, one after the other."""
+    return data[np.arange(int(size.sum())) + np.repeat(starts - np.cumsum(size) + size, size)]
+
+
 def word_counts(docs: DataFrame, classes: Classes) -> DataFrame:
     """(h, word, c0, c1, ...): every distinct lower-cased word, its hash and its count in rows with ``learn`` by class; the ends as the empty word."""
     n_classes = len(classes.log_share)
     names = [f"c{k}" for k in range(n_classes)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             learn = batch.column(0).to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(1), COUNT_BLOCK):
@@ -400,19 +581,49 @@ def word_counts(docs: DataFrame, classes: Classes) -> DataFrame:
                 keys, first, back = np.unique(w.hashes, return_index=True, return_inverse=True)
                 known = learn[block.first : block.first + len(block)]
                 of = classes.of(w.hashes, w.bounds)
-                of_word, weight = np.repeat(of, np.diff(w.bounds)), np.repeat(known, np.diff(w.bounds))
-                counts = [np.append(np.bincount(back, weight * (of_word == k), len(keys)), (known & (of == k)).sum()).astype(np.int64) for k in range(n_classes)]
-                raw = LOWER[block.data]
+                size, of_word = np.diff(w.bounds), back * n_classes
+                of_word += np.repeat(of, size)
+                counts = np.bincount(of_word[np.repeat(known, size)], minlength=len(keys) * n_classes).reshape(-1, n_classes)
                 size = (w.ends - w.starts)[first]
-                inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                ends = np.append(0, np.cumsum(size))
-                text = pa.StringArray.from_buffers(len(first) + 1, pa.py_buffer(np.append(ends, ends[-1]).astype(np.int32)), pa.py_buffer(raw[inside + np.repeat(w.starts[first], size)].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(signed(keys), END_HASH)), text, *map(pa.array, counts)], ["h", "word", *names])
+                held.append((np.append(keys, U64(END_HASH)), np.append(size, 0), LOWER[_gather(block.data, w.starts[first], size)], np.vstack([counts, np.bincount(of[known], minlength=n_classes)]).astype(np.int32)))  # a block has fewer words
+                if sum(len(x[0]) for x in held) >= MERGED:
+                    yield merged(held)
+        if held:
+            yield merged(held)
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, size, text, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        order = np.argsort(keys, kind="stable")
+        starts = np.flatnonzero(np.append(True, keys[order[1:]] != keys[order[:-1]]))
+        first = order[starts]
+        columns = [pa.array(np.add.reduceat(x[order], starts, dtype=np.int64)) for x in counts.T]
+        text = _gather(text, (np.cumsum(size) - size)[first], size[first])
+        column = pa.StringArray.from_buffers(len(first), pa.py_buffer(np.append(0, np.cumsum(size[first])).astype(np.int32)), pa.py_buffer(text.tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(signed(keys[first])), column, *columns], ["h", "word", *names])
 
     schema = ", ".join(["h long", "word string", *[f"{c} long" for c in names]])
     return docs.select("learn", "text").mapInArrow(run, schema).groupBy("h").agg(F.min("word").alias("word"), *[F.sum(c).alias(c) for c in names])
 
 
+class Places:
+    """Places of 64-bit hashes in a sorted array of distinct ones: a table by the leading bits tells where to begin, then step by step."""
+
+    def __init__(self, keys: np.ndarray, bits: int = 20):
+        self.keys, self.shift = np.append(keys, MAX64), U64(64 - bits)
+        self.n, self.begin = len(keys), np.searchsorted(keys, np.arange(1 << bits, dtype=U64) << self.shift).astype(np.int32)
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``values`` that are members, and the place of each in ``keys``."""
+        place = self.begin[(values >> self.shift).astype(np.int64)]
+        low = np.flatnonzero(self.keys[place] < values)
+        while len(low):
+            place[low] += 1
+            low = low[self.keys[place[low]] < values[low]]
+        hit = np.flatnonzero((self.keys[place] == values) & (place < self.n))
+        return hit, place[hit]
+
+
 @dataclass
 class Weights:
     """How much whole words weigh: totals and discounts of all classes together and of each."""
@@ -478,14 +689,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, c, s = known.value
-        index = HashIndex(keys, 22)
+        index = Places(keys)
         base = np.log10(c + 0.1)
         for batch in batches:
             for block in blocks(batch.column(1)):
                 w = words(block)
-                text = np.repeat(np.arange(len(block)), np.diff(w.bounds))
                 hit, at = index.find(w.hashes)
-                add = lambda x: np.bincount(text[hit], x[at], len(block))
+                text = np.repeat(np.arange(len(block)), np.diff(w.bounds))[hit]
+                add = lambda x: np.bincount(text, x[at], len(block))
                 rest = np.ones(len(w.hashes), bool)
                 rest[hit] = False
                 bounds = np.append(0, np.cumsum(rest))[w.bounds]

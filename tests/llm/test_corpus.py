@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -549,6 +550,28 @@ def test_op10_classes_learn_from_every_training_document(spark):
     assert np.allclose(lm.class_sums(table, log_p, log_share), [*words_.ravel(), *docs_.ravel(), *likelihood])
 
 
+def test_op10_words_together(texts):
+    m = lm.lattice(lm.default_vocabulary())
+    odd = ["", "a", "é", "日本語", "ab c", "x" * 64, "x" * 65, "y" * 300, "😀" * 9, "😀" * 16, "\0" * 64]
+    some = pa.array(odd + sorted({w for t in texts.values() for w in t.lower().split()})[:6000])
+    rng = np.random.default_rng(0)
+    log_p, count = m.log_p + rng.normal(0, 1, (3, len(m.log_p))), rng.integers(0, 2, (len(some), 3)).astype(float)
+    took = []
+    for f, plain, of in ((m.scores_by, m.scores_apart, log_p), (m.expectations, m.expectations_apart, count)):
+        begin = time.process_time()
+        quick = f(some, of)
+        middle = time.process_time()
+        assert np.allclose(quick, plain(some, of), rtol=1e-9, atol=1e-9)
+        took.append((middle - begin, time.process_time() - middle))
+    assert sum(x for x, _ in took) < 0.7 * sum(x for _, x in took)
+    assert np.allclose(m.expectations(some, count[:, 0]), m.expectations(some, count)[0]) and m.scores_by(some[:0], log_p).shape == (0, 3)
+    keys = np.unique(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    keys[-1] = _arrow.MAX64
+    values = np.concatenate([keys[::3], keys + np.uint64(5), [np.uint64(0), _arrow.MAX64]])
+    for k in (keys, keys[:0], keys[:-1]):
+        assert all(np.array_equal(x, y) for x, y in zip(lm.Places(k, 8).find(values), _arrow.HashIndex(k).find(values), strict=True))
+
+
 def brute_spelled(lattice, log_p, word):
     s = b" " + word.encode()
     total = [1.0] + [0.0] * len(s)
