@@ -550,6 +550,23 @@ def test_op10_classes_learn_from_every_training_document(spark):
     assert np.allclose(lm.class_sums(table, log_p, log_share), [*words_.ravel(), *docs_.ravel(), *likelihood])
 
 
+def test_op7_new_segments_in_rows(texts):
+    e = encode.Encoder(encode.default_tokenizer())
+    plain = e._encode
+    given = []
+    e._encode = lambda some: given.extend(some) or plain(some)
+    odd = [" \u00a0" * 5 + " x  y\u3000 z \u3000 \u3000", "a\u00a0 b \u0085 c", "\t tab\n\nline  two ", " 's 're'll 12ab ,,x ", "<|endoftext|> \x00 \x1c\x1d é 日本 😀", "", " ", "end"]
+    lines = [t for t in texts.values()][:300] + odd
+    for some in (lines, odd, lines[::-1]):
+        for block in _arrow.blocks(pa.array(some)):
+            n, known = len(given), len(e.first)
+            ids, bounds = e.ids(block)
+            for i in range(len(block)):
+                assert ids[bounds[i] : bounds[i + 1]].tolist() == e.tokenizer.encode(block.text(i), add_special_tokens=False).ids
+            assert len(given) - n < max(200, (len(e.first) - known) / 4)
+    assert len(e.first) > 2000 and np.all(np.diff(e.keys.astype(object)) > 0)
+
+
 def test_op10_words_together(texts):
     m = lm.lattice(lm.default_vocabulary())
     odd = ["", "a", "é", "日本語", "ab c", "x" * 64, "x" * 65, "y" * 300, "😀" * 9, "😀" * 16, "\0" * 64]
