@@ -64,6 +64,8 @@ END_HASH = 0
 COUNT_BLOCK = 6 << 20
 #: Words of blocks are merged before they leave a task as soon as so many are held.
 MERGED = 200_000
+#: Rows of merged words in an Arrow batch: the engine holds each batch whole outside its heap.
+WORD_ROWS = 10_000
 #: Words up to this many bytes go through the lattice many at a time.
 TOGETHER = 64
 #: What a byte is worth (log) in the recursion without logarithms, and the range of sums that it is trusted in.
@@ -587,11 +589,11 @@ def word_counts(docs: DataFrame, classes: Classes) -> DataFrame:
                 size = (w.ends - w.starts)[first]
                 held.append((np.append(keys, U64(END_HASH)), np.append(size, 0), LOWER[_gather(block.data, w.starts[first], size)], np.vstack([counts, np.bincount(of[known], minlength=n_classes)]).astype(np.int32)))  # a block has fewer words
                 if sum(len(x[0]) for x in held) >= MERGED:
-                    yield merged(held)
+                    yield from merged(held)
         if held:
-            yield merged(held)
+            yield from merged(held)
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         keys, size, text, counts = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
         order = np.argsort(keys, kind="stable")
@@ -600,7 +602,10 @@ def word_counts(docs: DataFrame, classes: Classes) -> DataFrame:
         columns = [pa.array(np.add.reduceat(x[order], starts, dtype=np.int64)) for x in counts.T]
         text = _gather(text, (np.cumsum(size) - size)[first], size[first])
         column = pa.StringArray.from_buffers(len(first), pa.py_buffer(np.append(0, np.cumsum(size[first])).astype(np.int32)), pa.py_buffer(text.tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(signed(keys[first])), column, *columns], ["h", "word", *names])
+        batch = pa.RecordBatch.from_arrays([pa.array(signed(keys[first])), column, *columns], ["h", "word", *names])
+        del keys, size, text, counts, order, starts, first, column, columns
+        for a in range(0, batch.num_rows, WORD_ROWS):
+            yield batch.slice(a, WORD_ROWS)
 
     schema = ", ".join(["h long", "word string", *[f"{c} long" for c in names]])
     return docs.select("learn", "text").mapInArrow(run, schema).groupBy("h").agg(F.min("word").alias("word"), *[F.sum(c).alias(c) for c in names])

@@ -589,6 +589,25 @@ def test_op10_words_together(texts):
         assert all(np.array_equal(x, y) for x, y in zip(lm.Places(k, 8).find(values), _arrow.HashIndex(k).find(values), strict=True))
 
 
+def test_op10_word_counts_leave_in_small_batches(spark):
+    """The merged words of a task reach the engine in batches of a bounded size, none lost."""
+
+    class Taken:
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+        select = groupBy = agg = lambda self, *_: self
+
+    taken, n = Taken(), 3 * lm.WORD_ROWS + 7
+    lm.word_counts(taken, lm.Classes(np.zeros((1, lm.BUCKETS)), np.zeros(1)))
+    texts = [" ".join(f"w{i}" for i in range(n)), None, "w0 w1", "w0"]
+    given = list(taken.run(iter([pa.RecordBatch.from_arrays([pa.array([True, True, True, False]), pa.array(texts)], ["learn", "text"])])))
+    assert max(b.num_rows for b in given) <= lm.WORD_ROWS
+    got = [(r["word"], r["c0"]) for b in given for r in b.to_pylist()]
+    assert len(got) == n + 1 and dict(got) == {f"w{i}": 1 + (i < 2) for i in range(n)} | {"": 3}
+
+
 def brute_spelled(lattice, log_p, word):
     s = b" " + word.encode()
     total = [1.0] + [0.0] * len(s)
