@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import decontamination, licenses, lm, media, minhash, packing, quality, substring, token_counts, toxicity
+from foliant.llm import decontamination, divergence, fingerprint, licenses, lm, manifest, media, minhash, packing, quality, substring, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,11 +58,23 @@ def op10_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_read(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_read(spark, sf_dir, "documents"))
+
+
+def op13_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edits(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_length_histogram, op2_toxicity_grammar, op3_quality_ranking, op4_string_tiling, op5_bbit_minhash, op6_collinear_chaining, op7_power_of_two_packing, op8_license_scan, op9_media_shards, op10_lattice_likelihood)
+    for f in (op1_length_histogram, op2_toxicity_grammar, op3_quality_ranking, op4_string_tiling, op5_bbit_minhash, op6_collinear_chaining, op7_power_of_two_packing, op8_license_scan, op9_media_shards, op10_lattice_likelihood, op11_source_divergence, op12_merkle_manifest, op13_multiset_fingerprint)
 }
 
-#: None of the ten is plain SQL over whole tables (tokenizers, trained models, closures over
+#: The first ten aren't plain SQL over whole tables (tokenizers, trained models, closures over
 #: similarity links, alignments); each is tested against brute force, a round trip or held-out labels.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_source_divergence": divergence.SQL, "op12_merkle_manifest": manifest.SQL, "op13_multiset_fingerprint": fingerprint.SQL}
