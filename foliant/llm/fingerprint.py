@@ -5,14 +5,15 @@ paragraph has a wide vector of whole numbers, and a document's vector is the sum
 paragraphs' modulo 2**32: it doesn't depend on their order, and ``insert`` and ``delete``
 of a paragraph add and subtract its vector without the rest of the text. The first ``SURE``
 numbers are SHA-256 of the paragraph: equal ones mean equal multisets of paragraphs (by
-chance, that is; it takes a wider sum to keep out somebody who looks for collisions). The other ``LIKE`` are the sum of a vector of ones and minus ones, the bits of
-MD5, for each run of ``GRAM`` consecutive words of the paragraph (a shorter one is one
-run), so products of two documents' numbers estimate how many runs they share, with an error of about 1 / sqrt(LIKE).
-
-Only Spark's own functions run: two sums of 32 bits share a 64-bit column while runs
-are added up, so a run costs ``LIKE / 2`` additions of generated code. Texts are
-shuffled once, by row key; the next document of each row is found on keys alone, by a
-range partitioning whose parts hand the first key of each to the one before, and sends
+chance, that is; it takes a wider sum to keep out somebody who looks for collisions). The other
+``LIKE`` are the sum of a vector of ones and minus ones, the bits of MD5, for each piece of the
+paragraph: three words, or fewer before a mark of punctuation or the line end. So products of two
+documents' numbers estimate how many pieces they share, with an error of about 1 / sqrt(LIKE).
+
+A vector is a Column expression of the text: Spark's own functions, in the row, nothing is
+exploded or shuffled for it. Two sums of 32 bits share a 64-bit number while pieces
+are added up. Texts are shuffled once, by row key; the next document of each row is found on keys
+alone, by a range partitioning whose parts hand the first key of each to the one before, and sends
 only as much of its beginning as the row's edited text takes, with its vector.
 
 Defined cases: a null text is an empty one, which has no paragraph and the vector of zeros;
@@ -26,12 +27,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.functions.text import let
 from foliant.llm.shared import cut
 
-SURE, LIKE, GRAM = 8, 128, 3
-MASK = (1 << 32) - 1
-#: White space inside a paragraph: all of ASCII but the line end.
-SPACE = r"[\x20\x09\x0B-\x0D]+"
+SURE, LIKE = 8, 128
+MASK, WHOLE = (1 << 32) - 1, 1 << 32
+#: Up to three words with nothing but white space between them.
+_WORD = r"[^\x09-\x0D\x20.,;:!?]+"
+PIECE = rf"(?:{_WORD}[\x09\x0B-\x0D\x20]+){{0,2}}{_WORD}"
 
 
 def bits(hexadecimal: Column, at: int, digits: int) -> Column:
@@ -39,50 +42,54 @@ def bits(hexadecimal: Column, at: int, digits: int) -> Column:
     return F.conv(F.substring(hexadecimal, at + 1, digits), 16, -10 if digits == 16 else 10).cast("long")
 
 
-def vectors(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, vector): the fingerprint of ``text``, one row per key; keys have to be unique, and partitioned by them nothing is shuffled."""
-    lines = docs.select(*keys, F.posexplode_outer(F.when(F.col(text) != "", F.split(F.col(text), "\n"))).alias("line", "paragraph"))
-    words = lines.select(*keys, "line", "paragraph", F.array_remove(F.split("paragraph", SPACE), "").alias("w1"))
-    later = [F.slice("w1", F.lit(k + 1), F.greatest(F.size("w1"), F.lit(0))).alias(f"w{k + 1}") for k in range(1, GRAM)]
-    runs = words.select(*keys, "line", F.sha2("paragraph", 256).alias("whole"), "w1", *later)
-    names = [f"w{k + 1}" for k in range(GRAM)]
-    runs = runs.select(*keys, "line", "whole", F.size("w1").alias("n"), F.posexplode_outer(F.when(F.size("w1") > 0, F.arrays_zip(*names))).alias("pos", "w"))
-    full = F.col(f"w.w{GRAM}").isNotNull() | ((F.col("pos") == 0) & (F.col("n") < GRAM))
-    digest = F.when(full, F.md5(F.concat_ws(" ", *(f"w.{n}" for n in names))))
-    runs = runs.select(*keys, "line", "whole", digest.alias("m"))
-    halves = [bits(F.col("m"), 16 * j, 16) for j in range(LIKE // 64)]
-    runs = runs.select(*keys, "line", "whole", *(h.alias(f"y{j}") for j, h in enumerate(halves)))
-    pair = F.lit(1 << 32 | 1)
-    sums = [F.sum(F.shiftrightunsigned(f"y{j}", b).bitwiseAND(pair)).alias(f"s{j}_{b}") for j in range(LIKE // 64) for b in range(32)]
-    paragraphs = runs.groupBy(*keys, "line", "whole").agg(F.count("y0").alias("n"), *sums)
-
-    sure = [F.sum(F.coalesce(bits(F.col("whole"), 8 * k, 8), F.lit(0))).alias(f"a{k}") for k in range(SURE)]
-    name = lambda j, b: f"s{j}_{b % 32}"
-    half = lambda c, b: F.col(c).bitwiseAND(F.lit(MASK)) if b < 32 else F.shiftrightunsigned(c, 32)
-    like = [F.sum(F.coalesce(half(name(j, b), b), F.lit(0)) * 2 - F.col("n")).alias(f"b{64 * j + b}") for j in range(LIKE // 64) for b in range(64)]
-    total = paragraphs.groupBy(*keys).agg(*sure, *like)
-    lanes = [F.col(f"a{k}") for k in range(SURE)] + [F.col(f"b{k}") for k in range(LIKE)]
-    return total.select(*keys, F.array(*(c.bitwiseAND(F.lit(MASK)) for c in lanes)).alias("vector"))
+def _wrapped(x: Column) -> Column:
+    """A long modulo 2**32 as an int, signed."""
+    return ((x + WHOLE // 2).bitwiseAND(F.lit(MASK)) - WHOLE // 2).cast("int")
+
+
+def _total(values: Column, of) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda s, x: s + of(x))
+
+
+def vector(text: Column) -> Column:
+    """array<int> of ``SURE + LIKE`` numbers: the fingerprint of a text."""
+    paragraphs = F.when(text != "", F.split(text, "\n")).otherwise(F.array().cast("array<string>"))
+    digests = F.transform(paragraphs, lambda p: F.sha2(p, 256))
+    sure = let(digests, lambda d: F.array(*(_wrapped(_total(d, lambda h, k=k: bits(h, 8 * k, 8))) for k in range(SURE))))
+    pair = F.lit(WHOLE | 1)
+
+    def like(half: Column, n: Column) -> Column:
+        """64 numbers: twice the ones of each bit less the number of pieces."""
+        sums = [_total(half, lambda y, b=b: F.shiftrightunsigned(y, b).bitwiseAND(pair)) for b in range(32)]
+        ones = let(F.array(*sums), lambda s: F.concat(F.transform(s, lambda x: x.bitwiseAND(F.lit(MASK))), F.transform(s, lambda x: F.shiftrightunsigned(x, 32))))
+        return F.transform(ones, lambda x: _wrapped(x * 2 - n))
+
+    pieces = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.md5(p))
+
+    def half(digests: Column, j: int) -> Column:
+        return let(F.transform(digests, lambda h: bits(h, 16 * j, 16)), lambda y: like(y, F.size(y)))
+
+    return F.concat(sure, let(pieces, lambda m: F.concat(*(half(m, j) for j in range(LIKE // 64)))))
 
 
 def insert(vector: Column, other: Column) -> Column:
     """The vector of two multisets together: that of a document with paragraphs inserted."""
-    return F.zip_with(vector, other, lambda a, b: (a + b).bitwiseAND(F.lit(MASK)))
+    return F.zip_with(vector, other, lambda a, b: _wrapped(a.cast("long") + b))
 
 
 def delete(vector: Column, other: Column) -> Column:
     """The vector of a document without the paragraphs that ``other`` is the vector of."""
-    return F.zip_with(vector, other, lambda a, b: (a - b).bitwiseAND(F.lit(MASK)))
+    return F.zip_with(vector, other, lambda a, b: _wrapped(a.cast("long") - b))
 
 
 def text_form(vector: Column) -> Column:
-    return F.array_join(F.transform(vector, lambda a: F.lpad(F.lower(F.hex(a)), 8, "0")), "")
+    return F.array_join(F.transform(vector, lambda a: F.lpad(F.lower(F.hex(a.cast("long").bitwiseAND(F.lit(MASK)))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: 1 for equal vectors; else the shared runs against those of the document with more, as the numbers estimate them."""
-    signed = lambda v: F.transform(F.slice(v, SURE + 1, LIKE), lambda x: F.when(x > MASK // 2, x - (MASK + 1)).otherwise(x))
-    product = lambda v, w: F.aggregate(F.zip_with(signed(v), signed(w), lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    """0 to 1: 1 for equal vectors; else the shared pieces against those of the document with more, as the numbers estimate them."""
+    like = lambda v: F.slice(v, SURE + 1, LIKE)
+    product = lambda v, w: F.aggregate(F.zip_with(like(v), like(w), lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
     most = F.greatest(product(a, a), product(b, b))
     return F.when(a == b, F.lit(1.0)).when(most == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), product(a, b) / most))
 
@@ -102,9 +109,9 @@ def successors(rows: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, vector, fingerprint) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"), F.monotonically_increasing_id().alias("__row"))
-    return vectors(rows, ["__row", "__id"], "__text").select(F.col("__id").alias(id_col), "vector", text_form(F.col("vector")).alias("fingerprint"))
+    """(id, vector, fingerprint) of every row, without a shuffle."""
+    rows = docs.select(F.col(id_col), vector(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("vector"))
+    return rows.select(id_col, "vector", text_form(F.col("vector")).alias("fingerprint"))
 
 
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,21 +120,18 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.sha2(text, 256).alias("sha"))
     key = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("sha")).alias("key")
     texts = rows.select(key, "text").groupBy("key").agg(F.max("text").alias("text"))
-    own = vectors(texts, ["key"], "text")
 
     skinny = rows.select(key, "id", "sha", F.char_length("text").cast("long").alias("n_chars")).groupBy("key", "id", "sha", "n_chars").agg(F.count("*").alias("m"))
     after = successors(skinny)
     # equal rows are each other's next, but for the last of them
     ways = F.array(F.struct("next", F.lit(1).cast("long").alias("m")), F.struct(F.col("key").alias("next"), (F.col("m") - 1).alias("m")))
-    after = after.select("key", "id", "n_chars", F.posexplode(ways).alias("way", "w")).where("w.m > 0").select("key", "id", "n_chars", "way", "w.next", "w.m")
+    after = after.select("key", "id", "n_chars", F.explode(ways).alias("w")).where("w.m > 0").select("key", "id", "n_chars", "w.next", "w.m")
 
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    source = texts.withColumnRenamed("key", "next").join(own.select(F.col("key").alias("next"), F.col("vector").alias("next_vector")), "next")
-    sent = source.join(after, "next").select("key", "way", "id", "n_chars", "m", F.substring("text", F.lit(1), half).alias("beginning"), "next_vector")
+    sent = texts.withColumnRenamed("key", "next").join(after, "next").select("key", "id", "n_chars", "m", F.substring("text", F.lit(1), half).alias("beginning"), vector(F.col("text")).alias("next_vector"))
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
-    edited = texts.join(sent, "key").select("key", "way", "id", "n_chars", "m", "next_vector", F.concat(kept, "beginning").alias("edited"))
-    changed = vectors(edited.select("key", "way", "edited"), ["key", "way"], "edited").withColumnRenamed("vector", "edited_vector")
-    out = edited.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited").join(changed, ["key", "way"]).join(own, "key")
+    out = texts.join(sent, "key").select("id", "n_chars", "m", "next_vector", vector(F.col("text")).alias("vector"), F.concat(kept, "beginning").alias("edited"))
+    out = out.select("id", "n_chars", "m", "next_vector", "vector", F.sha2("edited", 256).alias("edited_sha256"), vector(F.col("edited")).alias("edited_vector"))
     out = out.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", text_form(F.col("vector")).alias("fingerprint"), text_form(F.col("edited_vector")).alias("edited_fingerprint"),
         likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"), likeness(F.col("vector"), F.col("next_vector")).alias("near_next"), "m",
@@ -137,7 +141,6 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 _BITS_SQL = ", ".join(f"coalesce(sum(((y{j} >> {b}) & 1)::BIGINT*2-1),0)::BIGINT" for j in range(LIKE // 64) for b in range(64))
 _SURE_SQL = ", ".join(f"coalesce(sum(('0x' || substr(h,{8 * k + 1},8))::BIGINT),0)::BIGINT" for k in range(SURE))
-_WHOLE = 1 << 32
 #: The same in DuckDB.
 SQL = rf"""WITH d AS (SELECT doc_id, coalesce(text,'') AS text, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, sha256(coalesce(text,''))) AS rn FROM documents),
 e AS (SELECT d.rn, n.rn AS next_rn, d.doc_id, length(d.text) AS n_chars, d.text, substr(d.text,1,length(d.text)-length(d.text)//2) || substr(n.text,1,length(d.text)//2) AS edited
@@ -145,11 +148,10 @@ e AS (SELECT d.rn, n.rn AS next_rn, d.doc_id, length(d.text) AS n_chars, d.text,
 u AS (SELECT rn, 0 AS kind, text AS t FROM e UNION ALL SELECT rn, 1, edited FROM e),
 p AS (SELECT rn, kind, unnest(CASE WHEN t='' THEN [] ELSE string_split(t, chr(10)) END) AS p FROM u),
 a AS (SELECT rn, kind, [{_SURE_SQL}] AS sure FROM (SELECT rn, kind, sha256(p) AS h FROM p) GROUP BY ALL),
-w AS (SELECT rn, kind, regexp_extract_all(p, '[^\x20\x09\x0B-\x0D]+') AS w FROM p),
-m AS (SELECT rn, kind, md5(g) AS m FROM (SELECT rn, kind, unnest(CASE WHEN len(w)>=3 THEN list_transform(range(1,len(w)-1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2]) WHEN len(w)>0 THEN [array_to_string(w,' ')] ELSE [] END) AS g FROM w)),
+m AS (SELECT rn, kind, md5(unnest(regexp_extract_all(t, '{PIECE}'))) AS m FROM u),
 b AS (SELECT rn, kind, [{_BITS_SQL}] AS likes FROM (SELECT rn, kind, ('0x' || substr(m,1,16))::UBIGINT AS y0, ('0x' || substr(m,17,16))::UBIGINT AS y1 FROM m) GROUP BY ALL),
 v AS (SELECT rn, kind, coalesce(sure, list_resize([0::BIGINT],{SURE},0)) AS sure, coalesce(likes, list_resize([0::BIGINT],{LIKE},0)) AS likes FROM u LEFT JOIN a USING (rn, kind) LEFT JOIN b USING (rn, kind)),
-f AS (SELECT rn, kind, array_to_string(list_transform(list_concat(sure, likes), lambda x: lpad(lower(to_hex(((x % {_WHOLE}) + {_WHOLE}) % {_WHOLE})),8,'0')),'') AS f, likes::DOUBLE[] AS l FROM v),
+f AS (SELECT rn, kind, array_to_string(list_transform(list_concat(sure, likes), lambda x: lpad(lower(to_hex(((x % {WHOLE}) + {WHOLE}) % {WHOLE})),8,'0')),'') AS f, likes::DOUBLE[] AS l FROM v),
 s AS (SELECT e.rn, doc_id, n_chars, sha256(edited) AS edited_sha256, o.f AS fingerprint, c.f AS edited_fingerprint, x.f AS next_fingerprint, o.l AS ol, c.l AS cl, x.l AS xl
     FROM e JOIN f o ON o.rn=e.rn AND o.kind=0 JOIN f c ON c.rn=e.rn AND c.kind=1 JOIN f x ON x.rn=e.next_rn AND x.kind=0),
 l AS (SELECT *, list_dot_product(ol,ol) AS oo, list_dot_product(cl,cl) AS cc, list_dot_product(xl,xl) AS xx, list_dot_product(ol,cl) AS oc, list_dot_product(ol,xl) AS ox FROM s)
