@@ -11,7 +11,7 @@ paragraph: three words, or fewer before a mark of punctuation or the line end. S
 documents' numbers estimate how many pieces they share, with an error of about 1 / sqrt(LIKE).
 
 A vector is a Column expression of the text: Spark's own functions, in the row, nothing is
-exploded or shuffled for it. Two sums of 32 bits share a 64-bit number while pieces
+exploded or shuffled for it. Four sums share a 64-bit number while pieces
 are added up. Texts are shuffled once, by row key; the next document of each row is found on keys
 alone, by a range partitioning whose parts hand the first key of each to the one before, and sends
 only as much of its beginning as the row's edited text takes, with its vector.
@@ -32,6 +32,8 @@ from foliant.llm.shared import cut
 
 SURE, LIKE = 8, 128
 MASK, WHOLE = (1 << 32) - 1, 1 << 32
+#: Pieces whose bits are added up in lanes of 16 bits; more are added up in lots.
+PACKED = (1 << 15) - 1
 #: Up to three words with nothing but white space between them.
 _WORD = r"[^\x09-\x0D\x20.,;:!?]+"
 PIECE = rf"(?:{_WORD}[\x09\x0B-\x0D\x20]+){{0,2}}{_WORD}"
@@ -51,18 +53,27 @@ def _total(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda s, x: s + of(x))
 
 
+def _lane(q: int):
+    return lambda x: F.shiftrightunsigned(x, 16 * q).bitwiseAND(F.lit(0xFFFF))
+
+
 def vector(text: Column) -> Column:
     """array<int> of ``SURE + LIKE`` numbers: the fingerprint of a text."""
     paragraphs = F.when(text != "", F.split(text, "\n")).otherwise(F.array().cast("array<string>"))
     digests = F.transform(paragraphs, lambda p: F.sha2(p, 256))
     sure = let(digests, lambda d: F.array(*(_wrapped(_total(d, lambda h, k=k: bits(h, 8 * k, 8))) for k in range(SURE))))
-    pair = F.lit(WHOLE | 1)
+    four = F.lit(sum(1 << 16 * q for q in range(4)))
+
+    def ones(half: Column) -> Column:
+        """How many of at most ``PACKED`` numbers have each of 64 bits: four sums share a number."""
+        sums = [_total(half, lambda y, b=b: F.shiftrightunsigned(y, b).bitwiseAND(four)) for b in range(16)]
+        return let(F.array(*sums), lambda s: F.concat(*(F.transform(s, _lane(q)) for q in range(4))))
 
     def like(half: Column, n: Column) -> Column:
         """64 numbers: twice the ones of each bit less the number of pieces."""
-        sums = [_total(half, lambda y, b=b: F.shiftrightunsigned(y, b).bitwiseAND(pair)) for b in range(32)]
-        ones = let(F.array(*sums), lambda s: F.concat(F.transform(s, lambda x: x.bitwiseAND(F.lit(MASK))), F.transform(s, lambda x: F.shiftrightunsigned(x, 32))))
-        return F.transform(ones, lambda x: _wrapped(x * 2 - n))
+        lots = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / PACKED).cast("int")), lambda i: ones(F.slice(half, i * PACKED + 1, F.lit(PACKED))))
+        many = F.aggregate(lots, F.array_repeat(F.lit(0).cast("long"), 64), lambda s, x: F.zip_with(s, x, lambda a, b: a + b))
+        return F.transform(F.when(n <= PACKED, ones(half)).otherwise(many), lambda x: _wrapped(x * 2 - n))
 
     pieces = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.md5(p))
 

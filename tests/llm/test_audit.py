@@ -142,6 +142,11 @@ def test_op13_vectors_are_homomorphic(spark, odd):
     assert list(got[0]) == v[0]["vector"] and list(got[1]) == v[2]["vector"] and set(got[2]) == {0}
 
 
+def test_op13_lots_of_pieces(spark, odd, monkeypatch):
+    monkeypatch.setattr(fingerprint, "PACKED", 100)
+    assert Counter((r["doc_id"], tuple(r["vector"])) for r in fingerprint.fingerprints(odd).collect()) == Counter((r[0], tuple(naive_vector(r[1] or ""))) for r in odd_rows())
+
+
 def test_op13_runs_no_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = fingerprint.edits(docs)._jdf.queryExecution().executedPlan().toString()
