@@ -64,20 +64,45 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, seed: int, size: Co
     ``size`` is a Column over ``stratum_n``; by default Cochran's with correction. ``bound`` is a
     number that no sample exceeds, if there is one (Cochran's has). With it each task keeps its first
     ``bound`` rows of a stratum before the shuffle, so a stratum with most of the rows isn't
-    sorted in one task.
+    sorted in one task. Without one the cut is found by ``cut_by_prefix``; the rows are the same.
     """
     if size is None:
         bound = math.ceil(Z95**2 * 0.25 / error**2)
     n = df.groupBy(stratum).agg(F.count("*").alias("stratum_n"))
     n = n.withColumn("sample_n", (cochran(F.col("stratum_n"), error) if size is None else size).cast("long"))
     ranked = df.withColumn("__o", shuffle_key(seed, F.col(stratum), F.col(key)))
+    if bound is None:
+        return cut_by_prefix(ranked, n, key, stratum)
     w = Window.partitionBy(stratum).orderBy("__o", F.col(key).cast("string"))
-    first = ranked.withColumn("__r", F.row_number().over(w))
-    if bound is not None:
-        first = first.where(F.col("__r") <= bound)
+    first = ranked.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= bound)
     return first.join(n, stratum).where("__r <= sample_n").drop("__o", "__r")
 
 
+#: Hexadecimal digits of the order by which a stratum is counted: 16**4 slices.
+PREFIX = 4
+
+
+def cut_by_prefix(ranked: DataFrame, sizes: DataFrame, key: str, stratum: str) -> DataFrame:
+    """The first ``sample_n`` rows of each stratum by ``__o``, a hash in hexadecimal, without sorting any stratum.
+
+    Rows are counted by the hash's first digits; the running count of these slices says
+    which of them are whole in the sample and which one is cut. Whole ones are a filter; only the
+    one that is cut, a stratum's 65,536th part, is sorted.
+    """
+    slice_of = F.substring("__o", 1, PREFIX)
+    counts = ranked.groupBy(F.col(stratum).alias("__s"), slice_of.alias("__cut")).agg(F.count("*").alias("__c"))
+    upto = F.sum("__c").over(Window.partitionBy("__s").orderBy("__cut"))  # 16**PREFIX rows at most
+    counts = counts.withColumn("__upto", upto).join(sizes.withColumnRenamed(stratum, "__s"), "__s")
+    # the slice in which the sample ends; of one that takes all or nothing, the last or the first
+    end = F.greatest(F.col("sample_n"), F.lit(1))
+    cuts = counts.where((F.col("__upto") - F.col("__c") < F.least(end, "stratum_n")) & (F.least(end, "stratum_n") <= F.col("__upto")))
+    cuts = cuts.select("__s", "__cut", "stratum_n", "sample_n", (F.col("sample_n") - F.col("__upto") + F.col("__c")).alias("__rest"))
+    placed = ranked.join(cuts, F.col(stratum) == F.col("__s")).withColumn("__p", slice_of)
+    whole = placed.where("__p < __cut")
+    part = placed.where("__p = __cut").withColumn("__r", F.row_number().over(Window.partitionBy("__s").orderBy("__o", F.col(key).cast("string")))).where("__r <= __rest").drop("__r")
+    return whole.unionAll(part).drop("__o", "__s", "__cut", "__rest", "__p")
+
+
 def quota_sample(df: DataFrame, key: str, stratum: str, seed: int, quota: int) -> DataFrame:
     return stratified_sample(df, key, stratum, seed, F.least(F.lit(quota).cast("long"), F.col("stratum_n")), bound=quota)
 
