@@ -8,23 +8,42 @@ from pyspark.sql import functions as F
 FIRST_YEAR, CENTURY_PIVOT, FILING_PIVOT = 1986, 80, 50
 
 
+def _tail(c: Column) -> Column:
+    """What stands after the last hyphen."""
+    return F.trim(F.substring_index(F.trim(c), "-", -1))
+
+
+def _digits(tail: Column) -> Column:
+    """Whether a text that isn't empty has digits only; cheaper than a pattern."""
+    return F.translate(tail, "0123456789", "") == ""
+
+
+def _written_year(tail: Column) -> Column:
+    """The year that four digits, or two with their century, name; null for anything else."""
+    n = tail.try_cast("int")
+    return F.when((F.length(tail) == 4) & _digits(tail), n).when((F.length(tail) == 2) & _digits(tail), n + F.when(n >= CENTURY_PIVOT, 1900).otherwise(2000))
+
+
+def year_number(c: Column, as_of_year: int) -> Column:
+    """The year of ``year_of`` alone."""
+    n = _written_year(_tail(c))
+    return F.when(F.contains(c, F.lit("-")) & n.between(FIRST_YEAR, as_of_year + 1), n)
+
+
 def year_of(c: Column, as_of_year: int) -> Column:
     """struct(year, reason): the year after the last hyphen; null with a reason where it can't be derived.
 
     Four digits are the year, two digits from 80 on are of 19xx, others of 20xx. The year has
     to lie between 1986 and the year after ``as_of_year``.
     """
-    tail = F.trim(F.substring_index(F.trim(c), "-", -1))
-    digits = F.when(tail.rlike("^[0-9]+$"), tail.try_cast("int"))
-    n = F.when(F.length(tail) == 4, digits).when(F.length(tail) == 2, digits + F.when(digits >= CENTURY_PIVOT, 1900).otherwise(2000))
-    inside = n.between(FIRST_YEAR, as_of_year + 1)
+    tail = _tail(c)
     reason = (
         F.when(c.isNull() | ~F.contains(c, F.lit("-")), "sin guion")
-        .when(~tail.rlike("^[0-9]+$"), "no numerico")
+        .when((tail == "") | ~_digits(tail), "no numerico")
         .when(~F.length(tail).isin(2, 4), "longitud del anio")
-        .when(~inside, "fuera del periodo")
+        .when(~_written_year(tail).between(FIRST_YEAR, as_of_year + 1), "fuera del periodo")
     )
-    return F.struct(F.when(reason.isNull(), n).alias("year"), reason.alias("reason"))
+    return F.struct(year_number(c, as_of_year).alias("year"), reason.alias("reason"))
 
 
 def filing_year(c: Column) -> Column:
@@ -47,13 +66,13 @@ def variants(c: Column) -> Column:
 def canonical(c: Column, as_of_year: int) -> Column:
     """One key for all variants: number and four-digit year where derivable, else the trimmed text."""
     t = F.trim(c)
-    year = year_of(c, as_of_year)["year"]
-    return F.when(year.isNull(), t).otherwise(F.concat_ws("-", F.substring_index(t, "-", 1), year.cast("string")))
+    whole = F.concat_ws("-", F.substring_index(t, "-", 1), year_number(c, as_of_year).cast("string"))
+    return F.when(year_number(c, as_of_year).isNull(), t).otherwise(whole)
 
 
 def document_years(cases: Column, as_of_year: int, policy: str) -> Column:
     """Years of a document with several case numbers. policy: each (distinct, sorted), first, oldest, or first_case."""
-    years = F.transform(cases, lambda c: year_of(c, as_of_year)["year"])
+    years = F.transform(cases, lambda c: year_number(c, as_of_year))
     known = F.array_compact(years)
     if policy == "each":
         return F.array_sort(F.array_distinct(known))

@@ -11,21 +11,48 @@ from foliant.functions.casenum import canonical, document_years
 from foliant.functions.text import let, plain
 from foliant.operators.tables import latest
 
-_ISO = r"\A\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?\z"
+#: The ISO forms of dates and times: with hyphens and colons or without, by day or by week, any one character between the two.
+_DAY = r"\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-[1-7])?|\d{4}W\d{2}[1-7]?"
+_HOUR = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{2}(?:\d{2}(?:\d{2}(?:[.,]\d+)?)?)?"
+_ZONE = r"Z|[+-]\d{2}(?::\d{2}(?::\d{2})?|\d{2}(?:\d{2})?)?"
+_ISO = rf"\A({_DAY})(?:.({_HOUR})({_ZONE})?)?\z"
+
+
+def _day(text: Column) -> Column:
+    """The date of one of ``_DAY``'s forms; null for a day that doesn't exist."""
+    bare = F.regexp_replace(text, "-", "")
+    year = F.substring(bare, 1, 4).try_cast("int")
+    week, weekday = F.substring(bare, 6, 2).try_cast("int"), F.coalesce(F.nullif(F.substring(bare, 8, 1), F.lit("")).try_cast("int"), F.lit(1))
+    fourth = F.make_date(F.greatest(year, F.lit(1)), F.lit(1), F.lit(4))  # always in the first week
+    by_week = F.date_add(fourth, (week - 1) * 7 + weekday - 1 - F.weekday(fourth))
+    exists = (week >= 1) & (F.date_part(F.lit("YEAROFWEEK"), by_week) == year)
+    return F.when(F.contains(text, F.lit("W")), F.when(exists, by_week)).otherwise(F.try_to_date(bare, "yyyyMMdd"))
+
+
+def _moment(c: Column) -> Column:
+    """struct(day, time): null and null for what isn't ISO or doesn't exist; the time in UTC, an unnamed offset being UTC."""
+    piece = lambda i: F.regexp_extract(c, _ISO, i)
+    bare = F.regexp_replace(piece(2), ":", "")
+    part = lambda at: F.coalesce(F.nullif(F.substring(bare, at, 2), F.lit("")), F.lit("00"))
+    fraction = F.substring(F.regexp_extract(bare, r"[.,](\d+)", 1), 1, 6)
+    offset = F.regexp_replace(piece(3), "[:Z]", "")
+    zone = F.when(offset == "", "Z").otherwise(F.concat(F.substring(offset, 1, 3), F.lit(":"), F.rpad(F.substring(offset, 4, 2), 2, "0"), F.when(F.length(offset) > 5, F.concat(F.lit(":"), F.substring(offset, 6, 2))).otherwise("")))
+
+    def told(day: Column) -> Column:
+        written = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), part(1), F.lit(":"), part(3), F.lit(":"), part(5), F.lit("."), F.rpad(fraction, 6, "0"), zone)
+        return F.struct(day.alias("day"), F.try_to_timestamp(written).alias("time"))
+
+    return let(F.when(c.rlike(_ISO), _day(piece(1))), told)
 
 
 def iso_date(c: Column, field: str) -> Column:
     """struct(value date, warning): the day an ISO date or time names, as written; null with a warning if it isn't one, without if it is blank."""
-    day = F.when(c.rlike(_ISO), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
-    time = F.when(F.length(c) > 10, F.try_to_timestamp(F.regexp_replace(c, r"\A(.{10}) ", "$1T"))).otherwise(day.cast("timestamp"))
-    return _told(c, F.when(time.isNotNull(), day), field)
+    return _told(c, let(_moment(c), lambda m: F.when(m["time"].isNotNull(), m["day"])), field)
 
 
 def iso_time(c: Column, field: str) -> Column:
     """struct(value timestamp, warning): an ISO date or time; without an offset it is UTC."""
-    zone = F.when(c.rlike(r"(?:Z|[+-]\d{2}:\d{2})\z"), "").otherwise("Z")
-    full = F.when(F.length(c) <= 10, F.concat(c, F.lit("T00:00:00Z"))).otherwise(F.concat(F.regexp_replace(c, r"\A(.{10}) ", "$1T"), zone))
-    return _told(c, F.when(c.rlike(_ISO), F.try_to_timestamp(full)), field)
+    return _told(c, _moment(c)["time"], field)
 
 
 def _told(c: Column, value: Column, field: str) -> Column:
@@ -138,7 +165,7 @@ def search(documents: DataFrame, text: str, *words: str) -> DataFrame:
     """Documents that have all words, whole and whatever their case and accents, with ``hits``, the occurrences of all."""
     bare = ["".join(c for c in unicodedata.normalize("NFD", w.lower()) if unicodedata.category(c) != "Mn") for w in words]
     escaped = [r"(?U)\b" + "".join(c if c.isalnum() or c == "_" else rf"\{c}" for c in w) + r"\b" for w in bare]
-    counted = documents.withColumn("__plain", plain(F.col(text)))
-    n = [F.regexp_count("__plain", F.lit(e)) for e in escaped]
-    hits = counted.withColumn("__n", F.array(*n)).where(F.forall("__n", lambda x: x > 0))
-    return hits.withColumn("hits", F.aggregate("__n", F.lit(0), lambda a, x: a + x)).drop("__plain", "__n")
+    # one normal form per text: a filter on a plain column would repeat it, one on an exploded column can't
+    n = let(plain(F.col(text)), lambda p: F.array(*[F.regexp_count(p, F.lit(e)) for e in escaped]))
+    hits = documents.select("*", F.explode(F.array(n)).alias("__n")).where(F.forall("__n", lambda x: x > 0))
+    return hits.withColumn("hits", F.aggregate("__n", F.lit(0), lambda a, x: a + x)).drop("__n")

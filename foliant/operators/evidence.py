@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.casenum import canonical, variants
 from foliant.functions.text import let, letters, quotable, signature_block
+from foliant.operators.tables import keep
 
 LAYERS = ("portal", "deterministic", "llm")
 
@@ -48,25 +49,27 @@ def quotes_in(documents: DataFrame, quotes: DataFrame, doc_id: str, quote_id: st
     """(doc_id, quote_id) of every quote that occurs in a document, both in the form of ``quotable``.
 
     All but the first and last word of a quote are whole words of a document that holds it, so the
-    two meet by the longest of these, and the candidates are tested on whole texts. Documents
-    send ids and words that are some quote's key only. Quotes of one or two words have no such
-    word; they are dealt into blocks, and each document is tested against each block. Null
-    and blank quotes occur nowhere.
+    two meet by the one of these that the fewest documents have, and the candidates are tested on whole texts.
+    Documents send ids and words that are some quote's only. Quotes of one or two words have no such
+    word; they are dealt into blocks, and each document is tested against each block, in as many
+    parts as the session shuffles into. Null and blank quotes occur nowhere.
     """
     words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
     q = quotes.select(F.col(quote_id).alias("__q"), quotable(F.col(text)).alias("__quote")).where("__quote <> ''").withColumn("__w", words(F.col("__quote")))
     d = documents.select(F.col(doc_id).alias("__d"), quotable(F.col(text)).alias("__text"))
-    inner = F.slice("__w", 2, F.greatest(F.size("__w") - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    keyed = q.withColumn("__word", longest)
-    long = keyed.where("__word is not null").select("__q", "__quote", "__word")
-    at = d.select("__d", F.explode(F.array_distinct(words(F.col("__text")))).alias("__word")).join(long.select("__q", "__word"), "__word")
-    found = at.select("__d", "__q").join(long.select("__q", "__quote"), "__q").join(d, "__d").where(F.contains("__text", "__quote")).select("__d", "__q")
-    short = keyed.where("__word is null").select("__q", "__quote")
+    inner = q.select("__q", F.explode(F.array_distinct(F.slice("__w", 2, F.greatest(F.size("__w") - 2, F.lit(0))))).alias("__word"))
+    at = d.select("__d", F.explode(F.array_distinct(words(F.col("__text")))).alias("__word")).join(inner.select("__word").distinct(), "__word")
+    common = at.groupBy("__word").agg(F.count("*").alias("__n"))
+    # a quote with a word that no document has occurs nowhere
+    keyed = inner.join(common, "__word", "left").groupBy("__q").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__word").alias("w"))).alias("k"))
+    keyed = keyed.where("k.n > 0").select("__q", F.col("k.w").alias("__word"))
+    found = at.join(keyed, "__word").select("__d", "__q").join(q.select("__q", "__quote"), "__q").join(d, "__d").where(F.contains("__text", "__quote")).select("__d", "__q")
+    short = q.where(F.size("__w") <= 2).select("__q", "__quote")
     if n := short.count():
-        blocks = -(-n // SHORT_BLOCK)
-        dealt = short.groupBy(F.pmod(F.xxhash64("__q"), F.lit(blocks)).cast("int").alias("__block")).agg(F.collect_list(F.struct("__q", "__quote")).alias("__quotes"))
-        tried = d.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(dealt, "__block")
+        blocks, parts = -(-n // SHORT_BLOCK), int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        upto = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+        dealt = short.groupBy(F.pmod(F.xxhash64("__q"), F.lit(blocks)).cast("int").alias("__block")).agg(F.collect_list(F.struct("__q", "__quote")).alias("__quotes")).withColumn("__part", upto(parts))
+        tried = d.withColumn("__part", F.pmod(F.xxhash64("__d"), F.lit(parts)).cast("int")).withColumn("__block", upto(blocks)).join(dealt, ["__block", "__part"])
         hits = F.filter("__quotes", lambda x: F.contains(F.col("__text"), x["__quote"]))
         found = found.unionAll(tried.select("__d", F.explode(hits).alias("h")).select("__d", "h.__q"))
     return found.distinct().select(F.col("__d").alias(doc_id), F.col("__q").alias(quote_id))
@@ -119,7 +122,7 @@ def load_model(census: DataFrame, cards: DataFrame, decisions: DataFrame, docume
     """The eight tables; three are empty on purpose: nothing reliable fills them yet."""
     spark = census.sparkSession
     empty = lambda s: spark.createDataFrame([], s)
-    kinds = census.select("id", "kind").dropDuplicates(["id"])
+    kinds = keep(census.select("id", "kind"), "id", "kind", "first")
     return {
         "census": census, "attributes": attributes_long(cards, "id", "attributes"), "decisions": decisions.where("effect is not null").join(kinds, "id", "left"),
         "documents": documents.withColumn("publication_status", F.lit("publicado")), "extractions": facts.where("value is not null"),

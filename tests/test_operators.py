@@ -25,7 +25,7 @@ def test_query_equals_its_oracle(spark, name):
     if name in registry.ORACLES:
         con = duckdb.connect()
         con.execute("set timezone='UTC'")
-        for table in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels"):
+        for table in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
             con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
         cursor = con.execute(registry.ORACLES[name])
         at = [[d[0] for d in cursor.description].index(c) for c in columns]
