@@ -10,7 +10,11 @@ count as much as verbatim ones.
 
 A benchmark is read in blocks of at most ``block_bytes`` of text, one pass over
 the documents per block, so what is sent to the tasks has a fixed bound; the
-usual benchmark is one block. An item longer than a block is a block of its own.
+usual benchmark is one block. Equal items are one text in a block, and their ids are joined with
+what it matches afterwards; blocks are cut by the texts' sizes, and an item longer than a block is a block of its own.
+
+A seed that more than ``MANY`` items hold ("answer the following question") finds no items by itself: an item
+needs another seed in a document, unless such seeds alone could cover enough of it. Tiling and coverage count all seeds.
 
 Defined cases: null, empty and wordless items are covered by nothing; an item with
 fewer words than a seed must occur whole; null and empty texts match nothing;
@@ -34,8 +38,11 @@ from foliant.llm.shared import cut, small_batches
 SEED = 5
 THRESHOLD = 0.5
 BLOCK_BYTES = 4 << 20
+MANY = 64
+#: Digits of a text's hash by which sizes are summed, and more where that is too coarse.
+DIGITS = 3
 
-SCHEMA = "id long, item_id long, covered long, item_words long, coverage double, tiles array<struct<doc_start:int,item_start:int,length:int>>"
+SCHEMA = "id long, item string, covered long, item_words long, coverage double, tiles array<struct<doc_start:int,item_start:int,length:int>>"
 
 
 def tile(doc: list[int], item: list[int], least: int, first: int = 20) -> list[tuple[int, int, int]]:
@@ -118,23 +125,43 @@ def grams_of(hashes: np.ndarray, k: int) -> np.ndarray:
     return got[valid]
 
 
-def _dealt(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[tuple[list[int], list[str]]]:
-    """The benchmark's blocks: ids and texts. A hash deals the items evenly; a block is what a task holds."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = -(-size // block_bytes) or 1
-    for b in range(n_blocks):
-        got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).orderBy("item_id", "text").collect()
-        yield [r["item_id"] for r in got], [r["text"] for r in got]
+def _items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    """(item_id, item, text): ``item`` is the text's hash."""
+    text = F.col(item_text_col).cast("string")
+    return benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.sha2(text, 256).alias("item"), text.alias("text")).where("text is not null")
+
+
+def _ranges(texts: DataFrame, block_bytes: int, digits: int = DIGITS) -> Iterator[tuple[str, str]]:
+    """Ranges of hashes, by their first digits, whose texts have ``block_bytes`` at most or are one text."""
+    sizes = texts.groupBy(F.substring("item", 1, digits).alias("p")).agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("c"))
+    low, high, total = None, None, 0
+    for p, n, c in sizes.orderBy("p").collect():  # 16**DIGITS rows at most
+        if low is not None and total + n > block_bytes:
+            yield low, high
+            low, total = None, 0
+        if n > block_bytes and c > 1:
+            yield from _ranges(texts.where(F.startswith("item", F.lit(p))), block_bytes, digits + DIGITS)
+            continue
+        low, high, total = low or p, p, total + n
+    if low is not None:
+        yield low, high
+
+
+def _dealt(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[str], list[str]]]:
+    """The benchmark's blocks: hashes and texts, every text once."""
+    texts = items.groupBy("item").agg(F.max("text").alias("text"))
+    for low, high in _ranges(texts, block_bytes):
+        got = texts.where((F.substring("item", 1, len(low)) >= low) & (F.substring("item", 1, len(high)) <= high)).orderBy("item").collect()
+        yield [r["item"] for r in got], [r["text"] for r in got]
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and item whose coverage reaches ``threshold``: id, item_id, covered, item_words, coverage, tiles."""
     small_batches(docs)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = None
-    for ids, texts in _dealt(docs, benchmark, item_col, item_text_col, block_bytes):
-        found = Tiling(ids, texts, threshold, seed)
+    items, out = _items(benchmark, item_col, item_text_col), None
+    for hashes, texts in _dealt(items, block_bytes):
+        found = Tiling(hashes, texts, threshold, seed)
 
         def run(batches: Iterator[pa.RecordBatch], found: Tiling = found) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -144,19 +171,41 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
         part = source.mapInArrow(run, SCHEMA)
         out = part if out is None else out.unionAll(part)
-    return out.select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "covered", "item_words", "coverage", "tiles")
+    if out is None:
+        out = source.sparkSession.createDataFrame([], SCHEMA)
+    named = out.join(items.select("item", "item_id"), "item")
+    return named.select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "covered", "item_words", "coverage", "tiles")
 
 
-OUT = pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("covered", pa.int64()), ("item_words", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())])))])
+OUT = pa.schema([("id", pa.int64()), ("item", pa.string()), ("covered", pa.int64()), ("item_words", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())])))])
 
 
 class Tiling:
     """Tiles of texts with a bounded set of items."""
 
-    def __init__(self, ids: list[int], texts: list[str], threshold: float, seed: int):
-        self.ids, self.seed = ids, seed
+    def __init__(self, names: list[str], texts: list[str], threshold: float, seed: int):
+        self.names, self.seed = names, seed
         self.index = ItemIndex(texts, seed)
         self.need = [max(1, -(-int(round(threshold * len(x) * 1000)) // 1000)) for x in self.index.items]
+        common: dict[int, set[int]] = defaultdict(set)  # words of an item that seeds of many items cover
+        for k, _, where in self.index.by_length:
+            for at in where:
+                if len({n for n, _ in at}) > MANY:
+                    for n, q in at:
+                        common[n].update(range(q, q + k))
+        enough = {n for n, words_of in common.items() if len(words_of) >= self.need[n]}
+        #: By seed length and seed: what finds items, and, of a seed of many items, where it is in each of the others.
+        self.finds, self.adds = [], []
+        for _, _, where in self.index.by_length:
+            many = [len({n for n, _ in at}) > MANY for at in where]
+            self.finds.append([[(n, q) for n, q in at if n in enough] if hot else at for at, hot in zip(where, many, strict=True)])
+            adds: dict[int, dict[int, list[int]]] = {}
+            for m in np.flatnonzero(many).tolist():
+                adds[m] = defaultdict(list)
+                for n, q in where[m]:
+                    if n not in enough:
+                        adds[m][n].append(q)
+            self.adds.append(adds)
 
     def tiled(self, doc: np.ndarray, hits: dict[int, int], n: int) -> list[dict] | None:
         """Tiles of item ``n`` if they cover enough; ``hits``: each seed's start in the document to its length."""
@@ -184,20 +233,31 @@ class Tiling:
             w = words(block, NON_WORD)
             hits: dict[int, dict[int, dict[int, int]]] = defaultdict(lambda: defaultdict(dict))
             covers: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-            for k, keys, where in self.index.by_length:
+            later: dict[int, list[tuple[int, int, dict[int, list[int]]]]] = defaultdict(list)
+            for (k, keys, _), finds, adds in zip(self.index.by_length, self.finds, self.adds, strict=True):
                 values, valid = grams(w, k)
                 pos, place = keys.find(values)
                 pos, place = pos[valid[pos]], place[valid[pos]]
                 owner = np.searchsorted(w.bounds, pos, "right") - 1
                 for i, p, m in zip(owner.tolist(), (pos - w.bounds[owner]).tolist(), place.tolist(), strict=True):
-                    for n, q in where[m]:
+                    for n, q in finds[m]:
                         hits[i][n][p] = k
                         covers[i][n].update(range(q, q + k))
+                    if m in adds:
+                        later[i].append((p, k, adds[m]))
+            for i, common in later.items():  # only for items that another seed has found in the text
+                if i in hits:
+                    for p, k, of in common:
+                        few, other = (hits[i], of) if len(hits[i]) <= len(of) else (of, hits[i])
+                        for n in [n for n in few if n in other]:
+                            hits[i][n][p] = k
+                            for q in of[n]:
+                                covers[i][n].update(range(q, q + k))
             for i, of in hits.items():
                 for n in of:
                     if len(covers[i][n]) >= self.need[n] and (tiles := self.tiled(w.of(i), of[n], n)):
                         covered, size = sum(t["length"] for t in tiles), len(self.index.items[n])
-                        yield block.first + i, {"item_id": self.ids[n], "covered": covered, "item_words": size, "coverage": covered / size, "tiles": tiles}
+                        yield block.first + i, {"item": self.names[n], "covered": covered, "item_words": size, "coverage": covered / size, "tiles": tiles}
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -209,8 +269,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     small_batches(docs)
     kind, place, ident = docs.schema, docs.columns.index(text_col), docs.columns.index(id_col)
     out, passes = docs, 0
-    for ids, texts in _dealt(docs, benchmark, item_col, item_text_col, block_bytes):
-        found = Tiling(ids, texts, threshold, seed)
+    for hashes, texts in _dealt(_items(benchmark, item_col, item_text_col), block_bytes):
+        found = Tiling(hashes, texts, threshold, seed)
 
         def run(batches: Iterator[pa.RecordBatch], found: Tiling = found) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -1,4 +1,4 @@
-"""Operators 11 to 13 against their SQL and brute force, with awkward tables."""
+"""Operators 11 to 13 against their SQL and brute force, and blocks and common seeds of operator 4, with awkward tables."""
 
 import hashlib
 import re
@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.llm import divergence, fingerprint, manifest
+from foliant.llm import decontamination, divergence, fingerprint, manifest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, m long, grp string, part int, term string, key string, start long"
 LONG = "\n".join(" ".join(f"w{(i * j) % 977}x{i % 31}" for i in range(400)) for j in range(1, 60))
@@ -166,3 +166,38 @@ def test_op13_parts_hand_over_their_first_key(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == dict(zip(want, want[1:] + want[:1], strict=True))
+
+
+def test_op4_blocks_are_bounded_whatever_repeats(spark):
+    """Equal items are one text; texts are dealt by size, even where their hashes begin alike."""
+    rows = [(i, "one and the same item of ten words in all here") for i in range(3000)] + [(5000 + i, f"item number {i} " + "w" * (i % 300)) for i in range(400)] + [(9000, "z" * 30_000), (9001, None)]
+    items = decontamination._items(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text")
+    dealt = list(decontamination._dealt(items, 20_000))
+    texts = [t for _, part in dealt for t in part]
+    assert sorted(texts) == sorted({t for _, t in rows if t}) and len(texts) == len(set(texts))
+    assert all(sum(map(len, part)) <= 20_000 or len(part) == 1 for _, part in dealt)
+    alike = spark.createDataFrame([(f"abc{i:061x}", "t" * 100) for i in range(64)], "item string, text string")
+    ranges = list(decontamination._ranges(alike, 1000, 3))
+    assert len(ranges) >= 7 and all(len(low) > 3 for low, _ in ranges)
+
+
+@pytest.mark.parametrize("many", [64, 2, 0])
+def test_op4_seeds_of_many_items_change_nothing(spark, many, monkeypatch):
+    monkeypatch.setattr(decontamination, "MANY", many)
+    ask = "please answer the following question in one short sentence"
+    rows = [(i, f"{ask} what is fact {i} of chapter {i * 7} about river {i * 13} then") for i in range(90)] + [(200 + i, ask) for i in range(5)] + [(300, f"{ask} {ask}"), (301, "")]
+    docs = [(1, f"Some text. {ask} what is fact 7 of chapter 49 about river 91 then more"), (2, f"only {ask} here"), (3, "what is fact 8 of chapter 56 about river 104 then"), (4, "nothing"), (5, None), (6, f"{ask} and {ask}")]
+    b = spark.createDataFrame(rows, "item_id long, text string")
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["covered"], round(r["coverage"], 6)) for r in decontamination.overlaps(d, b).collect()}
+    want = {}
+    for i, text in docs:
+        for j, item in rows:
+            x, y = ((t or "").lower().replace(".", "").split() for t in (text, item))
+            tiles = decontamination.tile([zlib.crc32(w.encode()) for w in x], [zlib.crc32(w.encode()) for w in y], min(5, len(y))) if y else []
+            covered = sum(t[2] for t in tiles)
+            if y and covered >= max(1, -(-len(y) // 2)):
+                want[i, j] = (covered, round(covered / len(y), 6))
+    assert got == want and len(want) > 90
+    gone = {i for i, _ in want}
+    assert {r["doc_id"] for r in decontamination.decontaminate(d, b, block_bytes=500).collect()} == {i for i, _ in docs} - gone
