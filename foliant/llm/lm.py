@@ -1,8 +1,10 @@
 """Operator 10: language-model scoring by subword lattice likelihood.
 
 The pieces of an existing subword vocabulary, weighted by probabilities, make a
-lattice over each word; a forward recursion in log space sums all segmentations, so
-a word's probability is its marginal. The vocabulary is given and stays as it is; its
+lattice over each word; a forward recursion sums all segmentations, so
+a word's probability is its marginal. The recursion multiplies probabilities that are scaled by
+a constant per byte, and goes over to logarithms where a sum leaves ``TRUSTED`` and for words of over 64
+bytes; the two give the same numbers (a test holds them together). The vocabulary is given and stays as it is; its
 scores (ranks) are the start for the pieces' probabilities, which expectation-maximisation
 fits to the distinct words of the training documents.
 
@@ -24,8 +26,8 @@ the end sum to at most one.
 3. Each round of expectation-maximisation is one pass over that table; what comes
    back to the driver is one number per piece, in the last round one per piece and class.
 4. Every distinct word gets its score in every class once. The commonest words (``HOT``, a
-   fixed bound) go to the tasks that read the documents; the others are joined by
-   hash. Both give the same numbers.
+   fixed bound) are a small table in the shared folder, which the tasks that read the documents load;
+   the others are joined by hash. Both give the same numbers.
 
 The plain unigram model of whole words (add 0.1) is the base that the score is
 compared with.
@@ -45,6 +47,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -687,13 +691,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranks = weighed.where("c > 0").groupBy(rank.alias("r")).agg(F.count("*").alias("n")).orderBy(F.desc("r")).collect()  # at most 64 * CLASSES rows
     fits = int(np.searchsorted(np.cumsum([x["n"] for x in ranks]), hot, "right"))
     least = ranks[fits - 1]["r"] if fits else 1 << 40
-    top = weighed.where((F.col("c") > 0) & (rank >= least)).toPandas().sort_values("h", key=lambda h: h.to_numpy(np.int64).view(np.uint64))
-    known = spark.sparkContext.broadcast((top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), [top[x].to_numpy(float) for x in scored]))  # at most ``hot`` rows of 16 bytes and 8 per class
-    del top
+    common = cut(weighed.where((F.col("c") > 0) & (rank >= least))).cut_path  # at most ``hot`` rows of 16 bytes and 8 per class
     end_base, end_score = float(np.log10(sum(ends) + 0.1)), weight.log10(np.array([ends]), log_end[None] / np.log(10))[0]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, c, s = known.value
+        keys, c, s = common_words(common)
         index = Places(keys)
         base = np.log10(c + 0.1)
         for batch in batches:
@@ -724,6 +726,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+@lru_cache(1)
+def common_words(path: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hashes in order, counts and scores by class of a stored table of words; a worker reads it once."""
+    fs, base = pafs.FileSystem.from_uri(path)
+    table = pq.read_table(base, filesystem=fs)
+    keys = table.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], table.column(1).to_numpy()[order], [c.to_numpy()[order] for c in table.columns[2:]]
+
+
 def marginal(scores: list[Column], shares: list[float]) -> Column:
     """log10 of the sum of 10 ** score, each with its share."""
     if len(scores) == 1:
