@@ -53,13 +53,11 @@ def filing_year(c: Column) -> Column:
 
 
 def variants(c: Column) -> Column:
-    """The number with a four-digit and with a two-digit year."""
+    """The number with a four-digit and with a two-digit year; anything but digits, hyphen and such a year has no other form."""
     t = F.trim(c)
     number, year = F.substring_index(t, "-", 1), F.substring_index(t, "-", -1)
-    n = year.try_cast("int")
-    other = F.when(year.rlike("^[0-9]{4}$"), F.concat_ws("-", number, F.right(year, F.lit(2)))).when(
-        year.rlike("^[0-9]{2}$"), F.concat_ws("-", number, (n + F.when(n >= CENTURY_PIVOT, 1900).otherwise(2000)).cast("string"))
-    )
+    century = F.when(year.try_cast("int") >= CENTURY_PIVOT, "19").otherwise("20")
+    other = F.when(t.rlike(r"\A[0-9]+-(?:19|20)[0-9]{2}\z"), F.concat_ws("-", number, F.right(year, F.lit(2)))).when(t.rlike(r"\A[0-9]+-[0-9]{2}\z"), F.concat(number, F.lit("-"), century, year))
     return F.array_distinct(F.array_compact(F.array(t, other)))
 
 

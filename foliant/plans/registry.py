@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from foliant.functions import ruling, rules, stats, textquality
 from foliant.functions.text import first_present
 from foliant.operators import evidence, extraction, indicators, tables
-from foliant.plans import chain, flow, parsers, search  # noqa: F401  (they register their queries)
+from foliant.plans import chain, flow, parsers, search, surface  # noqa: F401  (they register their queries)
 from foliant.plans.base import AS_OF, ORACLES, QUERIES, query, spread, t
 from foliant.sources import readers
 from foliant.streaming import incremental

@@ -58,3 +58,9 @@ def test_load_model_chooses_one_kind(spark, flip):
     docs, facts = spark.createDataFrame([], "id string"), spark.createDataFrame([], "id string, value string")
     tables = evidence.load_model(census, cards, decisions, docs, facts)
     assert {(r["id"], r["kind"]) for r in tables["decisions"].collect()} == {("a", "amparo"), ("b", None)}
+
+
+def test_variants(spark):
+    forms = {"61-98": ["61-98", "61-1998"], "61-1998": ["61-1998", "61-98"], " 7-05 ": ["7-05", "7-2005"], "4492": ["4492"], "7-1850": ["7-1850"], "a-98": ["a-98"], "1-2-98": ["1-2-98"], "7-00": ["7-00", "7-2000"], "7-79": ["7-79", "7-2079"], "": [""]}
+    df = spark.createDataFrame([(c,) for c in forms], "c string")
+    assert {r["c"]: r["v"] for r in df.select("c", casenum.variants(F.col("c")).alias("v")).collect()} == forms
