@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.operators import counters, tables
+from foliant.operators import counters, store, tables
 from foliant.operators.store import new_path
 from foliant.plans.base import query, t
-from foliant.sources import records
+from foliant.sources import records, remote, replay
 from foliant.streaming import retries
 from foliant.streaming.versions import Versions
 
@@ -95,3 +96,26 @@ def q93_runtime_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, third = counters.cut_counted(late, "late", quantity=F.sum("l_quantity").cast("long"))
     customers = second.select(F.lit("orders").alias("step"), F.lit("customers").alias("counter"), "value")
     return first.select("step", "counter", "value").unionAll(customers).unionAll(third.select("step", "counter", "value"))
+
+
+@query("SELECT event_type AS prefix, event_id AS id, user_id, md5(props) AS digest FROM events")
+def q98_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as pages by kind, read as a stream by position with a refusal and a restart on the way, into the sink with commit."""
+    spark.dataSource.register(remote.PagedSource)
+    spark.dataSource.register(records.RecordSink)
+    base, e = new_path(spark, "paged"), t(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props")
+    replay.keep_pages(e, "event_id", "event_type", f"{base}/api", 500)
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
+    options = {"url": f"{base}/api", "transport": "foliant.sources.replay:answer", "fields": "event_id,user_id,props", "prefixes": ",".join(kinds), "pagesize": "1000", "pagesperbatch": "8", "persecond": "1e9", "jitter": "0", "retries": "0", "robots": "false", "budget": "1000000", "state": f"{base}/state"}
+    for busy in (False, True, False):
+        (store.write_text(spark, f"{base}/api/busy", "") if busy else store.delete(spark, f"{base}/api/busy"))
+        stream = spark.readStream.format("paged").options(**options).load().writeStream.format("records").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="0 seconds").start()
+        try:
+            stream.processAllAvailable()
+        except StreamingQueryException:
+            if not busy:
+                raise
+        finally:
+            stream.stop()
+    out = records.read(spark, f"{base}/out", "prefix string, event_id string, user_id string, props string")
+    return out.select("prefix", F.col("event_id").cast("long").alias("id"), F.col("user_id").cast("long").alias("user_id"), F.md5("props").alias("digest"))

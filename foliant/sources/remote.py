@@ -22,7 +22,8 @@ from pathlib import Path
 from urllib.parse import urlsplit
 from urllib.robotparser import RobotFileParser
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow.fs as pafs
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from foliant.operators.responses import API, NOT_CHECKED, OK, Expectation, evaluate
 
@@ -266,16 +267,103 @@ class PagedReader(DataSourceReader):
 
     def read(self, partition: Prefix) -> Iterator[tuple]:
         o = self.options
-        module, name = o["transport"].split(":")
         # the pace and budget are of the whole run, so each of the readers has its share
-        n = len(self.partitions())
-        client = Client(getattr(importlib.import_module(module), name), per_second=float(o.get("persecond", 0.5)) / n, budget=max(1, int(o.get("budget", 1000)) // n), robots=o.get("robots", "true") == "true", cache=DiskCache(o["cache"]) if "cache" in o else None)
+        client = _client(o, len(self.partitions()))
         for row in pages(client, o["url"], partition.value, int(o.get("pagesize", 1000)), interface=o.get("interface", "expediente")):
-            yield (partition.value, *[None if (v := row.get(f)) is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for f in self.fields])
+            yield _fields(partition.value, row, self.fields)
+
+
+@dataclass
+class PageRange(InputPartition):
+    prefix: str
+    start: int
+    end: int
+
+
+class PagedStream(DataSourceStreamReader):
+    """A stream whose offset is a position in every prefix.
+
+    A batch takes ``pagesPerBatch`` pages of each prefix at most, one partition per prefix; the source is asked for its totals
+    once per batch. What has been planned is noted in the folder ``state`` (beside the query's checkpoint), as Spark doesn't
+    tell a source where a restarted query stands. A page that is refused, or has fewer rows
+    than its totals promised, fails the batch: the query stops, and its next start reads the same range
+    again. Rows that come later belong at a prefix's end.
+    """
+
+    def __init__(self, options: dict[str, str], fields: list[str]):
+        self.options, self.fields = dict(options), fields
+        self.prefixes = self.options.get("prefixes", ",".join(PREFIXES)).split(",")
+        self.size = int(self.options.get("pagesize", 1000))
+        self.fs, self.state = pafs.FileSystem.from_uri(self.options["state"])
+        self.planned: dict[str, int] | None = None
+
+    def _client(self) -> Client:
+        return _client(self.options, len(self.prefixes))
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return dict.fromkeys(self.prefixes, 0)
+
+    def _plan(self) -> dict[str, int]:
+        if self.planned is None:
+            found = self.fs.get_file_info(f"{self.state}/planned.json").type != pafs.FileType.NotFound
+            self.planned = self.initialOffset() | (json.loads(self.fs.open_input_stream(f"{self.state}/planned.json").read()) if found else {})
+        return self.planned
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        client, step = self._client(), self.size * int(self.options.get("pagesperbatch", 10))
+        end = {}
+        for p, at in self._plan().items():
+            r = client.ask("POST", self.options["url"], request_body(p, 0, 1, columns=COLUMNS[self.options.get("interface", "expediente")]))
+            known = json.loads(r.body).get("recordsFiltered") if 200 <= r.status < 300 else None
+            if known is None:
+                raise RunStopped(f"no total of {p}: status {r.status}")
+            end[p] = max(at, min(int(known), at + step))
+        return end
+
+    def partitions(self, start: dict, end: dict) -> list[PageRange]:
+        self.planned = {p: max(n, end.get(p, 0)) for p, n in self._plan().items()}
+        self.fs.create_dir(self.state, recursive=True)
+        side = f"{self.state}/planned.json.{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(side) as out:
+            out.write(json.dumps(self.planned).encode())
+        self.fs.move(side, f"{self.state}/planned.json")
+        return [PageRange(p, start.get(p, 0), n) for p, n in end.items() if n > start.get(p, 0)]
+
+    def read(self, partition: PageRange) -> Iterator[tuple]:
+        client, o = self._client(), self.options
+        at = partition.start
+        while at < partition.end:
+            r = client.ask("POST", o["url"], request_body(partition.prefix, at, min(self.size, partition.end - at), columns=COLUMNS[o.get("interface", "expediente")]))
+            if not 200 <= r.status < 300:
+                raise RunStopped(f"status {r.status} at {partition.prefix}:{at}")
+            rows = json.loads(r.body)["documentos"][: partition.end - at]
+            if not rows:
+                raise RunStopped(f"nothing at {partition.prefix}:{at}, before its end at {partition.end}")
+            at += len(rows)
+            for row in rows:
+                yield _fields(partition.prefix, row, self.fields)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "fs"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.fs = pafs.FileSystem.from_uri(self.options["state"])[0]
+
+
+def _client(o: dict[str, str], readers: int) -> Client:
+    """A client with its share of the run's pace and budget."""
+    module, name = o["transport"].split(":")
+    send = getattr(importlib.import_module(module), name)
+    return Client(send, per_second=float(o.get("persecond", 0.5)) / readers, budget=max(1, int(o.get("budget", 1000)) // readers), robots=o.get("robots", "true") == "true", jitter=float(o.get("jitter", 0.25)), retries=int(o.get("retries", 3)), cache=DiskCache(o["cache"]) if "cache" in o else None)
+
+
+def _fields(prefix: str, row: dict, fields: list[str]) -> tuple:
+    return (prefix, *[None if (v := row.get(f)) is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for f in fields])
 
 
 class PagedSource(DataSource):
-    """Options: url, transport, fields (comma-separated), prefixes, pageSize, interface (a key of ``COLUMNS``), perSecond, budget, robots, cache. All fields are strings."""
+    """Options: url, transport, fields (comma-separated), prefixes, pageSize, interface (a key of ``COLUMNS``), perSecond, jitter, retries, budget, robots, cache; for a stream also state and pagesPerBatch. All fields are strings."""
 
     @classmethod
     def name(cls) -> str:
@@ -289,3 +377,6 @@ class PagedSource(DataSource):
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options, self._fields())
+
+    def streamReader(self, schema) -> PagedStream:  # noqa: N802
+        return PagedStream(self.options, self._fields())
