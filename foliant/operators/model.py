@@ -40,6 +40,14 @@ class FirstWords:
         return {"rapporteur": {"value": said, "quote": said, "page": 1, "confidence": 0.9}}, {"input_tokens": len(said), "output_tokens": 1}
 
 
+class Digest:
+    """A stand-in that reads all it is shown: it says the SHA-256 of what comes after the first character, and uses a token a character."""
+
+    def extract(self, system: str, user: str, schema: dict[str, Any]) -> tuple[dict[str, Any], dict[str, int]]:
+        said = hashlib.sha256(user[1:].encode()).hexdigest()
+        return {"rapporteur": {"value": said, "quote": said, "page": 1, "confidence": 0.9}}, {"input_tokens": len(user) - 1, "output_tokens": 1}
+
+
 @dataclass(frozen=True)
 class Prompt:
     version: str

@@ -135,23 +135,29 @@ def q72_state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.unionAll(zero).unionAll(progress)
 
 
-@query("""WITH d AS (SELECT doc_id, length(coalesce(text,'')) > 3000 AS long, substr(coalesce(text,''),1,20) AS said FROM documents)
-SELECT doc_id, CASE WHEN NOT long AND trim(said)<>'' THEN said END AS rapporteur, CASE WHEN long THEN NULL ELSE length(said)::BIGINT END AS input_tokens, long AS warned, substr(sha256('s' || chr(10) || '{known} {text}'),1,8) AS prompt FROM d""")
+@query(f"""WITH d AS (SELECT doc_id, coalesce(text,'') AS text, length(coalesce(text,'')) > {extraction.LONGEST_TEXT} AS long FROM documents)
+SELECT doc_id, CASE WHEN NOT long THEN sha256(text) END AS rapporteur, CASE WHEN NOT long THEN length(text)::BIGINT END AS input_tokens, long AS warned, substr(sha256('s' || chr(10) || '{{known}} {{text}}'),1,8) AS prompt FROM d""")
 def q73_model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stand-in for a model says each document's first words; long texts aren't sent."""
-    d = t(spark, sf_dir, "documents").select("doc_id", F.when(F.length(F.coalesce("text", F.lit(""))) > 3000, F.repeat(F.lit("x"), F.lit(extraction.LONGEST_TEXT + 1))).otherwise(F.coalesce("text", F.lit(""))).alias("text"), F.lit("").alias("known"))
-    asked = model.answers(model.ask(d, "text", "known", model.FirstWords, model.Prompt("1", "s", "{known} {text}"), "doc_id"))
+    """A stand-in for a model says the digest of each whole document that it is shown."""
+    d = t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("").alias("known"))
+    asked = model.answers(model.ask(d, "text", "known", model.Digest, model.Prompt("1", "s", "{known} {text}"), "doc_id"))
     said = extraction.said(F.col("answer.rapporteur"))
     return asked.select("doc_id", said["value"].alias("rapporteur"), "input_tokens", F.col("warning").isNotNull().alias("warned"), F.left("prompt_sha256", F.lit(8)).alias("prompt"))
 
 
-@query("""WITH f AS (SELECT doc_id, lang, quality FROM documents LEFT JOIN labels USING (doc_id)), n AS (SELECT count(*) AS documents FROM documents)
+_MIDDLE_SQL = "substr(text,length(text)//2+1,80)"
+
+
+@query(rf"""WITH f AS (SELECT doc_id, lang, quality, CASE WHEN doc_id % 3 = 0 THEN 'zz' || doc_id || 'zz' ELSE coalesce({_MIDDLE_SQL}, '') END AS q, doc_id % 3 = 0 AS made_up FROM documents LEFT JOIN labels USING (doc_id)), n AS (SELECT count(*) AS documents FROM documents),
+v AS (SELECT CASE WHEN regexp_full_match(q, '[\s-]*') THEN 'sin_evidencia' WHEN made_up THEN 'no_encontrada' ELSE 'verificada' END AS name FROM f WHERE lang IS NOT NULL)
 SELECT what, name, n FROM (SELECT 'coverage' AS what, 'language' AS name, count(lang) AS n FROM f UNION ALL SELECT 'coverage', 'quality', count(quality) FROM f UNION ALL SELECT 'provenance', 'portal', count(quality) FROM f UNION ALL SELECT 'provenance', 'llm', count(lang) FROM f
-UNION ALL SELECT 'verification', 'verificada', count(lang) FILTER (doc_id % 2 = 0) FROM f UNION ALL SELECT 'verification', 'no_encontrada', count(lang) FILTER (doc_id % 2 = 1) FROM f UNION ALL SELECT 'tokens', 'input', 10*count(*) FROM f UNION ALL SELECT 'tokens', 'output', 3*count(*) FROM f UNION ALL SELECT 'documents', 'all', documents FROM n) WHERE n > 0""")
+UNION ALL SELECT 'verification', name, count(*) FROM v GROUP BY name UNION ALL SELECT 'tokens', 'input', 10*count(*) FROM f UNION ALL SELECT 'tokens', 'output', 3*count(*) FROM f UNION ALL SELECT 'documents', 'all', documents FROM n) WHERE n > 0""")
 def q74_extraction_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quote = F.when(F.col("doc_id") % 2 == 0, "in here").otherwise("elsewhere")
+    """Quotes are looked for in the whole texts: two of three are from a text's middle, one is made up."""
+    middle = F.substring(F.col("text"), F.floor(F.char_length("text") / 2).cast("int") + 1, F.lit(80))
+    quote = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("zz"), F.col("doc_id").cast("string"), F.lit("zz"))).otherwise(middle)
     d = t(spark, sf_dir, "documents").join(t(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
-    facts = d.select("doc_id", F.lit("it is in  here").alias("text"), evidence.extracted(F.col("quality").cast("string"), 1.0, "portal").alias("quality"), evidence.extracted(F.col("lang"), 0.9, "llm", quote).alias("language"), F.lit(10).alias("input_tokens"), F.lit(3).alias("output_tokens"))
+    facts = d.select("doc_id", "text", evidence.extracted(F.col("quality").cast("string"), 1.0, "portal").alias("quality"), evidence.extracted(F.col("lang"), 0.9, "llm", quote).alias("language"), F.lit(10).alias("input_tokens"), F.lit(3).alias("output_tokens"))
     return extraction.coverage_report(facts, ["quality", "language"], "text")
 
 

@@ -243,14 +243,15 @@ def q22_record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = t(spark, sf_dir, "documents").join(t(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     portal = evidence.extracted(F.col("quality").cast("string"), 1.0, "portal")
-    ruled = evidence.extracted(F.when(F.contains("text", F.lit("|")), "0"), 0.8, "deterministic", F.substring("text", 1, 700))
-    answer = F.struct(F.lit("1").alias("value"), F.when(F.col("doc_id") % 4 != 0, F.substring(F.col("text"), 1, 20)).alias("quote"), F.lit(1).alias("page"), F.when(F.col("doc_id") % 4 == 1, 0.2).otherwise(0.9).alias("confidence"))
+    ruled = evidence.extracted(F.when(F.contains("text", F.lit("|")), "0"), 0.8, "deterministic", F.col("text"))
+    middle = F.substring(F.col("text"), F.floor(F.char_length("text") / 2).cast("int") + 1, F.lit(60))
+    answer = F.struct(F.lit("1").alias("value"), F.when(F.col("doc_id") % 4 != 0, middle).alias("quote"), F.lit(1).alias("page"), F.when(F.col("doc_id") % 4 == 1, 0.2).otherwise(0.9).alias("confidence"))
     said = extraction.said(answer, least=0.5)
     return d.select("doc_id", "text", evidence.layered(portal, ruled, said).alias("quality"), evidence.extracted(F.col("lang"), 0.95, "deterministic").alias("language"))
 
 
-_FACT_SQL = """f AS (SELECT doc_id, text, CASE WHEN quality IS NOT NULL THEN quality::VARCHAR WHEN contains(text,'|') THEN '0' WHEN doc_id%4 IN (2,3) AND trim(substr(text,1,20))<>'' THEN '1' END AS value,
-CASE WHEN quality IS NOT NULL THEN 'portal' WHEN contains(text,'|') THEN 'deterministic' WHEN doc_id%4 IN (2,3) AND trim(substr(text,1,20))<>'' THEN 'llm' END AS provenance, CASE WHEN quality IS NOT NULL THEN 1.0 WHEN contains(text,'|') THEN 0.8 ELSE 0.9 END AS confidence FROM documents LEFT JOIN labels USING (doc_id))"""
+_FACT_SQL = """f AS (SELECT doc_id, text, CASE WHEN quality IS NOT NULL THEN quality::VARCHAR WHEN contains(text,'|') THEN '0' WHEN doc_id%4 IN (2,3) AND NOT regexp_full_match(substr(text,length(text)//2+1,60),'[\\s\\x0B\\x1C-\\x1F]*') THEN '1' END AS value,
+CASE WHEN quality IS NOT NULL THEN 'portal' WHEN contains(text,'|') THEN 'deterministic' WHEN doc_id%4 IN (2,3) AND NOT regexp_full_match(substr(text,length(text)//2+1,60),'[\\s\\x0B\\x1C-\\x1F]*') THEN 'llm' END AS provenance, CASE WHEN quality IS NOT NULL THEN 1.0 WHEN contains(text,'|') THEN 0.8 ELSE 0.9 END AS confidence FROM documents LEFT JOIN labels USING (doc_id))"""
 
 
 @query(f"WITH {_FACT_SQL} SELECT doc_id, value, provenance, confidence::DOUBLE AS confidence, 'verificada' AS status FROM f WHERE value IS NOT NULL")
