@@ -29,6 +29,7 @@ def _any(words) -> str:
     return "(?:" + "|".join(words) + ")"
 
 
+# Which words a year is written with, and the forms of dates in words and in digits.
 _NOT_IN_YEARS = {"primero", "veintiuna"}
 _BELOW_100 = _any([rf"{_any(TENS)}\s+y\s+{_any([w for w, n in UNITS.items() if n < 10 and w not in _NOT_IN_YEARS])}", *TENS, *[w for w in UNITS if w not in _NOT_IN_YEARS]])
 # a word ends where the next one begins, so the order of the alternatives doesn't matter

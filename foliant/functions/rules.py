@@ -136,6 +136,7 @@ def petitioner(c: Column, window: int = NAME_WINDOW, longest: int = LONGEST_NAME
 def own_vote(c: Column) -> Column:
     """struct(own, foreign_only, mentions): separate opinions after the last operative marker are the court's own."""
     t = squash(F.coalesce(c, F.lit("")))
+    # The words for a separate opinion and for the operative part.
     mention = r"(?i)voto\s+(razonado|disidente|concurrente)"
     parts = F.split(t, r"(?i)POR\s+TANTO|\bresuelve\s*:", -1)
     n = F.regexp_count(t, F.lit(mention))
@@ -146,6 +147,7 @@ def own_vote(c: Column) -> Column:
 def controlled_verdict(token: Column, prose: Column) -> Column:
     """A reviewer's verdict: the controlled token wins over prose; blank prose is null."""
     t = F.lower(F.trim(prose))
+    # The words of a reviewer's prose, in their order.
     by_prose = F.when(t.rlike(r"(?U)\bno\s+altera"), "mantiene").when(t.contains("altera"), "altera").when(t.rlike("mantiene|confirma"), "mantiene").when(t.contains("otro"), "otro")
     chosen = F.nullif(F.lower(F.trim(token)), F.lit(""))
     return F.coalesce(F.when(chosen == "no_aplica", "otro").when(chosen.isin("altera", "mantiene"), chosen), by_prose)

@@ -44,6 +44,7 @@ def assess(df: DataFrame, text: str, out: str = "quality") -> DataFrame:
     steps = steps.withColumns({"__lost": F.array_sort(F.array_compact(F.array(*rare))), "__f": F.col("__function") / some, "__g": F.col("__short") / some, "__bare": (F.col("__chars") < MIN_CHARS) | (F.col("__n") < MIN_TOKENS)})
     bare = F.col("__bare")
     per_cent = lambda c: F.format_string("%.1f%%", c * 100)
+    # The wording of the three reasons.
     reasons = F.when(bare, F.array(F.concat(F.lit("solo "), F.col("__chars").cast("string"), F.lit(" caracteres y "), F.col("__n").cast("string"), F.lit(" palabras")))).otherwise(F.array_compact(F.array(
         F.when(F.size("__lost") > 0, F.concat(F.lit("letras casi ausentes frente a lo esperado en espanol: "), F.concat_ws(", ", "__lost"))),
         F.when(F.col("__f") < MIN_FUNCTION, F.concat(F.lit("solo "), per_cent(F.col("__f")), F.lit(f" de palabras funcionales (minimo {MIN_FUNCTION:.0%}): no se lee como prosa"))),

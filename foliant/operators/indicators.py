@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.stats import wilson
+from foliant.operators.store import dealt
 from foliant.operators.tables import quota_sample
 
 
@@ -78,6 +79,24 @@ def consistency(filed: Column, decided: Column, case: Column) -> Column:
     return F.array_compact(F.array(F.when(decided < filed, F.lit("resuelto antes de presentado")), F.when(~case.rlike(r"^\s*[0-9]+-([0-9]{2}|[0-9]{4})\s*$"), F.lit("numero con otra forma"))))
 
 
+def out_of_office(decisions: DataFrame, terms: DataFrame, id_col: str, court: str, decided: str, signers: str) -> DataFrame:
+    """(id, incompatible, unknown): who signed a decision of a court on a day without being assigned to it then.
+
+    ``terms (name, court, since, until)``: ``until`` is the last day, null while a term lasts. A name with
+    no term in any court is ``unknown``, and so are all names of a decision without court or day: what
+    isn't known isn't judged. Decisions without signers have no row. A name has few
+    terms, so decisions that share a much-signing name are joined with these and not with each other.
+    """
+    one = decisions.select(F.col(id_col).alias("id"), F.col(court).alias("__court"), F.col(decided).cast("date").alias("__day"), F.explode(F.array_distinct(signers)).alias("name")).where("name is not null")
+    spans = terms.where("name is not null").groupBy("name").agg(F.collect_set(F.struct("court", F.col("since").cast("date").alias("since"), F.coalesce(F.col("until").cast("date"), F.lit("9999-12-31").cast("date")).alias("until"))).alias("__terms"))
+    met = dealt(one, "name", "id", spans)
+    fits = F.exists("__terms", lambda x: (x["court"] == F.col("__court")) & F.col("__day").between(x["since"], x["until"]))
+    judged = met.select("id", "name", F.when(F.col("__court").isNull() | F.col("__day").isNull(), "unknown").when(F.coalesce(fits, F.lit(False)), "fits").otherwise("incompatible").alias("__v"))
+    absent = one.join(spans.select("name"), "name", "left_anti").select("id", "name", F.lit("unknown").alias("__v"))
+    names = lambda v: F.array_sort(F.collect_set(F.when(F.col("__v") == v, F.col("name"))))
+    return judged.unionAll(absent).groupBy("id").agg(names("incompatible").alias("incompatible"), names("unknown").alias("unknown")).withColumnRenamed("id", id_col)
+
+
 def review_sample(df: DataFrame, key: str, seed: int, quota: int, reasons: dict[str, Column]) -> DataFrame:
     """At most ``quota`` rows for each reason to review, drawn by seed; a row may have several reasons. All rows are also due by "random"."""
     named = F.array_compact(F.array(F.lit("random"), *[F.when(c, F.lit(r)) for r, c in reasons.items()]))

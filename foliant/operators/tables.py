@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import subprocess
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -272,6 +273,18 @@ def numbered(df: DataFrame, key: str, seed: int, name: str = "n") -> DataFrame:
     return rows.join(F.broadcast(before), "__slice").withColumn(name, within + F.col("__before")).select(*[c for c in df.columns if c != name], name)
 
 
-def stamped(df: DataFrame, run_id: str, versions: dict[str, str]) -> DataFrame:
-    """Columns that name the run and the versions behind each row."""
-    return df.withColumns({"run_id": F.lit(run_id), **{f"{k}_version": F.lit(v) for k, v in versions.items()}})
+def stamped(df: DataFrame, run_id: str, versions: dict[str, str], repository: tuple[str | None, bool | None] = (None, None), input_tokens: Column | None = None, output_tokens: Column | None = None) -> DataFrame:
+    """Columns that name the run and what is behind each row: versions, the commit and whether it had changes, tokens used (null where no model was asked)."""
+    commit, changed = repository
+    none = F.lit(None).cast("long")
+    about = {"git_commit": F.lit(commit).cast("string"), "git_changed": F.lit(changed).cast("boolean"), "input_tokens": none if input_tokens is None else input_tokens.cast("long"), "output_tokens": none if output_tokens is None else output_tokens.cast("long")}
+    return df.withColumns({"run_id": F.lit(run_id), **{f"{k}_version": F.lit(v) for k, v in versions.items()}, **about})
+
+
+def repository_state(folder: str = ".") -> tuple[str | None, bool | None]:
+    """(commit, whether anything isn't committed) of a working copy; nulls where there is none."""
+    run = lambda *a: subprocess.run(["git", "-C", folder, *a], capture_output=True, text=True, check=True).stdout.strip()
+    try:
+        return run("rev-parse", "HEAD"), bool(run("status", "--porcelain"))
+    except (subprocess.CalledProcessError, FileNotFoundError):
+        return None, None

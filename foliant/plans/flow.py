@@ -6,7 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.operators import counters, store, tables
+from foliant.operators import counters, indicators, store, tables
 from foliant.operators.store import new_path
 from foliant.plans.base import query, t
 from foliant.sources import records, remote, replay
@@ -119,3 +119,19 @@ def q98_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             stream.stop()
     out = records.read(spark, f"{base}/out", "prefix string, event_id string, user_id string, props string")
     return out.select("prefix", F.col("event_id").cast("long").alias("id"), F.col("user_id").cast("long").alias("user_id"), F.md5("props").alias("digest"))
+
+
+@query("""WITH d AS (SELECT l_orderkey * 8 + l_linenumber AS id, c_nationkey AS court, l_shipdate::DATE AS decided, 's' || l_suppkey AS name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT 's' || s_suppkey AS name, s_nationkey AS court, make_date((1992 + s_suppkey % 4)::INT, 1, 1) AS since, CASE WHEN s_suppkey % 3 <> 0 THEN make_date((1996 + s_suppkey % 3)::INT, 6, 30) END AS until FROM supplier WHERE s_suppkey % 10 <> 0),
+j AS (SELECT d.id, d.name, s.name IS NOT NULL AS known, coalesce(s.court = d.court AND d.decided BETWEEN since AND coalesce(until, DATE '9999-12-31'), FALSE) AS fits FROM d LEFT JOIN s USING (name))
+SELECT id, coalesce(string_agg(DISTINCT name, ',' ORDER BY name) FILTER (known AND NOT fits), '') AS incompatible, coalesce(string_agg(DISTINCT name, ',' ORDER BY name) FILTER (NOT known), '') AS unknown FROM j GROUP BY id""")
+def q99_officers_in_court(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as decisions, their suppliers as signers, the customer's nation as court, and suppliers' terms at their own nation."""
+    k = F.col("s_suppkey")
+    since, until = F.make_date((1992 + k % 4).cast("int"), F.lit(1), F.lit(1)), F.when(k % 3 != 0, F.make_date((1996 + k % 3).cast("int"), F.lit(6), F.lit(30)))
+    terms = t(spark, sf_dir, "supplier").where("s_suppkey % 10 <> 0").select(F.concat(F.lit("s"), k.cast("string")).alias("name"), F.col("s_nationkey").alias("court"), since.alias("since"), until.alias("until"))
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    lines = t(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), "l_orderkey", F.to_date("l_shipdate").alias("decided"), F.array(F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("signers"))
+    d = lines.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    out = indicators.out_of_office(d, terms, "id", "c_nationkey", "decided", "signers")
+    return out.select("id", F.array_join("incompatible", ",").alias("incompatible"), F.array_join("unknown", ",").alias("unknown"))

@@ -15,6 +15,7 @@ c = F.col
 joined = lambda x, by="; ": F.array_join(x, by)
 fields = lambda struct, *names: {n: struct[n] for n in names}
 
+# The texts below are test cases with literally known answers.
 known(
     "q10_ruling_reader", "orders", "o_orderkey", "text string", ["effect", "rule", "point", "source"],
     [

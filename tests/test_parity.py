@@ -64,3 +64,26 @@ def test_variants(spark):
     forms = {"61-98": ["61-98", "61-1998"], "61-1998": ["61-1998", "61-98"], " 7-05 ": ["7-05", "7-2005"], "4492": ["4492"], "7-1850": ["7-1850"], "a-98": ["a-98"], "1-2-98": ["1-2-98"], "7-00": ["7-00", "7-2000"], "7-79": ["7-79", "7-2079"], "": [""]}
     df = spark.createDataFrame([(c,) for c in forms], "c string")
     assert {r["c"]: r["v"] for r in df.select("c", casenum.variants(F.col("c")).alias("v")).collect()} == forms
+
+
+@pytest.mark.parametrize("hot", [10_000, 1])
+def test_officers_out_of_office(spark, hot, monkeypatch):
+    from foliant.operators import indicators, store
+
+    monkeypatch.setattr(store, "HOT_ROWS", hot)
+    d = dt.date
+    decisions = [(1, "cc", d(2010, 5, 1), ["Ana", "Luis", "Ana"]), (2, "cc", d(2012, 1, 1), ["Ana", "Eva", None]), (3, None, d(2010, 1, 1), ["Ana"]), (4, "cc", None, ["Luis"]), (5, "cc", d(2010, 1, 1), []), (6, "csj", d(2030, 1, 1), ["Luis", "Ana"]), (7, "cc", d(2011, 12, 31), ["Ana"])]
+    terms = [("Ana", "cc", d(2010, 1, 1), d(2011, 12, 31)), ("Luis", "cc", d(2009, 1, 1), d(2010, 4, 30)), ("Luis", "csj", d(2011, 1, 1), None), (None, "cc", d(2000, 1, 1), None)]
+    df = spark.createDataFrame(decisions, "id long, court string, decided date, signers array<string>")
+    ts = spark.createDataFrame(terms, "name string, court string, since date, until date")
+    got = {r["id"]: (r["incompatible"], r["unknown"]) for r in indicators.out_of_office(df, ts, "id", "court", "decided", "signers").collect()}
+    assert got == {1: (["Luis"], []), 2: (["Ana"], ["Eva"]), 3: ([], ["Ana"]), 4: ([], ["Luis"]), 6: (["Ana"], []), 7: ([], [])}
+
+
+def test_stamp(spark, tmp_path):
+    from foliant.operators import tables
+
+    df = spark.createDataFrame([(1, 5), (2, None)], "id long, used int")
+    row = tables.stamped(df, "r1", {"extractor": "3"}, ("abc", True), F.col("used")).orderBy("id").collect()
+    assert [tuple(r)[2:] for r in row] == [("r1", "3", "abc", True, 5, None), ("r1", "3", "abc", True, None, None)]
+    assert tables.repository_state(str(tmp_path)) == (None, None)
