@@ -51,11 +51,40 @@ def literal(v) -> str:
     return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
 
 
+#: What ``known`` has registered: inputs, answers, cases, read, prepare.
+KNOWN: dict[str, tuple] = {}
+
+
+def planted(name: str, of: str, nothing: tuple, at_start: bool = False) -> None:
+    """Register a query that plants the cases of a ``known`` one into whole documents.
+
+    Every fourth document stays as it is and has the answers ``nothing``; a case's text, its first input, stands before
+    or behind the own text of each of the others. Further inputs are the case's, and null for the rest.
+    """
+    inputs, answers, cases, read, prepare = KNOWN[of]
+    first, n = inputs.split()[0], len(cases)
+    rows = ", ".join(f"({i}, {', '.join(map(literal, want))})" for i, want in enumerate([*(w for _, w in cases), nothing]))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fixture = spark.createDataFrame([(i, *given) for i, (given, _) in enumerate(cases)], f"__case int, {inputs}").withColumnRenamed(first, "__planted")
+        d = t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("__text"), F.when(F.col("doc_id") % 4 == 0, n).otherwise(F.floor(F.col("doc_id") / 4) % n).cast("int").alias("__case"))
+        dealt = spread(d).join(F.broadcast(fixture), "__case", "left")  # as many rows as there are cases
+        both = ("__planted", "__text") if at_start else ("__text", "__planted")
+        dealt = prepare(dealt.withColumn(first, F.when(F.col("__case") == n, F.col("__text")).otherwise(F.concat_ws("\n", *both))))
+        columns = read(dealt)
+        return dealt.select("doc_id", *[columns[a].alias(a) for a in answers])
+
+    run.__name__ = name
+    QUERIES[name] = run
+    ORACLES[name] = f"SELECT doc_id, {', '.join(f'v.{a} AS {a}' for a in answers)} FROM documents JOIN (VALUES {rows}) v(i, {', '.join(answers)}) ON CASE WHEN doc_id % 4 = 0 THEN {n} ELSE doc_id // 4 % {n} END = i"
+
+
 def known(name: str, table: str, key: str, inputs: str, answers: list[str], cases: list[tuple[tuple, tuple]], read: Callable[[DataFrame], dict[str, Column]], prepare: Callable[[DataFrame], DataFrame] = lambda d: d) -> None:
     """Register a query that deals ``cases`` over all rows of a table by key, reads each, and has literally known answers.
 
     ``inputs`` is the DDL of the cases' inputs; after ``prepare``, ``read`` gives a Column for each of ``answers``.
     """
+    KNOWN[name] = (inputs, answers, cases, read, prepare)
     n = len(cases)
     rows = ", ".join(f"({i}, {', '.join(map(literal, want))})" for i, (_, want) in enumerate(cases))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from foliant.functions import casenum, dates, rules, ruling, text, textquality
 from foliant.operators import discovery, evidence, extraction, people, responses
 from foliant.operators import study as studies
-from foliant.plans.base import AS_OF, known
+from foliant.plans.base import AS_OF, known, planted
 
 c = F.col
 joined = lambda x, by="; ": F.array_join(x, by)
@@ -318,3 +318,12 @@ known(
     ],
     lambda d: {"stratum": studies.stratum_of(c("effect"), c("rule")), "year": studies.document_year(c("stratum_year"), c("cases"), AS_OF), "source": ruling.effect_source(c("rule"))},
 )
+
+# the same parsers over whole documents, with the cases planted in three of four
+planted("q100_planted_rulings", "q10_ruling_reader", ("no_hallado", None, None, None))
+planted("q101_planted_dates", "q11_word_dates", (None, None, None))
+planted("q102_planted_filings", "q12_filing_alerts", ("revision_humana", *[None] * 7))
+planted("q103_planted_signers", "q16_in_office", ("",))
+planted("q104_planted_outcomes", "q45_outcomes", (None, None), at_start=True)
+planted("q105_planted_petitioners", "q47_petitioners", (None, "Vacío", None), at_start=True)
+planted("q106_planted_votes", "q49_own_votes", (False, False, 0))
