@@ -305,8 +305,8 @@ def q30_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{(folder or 'file://' + tempfile.mkdtemp(prefix='foliant-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
     schema = t(spark, sf_dir, "events").schema
     for _ in range(2):
-        incremental.run_available(spark, sf_dir, schema, f"{base}/checkpoint", incremental.append_new(f"{base}/events", "event_id"), only="events.parquet")
-    return spark.read.parquet(f"{base}/events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"))
+        incremental.append_new(spark, sf_dir, schema, f"{base}/events", f"{base}/checkpoint", "event_id", only="events.parquet")
+    return incremental.appended(spark, schema, f"{base}/events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"))
 
 
 

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from foliant.streaming.incremental import ROCKS, STATE_STORE
+
 STATE, DUE, FORGOTTEN = "state", "due", "forgotten"
 #: Seconds before the second attempt, and how often that doubles at most.
 PAUSE, DOUBLINGS = 3600, 6
 OUTPUT = "id long, kind string, outcome string, at timestamp, tries long, next_try timestamp"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def next_try(at: F.Column, tries: F.Column, pause: int = PAUSE) -> F.Column:
@@ -92,14 +92,14 @@ def run(spark: SparkSession, source: str, schema, read: Callable[[DataFrame], Da
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS)
     try:
         log = read(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source))
         stream = attempts(log, ok, delay, pause, keep).writeStream.outputMode("update").foreachBatch(write)
         stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.set(_PROVIDER, before)
+        spark.conf.set(STATE_STORE, before)
 
 
 def told(spark: SparkSession, target: str) -> DataFrame:

@@ -122,7 +122,12 @@ def test_sources(spark, tmp_path):
 
 def test_incremental_takes_new_files_only(spark, tmp_path):
     source, out = f"{tmp_path}/in", f"{tmp_path}/out"
-    for ids in ([1, 2], [2, 3]):
+    for ids in ([1, 2, None], [2, 3, 3, None], []):
         spark.createDataFrame([(i,) for i in ids], "id int").coalesce(1).write.mode("append").parquet(source)
-        incremental.run_available(spark, source, "id int", f"{tmp_path}/cp", incremental.append_new(out, "id"))
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+        incremental.append_new(spark, source, "id int", out, f"{tmp_path}/cp", "id")
+    got = incremental.appended(spark, "id int", out)
+    assert sorted((r["id"] for r in got.collect()), key=str) == [1, 2, 3, None]
+    seen = []
+    for _ in range(2):
+        incremental.run_available(spark, source, "id int", f"{tmp_path}/cp2", lambda batch, number: seen.append(batch.count()))
+    assert sum(seen) == 7
