@@ -15,11 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant import sql
 from foliant.functions import dates, ruling, stats, textquality
 from foliant.functions.rules import controlled_verdict
 from foliant.functions.text import join_pages
-from foliant.operators import discovery, evidence, extraction, responses, study, tables
+from foliant.operators import discovery, evidence, extraction, fulltext, graph, responses, store, study, tables, vectors
 from foliant.sources import collector, pdf, readers, remote, sinks
+from foliant.streaming import versions
 
 Command = Callable[[SparkSession, argparse.Namespace], "DataFrame | dict | None"]
 COMMANDS: dict[str, tuple[Command, tuple[str, ...]]] = {}
@@ -189,6 +191,76 @@ def census_rows(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
     return discovery.census_table(table(spark, o.table), int(o.as_of))
 
 
+@command("table", "index")
+def index_texts(spark: SparkSession, o: argparse.Namespace) -> dict:
+    """A full-text index of texts (doc_id, text); texts of an index that is there are added to it."""
+    there = store.exists(spark, f"{o.index}/segments")
+    made = fulltext.add(fulltext.load(spark, o.index), table(spark, o.table)) if there else fulltext.build(table(spark, o.table), o.index)
+    return {"documents": made.lengths.count(), "words": made.words.count()}
+
+
+@command("index", "table", "out")
+def search_texts(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
+    """The ten best documents for each query (query, text), by BM25."""
+    return fulltext.ranked(fulltext.load(spark, o.index), table(spark, o.table))
+
+
+@command("index", "table", "out")
+def find_phrases(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
+    """Documents in which each query's (query, text) words stand one after the other."""
+    return fulltext.phrases(fulltext.load(spark, o.index), table(spark, o.table))
+
+
+@command("table", "index", "dims")
+def index_vectors(spark: SparkSession, o: argparse.Namespace) -> dict:
+    """An index of vectors (vec_id, embedding); those of an index that is there are added to it."""
+    there = store.exists(spark, f"{o.index}/cells")
+    made = vectors.add(vectors.load(spark, o.index), table(spark, o.table)) if there else vectors.build(table(spark, o.table), int(o.dims), o.index)
+    return {"vectors": made.lists.count(), "cells": len(made.centres), "probes": made.probes}
+
+
+@command("index", "table", "out")
+def near_vectors(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
+    """The ten nearest of an index for each vector (vec_id, embedding)."""
+    return vectors.search(vectors.load(spark, o.index), table(spark, o.table))
+
+
+@command("table", "out")
+def weigh(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
+    """Weight of documents by citation (src, dst), after ten rounds."""
+    return graph.pagerank(table(spark, o.table))
+
+
+@command("table", "seeds", "out")
+def reach(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
+    """What can be reached from seeds (id) along edges (src, dst), and in how many steps."""
+    return graph.reach(table(spark, o.table), table(spark, o.seeds))
+
+
+@command("table", "strong", "weak", "out")
+def groups(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
+    """Procedural groups of documents (id, ...); ``strong`` and ``weak`` name columns, first ones first, by commas."""
+    named = lambda x: [(c, c) for c in x.split(",") if c]
+    return graph.procedural_groups(table(spark, o.table), named(o.strong), named(o.weak))
+
+
+@command("table", "base", "key")
+def record(spark: SparkSession, o: argparse.Namespace) -> dict:
+    """Compare a snapshot with what is known under ``base``, keep the versions and set the cursor."""
+    v = versions.Versions(spark, o.base, o.key)
+    done = v.record(table(spark, o.table), source=o.source)
+    changed = v.versions().where(F.col("run") == done["run"]).groupBy("change").agg(F.count("*").alias("n"))
+    return done | {r["change"]: r["n"] for r in changed.collect()}
+
+
+@command("table", "sql")
+def ask(spark: SparkSession, o: argparse.Namespace) -> dict:
+    """The first rows (a hundred at most) of a query in SQL over the folders in ``table`` as views, with the library's functions."""
+    sql.register(spark)
+    sql.views({p.rstrip("/").rsplit("/", 1)[-1]: table(spark, p) for p in o.table.split(",")})
+    return {"rows": [r.asDict(True) for r in spark.sql(o.sql).limit(100).collect()]}
+
+
 OPTIONAL = ("query", "source", "card_url", "root", "run", "seed", "hosts", "host", "per_second", "budget", "cache")
 
 

@@ -118,15 +118,15 @@ def id_verdict(forward_case: Column, asked_case: Column, reverse_id: Column, ask
     )
 
 
-def load_model(census: DataFrame, cards: DataFrame, decisions: DataFrame, documents: DataFrame, facts: DataFrame) -> dict[str, DataFrame]:
-    """The eight tables; three are empty on purpose: nothing reliable fills them yet."""
+def load_model(census: DataFrame, cards: DataFrame, decisions: DataFrame, documents: DataFrame, facts: DataFrame, links: DataFrame | None = None, cites: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The eight tables. ``links`` (of ``graph.procedural_groups``) and ``cites`` (of ``discovery.resolved``) fill two of them; officers stay empty, as nothing reliable names them."""
     spark = census.sparkSession
     empty = lambda s: spark.createDataFrame([], s)
     kinds = keep(census.select("id", "kind"), "id", "kind", "first")
     return {
         "census": census, "attributes": attributes_long(cards, "id", "attributes"), "decisions": decisions.where("effect is not null").join(kinds, "id", "left"),
         "documents": documents.withColumn("publication_status", F.lit("publicado")), "extractions": facts.where("value is not null"),
-        "judicial_officers": empty("id string, name string"), "appeal_links": empty("id string, appealed_id string"), "citations": empty("id string, cited string"),
+        "judicial_officers": empty("id string, name string"), "appeal_links": empty("id string, appealed_id string") if links is None else links, "citations": empty("id string, cited string") if cites is None else cites,
     }
 
 

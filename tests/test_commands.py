@@ -74,3 +74,30 @@ def test_commands_with_a_transport(spark, run, tmp_path):
         assert run("attributes", *NET, "--card-url", "http://h.test/card", "--out", f"{tmp_path}/a.jsonl", table=wanted) == {"records": n}
         assert run("pdfs", *NET, "--root", str(tmp_path), "--out", f"{tmp_path}/p.jsonl", table=wanted) == {"records": n}
     assert json.loads((tmp_path / "p.jsonl").read_text())["outcome"] == "ok"
+
+
+def test_search_graph_and_versions(spark, run, tmp_path):
+    out, rows = f"{tmp_path}/result", lambda: sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/result").collect())
+    texts = lambda *r: spark.createDataFrame(list(r), "doc_id long, text string")
+    assert run("index-texts", "--index", f"{tmp_path}/ft", table=texts((1, "uno dos tres")))["documents"] == 1
+    assert run("index-texts", "--index", f"{tmp_path}/ft", table=texts((2, "dos tres cuatro"))) == {"documents": 2, "words": 4}
+    asked = spark.createDataFrame([(1, "tres cuatro")], "query long, text string")
+    run("search-texts", "--index", f"{tmp_path}/ft", "--out", out, table=asked)
+    assert [r[2] for r in rows()] == [2, 1]
+    run("find-phrases", "--index", f"{tmp_path}/ft", "--out", out, table=asked)
+    assert rows() == [(1, 2, 1)]
+    v = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(8)], "vec_id long, embedding array<double>")
+    assert run("index-vectors", "--index", f"{tmp_path}/v", "--dims", "2", table=v)["vectors"] == 8
+    assert run("index-vectors", "--index", f"{tmp_path}/v", "--dims", "2", table=v.select(F.col("vec_id") + 8, "embedding").toDF("vec_id", "embedding"))["vectors"] == 16
+    assert run("near-vectors", "--index", f"{tmp_path}/v", "--out", out, table=v.limit(1))["rows"] >= 1
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long")
+    run("weigh", "--out", out, table=edges)
+    assert [round(r[1], 6) for r in rows()] == [0.333333] * 3
+    run("reach", "--out", out, table=edges, seeds=spark.createDataFrame([(2,)], "id long"))
+    assert rows() == [(1, 2), (2, 0), (3, 1)]
+    run("groups", "--strong", "case", "--weak", "day", "--out", out, table=spark.createDataFrame([(1, "a", None), (2, "a", "x"), (3, None, "x")], "id long, case string, day string"))
+    assert [(r[0], r[1], r[4]) for r in rows()] == [(1, 1, 1), (2, 1, 1), (3, 3, 1)]
+    assert run("record", "--base", f"file://{tmp_path}/versions", "--key", "doc_id", "--source", "portal", table=texts((1, "a"), (2, "b"))) == {"run": 1, "source": "portal", "new": 2}
+    assert run("record", "--base", f"file://{tmp_path}/versions", "--key", "doc_id", "--source", "portal", table=texts((1, "A"))) == {"run": 2, "source": "portal", "changed": 1, "vanished": 1}
+    texts((5, "61-98")).write.parquet(f"{tmp_path}/cases")
+    assert run("ask", "--table", f"{tmp_path}/cases", "--sql", "SELECT canonical_case(text) AS c FROM cases") == {"rows": [{"c": "61-1998"}]}
