@@ -87,10 +87,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     was = mark(now)
     for _ in range(rounds):
         around = now.unionAll(now.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = dealt(around.where("b > a"), "a", "b", low).select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.where("a = m").select("a", F.col("m").alias("b"))).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = dealt(large, "a", "b", low).select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
+        low = around.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = dealt(around.where("b > a"), "a", "b", low, "n").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.where("a = m").select("a", F.col("m").alias("b"))).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = dealt(large, "a", "b", low, "n").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
         before, now = now, cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
         discard(before)
         if (is_now := mark(now)) == was:
@@ -112,8 +112,8 @@ def shared_keys(documents: DataFrame, id_col: str, signals: list[tuple[str, str]
 def _stars(keys: DataFrame, of: str) -> DataFrame:
     """``keys (.., rank, key)`` with ``hub``, the least ``of`` that has the key, for keys that several have: a key's rows become a star, never all pairs."""
     both = keys.withColumn("k", F.concat_ws(":", "rank", "key"))
-    hubs = both.groupBy("k").agg(F.min(of).alias("hub"), F.max(of).alias("last")).where("hub < last").select("k", "hub")
-    return dealt(both, "k", of, hubs).drop("k")
+    hubs = both.groupBy("k").agg(F.min(of).alias("hub"), F.max(of).alias("last"), F.count("*").alias("n")).where("hub < last").select("k", "hub", "n")
+    return dealt(both, "k", of, hubs, "n").drop("k", "n")
 
 
 def procedural_groups(documents: DataFrame, strong: list[tuple[str, str]], weak: list[tuple[str, str]], id_col: str = "id") -> DataFrame:
@@ -144,8 +144,8 @@ def procedural_groups(documents: DataFrame, strong: list[tuple[str, str]], weak:
     nameless = keys.where("not named")
     # what a key joins: any two groups, and the least and the last named one, which say whether there are none, one or several
     least = lambda c: F.min(F.when(c, F.col("group_id")))
-    sides = keys.groupBy("k").agg(F.min("group_id").alias("x"), F.max("group_id").alias("y"), least(F.col("named")).alias("first"), F.max(F.when(F.col("named"), F.col("group_id"))).alias("last"), least(~F.col("named")).alias("hub"))
-    met = cut(dealt(nameless, "k", "group_id", sides.where("x < y")), "met")
+    sides = keys.groupBy("k").agg(F.min("group_id").alias("x"), F.max("group_id").alias("y"), least(F.col("named")).alias("first"), F.max(F.when(F.col("named"), F.col("group_id"))).alias("last"), least(~F.col("named")).alias("hub"), F.count("*").alias("n"))
+    met = cut(dealt(nameless, "k", "group_id", sides.where("x < y"), "n"), "met")
     clusters = components(met.select(F.col("group_id").alias("a"), F.col("hub").alias("b"))).select(F.col("id").alias("group_id"), F.col("component").alias("cluster"))
     by = met.groupBy("group_id").agg(F.min_by("signal", "rank").alias("proposed_by"), F.min("first").alias("first"), F.max("last").alias("last"))
     joined = cut(by.join(clusters, "group_id"), "clusters")

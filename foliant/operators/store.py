@@ -75,13 +75,26 @@ def discard(df: DataFrame) -> None:
     delete(df.sparkSession, df.cut_path)
 
 
-def dealt(rows: DataFrame, key: str, by: str, other: DataFrame) -> DataFrame:
+#: Rows of an Arrow batch at most where texts or what is made of them go to Python.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_ROWS``; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def dealt(rows: DataFrame, key: str, by: str, other: DataFrame, count: str | None = None) -> DataFrame:
     """``rows`` joined with ``other``, which has one row per ``key``, where a few keys may have most of the rows.
 
     Keys of more than ``HOT_ROWS`` rows are dealt over parts of about that many by a hash of ``by``,
-    and the other side's row of such a key is repeated once per part.
+    and the other side's row of such a key is repeated once per part. ``count`` names the column of
+    ``other`` that holds a key's rows, if it has one; without it they are counted.
     """
-    hot = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT_ROWS)  # one key in HOT_ROWS rows at most
+    sizes = rows.groupBy(key).agg(F.count("*").alias("__n")) if count is None else other.select(key, F.col(count).alias("__n"))
+    hot = sizes.where(F.col("__n") > HOT_ROWS)  # one key in HOT_ROWS rows at most
     hot = hot.select(key, F.ceil(F.col("__n") / HOT_ROWS).cast("int").alias("__parts"))
     parts = F.coalesce("__parts", F.lit(1))
     left = rows.join(hot, key, "left").withColumn("__part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("__parts")
