@@ -120,6 +120,15 @@ def test_sources(spark, tmp_path):
     assert readers.parse_card("<table><tr><td>A&amp;B</td><td> x  y</td></tr><tr><td>C</td></tr></table>") == {"A&B": "x y", "C": ""}
 
 
+def test_references_count_once_and_with_their_semicolon(spark):
+    texts = ["a &amp;&amp; b", "cut &amp;&amp", "&amp;lt;", "&#x27;&#241;&eacute;", "&lt &notit; &#x27", None]
+    want = ["a && b", "cut &&amp", "&lt;", "'ñé", "&lt &notit; &#x27", None]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", readers.html_text("x").alias("x")).collect()
+    assert [r["x"] for r in sorted(got)] == want
+    for text, plain in zip(texts[:-1], want[:-1], strict=True):
+        assert readers.parse_card(f"<table><tr><th>T&iacute;tulo</th><td>{text}</td></tr></table>") == {"Título": plain}
+
+
 def test_incremental_takes_new_files_only(spark, tmp_path):
     source, out = f"{tmp_path}/in", f"{tmp_path}/out"
     for ids in ([1, 2, None], [2, 3, 3, None], []):
