@@ -162,6 +162,49 @@ def test_search_opens_the_buckets_of_its_words(spark, index):
     assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters", 1)[1][:200]
 
 
+def rows_shuffled(spark, job):
+    """Rows that the stages of a job write for others."""
+    def total():
+        jvm, gateway = spark._jvm, spark.sparkContext._gateway
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (stages.apply(i) for i in range(stages.size()))}
+
+    before = total()
+    job()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(n for stage, n in total().items() if stage not in before)
+
+
+@pytest.fixture(scope="module")
+def alike(spark):
+    """Documents of common words, some with a rare one."""
+    texts = [(i, "el amparo fue otorgado por la corte" + (f" x{i // 40}" if i % 40 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    return docs, fulltext.build(docs, buckets=4), texts
+
+
+def test_a_build_shuffles_no_postings(spark, alike):
+    assert rows_shuffled(spark, lambda: fulltext.build(alike[0], buckets=4)) < 400  # of 2,810
+
+
+def test_ranked_search_makes_no_row_of_what_a_query_and_a_document_share(spark, alike):
+    docs, index, texts = alike
+    queries = docs.where("doc_id < 200").withColumnRenamed("doc_id", "query")
+    assert rows_shuffled(spark, lambda: fulltext.ranked(index, queries, 3).collect()) < 12_000  # they share 560,000 words
+
+
+@pytest.mark.parametrize("block, lot, slack", [(3, 1, 8), (50, 7, 1)])
+def test_ranked_search_in_blocks_and_lots(spark, alike, monkeypatch, block, lot, slack):
+    docs, index, texts = alike
+    for name, value in (("BLOCK", block), ("LOT", lot), ("PARTS", slack), ("SHARED", 1)):
+        monkeypatch.setattr(fulltext, name, value)
+    asked = [(1, "amparo x3 x7"), (2, "el el corte"), (3, "x1"), (4, "nada"), (5, "x2 la")]
+    got = defaultdict(list)
+    for r in sorted(fulltext.ranked(index, spark.createDataFrame(asked, "query long, text string"), 4).collect(), key=lambda r: (r["query"], r["rank"])):
+        got[r["query"]].append((r["id"], round(r["score"], 4)))
+    assert dict(got) == {q: want for q, t in asked if (want := naive_bm25(texts, t, 4))}
+
+
 def naive_pagerank(edges, rounds):
     edges = {(a, b) for a, b in edges if a is not None and b is not None and a != b}
     nodes = {x for e in edges for x in e}
