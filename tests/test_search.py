@@ -205,6 +205,14 @@ def test_ranked_search_in_blocks_and_lots(spark, alike, monkeypatch, block, lot,
     assert dict(got) == {q: want for q, t in asked if (want := naive_bm25(texts, t, 4))}
 
 
+def test_phrases_look_only_at_holders_of_the_rarest_word(spark, alike):
+    index = alike[1]
+    asked = spark.createDataFrame([(1, "la corte x3"), (2, "corte x30"), (3, "corte x5 la")], "query long, text string")
+    found = []
+    assert rows_shuffled(spark, lambda: found.extend(map(tuple, fulltext.phrases(index, asked).collect()))) < 400  # of 1,210
+    assert found == [(1, 120, 1)]
+
+
 def naive_pagerank(edges, rounds):
     edges = {(a, b) for a, b in edges if a is not None and b is not None and a != b}
     nodes = {x for e in edges for x in e}
