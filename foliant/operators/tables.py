@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.casenum import document_years, year_of
 from foliant.functions.stats import Z95, cochran
+from foliant.operators.store import cut, dealt
 
 
 def keep(df: DataFrame, key: str, order: str, which: str = "last") -> DataFrame:
@@ -81,6 +82,8 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, seed: int, size: Co
 
 #: Hexadecimal digits of the order by which a stratum is counted: 16**4 slices.
 PREFIX = 4
+#: Strata up to this number go to every executor.
+SHARED_STRATA = 100_000
 
 
 def cut_by_prefix(ranked: DataFrame, sizes: DataFrame, key: str, stratum: str) -> DataFrame:
@@ -97,8 +100,12 @@ def cut_by_prefix(ranked: DataFrame, sizes: DataFrame, key: str, stratum: str) -
     # the slice in which the sample ends; of one that takes all or nothing, the last or the first
     end = F.greatest(F.col("sample_n"), F.lit(1))
     cuts = counts.where((F.col("__upto") - F.col("__c") < F.least(end, "stratum_n")) & (F.least(end, "stratum_n") <= F.col("__upto")))
-    cuts = cuts.select("__s", "__cut", "stratum_n", "sample_n", (F.col("sample_n") - F.col("__upto") + F.col("__c")).alias("__rest"))
-    placed = ranked.join(cuts, F.col(stratum) == F.col("__s")).withColumn("__p", slice_of)
+    cuts = cut(cuts.select("__s", "__cut", "stratum_n", "sample_n", (F.col("sample_n") - F.col("__upto") + F.col("__c")).alias("__rest")), "cuts")
+    if cuts.count() <= SHARED_STRATA:  # a row per stratum goes to the rows, so no task gets a stratum's rows
+        placed = ranked.join(F.broadcast(cuts), F.col(stratum) == F.col("__s"))
+    else:
+        placed = dealt(ranked.withColumn("__s", F.col(stratum)), "__s", "__o", cuts, "stratum_n")
+    placed = placed.withColumn("__p", slice_of)
     whole = placed.where("__p < __cut")
     part = placed.where("__p = __cut").withColumn("__r", F.row_number().over(Window.partitionBy("__s").orderBy("__o", F.col(key).cast("string")))).where("__r <= __rest").drop("__r")
     return whole.unionAll(part).drop("__o", "__s", "__cut", "__rest", "__p")

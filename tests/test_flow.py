@@ -12,7 +12,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.operators import counters, tables
+from foliant.operators import counters, store, tables
 from foliant.sources import records
 from foliant.streaming import retries, versions
 from foliant.streaming.versions import Versions
@@ -223,3 +223,21 @@ def test_samples_without_a_bound_equal_the_sorted_ones(spark, digits, monkeypatc
         got = tables.stratified_sample(df, "id", "s", 7, size)
         assert sorted(r["id"] for r in got.collect()) == sorted(want)
         assert got.columns[-2:] == ["stratum_n", "sample_n"]
+
+
+@pytest.mark.parametrize("shared", [100_000, 1])
+def test_no_task_gets_the_rows_of_a_stratum(spark, shared, monkeypatch):
+    monkeypatch.setattr(tables, "SHARED_STRATA", shared)
+    monkeypatch.setattr(store, "HOT_ROWS", 50)
+    df = spark.range(900).select(F.col("id"), F.when(F.col("id") < 700, "a").when(F.col("id") < 890, "b").otherwise("c").alias("s"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = tables.stratified_sample(df, "id", "s", 7, F.ceil(F.col("stratum_n") / 2))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("__part" in plan) if shared == 1 else ("SortMergeJoin" not in plan)
+        rows = [tuple(r) for r in got.select("s", "id").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = {s: sorted((hashlib.md5(f"7:{s}:{i}".encode()).hexdigest(), str(i), i) for i in r) for s, r in (("a", range(700)), ("b", range(700, 890)), ("c", range(890, 900)))}
+    assert sorted(rows) == sorted((s, x[2]) for s, k in keys.items() for x in k[: -(-len(k) // 2)])
