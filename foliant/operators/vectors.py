@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from foliant.operators.store import new_path, read_text, write_text
 
 BLOCK, QUERIES, DIGITS = 16_384, 2048, 9
+#: Rows of an Arrow batch at most where queries are repeated for each of their cells.
+REPEATED = 16_384
 #: Cells at most, rows of the sample per cell, and bytes of all centres at most (they go to every task).
 MOST_CELLS, SAMPLE_PER_CELL, CENTRE_BYTES = 4096, 32, 64 << 20
 #: Rows that ``tune`` asks for, and the share of their true neighbours that the cells it chooses hold.
@@ -122,22 +124,22 @@ class Index:
         return self.centres.shape[1]
 
 
+def _close(batches: Iterator[pa.RecordBatch], centres: np.ndarray, probes: int) -> Iterator[pa.RecordBatch]:
+    """Rows (id, v) once for each of their ``probes`` nearest cells, ``REPEATED`` rows a batch at most, however many cells there are."""
+    dims, step = centres.shape[1], max(1, min(1024, REPEATED // probes))
+    for batch in batches:
+        for a in range(0, batch.num_rows, step):
+            part = batch.slice(a, step)
+            close = _matrix(part.column(1), dims) @ centres.T
+            cell = np.argpartition(-close, probes - 1, axis=1)[:, :probes] if probes < len(centres) else np.tile(np.arange(len(centres)), (len(close), 1))
+            again = pa.array(np.repeat(np.arange(part.num_rows), probes))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(again), part.column(1).take(again), pa.array(cell.ravel().astype(np.int32))], ["id", "v", "cell"])
+
+
 def _assign(rows: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
     """``rows (id, v)`` once for each of their ``probes`` nearest cells; (id, v, cell), v null and cell ``NOWHERE`` for those without direction."""
-    shared, dims = rows.sparkSession.sparkContext.broadcast(centres), centres.shape[1]
-    probes = min(probes, len(centres))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1024):
-                part = batch.slice(a, 1024)
-                close = _matrix(part.column(1), dims) @ c.T
-                cell = np.argpartition(-close, probes - 1, axis=1)[:, :probes] if probes < len(c) else np.tile(np.arange(len(c)), (len(close), 1))
-                again = pa.array(np.repeat(np.arange(part.num_rows), probes))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(again), part.column(1).take(again), pa.array(cell.ravel().astype(np.int32))], ["id", "v", "cell"])
-
-    placed = rows.where("v is not null").mapInArrow(run, "id long, v array<double>, cell int")
+    shared, probes = rows.sparkSession.sparkContext.broadcast(centres), min(probes, len(centres))
+    placed = rows.where("v is not null").mapInArrow(lambda batches: _close(batches, shared.value, probes), "id long, v array<double>, cell int")
     return placed.unionByName(rows.where("v is null").select("id", "v", F.lit(NOWHERE).alias("cell")))
 
 

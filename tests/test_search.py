@@ -74,6 +74,18 @@ def test_vector_index_reads_probed_cells_only(points):
     assert "Cartesian" not in plan and "Join Cross" not in plan
 
 
+def test_queries_go_to_their_cells_in_batches_of_a_bound(points):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    centres, v = rng.normal(size=(3000, 8)), rng.normal(size=(200, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(v.tolist())], ["id", "v"])
+    out = list(vectors._close(iter([batch]), centres, 1000))
+    assert max(b.num_rows for b in out) <= 16_384 and sum(b.num_rows for b in out) == 200_000
+    cells = {(i, c) for b in out for i, c in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)}
+    assert cells == {(i, c) for i, row in enumerate(np.argsort(-(v @ centres.T), axis=1)[:, :1000]) for c in row.tolist()}
+
+
 def test_vector_index_of_little(spark, points):
     df, _ = points
     for some in (df.limit(0), df.where("vec_id = 1"), df.where("vec_id >= 500")):
