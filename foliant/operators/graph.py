@@ -23,29 +23,35 @@ def pagerank(edges: DataFrame, rounds: int = 10, damping: float = 0.85) -> DataF
 
     Nodes that cite nothing give their rank to all nodes alike. A node with very many
     citations out has its edges dealt over parts; one with very many in has its sum
-    combined in each task before the shuffle. Loops and repeated edges count as none and once.
+    combined in each task before the shuffle. Loops and repeated edges count as none and once. Nodes that nobody
+    cites all have the same rank, a number, so the rounds only read the edges of the others.
     """
     edges = cut(clean_edges(edges), "edges")
-    out = edges.groupBy("src").agg(F.count("*").alias("degree"))
-    nodes = edges.select(F.col("src").alias("id")).unionAll(edges.select("dst")).distinct()
-    nodes = cut(nodes.join(out.withColumnRenamed("src", "id"), "id", "left").select("id", F.coalesce("degree", F.lit(0)).alias("degree")), "nodes")
-    n = nodes.count()
+    cited = edges.select(F.col("dst").alias("src")).distinct().withColumn("cited", F.lit(True))
+    sources = edges.groupBy("src").agg(F.count("*").alias("degree")).join(cited, "src", "full")
+    sources = cut(sources.select("src", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("cited", F.lit(False)).alias("cited")), "nodes")
+    n = sources.count()
+    degrees = dealt(edges, "src", "dst", sources.where("degree > 0"), "degree")
     # edges of heavy sources are dealt once, before the rounds
-    parts = F.ceil(F.col("degree") / HOT_ROWS).cast("int")
-    split = F.when(F.col("degree") > HOT_ROWS, parts).otherwise(1)
-    heavy = nodes.where(F.col("degree") > HOT_ROWS).select(F.col("id").alias("src"), parts.alias("parts"))  # one in HOT_ROWS edges at most
-    spread = cut(edges.join(heavy, "src", "left").select("src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")), "edges")
-    ranks = cut(nodes.select("id", "degree", F.lit(1.0 / max(n, 1)).alias("rank")), "ranks")
+    parts = F.when(F.col("degree") > HOT_ROWS, F.ceil(F.col("degree") / HOT_ROWS).cast("int")).otherwise(1)
+    degrees = cut(degrees.select("src", "dst", "degree", "cited", F.pmod(F.xxhash64("dst"), parts).cast("int").alias("part")), "edges")
+    spread = degrees.where("cited").select("src", "dst", "part")
+    # what a node gets from those that nobody cites is their common rank times a constant
+    fixed = degrees.where("not cited").groupBy(F.col("dst").alias("id")).agg(F.sum(1 / F.col("degree")).alias("fixed"))
+    nodes = sources.where("cited").select(F.col("src").alias("id"), "degree").join(fixed, "id", "left")
+    free = 1.0 / max(n, 1)
+    ranks = cut(nodes.select("id", "degree", F.coalesce("fixed", F.lit(0.0)).alias("fixed"), F.lit(free).alias("rank")), "ranks")
     for _ in range(rounds):
         lost = ranks.where("degree = 0").agg(F.sum("rank")).first()[0] or 0.0
-        sent = ranks.where("degree > 0").select(F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("w"), F.explode(F.sequence(F.lit(0), split - 1)).alias("part"))
+        sent = ranks.where("degree > 0").select(F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("w"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
         got = spread.join(sent, ["src", "part"]).groupBy(F.col("dst").alias("id")).agg(F.sum("w").alias("w"))
-        rank = (1 - damping) / n + damping * (F.coalesce("w", F.lit(0.0)) + lost / n)
-        before, ranks = ranks, cut(ranks.select("id", "degree").join(got, "id", "left").select("id", "degree", rank.alias("rank")), "ranks")
+        rank = (1 - damping) / max(n, 1) + damping * (F.coalesce("w", F.lit(0.0)) + F.col("fixed") * free + lost / max(n, 1))
+        before, ranks = ranks, cut(ranks.select("id", "degree", "fixed").join(got, "id", "left").select("id", "degree", "fixed", rank.alias("rank")), "ranks")
+        free = (1 - damping) / max(n, 1) + damping * lost / max(n, 1)
         discard(before)
-    for done in (edges, spread):
+    for done in (edges, degrees):
         discard(done)
-    return ranks.select("id", "rank")
+    return ranks.select("id", "rank").unionAll(sources.where("not cited").select("src", F.lit(free)))
 
 
 def reach(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:

@@ -263,6 +263,20 @@ def test_reach(spark, hot, monkeypatch):
     assert graph.reach(e, seeds.limit(0)).count() == 0
 
 
+@pytest.fixture
+def joins_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rounds_of_pagerank_leave_out_what_nobody_cites(spark, joins_shuffle):
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1)] + [(i, i % 3 + 1) for i in range(100, 1100)], "src long, dst long")
+    few, many = (rows_shuffled(spark, lambda n=n: graph.pagerank(e, n).collect()) for n in (1, 5))
+    assert many - few < 1000  # a round had 1,000 edges
+
+
 def naive_components(edges):
     up = {}
 
