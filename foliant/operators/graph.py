@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.operators.store import HOT_ROWS, cut, dealt, discard, new_path
+from foliant.operators.store import HOT_ROWS, cut, dealt, delete, discard, new_path, shuffles_go
 
 
 def clean_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -58,11 +58,19 @@ def reach(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> Data
     """(id, depth): what can be reached from ``seeds (id)`` along ``edges (src, dst)``, and in how many steps at least; seeds have 0.
 
     A round joins the edges with what the last one found and takes away what is known; it ends
-    when nothing new comes, after ``rounds`` at most. To ask what falls with an
+    when nothing new comes, after ``rounds`` at most. Edges to nodes that lead nowhere are
+    left out of the rounds and read once after them. To ask what falls with an
     overturned ruling, the edges go from the cited document to the citing one.
     """
     spark = edges.sparkSession
-    edges, base = cut(clean_edges(edges), "edges"), new_path(spark, "reach")
+    edges, base, path = cut(clean_edges(edges), "edges"), new_path(spark, "reach"), new_path(spark, "edges")
+    onward = edges.select(F.col("src").alias("dst")).distinct().withColumn("onward", F.lit(True))
+    ends = edges.groupBy("dst").agg(F.count("*").alias("n")).join(onward, "dst", "left").select("dst", "n", F.coalesce("onward", F.lit(False)).alias("onward"))
+    with shuffles_go(spark):
+        dealt(edges, "dst", "src", ends, "n").select("src", "dst", "onward").write.partitionBy("onward").parquet(path)
+    discard(edges)
+    split = spark.read.schema("src long, dst long, onward boolean").parquet(path)
+    inner = split.where("onward").select("src", "dst")
     seeds.select(F.col("id").cast("long").alias("id")).dropna().distinct().write.parquet(f"{base}/depth=0")
     seen, depth = _found(spark, base), 0
     while rounds is None or depth < rounds:
@@ -70,11 +78,15 @@ def reach(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> Data
         if front.isEmpty():
             break
         depth += 1
-        new = dealt(edges, "src", "dst", front).select(F.col("dst").alias("id")).distinct()
-        new.join(seen.select("id"), "id", "left_anti").write.parquet(f"{base}/depth={depth}")
+        with shuffles_go(spark):
+            new = dealt(inner, "src", "dst", front).select(F.col("dst").alias("id")).distinct()
+            new.join(seen.select("id"), "id", "left_anti").write.parquet(f"{base}/depth={depth}")
         seen = _found(spark, base)
-    discard(edges)
-    return seen
+    near = seen if rounds is None else seen.where(F.col("depth") < rounds)
+    last = dealt(split.where("not onward").select("src", "dst"), "src", "dst", near.withColumnRenamed("id", "src")).groupBy(F.col("dst").alias("id")).agg((F.min("depth") + 1).alias("depth"))
+    last = cut(last.join(seen.select("id"), "id", "left_anti"), "reached")
+    delete(spark, path)
+    return seen.unionAll(last.select("id", "depth"))
 
 
 def _found(spark: SparkSession, base: str) -> DataFrame:

@@ -277,6 +277,13 @@ def test_rounds_of_pagerank_leave_out_what_nobody_cites(spark, joins_shuffle):
     assert many - few < 1000  # a round had 1,000 edges
 
 
+def test_rounds_of_reach_leave_out_what_leads_nowhere(spark, joins_shuffle):
+    e = spark.createDataFrame([(i, i + 1) for i in range(1, 8)] + [(9, i) for i in range(100, 1100)], "src long, dst long")
+    seeds, found = spark.createDataFrame([(1,)], "id long"), []
+    few, many = (rows_shuffled(spark, lambda n=n: found.append(graph.reach(e, seeds, n).count())) for n in (1, 5))
+    assert many - few < 1000 and found == [2, 6]  # a round had 1,000 edges
+
+
 def naive_components(edges):
     up = {}
 
