@@ -7,9 +7,10 @@ very much) is combined before its shuffle or dealt over parts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.operators import store
 from foliant.operators.store import HOT_ROWS, cut, dealt, delete, discard, new_path, shuffles_go
 
 
@@ -93,31 +94,52 @@ def _found(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema("id long, depth int").parquet(base)
 
 
+def _plain(rows: DataFrame, key: str, by: str, other: DataFrame, count: str | None = None, how: str = "inner") -> DataFrame:
+    """``store.dealt`` for tables in which no key can be hot."""
+    return rows.join(other, key, how)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of the ends of ``edges (a, b)``: the least id that each is connected with.
 
-    Large-star and small-star steps until the edges stay: every step takes minima by node,
-    combined before their shuffle, and deals the edges of nodes with very many. Rounds grow with the logarithm of a component's size.
+    Contraction: every node moves to the first of itself and its neighbours in a random order, another one each round,
+    and edges are named anew by where their ends went, so there are fewer by a constant factor
+    each round, whatever the shape. What nodes moved to is followed back from the last round to the first. Minima are combined before their
+    shuffle, and the edges of nodes with very many are dealt over parts.
     """
     both = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).dropna()
-    now = cut(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    was = mark(now)
-    for _ in range(rounds):
-        around = now.unionAll(now.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = around.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-        large = dealt(around.where("b > a"), "a", "b", low, "n").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.where("a = m").select("a", F.col("m").alias("b"))).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = dealt(large, "a", "b", low, "n").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
-        before, now = now, cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-        discard(before)
-        if (is_now := mark(now)) == was:
-            break
-        was = is_now
-    else:
-        raise RuntimeError("components did not settle")
-    ends = now.unionAll(now.select(F.col("b").alias("a"), "b"))
-    return ends.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    ends = cut(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    now, moves = ends.where("a <> b"), []
+    while size := now.count():
+        if len(moves) == rounds:
+            raise RuntimeError("components did not settle")
+        order = lambda c: F.xxhash64(c, F.lit(len(moves)))  # noqa: B023, E731
+        around = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = around.groupBy("a").agg(F.min_by("b", order("b")).alias("m"), F.min(order("b")).alias("o"), F.count("*").alias("n"))
+        # written before it is read twice: of equal hashes any is right, but the same one everywhere
+        to = cut(first.select("a", F.when(order("a") < F.col("o"), F.col("a")).otherwise(F.col("m")).alias("m"), "n"), "moves")
+        meet = dealt if size > store.HOT_ROWS else _plain  # with so few edges no node is hot
+        half = meet(now, "a", "b", to, "n").select(F.col("m").alias("x"), "b")
+        whole = meet(half, "b", "x", to.select(F.col("a").alias("b"), F.col("m").alias("y"), "n"), "n").where("x <> y")
+        before, now = now, cut(whole.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "links")
+        if moves:
+            discard(before)
+        moves.append((to, meet))
+    if moves:
+        discard(now)
+    found = None
+    for to, meet in reversed(moves):
+        to = to.select(F.col("a").alias("id"), "m")
+        if found is not None:
+            later = meet(to, "m", "id", found.select(F.col("id").alias("m"), "last"), how="left")
+            to = later.select("id", F.coalesce("last", "m").alias("m"))
+        found = cut(to.withColumnRenamed("m", "last"), "moved")
+    alone = ends.where("a = b").select(F.col("a").alias("id"), F.col("a").alias("component"))
+    if found is None:
+        return alone
+    least = found.groupBy("last").agg(F.min("id").alias("component"), F.count("*").alias("n"))
+    out = dealt(found, "last", "id", least, "n").select("id", "component")
+    return out.unionAll(alone.join(found.select("id"), "id", "left_anti"))
 
 
 def shared_keys(documents: DataFrame, id_col: str, signals: list[tuple[str, str]]) -> DataFrame:
@@ -134,6 +156,19 @@ def _stars(keys: DataFrame, of: str) -> DataFrame:
     return dealt(both, "k", of, hubs, "n").drop("k", "n")
 
 
+def _of_stars(stars: DataFrame, of: str, *also: Column) -> DataFrame:
+    """(``of``, component, and the aggregates ``also``), one row per ``of``: the least one it is connected with by ``stars (of, hub)``.
+
+    No hub is more than its members, so each goes to its least hub, and only the hubs of
+    what has several are linked with each other: members themselves take no part in the rounds.
+    """
+    each = cut(stars.groupBy(of).agg(F.min("hub").alias("home"), F.max("hub").alias("far"), F.count("*").alias("stars"), *also), "homes")
+    several = each.where("home < far").select(of, "home", "stars")
+    bridges = dealt(stars.select(of, "hub"), of, "hub", several, "stars").where("hub <> home")
+    found = components(bridges.select(F.col("hub").alias("a"), F.col("home").alias("b"))).withColumnRenamed("id", "home")
+    return dealt(each, "home", of, found, how="left").withColumn("component", F.coalesce("component", "home")).drop("home", "far", "stars")
+
+
 def procedural_groups(documents: DataFrame, strong: list[tuple[str, str]], weak: list[tuple[str, str]], id_col: str = "id") -> DataFrame:
     """The table of procedural links: (id, group_id, links, signal, proposed_id, proposed_by, state), one row per document.
 
@@ -151,9 +186,8 @@ def procedural_groups(documents: DataFrame, strong: list[tuple[str, str]], weak:
     """
     ids = documents.select(F.col(id_col).cast("long").alias("id")).dropna().distinct()
     stars = cut(_stars(shared_keys(documents, id_col, strong), "id"), "stars")
-    found = components(stars.select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    links = stars.groupBy("id").agg(F.count("*").alias("links"), F.min_by("signal", "rank").alias("signal"))
-    groups = cut(ids.join(found, "id", "left").join(links, "id", "left").select("id", F.coalesce("component", "id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"), "signal"), "groups")
+    found = _of_stars(stars, "id", F.count("*").alias("links"), F.min_by("signal", "rank").alias("signal"))
+    groups = cut(ids.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"), "signal"), "groups")
 
     of_group = groups.select("id", "group_id")
     named = shared_keys(documents, id_col, strong[:1]).join(of_group, "id").select("group_id").distinct().withColumn("named", F.lit(True))
@@ -164,9 +198,8 @@ def procedural_groups(documents: DataFrame, strong: list[tuple[str, str]], weak:
     least = lambda c: F.min(F.when(c, F.col("group_id")))
     sides = keys.groupBy("k").agg(F.min("group_id").alias("x"), F.max("group_id").alias("y"), least(F.col("named")).alias("first"), F.max(F.when(F.col("named"), F.col("group_id"))).alias("last"), least(~F.col("named")).alias("hub"), F.count("*").alias("n"))
     met = cut(dealt(nameless, "k", "group_id", sides.where("x < y"), "n"), "met")
-    clusters = components(met.select(F.col("group_id").alias("a"), F.col("hub").alias("b"))).select(F.col("id").alias("group_id"), F.col("component").alias("cluster"))
-    by = met.groupBy("group_id").agg(F.min_by("signal", "rank").alias("proposed_by"), F.min("first").alias("first"), F.max("last").alias("last"))
-    joined = cut(by.join(clusters, "group_id"), "clusters")
+    by = _of_stars(met, "group_id", F.min_by("signal", "rank").alias("proposed_by"), F.min("first").alias("first"), F.max("last").alias("last"))
+    joined = cut(by.withColumnRenamed("component", "cluster"), "clusters")
     around = joined.groupBy("cluster").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     lone = around.where("first = last")
     names = lone.groupBy("first").agg(F.least("first", F.min("cluster")).alias("name"))

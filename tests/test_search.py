@@ -309,6 +309,31 @@ def test_components(spark, hot, monkeypatch):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_shapes(spark):
+    """A path in the order of its ids, a star, and a chain that zigzags settle in few rounds each."""
+    path, zigzag = [(i, i + 1) for i in range(300)], [(1000 + i * 37 % 211, 1000 + (i + 1) * 37 % 211) for i in range(210)]
+    edges = path + [(2000, 2001 + i) for i in range(100)] + zigzag
+    got = {r["id"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long"), rounds=30).collect()}
+    assert got == naive_components(edges)
+
+
+def test_members_take_no_part_in_rounds(spark, monkeypatch):
+    """Documents with one key follow their hub; only hubs of what has several keys are linked in the rounds."""
+    seen, whole = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges, *a: (seen.extend(map(tuple, edges.collect())), whole(edges, *a))[1])
+    stars = spark.createDataFrame([(i, 1) for i in range(1, 50)] + [(i, 60) for i in range(60, 90)] + [(95, 1), (95, 60), (95, 94), (94, 94), (99, 98), (98, 98)], "id long, hub long")
+    got = {r["id"]: (r["component"], r["n"]) for r in graph._of_stars(stars, "id", F.count("*").alias("n")).collect()}
+    assert got == {i: (1, 1) for i in [*range(1, 50), *range(60, 90), 94]} | {95: (1, 3), 98: (98, 1), 99: (98, 1)}
+    assert sorted(seen) == [(60, 1), (94, 1)]
+
+
+def test_dealt_left(spark, monkeypatch):
+    monkeypatch.setattr(store, "HOT_ROWS", 3)
+    rows = spark.createDataFrame([(i, i % 3) for i in range(30)], "id long, k long")
+    got = store.dealt(rows, "k", "id", spark.createDataFrame([(0, "a"), (1, "b"), (7, "c")], "k long, v string"), how="left")
+    assert sorted((r["id"], r["v"]) for r in got.collect()) == [(i, ("a", "b", None)[i % 3]) for i in range(30)]
+
+
 def test_procedural_groups(spark):
     rows = [
         (1, "10-20", None, "p", None), (2, "10-20", "r1", None, None), (3, None, "r1", None, "d"),  # one case, 3 by a resolution
