@@ -123,3 +123,35 @@ SANE = "el magistrado de la corte que conoce del recurso de amparo y los hechos
 def test_text_quality(spark, page, verdict):
     df = spark.createDataFrame([(page,)], "c string")
     assert textquality.assess(df, "c").first()["quality"]["verdict"] == verdict
+
+
+def test_date_words_as_number_words(spark):
+    """The short ways to a date's day and year read every form as ``number_words`` does, and no other word."""
+    below = ["", *dates.UNITS, *dates.TENS, *[f"{t} y {u}" for t in dates.TENS for u in ("uno", "seis", "nueve")]]
+    years = [" ".join(x for x in (mil, h, b) if x) for mil in ("mil", "dos  mil") for h in ("", *dates.HUNDREDS) for b in below] + ["mil ſeis"]
+    y = spark.createDataFrame([(x,) for x in years], "w string").select("w", dates._year(F.col("w")).alias("got"), dates.number_words(F.col("w")).alias("want"))
+    assert y.where("not got <=> want").collect() == []
+    d = spark.createDataFrame([(x,) for x in (*dates.UNITS, "treinta y uno", "ſeis")], "w string").select("w", dates._day(F.col("w")).alias("got"), dates.number_words(F.col("w")).alias("want"))
+    assert d.where("not got <=> want").collect() == []
+
+
+def test_calendar(spark):
+    """Days that exist, and null for others, as the engine's own reading has them; a year outside 1000 to 2999 is none."""
+    rows = [(y, m, d) for y in (999, 1000, 1900, 1999, 2000, 2023, 2024, 2999, 3000) for m in (*range(1, 13), None) for d in (1, 28, 29, 30, 31, 32, None)]
+    got = spark.createDataFrame(rows, "y int, m int, d int").select("*", dates._calendar(F.col("d"), F.col("m"), F.col("y")).alias("got"))
+    want = F.when(F.col("y").between(1000, 2999), F.expr("try_to_date(format_string('%04d-%02d-%02d', y, m, d), 'yyyy-MM-dd')"))
+    assert got.where(~F.col("got").eqNullSafe(want)).collect() == []
+
+
+def test_dates_are_matched_twice_at_most(spark):
+    """A text is scanned for dates once, and what was found is taken apart by one more match, not by one for each of its parts."""
+    plan = spark.createDataFrame([("x",)], "t string").select(dates.word_date(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(dates.WORD_DATE) == 2
+
+
+def test_squash_and_after(spark):
+    texts = ["", " ", "a b", " a  b\\n", "\\n\\n", "a\\tb \\u00a0c", "a\\x1cb", "x A B A y", "xA", "😀 A \\nz"]
+    d = spark.createDataFrame([(x.encode().decode("unicode_escape") if "\\\\" in x else x,) for x in texts], "t string")
+    rows = d.select("t", text.squash(F.col("t")).alias("s"), text.after(F.col("t"), F.col("t"), "A").alias("a")).collect()
+    assert [r["s"] for r in rows] == [" ".join(r["t"].split()) for r in rows]
+    assert [r["a"] for r in rows] == [r["t"].partition("A")[2] if "A" in r["t"] else None for r in rows]
