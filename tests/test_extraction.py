@@ -135,3 +135,16 @@ def test_robots():
     assert remote.robots_directives(text, "other") == (3.0, None)
     assert not remote.Robots("other", 200, text).allows("http://h/x/1") and remote.Robots("other", 404).allows("http://h/x")
     assert not remote.Robots("other", 500).allows("http://h/") and not remote.Robots("other", None).allows("http://h/")
+
+
+def test_located(spark):
+    """The first match with its place, also behind letters beyond the basic plane, at a line's start and before what only is looked at; each use reads a match that was made once."""
+    texts = ["😀 véase el Expediente No. 12-98 y EXPEDIENTES 3-2001", "nada", "", None, "EXPEDIENTE 7-05"]
+    d = spark.createDataFrame([(x,) for x in texts], "t string")
+    found = d.select(extraction.located(F.col("t"), extraction.CASE).alias("r"))
+    assert [r["r"] and tuple(r["r"]) for r in found.collect()] == [("12-98", "Expediente No. 12-98", 12), None, None, None, ("7-05", "EXPEDIENTE 7-05", 1)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("EXPEDIENTES?") == 4
+    heads = spark.createDataFrame([("a OPINION CONSULTIVA\n opinión consultiva \nb",), ("dictada por la Sala Ñandú Primera, constituida",)], "t string")
+    rows = heads.select(extraction.located(F.col("t"), extraction.HEADING).alias("h"), extraction.located(F.col("t"), extraction.COURT).alias("c")).collect()
+    assert rows[0]["h"]["value"] == "opinión consultiva" and rows[0]["h"]["at"] == 22 and rows[1]["h"] is None
+    assert rows[1]["c"]["value"] == "Sala Ñandú Primera" and rows[1]["c"]["quote"] == "dictada por la Sala Ñandú Primera"
