@@ -54,15 +54,16 @@ def q89_summaries_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH l AS (SELECT user_id AS id, arg_max(event_type, (ts, event_id)) AS outcome, max(ts) AS last_at, count(*) AS tries FROM events GROUP BY user_id)
 SELECT id, outcome, last_at, tries, CASE WHEN outcome NOT IN ('purchase','click') THEN last_at + to_seconds((2^(least(tries,{retries.DOUBLINGS})-1)*{retries.PAUSE})::BIGINT) END AS next_try FROM l""")
 def q90_retries_as_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in three files, each tenth line a file late, a run and a restart for each; the result is that of one batch."""
+    """Events in three deliveries, each tenth line a delivery late, a run and a restart for each; the result is that of one batch."""
     e, base = t(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), new_path(spark, "retries")
     low, high = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
     third = (high - low) // 3 + 1
     part = F.floor((F.unix_micros("ts") - low) / third) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    files = spark.sparkContext.defaultParallelism  # of a delivery, so that no task writes or reads all of it
     for k in range(3):
-        e.where(F.least(part, F.lit(2)) == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        e.where(F.least(part, F.lit(2)) == k).repartition(files).write.mode("append").parquet(f"{base}/in")
         read = lambda d: d.select(F.col("user_id").alias("id"), F.col("event_type").alias("outcome"), F.col("ts").alias("at"), F.col("event_id").alias("seq"))
-        retries.run(spark, f"{base}/in", e.schema, read, f"{base}/out", f"{base}/checkpoint", ["purchase", "click"], f"{2 * third // 1_000_000} seconds")
+        retries.run(spark, f"{base}/in", e.schema, read, f"{base}/out", f"{base}/checkpoint", ["purchase", "click"], f"{2 * third // 1_000_000} seconds", files=files)
     return retries.latest(spark, f"{base}/out").select("id", "outcome", F.col("at").cast("timestamp_ntz").alias("last_at"), "tries", F.col("next_try").cast("timestamp_ntz").alias("next_try"))
 
 

@@ -44,8 +44,8 @@ class Attempts(StatefulProcessor):
         return Row(id=key[0], kind=kind, outcome=outcome, at=at, tries=tries, next_try=after or None)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        was = self.state.get() if self.state.exists() else (-(1 << 62), -(1 << 62), None, 0, 0, 0)
-        at, seq, outcome, tries, due, forget = was
+        # each call is a message to the engine: one tells both whether there is a state and what it is
+        at, seq, outcome, tries, due, forget = self.state.get() or (-(1 << 62), -(1 << 62), None, 0, 0, 0)
         for r in rows:
             tries += 1
             if (r.at, r.seq) >= (at, seq):

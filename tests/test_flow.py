@@ -241,3 +241,19 @@ def test_no_task_gets_the_rows_of_a_stratum(spark, shared, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     keys = {s: sorted((hashlib.md5(f"7:{s}:{i}".encode()).hexdigest(), str(i), i) for i in r) for s, r in (("a", range(700)), ("b", range(700, 890)), ("c", range(890, 900)))}
     assert sorted(rows) == sorted((s, x[2]) for s, k in keys.items() for x in k[: -(-len(k) // 2)])
+
+
+def test_one_message_for_a_state():
+    """An id's state is asked for once a batch, there or not."""
+    from types import SimpleNamespace
+
+    asked, kept = [], []
+    state = SimpleNamespace(get=lambda: asked.append("get") or (kept[-1] if kept else None), exists=lambda: asked.append("exists") or bool(kept), update=kept.append)
+    timers = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    handle = SimpleNamespace(getValueState=lambda *_: state, registerTimer=lambda _: None, deleteTimer=lambda _: None)
+    p = retries.Attempts(["ok"])
+    p.init(handle)
+    lines = [SimpleNamespace(at=5, seq=1, outcome="no"), SimpleNamespace(at=4, seq=2, outcome="ok")]
+    assert [r["tries"] for r in p.handleInputRows((1,), iter(lines), timers)] == [2]
+    assert [(r["tries"], r["outcome"]) for r in p.handleInputRows((1,), iter([SimpleNamespace(at=9, seq=3, outcome="ok")]), timers)] == [(3, "ok")]
+    assert asked == ["get", "get"]
