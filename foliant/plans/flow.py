@@ -107,7 +107,7 @@ def q98_paged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, e = new_path(spark, "paged"), t(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props")
     replay.keep_pages(e, "event_id", "event_type", f"{base}/api", 500)
     kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
-    options = {"url": f"{base}/api", "transport": "foliant.sources.replay:answer", "fields": "event_id,user_id,props", "prefixes": ",".join(kinds), "pagesize": "1000", "pagesperbatch": "8", "persecond": "1e9", "jitter": "0", "retries": "0", "robots": "false", "budget": "1000000", "state": f"{base}/state"}
+    options = {"url": f"{base}/api", "transport": "foliant.sources.replay:answer", "fields": "event_id,user_id,props", "prefixes": ",".join(kinds), "pagesize": "1000", "pagesperbatch": "8", "persecond": "1e9", "jitter": "0", "retries": "0", "robots": "false", "budget": "1000000", "state": f"{base}/state", "readers": str(spark.sparkContext.defaultParallelism)}
     for busy in (False, True, False):
         (store.write_text(spark, f"{base}/api/busy", "") if busy else store.delete(spark, f"{base}/api/busy"))
         stream = spark.readStream.format("paged").options(**options).load().writeStream.format("records").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="0 seconds").start()

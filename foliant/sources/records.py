@@ -14,16 +14,22 @@ import base64
 import hashlib
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import Row, StructType
+from pyspark.sql.datasource import DataSource, DataSourceStreamArrowWriter, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import BooleanType, IntegerType, LongType, Row, StringType, StructType
 
 #: Bytes of one part at most, but for a longer record.
 PART_BYTES = 64 << 20
+#: Types whose values are JSON as they come.
+AS_THEY_COME = (StringType, LongType, IntegerType, BooleanType)
+
+
+_encode = json.JSONEncoder(ensure_ascii=False).encode  # made once: json.dumps makes one for every row
 
 
 @dataclass
@@ -69,10 +75,13 @@ class _Folder:
         return name
 
     def write(self, iterator: Iterator[Row]) -> Written:
+        return self._write(map(_plain, row) for row in iterator)
+
+    def _write(self, rows: Iterator[Iterable]) -> Written:
         attempt, parts, lines, size, n = uuid.uuid4().hex[:8], [], [], 0, 0
         try:
-            for row in iterator:
-                line = json.dumps(dict(zip(self.names, map(_plain, row), strict=True)), ensure_ascii=False).encode() + b"\n"
+            for row in rows:
+                line = _encode(dict(zip(self.names, row, strict=True))).encode() + b"\n"
                 if lines and size + len(line) > PART_BYTES:
                     parts.append(self._part(lines, attempt))
                     lines, size = [], 0
@@ -132,6 +141,13 @@ class RecordStreamWriter(_Folder, DataSourceStreamWriter):
         self.take_back(self.unpublished(self.run))
 
 
+class RecordStreamArrowWriter(RecordStreamWriter, DataSourceStreamArrowWriter):
+    """For rows of plain values, which needn't become Spark's rows first."""
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        return self._write(row for batch in iterator for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+
+
 class RecordSink(DataSource):
     """Option ``path``: a folder that all executors reach by a scheme that pyarrow knows."""
 
@@ -143,7 +159,8 @@ class RecordSink(DataSource):
         return RecordWriter(self.options["path"], schema.names, overwrite)
 
     def streamWriter(self, schema: StructType, overwrite: bool) -> RecordStreamWriter:  # noqa: N802
-        return RecordStreamWriter(self.options["path"], schema.names)
+        plain = all(isinstance(f.dataType, AS_THEY_COME) for f in schema) and len(schema) > 0
+        return (RecordStreamArrowWriter if plain else RecordStreamWriter)(self.options["path"], schema.names)
 
 
 def parts(spark: SparkSession, path: str) -> DataFrame:

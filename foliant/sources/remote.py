@@ -22,6 +22,7 @@ from pathlib import Path
 from urllib.parse import urlsplit
 from urllib.robotparser import RobotFileParser
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
@@ -274,17 +275,15 @@ class PagedReader(DataSourceReader):
 
 
 @dataclass
-class PageRange(InputPartition):
-    prefix: str
-    start: int
-    end: int
+class PageRanges(InputPartition):
+    ranges: list[tuple[str, int, int]]
 
 
 class PagedStream(DataSourceStreamReader):
     """A stream whose offset is a position in every prefix.
 
-    A batch takes ``pagesPerBatch`` pages of each prefix at most, one partition per prefix; the source is asked for its totals
-    once per batch. What has been planned is noted in the folder ``state`` (beside the query's checkpoint), as Spark doesn't
+    A batch takes ``pagesPerBatch`` pages of each prefix at most, one partition per prefix or, with the option ``readers``, its pages in equal
+    shares for that many, who share pace and budget; the source is asked for its totals once per batch. What has been planned is noted in the folder ``state`` (beside the query's checkpoint), as Spark doesn't
     tell a source where a restarted query stands. A page that is refused, or has fewer rows
     than its totals promised, fails the batch: the query stops, and its next start reads the same range
     again. Rows that come later belong at a prefix's end.
@@ -293,12 +292,12 @@ class PagedStream(DataSourceStreamReader):
     def __init__(self, options: dict[str, str], fields: list[str]):
         self.options, self.fields = dict(options), fields
         self.prefixes = self.options.get("prefixes", ",".join(PREFIXES)).split(",")
-        self.size = int(self.options.get("pagesize", 1000))
+        self.size, self.readers = int(self.options.get("pagesize", 1000)), int(self.options.get("readers", 0))
         self.fs, self.state = pafs.FileSystem.from_uri(self.options["state"])
         self.planned: dict[str, int] | None = None
 
     def _client(self) -> Client:
-        return _client(self.options, len(self.prefixes))
+        return _client(self.options, self.readers or len(self.prefixes))
 
     def initialOffset(self) -> dict:  # noqa: N802
         return dict.fromkeys(self.prefixes, 0)
@@ -320,28 +319,34 @@ class PagedStream(DataSourceStreamReader):
             end[p] = max(at, min(int(known), at + step))
         return end
 
-    def partitions(self, start: dict, end: dict) -> list[PageRange]:
+    def partitions(self, start: dict, end: dict) -> list[PageRanges]:
         self.planned = {p: max(n, end.get(p, 0)) for p, n in self._plan().items()}
         self.fs.create_dir(self.state, recursive=True)
         side = f"{self.state}/planned.json.{uuid.uuid4().hex}"
         with self.fs.open_output_stream(side) as out:
             out.write(json.dumps(self.planned).encode())
         self.fs.move(side, f"{self.state}/planned.json")
-        return [PageRange(p, start.get(p, 0), n) for p, n in end.items() if n > start.get(p, 0)]
-
-    def read(self, partition: PageRange) -> Iterator[tuple]:
+        ranges = [(p, start.get(p, 0), n) for p, n in end.items() if n > start.get(p, 0)]
+        if not self.readers:
+            return [PageRanges([r]) for r in ranges]
+        pages = [(p, at, min(at + self.size, n)) for p, first, n in ranges for at in range(first, n, self.size)]
+        readers = min(self.readers, len(pages))
+        return [PageRanges(pages[k * len(pages) // readers : (k + 1) * len(pages) // readers]) for k in range(readers)]
+
+    def read(self, partition: PageRanges) -> Iterator[pa.RecordBatch]:
+        """A batch of rows for each answer."""
         client, o = self._client(), self.options
-        at = partition.start
-        while at < partition.end:
-            r = client.ask("POST", o["url"], request_body(partition.prefix, at, min(self.size, partition.end - at), columns=COLUMNS[o.get("interface", "expediente")]))
-            if not 200 <= r.status < 300:
-                raise RunStopped(f"status {r.status} at {partition.prefix}:{at}")
-            rows = json.loads(r.body)["documentos"][: partition.end - at]
-            if not rows:
-                raise RunStopped(f"nothing at {partition.prefix}:{at}, before its end at {partition.end}")
-            at += len(rows)
-            for row in rows:
-                yield _fields(partition.prefix, row, self.fields)
+        for prefix, at, end in partition.ranges:
+            while at < end:
+                r = client.ask("POST", o["url"], request_body(prefix, at, min(self.size, end - at), columns=COLUMNS[o.get("interface", "expediente")]))
+                if not 200 <= r.status < 300:
+                    raise RunStopped(f"status {r.status} at {prefix}:{at}")
+                rows = json.loads(r.body)["documentos"][: end - at]
+                if not rows:
+                    raise RunStopped(f"nothing at {prefix}:{at}, before its end at {end}")
+                at += len(rows)
+                columns = [[prefix] * len(rows), *[[_text(row.get(f)) for row in rows] for f in self.fields]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["prefix", *self.fields])
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "fs"}
@@ -358,12 +363,19 @@ def _client(o: dict[str, str], readers: int) -> Client:
     return Client(send, per_second=float(o.get("persecond", 0.5)) / readers, budget=max(1, int(o.get("budget", 1000)) // readers), robots=o.get("robots", "true") == "true", jitter=float(o.get("jitter", 0.25)), retries=int(o.get("retries", 3)), cache=DiskCache(o["cache"]) if "cache" in o else None)
 
 
+_encode = json.JSONEncoder(ensure_ascii=False).encode  # made once: json.dumps makes one for every value
+
+
+def _text(v) -> str | None:
+    return v if v is None or isinstance(v, str) else str(v) if type(v) is int else _encode(v)
+
+
 def _fields(prefix: str, row: dict, fields: list[str]) -> tuple:
-    return (prefix, *[None if (v := row.get(f)) is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for f in fields])
+    return (prefix, *[_text(row.get(f)) for f in fields])
 
 
 class PagedSource(DataSource):
-    """Options: url, transport, fields (comma-separated), prefixes, pageSize, interface (a key of ``COLUMNS``), perSecond, jitter, retries, budget, robots, cache; for a stream also state and pagesPerBatch. All fields are strings."""
+    """Options: url, transport, fields (comma-separated), prefixes, pageSize, interface (a key of ``COLUMNS``), perSecond, jitter, retries, budget, robots, cache; for a stream also state, pagesPerBatch and readers. All fields are strings."""
 
     @classmethod
     def name(cls) -> str:

@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
+import io
 import json
+from itertools import chain, islice
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.operators.store import write_text
-from foliant.operators.tables import numbered
+from foliant.operators.store import cut, discard, write_text
+from foliant.operators.tables import shuffle_key
 from foliant.sources.remote import Response
 
 
+#: Bytes of pages that share a file, about; a page of more bytes has a file of its own.
+SHELF_BYTES = 1 << 20
+
+
 def keep_pages(df: DataFrame, key: str, prefix: str, path: str, size: int) -> None:
-    """Store rows as pages of ``size`` by ``prefix``, in an order by a hash of ``key``, and how many there are of each."""
-    spark = df.sparkSession
-    placed = numbered(df, key, 0, "__n").select(F.col(prefix).cast("string").alias("__prefix"), "__n", F.to_json(F.struct(*df.columns)).alias("value"))
-    # a row's place in its prefix: those in the parts before its own, and before it in its part, of ``size`` rows at most
-    parts = placed.withColumn("__part", F.floor(F.col("__n") / size))
-    sizes = parts.groupBy("__prefix", "__part").agg(F.count("*").alias("__c"))
-    before = sizes.select("__prefix", "__part", (F.sum("__c").over(Window.partitionBy("__prefix").orderBy("__part")) - F.col("__c")).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__prefix", "__part").orderBy("__n")) - 1
-    rows = parts.join(before, ["__prefix", "__part"]).withColumn("__at", F.col("__before") + inside)
-    paged = rows.select(F.col("__prefix").alias("prefix"), F.floor(F.col("__at") / size).alias("page"), (F.col("__at") % size).alias("at"), "value")
-    paged.repartition("prefix", "page").sortWithinPartitions("prefix", "page", "at").select("prefix", "page", "value").write.partitionBy("prefix", "page").text(f"{path}/pages")
-    totals = {r["__prefix"]: r["n"] for r in sizes.groupBy("__prefix").agg(F.sum("__c").alias("n")).collect()}  # one row per prefix
-    write_text(spark, f"{path}/about.json", json.dumps({"size": size, "totals": totals}))
+    """Store rows as pages of ``size`` by ``prefix``, in an order by a hash of ``key``, and how many there are of each.
+
+    Pages that follow each other share a file, in a folder with the number of the first of them: there are as many files as the bytes need, however small a page is.
+    """
+    spark, order = df.sparkSession, shuffle_key(0, "orden", F.col(key))
+    rows = df.select(F.col(prefix).cast("string").alias("__prefix"), F.substring(order, 1, 4).alias("__slice"), order.alias("__order"), F.col(key).cast("string").alias("__key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    # a row's place in its prefix: those in the slices of the order before its own, and before it in its slice
+    sizes = rows.groupBy("__prefix", "__slice").agg(F.count("*").alias("__c"), F.sum(F.octet_length("value") + 1).alias("__bytes"))
+    whole = Window.partitionBy("__prefix")  # 65,536 slices at most
+    before = (F.sum("__c").over(whole.orderBy("__slice")) - F.col("__c")).alias("__before")
+    total, shelf = F.sum("__c").over(whole), F.greatest(F.lit(1), F.floor(SHELF_BYTES * F.sum("__c").over(whole) / (F.sum("__bytes").over(whole) * size)))
+    slices = cut(sizes.select("__prefix", "__slice", before, total.alias("__total"), shelf.cast("long").alias("__shelf")), "slices")
+    inside = F.row_number().over(Window.partitionBy("__prefix", "__slice").orderBy("__order", "__key")) - 1
+    placed = rows.join(slices.drop("__total"), ["__prefix", "__slice"]).withColumn("__at", F.col("__before") + inside)
+    shelved = placed.select(F.col("__prefix").alias("prefix"), (F.floor(F.col("__at") / (F.col("__shelf") * size)) * F.col("__shelf")).alias("page"), F.col("__at").alias("at"), "value")
+    shelved.repartition("prefix", "page").sortWithinPartitions("prefix", "page", "at").select("prefix", "page", "value").write.partitionBy("prefix", "page").text(f"{path}/pages")
+    prefixes = slices.select("__prefix", "__total", "__shelf").distinct().collect()  # one row per prefix
+    discard(slices)
+    write_text(spark, f"{path}/about.json", json.dumps({"size": size, "totals": {r["__prefix"]: r["__total"] for r in prefixes}, "shelves": {r["__prefix"]: r["__shelf"] for r in prefixes}}))
 
 
 def answer(method: str, url: str, body: dict | None, headers: dict) -> Response:
@@ -37,13 +49,11 @@ def answer(method: str, url: str, body: dict | None, headers: dict) -> Response:
         return Response(404, b"")
     if there(f"{base}/busy"):
         return Response(503, b"", {"Retry-After": "0"})
-    about = json.loads(fs.open_input_stream(f"{base}/about.json").read())
-    start, length, size, total = body["start"], body["length"], about["size"], about["totals"].get(body["mainSearch"], 0)
-    rows, end = [], min(start + length, total)
-    for page in range(start // size, -(-end // size)):
-        lines = []
-        for f in sorted(fs.get_file_info(pafs.FileSelector(f"{base}/pages/prefix={body['mainSearch']}/page={page}")), key=lambda i: i.path):
-            if f.base_name.endswith(".txt"):
-                lines += fs.open_input_stream(f.path).read().decode().splitlines()
-        rows += lines[max(0, start - page * size) : end - page * size]
-    return Response(200, json.dumps({"documentos": [json.loads(r) for r in rows], "recordsFiltered": total}).encode(), {"Content-Type": "application/json"})
+    about, prefix = json.loads(fs.open_input_stream(f"{base}/about.json").read()), body["mainSearch"]
+    start, length, total, shelf = body["start"], body["length"], about["totals"].get(prefix, 0), about["shelves"].get(prefix, 1)
+    rows, end, held = [], min(start + length, total), about["size"] * shelf
+    for n in range(start // held, -(-end // held)):
+        files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(f"{base}/pages/prefix={prefix}/page={n * shelf}")) if f.base_name.endswith(".txt"))
+        lines = chain.from_iterable(io.BufferedReader(fs.open_input_stream(f), 1 << 16) for f in files)
+        rows += [line.rstrip(b"\n") for line in islice(lines, max(0, start - n * held), end - n * held)]  # nothing behind the window is read
+    return Response(200, b'{"documentos":[%s],"recordsFiltered":%d}' % (b",".join(rows), total), {"Content-Type": "application/json"})

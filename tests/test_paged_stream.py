@@ -100,3 +100,45 @@ def test_rows_that_come_later_are_read_from_there_on(spark, api):
     q.processAllAvailable()
     q.stop()
     assert written(spark, base) == Counter(rows | {("none", "900", "late")})
+
+
+def test_pages_share_files_and_every_window_is_answered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "SHELF_BYTES", 1000)
+    df = spark.range(203).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("p"), F.concat(F.lit("ñ \x85"), F.repeat(F.lit("x"), F.when(F.col("id") % 3 == 0, 300).otherwise(1))).alias("text"))
+    url = f"file://{tmp_path}/api"
+    replay.keep_pages(df, "id", "p", url, 7)
+    folders = {p: sorted(int(f.name[5:]) for f in (tmp_path / "api" / "pages" / f"prefix={p}").iterdir() if f.is_dir()) for p in "ab"}
+    assert folders["a"] == list(range(10)) and 1 < len(folders["b"]) < 10  # 68 large rows: a page a file; 135 small ones in 20 pages
+    ask = lambda p, start, n: json.loads(replay.answer("POST", url, remote.request_body(p, start, n), {}).body)
+    for p, total in (("a", 68), ("b", 135)):
+        rows = ask(p, 0, 1000)["documentos"]
+        assert Counter(r["id"] for r in rows) == Counter(i for i in range(203) if (i % 3 == 0) == (p == "a")) and {r["text"][:3] for r in rows} == {"ñ \x85"}
+        # the order is by a hash of the key, as it was when each page had a file
+        assert [r["id"] for r in rows] == [r["id"] for r in df.where(F.col("p") == p).orderBy(F.md5(F.concat(F.lit("0:orden:"), F.col("id").cast("string")))).collect()]
+        for start, n in ((0, 1), (5, 4), (34, 2), (total - 3, 10), (total, 5), (13, 50)):
+            assert ask(p, start, n) == {"documentos": rows[start : start + n], "recordsFiltered": total}
+
+
+def test_readers_share_the_pages_of_a_batch_evenly(spark, api):
+    base, rows = api
+    reader = remote.PagedStream(options(base, readers="4"), ["id", "text"])
+    got = reader.partitions({"a": 10, "b": 0, "none": 0}, {"a": 35, "b": 70, "none": 0})
+    assert [len(g.ranges) for g in got] == [2, 3, 2, 3]
+    assert [r for g in got for r in g.ranges] == [("a", 10, 20), ("a", 20, 30), ("a", 30, 35), *[("b", n, n + 10) for n in range(0, 70, 10)]]
+    assert len(reader.partitions({"a": 60, "b": 130, "none": 0}, {"a": 68, "b": 135, "none": 0})) == 2 and reader.partitions({"a": 68}, {"a": 68}) == []
+    q = start(spark, base, pagesperbatch="3", readers="4")
+    q.processAllAvailable()
+    q.stop()
+    assert written(spark, base) == Counter(rows)
+
+
+def test_plain_rows_of_a_stream_are_the_same_records(spark, tmp_path):
+    spark.dataSource.register(records.RecordSink)
+    rows = [(1, "ñ\n ", True, None), (None, None, None, "{}"), (-(2**63), "", False, '"')]
+    schema = "n long, s string, b boolean, t string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in")
+    for name, extra in (("plain", {}), ("other", {"d": F.lit(1.5)})):  # a double goes the way of rows
+        q = spark.readStream.schema(schema).parquet(f"{tmp_path}/in").withColumns(extra).writeStream.format("records").option("path", f"file://{tmp_path}/{name}").option("checkpointLocation", f"{tmp_path}/check-{name}").trigger(availableNow=True).start()
+        q.awaitTermination(60)
+        got = records.read(spark, f"file://{tmp_path}/{name}", schema + (", d double" if extra else ""))
+        assert Counter(tuple(r) for r in got.collect()) == Counter(r + ((1.5,) if extra else ()) for r in rows)
