@@ -217,6 +217,24 @@ def test_ranked_search_in_blocks_and_lots(spark, alike, monkeypatch, block, lot,
     assert dict(got) == {q: want for q, t in asked if (want := naive_bm25(texts, t, 4))}
 
 
+def test_the_query_asks_all_turns_of_all_documents(spark, tmp_path):
+    """Turns whatever their conversation's number, documents whatever their sign: as the query's SQL has them."""
+    import duckdb
+
+    from foliant.plans import registry
+
+    spark.createDataFrame([(i, f"amparo x{i % 3}" + " corte" * (i % 4)) for i in range(-7, 12)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    turns = [(c, turn, f"x{c % 3} corte" if turn else "amparo") for c in (0, 1, 19, 20, 21, 40) for turn in (0, 1)]
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "conversations"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(registry.ORACLES["q83_ranked_search"]).fetchall()
+    got = sorted(map(tuple, registry.QUERIES["q83_ranked_search"](spark, str(tmp_path)).collect()))
+    assert got == sorted(want) and {q for q, *_ in got} == {c * 1000 + turn for c, turn, _ in turns}
+    assert min(i for _, _, i, _ in got) == -7
+
+
 def test_phrases_look_only_at_holders_of_the_rarest_word(spark, alike):
     index = alike[1]
     asked = spark.createDataFrame([(1, "la corte x3"), (2, "corte x30"), (3, "corte x5 la")], "query long, text string")
