@@ -281,6 +281,20 @@ def test_reach(spark, hot, monkeypatch):
     assert graph.reach(e, seeds.limit(0)).count() == 0
 
 
+def test_what_falls_has_no_bound_of_steps(spark, tmp_path):
+    """A chain of 19 citations and a cycle behind it, as the query's SQL has them."""
+    import duckdb
+
+    from foliant.plans import registry
+
+    cites = [(20, 1)] + [(i, i - 1) for i in range(21, 40)] + [(41, 39), (42, 41), (43, 42), (41, 43), (50, 51), (40, 40), (44, None)]
+    spark.createDataFrame(cites, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    got = {r["id"]: r["depth"] for r in registry.QUERIES["q86_reach"](spark, str(tmp_path)).collect()}
+    assert got == {i: i - 20 for i in range(20, 40)} | {40: 0, 41: 20, 42: 21, 43: 22} == dict(con.execute(registry.ORACLES["q86_reach"]).fetchall())
+
+
 @pytest.fixture
 def joins_shuffle(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
