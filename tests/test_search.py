@@ -217,6 +217,42 @@ def test_ranked_search_in_blocks_and_lots(spark, alike, monkeypatch, block, lot,
     assert dict(got) == {q: want for q, t in asked if (want := naive_bm25(texts, t, 4))}
 
 
+@pytest.mark.parametrize("together, added, dense, cheaper", [(64, 500_000, 1024, 200), (3, 2, 0, 200), (5, 7, 2, 10**9), (200, 50, 1024, 10**9)])
+def test_many_queries_are_scored_at_once(tmp_path, monkeypatch, together, added, dense, cheaper):
+    """Words as rows of a matrix, as lists or as both; blocks of one task; ties; a query without an id."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for name, value in (("TOGETHER", together), ("ADDED", added), ("DENSE", dense), ("CHEAPER", cheaper)):
+        monkeypatch.setattr(fulltext, name, value)
+    rng, calls, whole = np.random.default_rng(7), [], fulltext._sums
+    monkeypatch.setattr(fulltext, "_sums", lambda first, last, *a: (calls.append(last - first), whole(first, last, *a))[1])
+    docs = {i: {int(w): int(rng.integers(1, 4)) for w in rng.choice(30, rng.integers(0, 9), replace=False, p=np.arange(30, 0, -1) / 465)} for i in range(-20, 60)}
+    docs |= {i + 100: d for i, d in docs.items()}  # each twice
+    asked = [(q if q else None, {int(w): float(rng.integers(1, 9)) for w in rng.choice(33, rng.integers(0, 6), replace=False)}) for q in range(130)]
+    mean = sum(sum(d.values()) for d in docs.values()) / len(docs)
+    batches = []
+    for block in range(3):
+        rows = [(block, *r) for i, d in docs.items() if i % 3 == block for r in [(-1, i, sum(d.values())), *((w, i, n) for w, n in d.items())]]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True)]
+        batches += pa.Table.from_arrays(columns, ["block", "code", "id", "n"]).to_batches(max_chunksize=70)
+    lists = [pa.array([q for q, _ in asked], pa.int64()), pa.array([list(w) for _, w in asked], pa.list_(pa.int64())), pa.array([list(w.values()) for _, w in asked], pa.list_(pa.float64()))]
+    pq.write_table(pa.Table.from_arrays(lists, ["query", "codes", "weights"]), f"{tmp_path}/a.parquet")
+    got = [tuple(r.values()) for b in fulltext._search(f"file://{tmp_path}", mean, 4)(iter(batches)) for r in b.to_pylist()]
+    want = []
+    for q, words in asked:
+        scores = {i: sum(v * d[w] * 2.2 / (d[w] + 1.2 * (0.25 + 0.75 * sum(d.values()) / mean)) for w, v in words.items() if w in d) for i, d in docs.items() if words.keys() & d.keys()}
+        want += [(q, i, round(s, 6)) for i, s in sorted(scores.items(), key=lambda x: (-round(x[1], 6), x[0]))[:4]]
+    assert [(q, i) for q, i, _ in got] == [(q, i) for q, i, _ in want] and all(abs(g[2] - w[2]) < 2e-6 for g, w in zip(got, want, strict=True))
+    assert len(calls) == 3 * -(-130 // together)
+
+
+def test_blocks_of_few_documents_go_to_all_cores(spark, alike, monkeypatch):
+    monkeypatch.setattr(fulltext, "SMALL", 100, raising=False)
+    plan = fulltext.ranked(alike[1], alike[0].withColumnRenamed("doc_id", "query"), 3)._jdf.queryExecution().logical().toString()
+    assert spark.sparkContext.defaultParallelism == 4 and re.search(r"Repartition\w* .*\b4\b", plan), plan  # there was 1 block of 400 documents
+
+
 def test_the_query_asks_all_turns_of_all_documents(spark, tmp_path):
     """Turns whatever their conversation's number, documents whatever their sign: as the query's SQL has them."""
     import duckdb
