@@ -199,6 +199,11 @@ def test_a_build_shuffles_no_postings(spark, alike):
     assert rows_shuffled(spark, lambda: fulltext.build(alike[0], buckets=4)) < 400  # of 2,810
 
 
+def test_a_build_shuffles_its_words_once(spark):
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(400)], "doc_id long, text string")
+    assert rows_shuffled(spark, lambda: fulltext.build(docs, buckets=4)) < 600  # of 400 words
+
+
 def test_ranked_search_makes_no_row_of_what_a_query_and_a_document_share(spark, alike):
     docs, index, texts = alike
     queries = docs.where("doc_id < 200").withColumnRenamed("doc_id", "query")
